@@ -90,3 +90,33 @@ def q_conversion_by_user(spark, sf_dir):
 def q_ab_bucket_report(spark, sf_dir):
     return _rate6(conv.conversion_report(Tables(spark, sf_dir).clicklog(), os="android",
                                          n_buckets=P.AB_BUCKETS))
+
+
+# ---------------------------------------------------------------------------
+# P2 recommend by seed
+# ---------------------------------------------------------------------------
+
+from recsmith import oracle_chains as OC  # noqa: E402
+from recsmith.plans import by_seed  # noqa: E402
+
+
+def seed_inputs(t: Tables) -> by_seed.SeedInputs:
+    return by_seed.SeedInputs(
+        active=t.active(), user_seed=t.user_seed(), seed_item=t.seed_item(), visited=t.visited(),
+        impressions=t.impressions(), gated=t.gated(), segment=t.segment(), item_feat=t.item_features(),
+        user_feat=t.user_features(), rate=t.rate_by_seed(), user_aff=t.user_affinity(),
+        item_aff=t.item_affinity(), pay=t.pay())
+
+
+def _sql(views, chain, final: str) -> str:
+    return with_views(views, chain) + final
+
+
+@register("rec_by_seed", _sql(OC.SEED_VIEWS, OC.seed_chain(),
+                              f'SELECT "user", rank, item, round(score, 6) AS score, src FROM fin '
+                              f'WHERE rank <= {P.TOP_P2}'))
+def q_rec_by_seed(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    out = by_seed.recommend_by_seed(seed_inputs(t), P.AS_OF, P.WEIGHTS, P.ITEM_WIDTH, P.DIVISOR, P.REMAINDER,
+                                    P.REMAINDER_2, P.ACTIVE_DAYS_P2, P.IMPRESS_WINDOW_P2)
+    return out.withColumn("score", r6(F.col("score")))
