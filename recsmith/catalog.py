@@ -120,3 +120,28 @@ def q_rec_by_seed(spark, sf_dir):
     out = by_seed.recommend_by_seed(seed_inputs(t), P.AS_OF, P.WEIGHTS, P.ITEM_WIDTH, P.DIVISOR, P.REMAINDER,
                                     P.REMAINDER_2, P.ACTIVE_DAYS_P2, P.IMPRESS_WINDOW_P2)
     return out.withColumn("score", r6(F.col("score")))
+
+
+# ---------------------------------------------------------------------------
+# P3 recommend by tag
+# ---------------------------------------------------------------------------
+
+from recsmith.plans import by_tag  # noqa: E402
+
+
+def tag_inputs(t: Tables) -> by_tag.TagInputs:
+    return by_tag.TagInputs(
+        active=t.active(), user_tag=t.user_tag(), tag_item=t.tag_item(), history=t.history(),
+        quality=t.quality(), profile=t.profile(), user_max_age=t.user_max_age(), blocklist=t.blocklist(),
+        first_block=t.first_block(), visited=t.visited(), impressions=t.impressions(),
+        new_song_weight=t.new_song_weight(), item_feat=t.item_features(), user_feat=t.user_features(),
+        rate=t.rate_by_tag(), user_aff=t.user_affinity(), item_aff=t.item_affinity())
+
+
+@register("rec_by_tag", _sql(OC.TAG_VIEWS, OC.tag_chain(),
+                             f'SELECT "user", rank, item, round(CAST(score AS DECIMAL(38,18)), 4)::DOUBLE AS score, '
+                             f'src FROM fin WHERE rank <= {P.MAX_REC_P3}'))
+def q_rec_by_tag(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return by_tag.recommend_by_tag(tag_inputs(t), P.AS_OF, P.WEIGHTS, P.WEIGHTS_AB, P.ITEM_WIDTH, P.DIVISOR,
+                                   P.REMAINDER, P.ACTIVE_DAYS_P3, P.IMPRESS_WINDOW_P3)

@@ -22,9 +22,10 @@ def with_rate(cand: DataFrame, rate: DataFrame, default: float, src_col: str = "
     return j.drop(r["item"]).drop("_src").withColumn("rate", F.coalesce("_rate", F.lit(default))).drop("_rate")
 
 
-def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame) -> DataFrame:
+def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
+                 ignored=P.AFFINITY_IGNORED) -> DataFrame:
     """JOIN-11: (user,item,lan,style) = sum of user ratio * item ratio per kind, after FLT-16."""
-    ua = affinity_threshold(user_aff).select("user", "kind", "tag", F.col("ratio").alias("u"))
+    ua = affinity_threshold(user_aff, ignored=ignored).select("user", "kind", "tag", F.col("ratio").alias("u"))
     pairs = cand.select("user", "item").distinct()
     ia = item_aff.join(pairs.select("item").distinct(), "item", "left_semi") \
                  .select("item", "kind", "tag", F.col("ratio").alias("v"))
@@ -34,8 +35,9 @@ def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame) -> D
         F.sum(F.when(F.col("kind") == "style", F.col("u") * F.col("v")).otherwise(0.0)).alias("style"))
 
 
-def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame) -> DataFrame:
-    d = affinity_dot(cand, user_aff, item_aff)
+def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
+                  ignored=P.AFFINITY_IGNORED) -> DataFrame:
+    d = affinity_dot(cand, user_aff, item_aff, ignored)
     return (cand.join(d, ["user", "item"], "left")
             .withColumn("lan", F.coalesce("lan", F.lit(0.0)))
             .withColumn("style", F.coalesce("style", F.lit(0.0))))

@@ -137,6 +137,8 @@ def candidate_items(*item_cols: DataFrame) -> DataFrame:
 def affinity_threshold(user_aff: DataFrame, min_ratio: float = P.AFFINITY_MIN,
                        ignored=P.AFFINITY_IGNORED) -> DataFrame:
     """FLT-16: user weight > 0.03; style literals 'unknow' / 'null' dropped."""
+    if not ignored:
+        return user_aff.where(F.col("ratio") > min_ratio)
     bad = (F.col("kind") == "style") & F.col("tag").isin(*ignored)
     return user_aff.where((F.col("ratio") > min_ratio) & ~bad)
 

@@ -122,3 +122,90 @@ def seed_chain(active_days=P.ACTIVE_DAYS_P2, window=P.IMPRESS_WINDOW_P2, mi=None
         ("fin", """SELECT "user", item, src, s3 AS score,
                      row_number() OVER (PARTITION BY "user" ORDER BY head DESC, s3 DESC, r) AS rank FROM hd"""),
     ]
+
+
+TAG_VIEWS = ["v_active", "v_user_tag", "v_tag_item", "v_history", "v_quality", "v_profile", "v_user_max_age",
+             "v_block", "v_first_block", "v_visited", "v_impress", "v_new_song_weight", "v_item_feat",
+             "v_user_feat", "v_rate_tag", "v_user_aff", "v_item_aff", "v_weights", "v_weights_ab"]
+
+
+def hist_first() -> str:
+    return f"""SELECT "user", TRY_CAST(split_part(e, ':', 1) AS BIGINT) AS item, split_part(e, ':', 3) AS tag, pos
+               FROM (SELECT "user", unnest(string_split(packed, ',')) AS e,
+                            generate_subscripts(string_split(packed, ','), 1) - 1 AS pos FROM v_history)
+               WHERE pos < {P.HISTORY_FIRST}"""
+
+
+def tag_chain(active_days=P.ACTIVE_DAYS_P3, window=P.IMPRESS_WINDOW_P3, mi=None, item_width=P.ITEM_WIDTH,
+              divisor=P.DIVISOR, remainder=P.REMAINDER, max_rec=P.MAX_REC_P3):
+    mi = P.max_impress() if mi is None else mi
+    b = P.USER_WIDTH + item_width
+    feats = (f"list_concat(list_slice(list_concat(coalesce(CAST(feats AS DOUBLE[]), []), "
+             f"list_transform(range({P.USER_WIDTH}), lambda k: 0.0)), 1, {P.USER_WIDTH}), "
+             f"coalesce(CAST(bits AS DOUBLE[]), list_transform(range({item_width}), lambda k: 0.0)), "
+             f"[rate, lan, style])")
+    dense = f"(CASE WHEN len(w) <> len(fv) THEN -1.0 ELSE {sigmoid('list_dot_product(w, fv)')} END)"
+    z2 = f"{dot_user('wab')} + {dot_item('wab')} + wab[{b + 1}] * rate"
+    control = f"(CASE WHEN bits IS NULL THEN {P.MISSING_ITEM_SCORE} ELSE {sigmoid(z2)} END)"
+    return [
+        ("au", _active(active_days)),
+        ("hf", hist_first()),
+        ("ut", f"""SELECT u."user", u.tag, u.pos AS tag_pos,
+                     CASE WHEN h.tag IS NOT NULL THEN u.pref / {P.TAG_DAMPING} ELSE u.pref END AS pref
+                   FROM v_user_tag u
+                   LEFT JOIN (SELECT DISTINCT "user", tag FROM hf) h ON h."user" = u."user" AND h.tag = u.tag
+                   WHERE u."user" IN (SELECT "user" FROM au) AND u.tag <> ''"""),
+        ("exp", """SELECT ut.*, ti.item, ti.quality, ti.pos AS item_pos FROM ut JOIN v_tag_item ti USING (tag)"""),
+        ("excl", _excl(window, mi) + ' UNION SELECT "user", item FROM hf'),
+        ("blk", f"""SELECT item FROM v_block UNION SELECT item FROM v_first_block WHERE rank < {P.FIRST_BLOCK_N}"""),
+        ("elig", """SELECT e.* FROM exp e JOIN v_quality q ON q.item = e.item AND q.score <> 0
+                    LEFT JOIN v_user_max_age m ON m."user" = e."user"
+                    WHERE (m.max_days IS NULL OR q.create_days <= m.max_days)
+                      AND NOT EXISTS (SELECT 1 FROM excl x WHERE x."user" = e."user" AND x.item = e.item)
+                      AND e.item NOT IN (SELECT item FROM blk)"""),
+        ("capped", f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "user", tag
+                         ORDER BY item_pos) AS rn FROM elig) WHERE rn <= {P.TAG_CAP_P3}"""),
+        ("reason", """SELECT "user", item, tag AS src FROM (SELECT "user", item, tag,
+                        row_number() OVER (PARTITION BY "user", item ORDER BY tag_pos) AS rn FROM capped)
+                      WHERE rn = 1"""),
+        ("merged", """SELECT "user", item, sum(pref * quality) AS score FROM capped GROUP BY "user", item"""),
+        ("cand", f"""SELECT m."user", m.item, r.src,
+                       (CASE WHEN coalesce(n.new_song_weight, 0.0) > 1
+                                  AND coalesce(CAST(trunc(({P.AS_OF_EPOCH} - p.avg_pub_time) / 86400) AS INTEGER), 100)
+                                      < {P.FRESH_AGE_DAYS}
+                             THEN m.score * n.new_song_weight ELSE m.score END)
+                       / (CASE WHEN v.score IS NOT NULL THEN {P.IMPRESS_DECAY} ELSE 1.0 END) AS score
+                     FROM merged m JOIN reason r USING ("user", item)
+                     LEFT JOIN v_profile p ON p.item = m.item
+                     LEFT JOIN v_new_song_weight n ON n."user" = m."user"
+                     LEFT JOIN v_visited v ON v."user" = m."user" AND v.item = m.item"""),
+        ("pool", f"""SELECT * EXCLUDE (r1, r2) FROM (
+                       SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS r2 FROM (
+                         SELECT *, row_number() OVER (PARTITION BY "user", src ORDER BY score DESC, item) AS r1
+                         FROM cand) WHERE r1 <= {P.REASON_CAP})
+                     WHERE r2 <= {P.REASON_TOTAL}"""),
+        ("nr", 'SELECT "user", count(DISTINCT src) AS n_reasons FROM pool GROUP BY "user"'),
+        ("aff", aff_cte("pool").replace("AND NOT (ua.kind = 'style' AND ua.tag IN ('unknow', 'null'))", "")),
+        ("feat", f"""SELECT c."user", c.item, c.src, c.score, coalesce(r.rate, {P.RATE_DEFAULT_P3}) AS rate,
+                       coalesce(a.lan, 0.0) AS lan, coalesce(a.style, 0.0) AS style, uf.feats, ib.bits,
+                       (SELECT w FROM v_weights) AS w, (SELECT w FROM v_weights_ab) AS wab
+                     FROM pool c
+                     LEFT JOIN v_rate_tag r ON r.item = c.item AND r.src = c.src
+                     LEFT JOIN aff a ON a."user" = c."user" AND a.item = c.item
+                     LEFT JOIN v_user_feat uf ON uf."user" = c."user"
+                     LEFT JOIN v_item_feat ib ON ib.item = c.item"""),
+        ("fv", f"SELECT *, {feats} AS fv FROM feat"),
+        ("scored", f"""SELECT f."user", f.item, f.src, n.n_reasons,
+                         f.score * {P.BLEND_P3} + CASE WHEN f."user" % {divisor} = {remainder}
+                                                       THEN {dense} ELSE {control} END AS score
+                       FROM fv f JOIN nr n USING ("user")"""),
+        ("q1", f"""SELECT *, greatest({P.QUOTA_MIN}, least({P.QUOTA_MAX}, CAST(trunc({max_rec} / n_reasons) AS BIGINT))) AS quota,
+                     row_number() OVER (PARTITION BY "user", src ORDER BY score DESC, item) - 1 AS c
+                   FROM scored"""),
+        ("q2", f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS k
+                                  FROM q1 WHERE c < quota) WHERE k <= {max_rec}"""),
+        ("q3", """SELECT "user", item, src,
+                    CASE WHEN c >= 1 THEN -c + score / (c * 10.0) ELSE score END AS score FROM q2"""),
+        ("fin", """SELECT "user", item, src, score,
+                     row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM q3"""),
+    ]

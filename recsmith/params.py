@@ -6,6 +6,7 @@ collects the values the catalogue, the oracle SQL and the bench share.
 
 from __future__ import annotations
 
+import calendar
 import datetime as _dt
 
 # Reference time of every job ("today"); never ``now()``.
@@ -83,6 +84,11 @@ ITEM_WIDTH = 64  # embedding bits
 WEIGHTS_LEN = USER_WIDTH + ITEM_WIDTH + 3
 
 
+def epoch(ts: _dt.datetime) -> int:
+    """Epoch seconds of a naive UTC datetime."""
+    return calendar.timegm(ts.timetuple())
+
+
 def max_impress(as_of: _dt.datetime = AS_OF) -> int:
     """Calendar-driven impression cap: 4 when day-of-month % 3 == 1, else 2."""
     return 4 if as_of.day % 3 == 1 else 2
