@@ -145,3 +145,32 @@ def q_rec_by_tag(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return by_tag.recommend_by_tag(tag_inputs(t), P.AS_OF, P.WEIGHTS, P.WEIGHTS_AB, P.ITEM_WIDTH, P.DIVISOR,
                                    P.REMAINDER, P.ACTIVE_DAYS_P3, P.IMPRESS_WINDOW_P3)
+
+
+# ---------------------------------------------------------------------------
+# P4 recommend by liked items
+# ---------------------------------------------------------------------------
+
+from recsmith.plans import by_liked  # noqa: E402
+
+
+def liked_inputs(t: Tables) -> by_liked.LikedInputs:
+    return by_liked.LikedInputs(
+        active=t.active(), play=t.play(), subs=t.subscriptions(), pair_block=t.pair_block(), sim=t.item_sim(),
+        sim_alt=t.item_sim(max_gap=2, alt=True), quality=t.quality(), profile=t.profile(),
+        blocklist=t.blocklist(), first_block=t.first_block(), gated=t.gated(), segment=t.segment(),
+        visited=t.visited(), impressions=t.impressions(), new_song_weight=t.new_song_weight(),
+        item_feat=t.item_features(), rate=t.rate_by_liked(), user_aff=t.user_affinity(),
+        item_aff=t.item_affinity(), pay=t.pay())
+
+
+HALF_UP4 = "round(CAST(score AS DECIMAL(38,18)), 4)::DOUBLE"
+
+
+@register("rec_by_liked", _sql(OC.LIKED_VIEWS, OC.liked_chain(),
+                               f'SELECT "user", rank, item, {HALF_UP4} AS score, src FROM fin '
+                               f'WHERE rank <= {P.TOP_P4}'))
+def q_rec_by_liked(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return by_liked.recommend_by_liked(liked_inputs(t), P.AS_OF, P.WEIGHTS, P.ITEM_WIDTH, P.DIVISOR,
+                                       P.REMAINDER, P.ACTIVE_DAYS_P4, P.IMPRESS_WINDOW_P4)

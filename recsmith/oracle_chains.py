@@ -209,3 +209,84 @@ def tag_chain(active_days=P.ACTIVE_DAYS_P3, window=P.IMPRESS_WINDOW_P3, mi=None,
         ("fin", """SELECT "user", item, src, score,
                      row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM q3"""),
     ]
+
+
+LIKED_VIEWS = ["v_active", "v_play", "v_sub", "v_pair_block", "v_item_sim", "v_item_sim_alt", "v_quality",
+               "v_profile", "v_block", "v_first_block", "v_gated", "v_segment", "v_visited", "v_impress",
+               "v_new_song_weight", "v_item_feat", "v_rate_liked", "v_user_aff", "v_item_aff", "v_pay",
+               "v_weights"]
+
+
+def liked_chain(active_days=P.ACTIVE_DAYS_P4, window=P.IMPRESS_WINDOW_P4, mi=None, caps=P.SEED_CAP_P4,
+                budget=P.SEED_BUDGET, item_width=P.ITEM_WIDTH, divisor=P.DIVISOR, remainder=P.REMAINDER):
+    mi = P.max_impress() if mi is None else mi
+    return [
+        ("au", _active(active_days)),
+        ("pl", """SELECT "user", item, score FROM (SELECT *, row_number() OVER (PARTITION BY "user", item
+                    ORDER BY priority, score DESC) AS rn FROM v_play WHERE "user" IN (SELECT "user" FROM au))
+                  WHERE rn = 1"""),
+        ("sd", """SELECT p."user", p.item AS seed, p.score FROM pl p
+                  WHERE EXISTS (SELECT 1 FROM v_sub s WHERE s."user" = p."user" AND s.item = p.item)
+                    AND NOT EXISTS (SELECT 1 FROM v_pair_block b WHERE b."user" = p."user" AND b.item = p.item)"""),
+        ("rs", """SELECT "user", seed, score AS seed_score,
+                    row_number() OVER (PARTITION BY "user" ORDER BY score DESC, seed) - 1 AS i,
+                    count(*) OVER (PARTITION BY "user") AS n_seeds FROM sd"""),
+        ("lists", """SELECT item AS seed, item2 AS item, sim, pos, true AS odd FROM v_item_sim
+                     UNION ALL SELECT item AS seed, item2 AS item, sim, pos, false AS odd FROM v_item_sim_alt"""),
+        ("exp", """SELECT rs.*, l.item, l.sim, l.pos FROM rs
+                   JOIN lists l ON l.seed = rs.seed AND l.odd = (rs."user" % 2 = 1)
+                   WHERE rs.seed IN (SELECT item FROM v_item_sim)"""),
+        ("src", """SELECT "user", item, seed AS src FROM (SELECT "user", item, seed, row_number() OVER
+                     (PARTITION BY "user", item ORDER BY sim DESC, seed) AS rn FROM exp) WHERE rn = 1"""),
+        ("ci", "SELECT item FROM v_item_sim UNION SELECT item2 AS item FROM v_item_sim"),
+        ("cov", """SELECT (SELECT count(*) FROM v_quality WHERE item IN (SELECT item FROM ci))
+                          > (SELECT count(*) FROM ci) // 2 AS gate_on"""),
+        ("excl", _excl(window, mi)),
+        ("blk", f"SELECT item FROM v_block UNION SELECT item FROM v_first_block WHERE rank < {P.FIRST_BLOCK_N}"),
+        ("elig", """SELECT e.* FROM exp e LEFT JOIN v_quality q ON q.item = e.item
+                    WHERE (NOT (SELECT gate_on FROM cov) OR (q.score IS NOT NULL AND q.score <> 0))
+                      AND NOT EXISTS (SELECT 1 FROM excl x WHERE x."user" = e."user" AND x.item = e.item)
+                      AND e.item NOT IN (SELECT item FROM blk)
+                      AND NOT (e.item IN (SELECT item FROM v_gated)
+                               AND e."user" NOT IN (SELECT "user" FROM v_segment))"""),
+        ("capped", f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "user", seed
+                         ORDER BY pos) AS rn FROM elig)
+                       WHERE rn <= CASE WHEN n_seeds >= {P.SEED_CAP_MANY} THEN {caps[1]} ELSE {caps[0]} END"""),
+        ("fr", """SELECT *, CASE WHEN row_number() OVER (PARTITION BY "user", item ORDER BY i) = 1
+                               THEN 1 ELSE 0 END AS fresh FROM capped"""),
+        ("bud", f"""SELECT * EXCLUDE (fresh, before) FROM (SELECT *, coalesce(sum(fresh) OVER (PARTITION BY "user"
+                      ORDER BY i RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fr)
+                    WHERE before < {budget}"""),
+        ("merged", f"""SELECT b."user", b.item,
+                         sum(b.sim / sqrt(b.i + 1) / (CASE WHEN v.score IS NOT NULL THEN {P.IMPRESS_DECAY}
+                                                         ELSE 1.0 END)) AS score
+                       FROM bud b LEFT JOIN v_visited v ON v."user" = b."user" AND v.item = b.item
+                       GROUP BY b."user", b.item"""),
+        ("cand", f"""SELECT m."user", m.item, s.src,
+                       CASE WHEN coalesce(n.new_song_weight, 0.0) > 1 AND p.avg_pub_time IS NOT NULL
+                                 AND CAST(trunc(p.avg_pub_time / 1000000) AS BIGINT) / {P.FRESH_RATIO_DIV} > 1
+                            THEN m.score * (CAST(trunc(p.avg_pub_time / 1000000) AS BIGINT) / {P.FRESH_RATIO_DIV})
+                                 * n.new_song_weight * {P.FRESH_RATIO_MULT}
+                            ELSE m.score END AS recall
+                     FROM merged m JOIN src s USING ("user", item)
+                     LEFT JOIN v_profile p ON p.item = m.item
+                     LEFT JOIN v_new_song_weight n ON n."user" = m."user" """),
+        ("aff", aff_cte("cand")),
+        ("feat", f"""SELECT c."user", c.item, c.recall, c.src, coalesce(r.rate, {P.RATE_DEFAULT_P4}) AS rate,
+                       coalesce(a.lan, 0.0) AS lan, coalesce(a.style, 0.0) AS style,
+                       CAST(NULL AS INTEGER[]) AS feats, ib.bits, p.money, p.click, (SELECT w FROM v_weights) AS w
+                     FROM cand c
+                     LEFT JOIN v_rate_liked r ON r.item = c.item AND r.src = CAST(c.src AS VARCHAR)
+                     LEFT JOIN aff a ON a."user" = c."user" AND a.item = c.item
+                     LEFT JOIN v_item_feat ib ON ib.item = c.item
+                     LEFT JOIN v_pay p ON p.item = c.item"""),
+        ("scored", f"""SELECT "user", item, src,
+                         recall * {P.BLEND_P2P4} + {lr3(item_width)}
+                         + CASE WHEN "user" % {divisor} = {remainder} THEN {pay_boost(*P.PAY_P4)} ELSE 0.0 END
+                           AS score
+                       FROM feat"""),
+        ("div", """SELECT "user", item, src, CASE WHEN c >= 2 THEN score / (c * 1.5) ELSE score END AS score
+                   FROM (SELECT *, row_number() OVER (PARTITION BY "user", src ORDER BY score DESC, item) - 1 AS c
+                         FROM scored)"""),
+        ("fin", """SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM div"""),
+    ]
