@@ -79,3 +79,66 @@ def reason_caps(df: DataFrame, per_reason: int, total: int, reason: str = "src")
 def distinct_reasons(df: DataFrame, reason: str = "src") -> DataFrame:
     """AGG-10: number of distinct reasons per user."""
     return df.groupBy("user").agg(F.countDistinct(reason).alias("n_reasons"))
+
+
+def renumber(lists: DataFrame, keys, keep=None, gated: DataFrame | None = None) -> DataFrame:
+    """Positions of list entries after user-independent drops.
+
+    ``keep``: optional DataFrame of items that may appear (others are removed, e.g.
+    quality gate, blocklist).  Adds ``fpos`` (0-based position among kept entries) and,
+    with ``gated``, ``gpos`` (position among kept non-gated entries; null for gated
+    entries) plus the ``gated`` flag.  Lists are bounded (packed lists hold at most
+    ``PACKED_LIST_MAX`` entries), so the per-list window stays small even for a hot key.
+    """
+    x = lists
+    if keep is not None:
+        x = x.join(keep.select("item").distinct(), "item", "left_semi")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    w = Window.partitionBy(*keys).orderBy("pos")
+    x = x.withColumn("fpos", (F.row_number().over(w) - 1).cast("long"))
+    if gated is None:
+        return x.withColumn("gated", F.lit(False)).withColumn("gpos", F.col("fpos"))
+    g = gated.select("item").distinct().withColumn("gated", F.lit(True))
+    x = x.join(g, "item", "left").withColumn("gated", F.coalesce("gated", F.lit(False)))
+    ng = F.sum(F.when(F.col("gated"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    return x.withColumn("gpos", F.when(F.col("gated"), F.lit(None)).otherwise(ng).cast("long"))
+
+
+def bounded_expansion(user_keys: DataFrame, lists: DataFrame, keys, cap: "F.Column",
+                      excl_pairs: DataFrame, members: DataFrame | None = None,
+                      unbounded_users: DataFrame | None = None) -> DataFrame:
+    """Exact pruning of the user x list expansion before the per-list cap.
+
+    A user with E excluded (user,item) pairs and cap K can only keep entries whose
+    position among the entries open to that user is < K + E: that prefix holds at
+    most E excluded entries, so the first K eligible ones lie inside it.  Entries open
+    to a user are all kept entries for segment members, the non-gated ones otherwise
+    (gated entries are dropped for non-members right here).  ``unbounded_users`` (users
+    with extra per-user rules, e.g. an age limit) get no bound.
+
+    The join is an equi-join on ``key`` whose extra condition is evaluated inside the
+    join, so the unpruned expansion is never materialised.
+    """
+    ne = excl_pairs.groupBy("user").agg(F.count(F.lit(1)).alias("_ne"))
+    u = user_keys.join(ne, "user", "left").withColumn("_bound", cap + F.coalesce("_ne", F.lit(0)))
+    if members is not None:
+        u = u.join(members.select("user").distinct().withColumn("_member", F.lit(True)), "user", "left")
+        u = u.withColumn("_member", F.coalesce("_member", F.lit(False)))
+    else:
+        u = u.withColumn("_member", F.lit(True))
+    if unbounded_users is not None:
+        u = (u.join(unbounded_users.select("user").distinct().withColumn("_free", F.lit(True)), "user", "left")
+             .withColumn("_bound", F.when(F.col("_free"), F.lit(None)).otherwise(F.col("_bound")))
+             .drop("_free"))
+    u = u.drop("_ne")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cond = None
+    for k in keys:
+        c = u[k] == lists[k]
+        cond = c if cond is None else cond & c
+    open_pos = F.when(u["_member"], lists["fpos"]).otherwise(lists["gpos"])
+    cond = cond & open_pos.isNotNull() & (u["_bound"].isNull() | (open_pos < u["_bound"]))
+    out = u.join(lists, cond)
+    for k in keys:
+        out = out.drop(lists[k])
+    return out.drop("_member", "_bound", "fpos", "gpos", "gated")

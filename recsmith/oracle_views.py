@@ -102,9 +102,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM v_user_tag ut JOIN v_tag_item ti ON ut.tag = ti.tag AND ti.pos = 0
         WHERE ut.pos < 3 GROUP BY "user" """),
     "v_block": ((), "SELECT p_partkey AS item FROM part WHERE p_size = 50"),
-    "v_first_block": ((), """
+    "v_first_block": ((), f"""
         SELECT row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1 AS rank, p_partkey AS item
-        FROM part"""),
+        FROM (SELECT * FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT {2 * P.FIRST_BLOCK_N})"""),
     "v_gated": ((), "SELECT p_partkey AS item FROM part WHERE p_type = 'PROMO'"),
     "v_segment": ((), "SELECT c_custkey AS \"user\" FROM customer WHERE c_mktsegment = 'BUILDING'"),
     "v_user_max_age": ((), f"""

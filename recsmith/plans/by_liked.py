@@ -58,14 +58,27 @@ def candidates(inp: LikedInputs, as_of, active_days: int, window, max_impress: i
                caps=P.SEED_CAP_P4, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
                penalty_mode: str = "constant") -> DataFrame:
     """(user, item, score, src) after gates, discount, cap, budget, sum-merge and freshness."""
-    exp = RC.arm_lookup(seeds(inp, as_of, active_days), inp.sim, inp.sim_alt)
-    src = RC.reason_argmax_sim(exp)
+    sd = seeds(inp, as_of, active_days)
+    base_keys = inp.sim.select(F.col("item").alias("seed")).distinct()
+    sd = sd.join(base_keys, "seed", "left_semi").select(
+        "user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds",
+        (F.col("user") % 2 == 1).alias("_odd"))
+    # JOIN-03 lists of both arms; user-independent gates (coverage-conditional quality,
+    # blocklist) are applied to the lists before the user expansion
+    lists = (inp.sim.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim", "pos",
+                            F.lit(True).alias("_odd"))
+             .unionByName(inp.sim_alt.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim",
+                                             "pos", F.lit(False).alias("_odd"))))
     cand_items = FL.candidate_items(inp.sim.select("item"), inp.sim.select(F.col("item2").alias("item")))
-    elig = FL.quality_gate_if_covered(exp, inp.quality, cand_items)            # FLT-14
+    keep = FL.quality_gate_if_covered(lists.select("item").distinct(), inp.quality, cand_items)  # FLT-14
+    blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
+    keep = FL.exclude_items(keep, blocked)                                                       # FLT-12
     excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                               FL.impression_window(inp.impressions, as_of, window[0], window[1]))
-    blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
-    elig = FL.segment_gate(FL.exclude_items(FL.exclude_pairs(elig, excl), blocked), inp.gated, inp.segment)
+    nlists = C.renumber(lists, ["seed", "_odd"], keep=keep, gated=inp.gated)
+    cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
+    exp = C.bounded_expansion(sd, nlists, ["seed", "_odd"], cap, excl, members=inp.segment)
+    elig = FL.exclude_pairs(exp, excl)                                                           # FLT-09/10, FLT-15
     capped = C.per_seed_cap(elig, caps[0], caps[1], many_at)
     kept = C.seed_budget(capped, budget)
     vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
@@ -78,6 +91,9 @@ def candidates(inp: LikedInputs, as_of, active_days: int, window, max_impress: i
     x = merged.join(prof, "item", "left").join(nsw, "user", "left")
     x = x.withColumn("score", S.freshness_b(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)),
                                             F.col("_pub")))
+    recalled = sd.join(lists.select("seed", "_odd", "item", "sim"), ["seed", "_odd"])
+    src = (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
+           .groupBy("user", "item").agg(F.max_by("seed", F.struct("sim", -F.col("seed"))).alias("src")))
     return x.select("user", "item", "score").join(src, ["user", "item"])
 
 

@@ -51,18 +51,30 @@ def recall_rows(inp: SeedInputs, as_of, active_days: int) -> DataFrame:
 def candidates(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int], max_impress: int,
                caps=P.SEED_CAP_P2, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
                penalty_mode: str = "constant") -> DataFrame:
-    """(user, item, score, src): merged recall scores after exclusions, caps and budget."""
-    exp = recall_rows(inp, as_of, active_days)
-    src = RC.reason_best_seed(exp)
+    """(user, item, score, src): merged recall scores after exclusions, caps and budget.
+
+    The expansion is pruned exactly (``bounded_expansion``) before the exclusions and
+    caps; only the reason lookup reads every recalled (user, seed, item) row, narrowed
+    to three columns and semi-joined to the final candidates before its aggregation.
+    """
+    users = FL.active_users(inp.active, as_of, active_days)
+    us = C.seed_rank(FL.only_active(inp.user_seed, users)).select(
+        "user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds")
     excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                               FL.impression_window(inp.impressions, as_of, window[0], window[1]))
-    elig = FL.segment_gate(FL.exclude_pairs(exp, excl), inp.gated, inp.segment)
+    lists = C.renumber(inp.seed_item.select("seed", "item", "sim", "pos"), "seed", gated=inp.gated)
+    cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
+    exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
+    elig = FL.exclude_pairs(exp, excl)
     capped = C.per_seed_cap(elig, caps[0], caps[1], many_at)
     kept = C.seed_budget(capped, budget)
     vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
     scored = (kept.join(vis, ["user", "item"], "left")
               .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
     merged = C.merge_max(scored)
+    recalled = us.select("user", "seed", "i").join(inp.seed_item.select("seed", "item"), "seed")
+    src = (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
+           .groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
     return merged.join(src, ["user", "item"])
 
 

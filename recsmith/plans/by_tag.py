@@ -53,23 +53,35 @@ def damped_tags(inp: TagInputs, users: DataFrame) -> DataFrame:
     return j.withColumn("pref", pref).drop("_h")
 
 
-def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress: int) -> DataFrame:
+def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
+                  tag_cap: int = P.TAG_CAP_P3) -> DataFrame:
+    """Eligible (user, tag, pref, tag_pos, item, quality, item_pos) rows.
+
+    User-independent gates (quality, blocklist) are applied to the tag lists first;
+    the user x tag expansion is then pruned exactly to the first cap + E positions
+    (E = the user's excluded pairs); users with an age limit are not pruned.
+    """
     users = FL.active_users(inp.active, as_of, active_days)
-    exp = RC.tag_expansion(damped_tags(inp, users), inp.tag_item)
-    gated = FL.quality_gate(exp, inp.quality)                      # FLT-13
-    aged = FL.user_age_limit(gated, inp.user_max_age)              # FLT-17
+    ut = damped_tags(inp, users)
     hist_items = FL.history_first(inp.history).select("user", "item")
     excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                               FL.impression_window(inp.impressions, as_of, window[0], window[1]),
                               hist_items)                          # FLT-09/10/11
     blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
-    return FL.exclude_items(FL.exclude_pairs(aged, excl), blocked)  # FLT-12
+    good = FL.exclude_items(inp.quality.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
+    lists = C.renumber(inp.tag_item.select("tag", "item", "quality", "pos"), "tag", keep=good)
+    u = ut.select("user", "tag", "pref", F.col("pos").alias("tag_pos"))
+    exp = C.bounded_expansion(u, lists, "tag", F.lit(tag_cap), excl,
+                              unbounded_users=inp.user_max_age).withColumnRenamed("pos", "item_pos")
+    q = inp.quality.select("item", "create_days")
+    aged = FL.user_age_limit(exp.join(q, "item"), inp.user_max_age)  # FLT-17
+    return FL.exclude_pairs(aged, excl)
 
 
 def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> DataFrame:
     """(user, item, score, src) after the per-tag cap, sum-merge, freshness and penalty."""
-    elig = eligible_rows(inp, as_of, active_days, window, max_impress)
+    elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
     capped = C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",))
     rows = capped.withColumn("score", F.col("pref") * F.col("quality"))
     merged = C.merge_sum(rows).join(RC.reason_first_tag(capped), ["user", "item"])

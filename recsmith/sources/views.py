@@ -14,14 +14,42 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith import params as P
+from recsmith.session import checkpoint_dir
+
+# derived inputs materialised once per (session, folder, view, args)
+_MATERIALISED: dict = {}
+
+
+def materialised(fn):
+    """Derive the view once, write it with a reliable checkpoint (shared checkpoint
+    folder of the session) and reuse it: downstream plans start from a short lineage,
+    and a lost executor re-reads the checkpoint instead of re-deriving the view."""
+    def wrapper(self, *args, **kwargs):
+        if not self.materialise:
+            return fn(self, *args, **kwargs)
+        key = (id(self.spark), self.sf_dir, fn.__name__, args, tuple(sorted(kwargs.items())))
+        df = _MATERIALISED.get(key)
+        if df is None:
+            checkpoint_dir(self.spark)
+            df = fn(self, *args, **kwargs).checkpoint(eager=True)
+            _MATERIALISED[key] = df
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
 
 
 class Tables:
-    """Lazy access to the parquet tables of one scale-factor folder."""
+    """Lazy access to the parquet tables of one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``materialise=True`` (default) every derived view is checkpointed once per
+    session; ``materialise=False`` keeps the whole derivation inside each query plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialise = materialise
 
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -35,6 +63,7 @@ class Tables:
             F.get_json_object("props", "$.k").cast("long").alias("item"),
         )
 
+    @materialised
     def clicklog(self) -> DataFrame:
         """Click/subscribe log: clicks are recommendation clicks, purchases subscribes."""
         e = self.events().where(F.col("event_type").isin("click", "purchase"))
@@ -57,6 +86,7 @@ class Tables:
             os_.alias("os"),
         )
 
+    @materialised
     def visited(self) -> DataFrame:
         """(user,item,score): clicks when clicked, else minus the number of views."""
         e = self.events().where(F.col("event_type").isin("view", "click"))
@@ -67,15 +97,18 @@ class Tables:
                         F.when(F.col("clicks") > 0, F.col("clicks"))
                         .otherwise(-F.col("views")).alias("score"))
 
+    @materialised
     def impressions(self) -> DataFrame:
         """(user,item,dt): main-page shows, one row per day."""
         e = self.events().where(F.col("event_type") == "view")
         return e.select("user", "item", F.to_date("ts").alias("dt")).distinct()
 
+    @materialised
     def active(self) -> DataFrame:
         """(user,last_ts): last activity per user."""
         return self.events().groupBy("user").agg(F.max("ts").alias("last_ts"))
 
+    @materialised
     def pair_block(self) -> DataFrame:
         """(user,item) pairs the user reported (error events) -> never shown."""
         return (self.events().where(F.col("event_type") == "error")
@@ -88,12 +121,14 @@ class Tables:
                                      "l_extendedprice", "l_returnflag")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
+    @materialised
     def user_seed(self) -> DataFrame:
         """(user,seed,score): quantity bought per (customer, supplier)."""
         return (self._order_lines().groupBy(F.col("o_custkey").alias("user"),
                                             F.col("l_suppkey").alias("seed"))
                 .agg(F.sum("l_quantity").alias("score")))
 
+    @materialised
     def seed_item(self) -> DataFrame:
         """(seed,item,sim,pos): supplier -> part list, share of quantity, 0-based position.
 
@@ -109,6 +144,7 @@ class Tables:
         return (s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
                 .where(F.col("pos") < P.PACKED_LIST_MAX))
 
+    @materialised
     def play(self) -> DataFrame:
         """(user,item,score,priority): profile plays (priority 0) and log plays (1)."""
         prof = (self._order_lines().groupBy(F.col("o_custkey").alias("user"),
@@ -121,6 +157,7 @@ class Tables:
                 .withColumn("priority", F.lit(1)))
         return prof.unionByName(logp)
 
+    @materialised
     def subscriptions(self) -> DataFrame:
         """(user,item): kept purchases plus purchase events."""
         a = (self._order_lines().where(F.col("l_returnflag") != "R")
@@ -131,6 +168,7 @@ class Tables:
     def _parts(self, *cols) -> DataFrame:
         return self("part").select(*cols)
 
+    @materialised
     def item_sim(self, max_gap: int = 5, alt: bool = False) -> DataFrame:
         """(item,item2,sim,pos): parts of one brand whose sizes differ by <= max_gap."""
         a = self._parts("p_partkey", "p_brand", "p_size").alias("a")
@@ -148,6 +186,7 @@ class Tables:
         w = Window.partitionBy("item").orderBy(F.desc("sim"), "item2")
         return s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
 
+    @materialised
     def user_tag(self) -> DataFrame:
         """(user,tag,pref,pos): spend share per brand, ordered by share."""
         return self._user_share("p_brand", "tag", "pref")
@@ -163,6 +202,7 @@ class Tables:
         w = Window.partitionBy("user").orderBy(F.desc(val), name)
         return s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
 
+    @materialised
     def tag_item(self) -> DataFrame:
         """(tag,item,quality,pos): parts of a brand, price share of the brand maximum."""
         p = self._parts("p_partkey", "p_brand", "p_retailprice")
@@ -172,6 +212,7 @@ class Tables:
         w = Window.partitionBy("tag").orderBy(F.desc("quality"), "item")
         return s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
 
+    @materialised
     def quality(self) -> DataFrame:
         """(item,score,create_days)."""
         return self._parts(
@@ -179,12 +220,14 @@ class Tables:
             F.when(F.col("p_size") <= 5, F.lit(0.0)).otherwise(F.col("p_size") / 50.0).alias("score"),
             (F.col("p_size") * 10).cast("int").alias("create_days"))
 
+    @materialised
     def profile(self) -> DataFrame:
         """(item,avg_pub_time) in epoch seconds."""
         k = (F.col("p_size") - 1).cast("long")
         return self._parts(F.col("p_partkey").alias("item"),
                            (F.lit(P.AS_OF_EPOCH) - k * k * k * 6000).cast("long").alias("avg_pub_time"))
 
+    @materialised
     def history(self) -> DataFrame:
         """(user,packed): yesterday's list `item:score:tag,...` (top 3 tags, first item each)."""
         ut = self.user_tag().where(F.col("pos") < 3)
@@ -195,34 +238,44 @@ class Tables:
             F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", entry.alias("e")))),
                                      lambda x: x["e"]), ",").alias("packed"))
 
+    @materialised
     def blocklist(self) -> DataFrame:
         return self._parts(F.col("p_partkey").alias("item"), "p_size").where(F.col("p_size") == 50).select("item")
 
+    @materialised
     def first_block(self) -> DataFrame:
         """(rank,item): ordered list whose first ``FIRST_BLOCK_N`` entries are blocked."""
+        # the list file holds the 2N most expensive parts; a map-side top-k picks them,
+        # so no task ever sees the whole part table
         p = self._parts("p_partkey", "p_retailprice")
+        top = p.orderBy(F.desc("p_retailprice"), "p_partkey").limit(2 * P.FIRST_BLOCK_N)
         w = Window.orderBy(F.desc("p_retailprice"), "p_partkey")
-        return p.select((F.row_number().over(w) - 1).cast("long").alias("rank"),
-                        F.col("p_partkey").alias("item"))
+        return top.select((F.row_number().over(w) - 1).cast("long").alias("rank"),
+                          F.col("p_partkey").alias("item"))
 
+    @materialised
     def gated(self) -> DataFrame:
         return self._parts(F.col("p_partkey").alias("item"), "p_type").where(F.col("p_type") == "PROMO").select("item")
 
+    @materialised
     def segment(self) -> DataFrame:
         c = self("customer").select("c_custkey", "c_mktsegment")
         return c.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("user"))
 
+    @materialised
     def user_max_age(self) -> DataFrame:
         """(user,max_days): per-user age limit (customers of nation 0)."""
         c = self("customer").select("c_custkey", "c_nationkey")
         return c.where(F.col("c_nationkey") == 0).select(
             F.col("c_custkey").alias("user"), F.lit(P.AGE_LIMIT_DAYS).alias("max_days"))
 
+    @materialised
     def new_song_weight(self) -> DataFrame:
         c = self("customer").select("c_custkey")
         return c.select(F.col("c_custkey").alias("user"),
                         (1.0 + (F.col("c_custkey") % 4) * 0.25).alias("new_song_weight"))
 
+    @materialised
     def item_features(self) -> DataFrame:
         """(item,bits): sign bits of the embedding (FN-07 item block)."""
         e = self("embeddings").select("vec_id", "embedding")
@@ -231,6 +284,7 @@ class Tables:
 
     SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
+    @materialised
     def user_features(self) -> DataFrame:
         """(user,feats): one-hot segment (5) | acctbal > 0 (1) | one-hot nation (25)."""
         c = self("customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
@@ -239,12 +293,14 @@ class Tables:
         nat = [F.when(F.col("c_nationkey") == n, 1).otherwise(0) for n in range(25)]
         return c.select(F.col("c_custkey").alias("user"), F.array(*(seg + bal + nat)).alias("feats"))
 
+    @materialised
     def user_affinity(self) -> DataFrame:
         """(user,kind,tag,ratio): language = brand share, style = type share."""
         lan = self._user_share("p_brand", "tag", "ratio").select("user", F.lit("lan").alias("kind"), "tag", "ratio")
         sty = self._user_share("p_type", "tag", "ratio").select("user", F.lit("style").alias("kind"), "tag", "ratio")
         return lan.unionByName(sty)
 
+    @materialised
     def item_affinity(self) -> DataFrame:
         p = self._parts("p_partkey", "p_brand", "p_type")
         lan = p.select(F.col("p_partkey").alias("item"), F.lit("lan").alias("kind"),
@@ -258,11 +314,13 @@ class Tables:
         r = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)
         return li.groupBy(*key_cols).agg(F.avg(r).alias("rate"))
 
+    @materialised
     def rate_by_seed(self) -> DataFrame:
         """(item,src,rate) with src = supplier."""
         return self._return_share(["l_partkey", "l_suppkey"]).select(
             F.col("l_partkey").alias("item"), F.col("l_suppkey").cast("string").alias("src"), "rate")
 
+    @materialised
     def rate_by_tag(self) -> DataFrame:
         """(item,src,rate) with src = brand."""
         li = self("lineitem").select("l_partkey", "l_returnflag")
@@ -272,12 +330,14 @@ class Tables:
                 .groupBy(F.col("l_partkey").alias("item"), F.col("p_brand").alias("src"))
                 .agg(F.avg(r).alias("rate")))
 
+    @materialised
     def rate_by_liked(self) -> DataFrame:
         """(item,src,rate) with src = seed item: the seed's own return share."""
         own = self._return_share(["l_partkey"]).select(F.col("l_partkey").alias("seed"), "rate")
         sim = self.item_sim().select(F.col("item").alias("seed"), F.col("item2").alias("item"))
         return sim.join(own, "seed").select("item", F.col("seed").cast("string").alias("src"), "rate")
 
+    @materialised
     def pay(self) -> DataFrame:
         """(item,money,click) monetisation table."""
         return self._parts(F.col("p_partkey").alias("item"),
