@@ -174,3 +174,7 @@ def q_rec_by_liked(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return by_liked.recommend_by_liked(liked_inputs(t), P.AS_OF, P.WEIGHTS, P.ITEM_WIDTH, P.DIVISOR,
                                        P.REMAINDER, P.ACTIVE_DAYS_P4, P.IMPRESS_WINDOW_P4)
+
+
+# operator-level queries register themselves on import
+from recsmith import catalog_ops  # noqa: E402,F401

@@ -57,6 +57,13 @@ def seeds(inp: LikedInputs, as_of, active_days: int) -> DataFrame:
 def candidates(inp: LikedInputs, as_of, active_days: int, window, max_impress: int,
                caps=P.SEED_CAP_P4, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
                penalty_mode: str = "constant") -> DataFrame:
+    return candidate_stages(inp, as_of, active_days, window, max_impress, caps, many_at, budget,
+                            penalty_mode)["cand"]
+
+
+def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impress: int,
+                     caps=P.SEED_CAP_P4, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
+                     penalty_mode: str = "constant") -> dict:
     """(user, item, score, src) after gates, discount, cap, budget, sum-merge and freshness."""
     sd = seeds(inp, as_of, active_days)
     base_keys = inp.sim.select(F.col("item").alias("seed")).distinct()
@@ -94,7 +101,9 @@ def candidates(inp: LikedInputs, as_of, active_days: int, window, max_impress: i
     recalled = sd.join(lists.select("seed", "_odd", "item", "sim"), ["seed", "_odd"])
     src = (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
            .groupBy("user", "item").agg(F.max_by("seed", F.struct("sim", -F.col("seed"))).alias("src")))
-    return x.select("user", "item", "score").join(src, ["user", "item"])
+    cand = x.select("user", "item", "score").join(src, ["user", "item"])
+    return {"seeds": sd, "recalled": recalled, "kept": kept, "rows": rows, "merged": merged, "src": src,
+            "cand": cand}
 
 
 def score(cand: DataFrame, inp: LikedInputs, weights, item_width: int, divisor: int, remainder: int | None,

@@ -51,6 +51,13 @@ def recall_rows(inp: SeedInputs, as_of, active_days: int) -> DataFrame:
 def candidates(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int], max_impress: int,
                caps=P.SEED_CAP_P2, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
                penalty_mode: str = "constant") -> DataFrame:
+    return candidate_stages(inp, as_of, active_days, window, max_impress, caps, many_at, budget,
+                            penalty_mode)["cand"]
+
+
+def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int], max_impress: int,
+                     caps=P.SEED_CAP_P2, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
+                     penalty_mode: str = "constant") -> dict:
     """(user, item, score, src): merged recall scores after exclusions, caps and budget.
 
     The expansion is pruned exactly (``bounded_expansion``) before the exclusions and
@@ -75,7 +82,9 @@ def candidates(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int]
     recalled = us.select("user", "seed", "i").join(inp.seed_item.select("seed", "item"), "seed")
     src = (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
            .groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
-    return merged.join(src, ["user", "item"])
+    cand = merged.join(src, ["user", "item"])
+    return {"us": us, "excl": excl, "elig": elig, "capped": capped, "kept": kept, "merged": merged,
+            "src": src, "cand": cand}
 
 
 def score(cand: DataFrame, inp: SeedInputs, weights, item_width: int, divisor: int, remainder: int | None,

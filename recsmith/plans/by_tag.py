@@ -81,6 +81,11 @@ def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress:
 def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> DataFrame:
     """(user, item, score, src) after the per-tag cap, sum-merge, freshness and penalty."""
+    return candidate_stages(inp, as_of, active_days, window, max_impress, tag_cap, penalty_mode)["cand"]
+
+
+def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
+                     tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> dict:
     elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
     capped = C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",))
     rows = capped.withColumn("score", F.col("pref") * F.col("quality"))
@@ -92,7 +97,7 @@ def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int
     age = S.age_days(P.epoch(as_of), F.col("avg_pub_time"))
     fresh = S.freshness_a(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)), age)
     x = x.withColumn("score", S.impression_penalty(fresh, F.col("_vis"), penalty_mode))
-    return x.select("user", "item", "score", "src")
+    return {"capped": capped, "merged": merged, "cand": x.select("user", "item", "score", "src")}
 
 
 def score(pool: DataFrame, inp: TagInputs, weights, weights_ab, item_width: int, divisor: int,
