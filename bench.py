@@ -1,7 +1,11 @@
 """Bench: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS] and print one JSON line.
 
-Each query is fully executed (written to a no-op sink via ``count`` of the
-result); the time per query is wall-clock seconds after one warm-up query.
+Steps
+1. ``inputs``: derive the canonical input tables from the driver's parquet tables once
+   (written with reliable checkpoints, as a production job would read its input tables).
+2. Each headline query is fully executed (``count`` of the result) and timed.
+
+``value`` is the total wall-clock of inputs + all queries; ``queries`` holds each part.
 """
 
 from __future__ import annotations
@@ -13,7 +17,14 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["conversion_report", "conversion_daily", "rec_by_seed", "rec_by_tag", "rec_by_liked"]
+HEADLINE = ["conversion_report", "conversion_daily", "ab_bucket_report", "rec_by_seed", "rec_by_tag",
+            "rec_by_liked"]
+
+INPUT_VIEWS = ["clicklog", "active", "visited", "impressions", "pair_block", "user_seed", "seed_item", "play",
+               "subscriptions", "item_sim", "user_tag", "tag_item", "quality", "profile", "history", "blocklist",
+               "first_block", "gated", "segment", "user_max_age", "new_song_weight", "item_features",
+               "user_features", "user_affinity", "item_affinity", "rate_by_seed", "rate_by_tag", "rate_by_liked",
+               "pay"]
 
 
 def main():
@@ -22,17 +33,22 @@ def main():
     names = sys.argv[1:] or HEADLINE
     from recsmith.session import build_session
     from recsmith import catalog
+    from recsmith.sources.views import Tables
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
-    # warm-up (JIT, parquet footers); not timed
-    catalog.QUERIES["conversion_report"](spark, sf_dir).collect()
+    t = Tables(spark, sf_dir)
     times, rows = {}, {}
+    t0 = time.time()
+    for v in INPUT_VIEWS:
+        getattr(t, v)()
+    t.item_sim(max_gap=2, alt=True)
+    times["inputs"] = round(time.time() - t0, 3)
     for n in names:
         t0 = time.time()
         rows[n] = catalog.QUERIES[n](spark, sf_dir).count()
         times[n] = round(time.time() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+    out = {"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "rows": rows, "sf": sf, "cpus": int(cpus)}
     print(json.dumps(out))
     spark.stop()

@@ -18,6 +18,7 @@ from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
+from recsmith.session import materialise
 
 
 @dataclass
@@ -92,7 +93,7 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
     rows = (kept.join(vis, ["user", "item"], "left")
             .withColumn("score", S.impression_penalty(C.rank_discount(F.col("sim"), F.col("i")),
                                                       F.col("_vis"), penalty_mode)))
-    merged = C.merge_sum(rows)
+    merged = materialise(C.merge_sum(rows))
     prof = inp.profile.select("item", S.pub_index(F.col("avg_pub_time")).alias("_pub"))
     nsw = inp.new_song_weight.select("user", "new_song_weight")
     x = merged.join(prof, "item", "left").join(nsw, "user", "left")
@@ -101,7 +102,7 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
     recalled = sd.join(lists.select("seed", "_odd", "item", "sim"), ["seed", "_odd"])
     src = (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
            .groupBy("user", "item").agg(F.max_by("seed", F.struct("sim", -F.col("seed"))).alias("src")))
-    cand = x.select("user", "item", "score").join(src, ["user", "item"])
+    cand = materialise(x.select("user", "item", "score").join(src, ["user", "item"]))
     return {"seeds": sd, "recalled": recalled, "kept": kept, "rows": rows, "merged": merged, "src": src,
             "cand": cand}
 

@@ -21,6 +21,7 @@ from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
+from recsmith.session import materialise
 
 
 @dataclass
@@ -87,7 +88,7 @@ def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int
 def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                      tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> dict:
     elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
-    capped = C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",))
+    capped = materialise(C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",)))
     rows = capped.withColumn("score", F.col("pref") * F.col("quality"))
     merged = C.merge_sum(rows).join(RC.reason_first_tag(capped), ["user", "item"])
     prof = inp.profile.select("item", "avg_pub_time")
@@ -97,7 +98,7 @@ def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impres
     age = S.age_days(P.epoch(as_of), F.col("avg_pub_time"))
     fresh = S.freshness_a(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)), age)
     x = x.withColumn("score", S.impression_penalty(fresh, F.col("_vis"), penalty_mode))
-    return {"capped": capped, "merged": merged, "cand": x.select("user", "item", "score", "src")}
+    return {"capped": capped, "merged": merged, "cand": materialise(x.select("user", "item", "score", "src"))}
 
 
 def score(pool: DataFrame, inp: TagInputs, weights, weights_ab, item_width: int, divisor: int,
@@ -122,7 +123,7 @@ def recommend_by_tag(inp: TagInputs, as_of, weights, weights_ab, item_width: int
     """Ranked lists (user, rank, item, score, src); score rounded HALF_UP to 4 places."""
     mi = max_impress if max_impress is not None else P.max_impress(as_of)
     cand = candidates(inp, as_of, active_days, window, mi, penalty_mode=penalty_mode)
-    pool = C.reason_caps(cand, P.REASON_CAP, P.REASON_TOTAL)
+    pool = materialise(C.reason_caps(cand, P.REASON_CAP, P.REASON_TOTAL))
     nr = C.distinct_reasons(pool)
     scored = score(pool, inp, weights, weights_ab, item_width, divisor, remainder)
     scored = scored.select("user", "item", "score", "src").join(nr, "user")

@@ -55,3 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="recsmith-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+def materialise(df):
+    """Reliable checkpoint into the session's checkpoint folder (never a local
+    checkpoint): the plan restarts from the written data, so a stage that is
+    referenced several times downstream is computed once and survives executor loss."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
