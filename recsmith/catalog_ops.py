@@ -224,13 +224,35 @@ def q_last_wins_load(spark, d):
     return RC.last_wins(e, "user", "_order")
 
 
-@register("conversion_packed", None)
+def _packed_sql():
+    from recsmith.catalog import _p1_sql
+    per_user = _p1_sql(per_user=True)
+    return ("SELECT CAST(\"user\" AS VARCHAR) || chr(9) || string_agg(alg || ':' || CAST(subs AS VARCHAR) || ':' "
+            "|| CAST(clicks AS VARCHAR), ',' ORDER BY alg) AS value FROM (" + per_user + ") GROUP BY \"user\"")
+
+
+@register("conversion_packed", _packed_sql())
 def q_conversion_packed(spark, d):
     from recsmith.operators import report as R
     from recsmith.plans import conversion as conv
     return R.packed_user_lines(conv.conversion_by_user(Tables(spark, d).clicklog()))
 
 
+def _rec_lines_sql():
+    from recsmith.catalog import ORACLE
+    return ("SELECT CAST(\"user\" AS VARCHAR) || chr(9) || string_agg(CAST(item AS VARCHAR) || ':' || "
+            "printf('%.4f', score) || ':' || CAST(src AS VARCHAR), ',' ORDER BY rank) AS value FROM ("
+            + ORACLE["rec_by_liked"] + ") GROUP BY \"user\"")
+
+
+@register("rec_lines_by_liked", _rec_lines_sql())
+def q_rec_lines_by_liked(spark, d):
+    """SNK-01: the P4 lists as ``user<TAB>item:score:src,...`` text lines (score to 4 places)."""
+    from recsmith.catalog import q_rec_by_liked
+    r = q_rec_by_liked(spark, d).withColumn("score", F.format_string("%.4f", F.col("score")))
+    return TX.ranked_lines(r)
+
+
 # ---------------------------------------------------------------- recall joins
 
 

@@ -147,3 +147,33 @@ def valid_play(action: Column, typ: Column, source: Column, user: Column, item:
     """FLT-03 predicate: play of a song from a list, user != 0, item all digits."""
     return ((action == "play") & (typ == "song") & (source == "list") & (user != 0)
             & item.rlike("^[0-9]+$"))
+
+
+def subscription_filter(subs: DataFrame) -> DataFrame:
+    """FLT-04: drop rows with user < 0 or type = 5; keep (item, user, time)."""
+    return subs.where((F.col("user") >= 0) & (F.col("type") != 5)).select("item", "user", "time")
+
+
+def impression_log_filter(lines: DataFrame, marker: str = "user-playlist") -> DataFrame:
+    """FLT-05: impression rows carry ``marker``; user = abs(column 2), item = column 3."""
+    cols = F.split("value", "\t")
+    return (lines.where(F.col("value").contains(marker))
+            .select(F.abs(F.element_at(cols, 3).try_cast("long")).alias("user"),
+                    F.element_at(cols, 4).try_cast("long").alias("item"))
+            .where(F.col("user").isNotNull() & F.col("item").isNotNull()))
+
+
+def normalise_user(df: DataFrame, col: str = "user") -> DataFrame:
+    """FLT-06: one sign normaliser for user ids, applied to every input (Q-11)."""
+    return df.withColumn(col, F.abs(F.col(col)))
+
+
+def play_log(lines: DataFrame) -> DataFrame:
+    """FLT-03: ``action,user,id,type,source,...`` play rows -> (user, item, score 0.05, priority 1)."""
+    c = F.split("value", "\t")
+    action, user, item = F.element_at(c, 1), F.element_at(c, 2).try_cast("long"), F.element_at(c, 3)
+    typ, source = F.element_at(c, 4), F.element_at(c, 5)
+    ok = valid_play(action, typ, source, F.coalesce(user, F.lit(0)), F.coalesce(item, F.lit("")))
+    return (lines.where(ok)
+            .select(F.abs(user).alias("user"), item.cast("long").alias("item"),
+                    F.lit(P.LOG_PLAY_SCORE).alias("score"), F.lit(1).alias("priority")))
