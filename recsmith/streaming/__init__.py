@@ -1,0 +1 @@
+"""Streaming variant of the conversion report (see ``daily_report``)."""
