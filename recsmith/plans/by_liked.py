@@ -77,6 +77,8 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
                             F.lit(True).alias("_odd"))
              .unionByName(inp.sim_alt.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim",
                                              "pos", F.lit(False).alias("_odd"))))
+    # only the lists of seeds some active user holds are renumbered (positions are per list)
+    lists = lists.join(sd.select("seed", "_odd").distinct(), ["seed", "_odd"], "left_semi")
     cand_items = FL.candidate_items(inp.sim.select("item"), inp.sim.select(F.col("item2").alias("item")))
     keep = FL.quality_gate_if_covered(lists.select("item").distinct(), inp.quality, cand_items)  # FLT-14
     blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))

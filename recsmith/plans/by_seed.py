@@ -70,7 +70,8 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         "user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds")
     excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                               FL.impression_window(inp.impressions, as_of, window[0], window[1]))
-    lists = C.renumber(inp.seed_item.select("seed", "item", "sim", "pos"), "seed", gated=inp.gated)
+    used = inp.seed_item.select("seed", "item", "sim", "pos").join(us.select("seed").distinct(), "seed", "left_semi")
+    lists = C.renumber(used, "seed", gated=inp.gated)
     cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
     exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
     elig = FL.exclude_pairs(exp, excl)

@@ -58,8 +58,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df):
-    """Reliable checkpoint into the session's checkpoint folder (never a local
-    checkpoint): the plan restarts from the written data, so a stage that is
-    referenced several times downstream is computed once and survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and reading it back; never a local checkpoint.
+
+    The plan restarts from the written table, so a stage referenced several times
+    downstream is computed once and a lost executor re-reads files instead of
+    recomputing.  Parquet keeps scans columnar and pruned and gives the planner real
+    sizes (small tables are then broadcast by the size threshold)."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    if os.environ.get("RECSMITH_TIMING"):
+        import time
+        t0 = time.time()
+        df.write.parquet(path)
+        print(f"[materialise] {time.time() - t0:.2f}s", flush=True)
+    else:
+        df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -14,24 +14,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith import params as P
-from recsmith.session import checkpoint_dir
+from recsmith.session import materialise
 
 # derived inputs materialised once per (session, folder, view, args)
 _MATERIALISED: dict = {}
 
 
 def materialised(fn):
-    """Derive the view once, write it with a reliable checkpoint (shared checkpoint
-    folder of the session) and reuse it: downstream plans start from a short lineage,
-    and a lost executor re-reads the checkpoint instead of re-deriving the view."""
+    """Derive the view once, write it as a table in the shared checkpoint folder of the
+    session and reuse it: downstream plans start from a short lineage, and a lost
+    executor re-reads the files instead of re-deriving the view."""
     def wrapper(self, *args, **kwargs):
         if not self.materialise:
             return fn(self, *args, **kwargs)
         key = (id(self.spark), self.sf_dir, fn.__name__, args, tuple(sorted(kwargs.items())))
         df = _MATERIALISED.get(key)
         if df is None:
-            checkpoint_dir(self.spark)
-            df = fn(self, *args, **kwargs).checkpoint(eager=True)
+            df = materialise(fn(self, *args, **kwargs))
             _MATERIALISED[key] = df
         return df
     wrapper.__name__ = fn.__name__
