@@ -16,12 +16,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def distributed_rank(df: DataFrame, part, order, name: str = "i", count_col: str | None = None) -> DataFrame:
+    """0-based rank within ``part`` by ``order`` without putting a whole group in one task.
+
+    Rows are range-partitioned on (part, order), so a hot group spans many partitions;
+    each (group, partition) slice is ranked locally and shifted by the row count of the
+    group's earlier partitions (a prefix sum over a table of one row per slice).  The
+    range-partitioned rows are written once, so both uses see the same partition ids.
+    """
+    from recsmith.session import materialise
+    part = [part] if isinstance(part, str) else list(part)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = materialise(df.repartitionByRange(n, *[F.col(c) for c in part], *order)
+                        .withColumn("_p", F.spark_partition_id()))
+    local = keyed.withColumn("_lr", F.row_number().over(Window.partitionBy(*part, "_p").orderBy(*order)))
+    counts = keyed.groupBy(*part, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*part).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    if count_col:
+        offsets = offsets.withColumn(count_col, F.sum("_c").over(Window.partitionBy(*part)))
+    offsets = offsets.drop("_c")
+    return (local.join(offsets, part + ["_p"])
+            .withColumn(name, (F.col("_off") + F.col("_lr") - 1).cast("long"))
+            .drop("_p", "_lr", "_off"))
+
+
 def seed_rank(user_seed: DataFrame, score_col: str = "score", seed_col: str = "seed") -> DataFrame:
-    """WIN-01: 0-based rank ``i`` of each seed per user (score desc, seed asc) and ``n_seeds``."""
-    w = Window.partitionBy("user").orderBy(F.desc(score_col), F.col(seed_col))
-    wc = Window.partitionBy("user")
-    return (user_seed.withColumn("i", (F.row_number().over(w) - 1).cast("long"))
-            .withColumn("n_seeds", F.count(F.lit(1)).over(wc)))
+    """WIN-01: 0-based rank ``i`` of each seed per user (score desc, seed asc) and ``n_seeds``.
+
+    The rank is a distributed rank (a user with a third of all seeds is split over many
+    tasks); ``n_seeds`` is a partial + final count joined back on user.
+    """
+    return distributed_rank(user_seed, "user", [F.desc(score_col), F.col(seed_col)], count_col="n_seeds")
 
 
 def per_seed_cap(rows: DataFrame, k_few: int, k_many: int | None = None, many_at: int = 10,
@@ -42,15 +68,20 @@ def per_seed_cap(rows: DataFrame, k_few: int, k_many: int | None = None, many_at
 
 def seed_budget(capped: DataFrame, budget: int) -> DataFrame:
     """WIN-03: walk seeds in rank order and stop after the first seed at which the
-    number of distinct items reaches ``budget``; that seed is kept whole."""
-    first = Window.partitionBy("user", "item").orderBy("i")
-    fresh = F.when(F.row_number().over(first) == 1, 1).otherwise(0)
-    before = (Window.partitionBy("user").orderBy("i")
-              .rangeBetween(Window.unboundedPreceding, -1))
-    return (capped.withColumn("_fresh", fresh)
-            .withColumn("_before", F.coalesce(F.sum("_fresh").over(before), F.lit(0)))
-            .where(F.col("_before") < budget)
-            .drop("_fresh", "_before"))
+    number of distinct items reaches ``budget``; that seed is kept whole.
+
+    An item is fresh at its lowest seed rank (partial + final ``min``), fresh items are
+    counted per seed (partial + final count), and the running sum runs over one row per
+    seed with fresh items, not over the item rows; the crossing rank is then one value
+    per user.
+    """
+    firsts = capped.groupBy("user", "item").agg(F.min("i").alias("_fi"))
+    per_seed = firsts.groupBy("user", "_fi").agg(F.count(F.lit(1)).alias("_f"))
+    upto = Window.partitionBy("user").orderBy("_fi").rowsBetween(Window.unboundedPreceding, 0)
+    cut = (per_seed.withColumn("_cum", F.sum("_f").over(upto)).where(F.col("_cum") >= budget)
+           .groupBy("user").agg(F.min("_fi").alias("_cut")))
+    return (capped.join(cut, "user", "left")
+            .where(F.col("_cut").isNull() | (F.col("i") <= F.col("_cut"))).drop("_cut"))
 
 
 def rank_discount(score, i) -> "F.Column":

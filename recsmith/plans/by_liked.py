@@ -89,7 +89,7 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
     cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
     exp = C.bounded_expansion(sd, nlists, ["seed", "_odd"], cap, excl, members=inp.segment)
     elig = FL.exclude_pairs(exp, excl)                                                           # FLT-09/10, FLT-15
-    capped = C.per_seed_cap(elig, caps[0], caps[1], many_at)
+    capped = materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
     kept = C.seed_budget(capped, budget)
     vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
     rows = (kept.join(vis, ["user", "item"], "left")

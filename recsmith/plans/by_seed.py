@@ -75,7 +75,7 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
     cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
     exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
     elig = FL.exclude_pairs(exp, excl)
-    capped = C.per_seed_cap(elig, caps[0], caps[1], many_at)
+    capped = materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
     kept = C.seed_budget(capped, budget)
     vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
     scored = (kept.join(vis, ["user", "item"], "left")

@@ -104,3 +104,43 @@ def test_affinity_threshold_and_ignored(spark):
     ua = spark.createDataFrame([(1, "style", "unknow", 0.5), (1, "style", "rock", 0.02), (1, "lan", "en", 0.5)],
                                "user long, kind string, tag string, ratio double")
     assert [r.tag for r in FL.affinity_threshold(ua).collect()] == ["en"]
+
+
+def test_distributed_rank_splits_hot_group(spark):
+    from pyspark.sql import Window
+    rows = [(0, s, float(s % 97)) for s in range(3000)] + [(u, s, float(s)) for u in range(1, 6) for s in range(5)]
+    df = spark.createDataFrame(rows, "user long, seed long, score double")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        r = C.seed_rank(df)
+        # the hot user's rows are range-partitioned over several slices
+        keyed = df.repartitionByRange(6, F.col("user"), F.desc("score"), F.col("seed"))
+        parts = keyed.where("user = 0").select(F.spark_partition_id()).distinct().count()
+        w = Window.partitionBy("user").orderBy(F.desc("score"), "seed")
+        want = df.withColumn("i", (F.row_number().over(w) - 1).cast("long"))
+        got = r.select("user", "seed", "score", "i")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        assert r.where("user = 0").agg(F.max("n_seeds")).collect()[0][0] == 3000
+        assert parts >= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_budget_matches_row_walk(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(u, i, rnd.randrange(40)) for u in range(3) for i in range(25) for _ in range(6)]
+    df = spark.createDataFrame(rows, "user long, i long, item long").dropDuplicates(["user", "i", "item"])
+    kept = {(r.user, r.i, r.item) for r in C.seed_budget(df, 20).collect()}
+    want = set()
+    for u in range(3):
+        seen = set()
+        for i in range(25):
+            if len(seen) >= 20:
+                break
+            items = {it for (uu, ii, it) in set(rows) if uu == u and ii == i}
+            want |= {(u, i, it) for it in items}
+            seen |= items
+    assert kept == want
