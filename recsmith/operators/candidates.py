@@ -112,19 +112,30 @@ def distinct_reasons(df: DataFrame, reason: str = "src") -> DataFrame:
     return df.groupBy("user").agg(F.countDistinct(reason).alias("n_reasons"))
 
 
-def renumber(lists: DataFrame, keys, keep=None, gated: DataFrame | None = None) -> DataFrame:
-    """Positions of list entries after user-independent drops.
+def renumber(lists: DataFrame, keys, keep=None, gated: DataFrame | None = None,
+             bounded: bool = True) -> DataFrame:
+    """Positions of list entries after user-independent drops (``pos`` is unique per list).
 
     ``keep``: optional DataFrame of items that may appear (others are removed, e.g.
     quality gate, blocklist).  Adds ``fpos`` (0-based position among kept entries) and,
     with ``gated``, ``gpos`` (position among kept non-gated entries; null for gated
     entries) plus the ``gated`` flag.  Lists are bounded (packed lists hold at most
-    ``PACKED_LIST_MAX`` entries), so the per-list window stays small even for a hot key.
+    ``PACKED_LIST_MAX`` entries), so the per-list window stays small even for a hot key;
+    ``bounded=False`` (lists of any length) ranks with ``distributed_rank`` instead.
     """
     x = lists
     if keep is not None:
         x = x.join(keep.select("item").distinct(), "item", "left_semi")
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if not bounded:
+        x = distributed_rank(x, keys, [F.col("pos")], name="fpos")
+        if gated is None:
+            return x.withColumn("gated", F.lit(False)).withColumn("gpos", F.col("fpos"))
+        g = gated.select("item").distinct().withColumn("gated", F.lit(True))
+        x = x.join(g, "item", "left").withColumn("gated", F.coalesce("gated", F.lit(False)))
+        open_rows = distributed_rank(x.where(~F.col("gated")).select(*keys, "pos"), keys, [F.col("pos")],
+                                     name="gpos")
+        return x.join(open_rows, keys + ["pos"], "left")
     w = Window.partitionBy(*keys).orderBy("pos")
     x = x.withColumn("fpos", (F.row_number().over(w) - 1).cast("long"))
     if gated is None:

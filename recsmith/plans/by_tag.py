@@ -71,7 +71,7 @@ def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress:
     blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
     good = FL.exclude_items(inp.quality.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
     used = inp.tag_item.select("tag", "item", "quality", "pos").join(ut.select("tag").distinct(), "tag", "left_semi")
-    lists = C.renumber(used, "tag", keep=good)
+    lists = C.renumber(used, "tag", keep=good, bounded=False)  # tag lists have no length cap
     u = ut.select("user", "tag", "pref", F.col("pos").alias("tag_pos"))
     exp = C.bounded_expansion(u, lists, "tag", F.lit(tag_cap), excl,
                               unbounded_users=inp.user_max_age).withColumnRenamed("pos", "item_pos")

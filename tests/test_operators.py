@@ -144,3 +144,13 @@ def test_budget_matches_row_walk(spark):
             want |= {(u, i, it) for it in items}
             seen |= items
     assert kept == want
+
+
+def test_renumber_unbounded_equals_window(spark):
+    rows = [(k, i, i * 7 % 40) for k in (1, 2) for i in range(40)]  # positions unique per list
+    lists = spark.createDataFrame(rows, "seed long, item long, pos long")
+    keep = spark.createDataFrame([(i,) for i in range(40) if i % 5], "item long")
+    gated = spark.createDataFrame([(i,) for i in range(0, 40, 3)], "item long")
+    a = C.renumber(lists, "seed", keep=keep, gated=gated).select("seed", "item", "fpos", "gpos", "gated")
+    b = C.renumber(lists, "seed", keep=keep, gated=gated, bounded=False).select("seed", "item", "fpos", "gpos", "gated")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
