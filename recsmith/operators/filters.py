@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from recsmith import params as P
 from recsmith.functions.scoring import midnight_threshold
 
-MAX_BROADCAST_ROWS = 5_000_000
+MAX_BROADCAST_ROWS = 2_000_000  # item ids: ~16 MB of keys
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -64,10 +64,12 @@ def materialise(df):
     The plan restarts from the written table, so a stage referenced several times
     downstream is computed once and a lost executor re-reads files instead of
     recomputing.  Parquet keeps scans columnar and pruned and gives the planner real
-    sizes (small tables are then broadcast by the size threshold)."""
+    sizes (small tables are then broadcast by the size threshold).  Tables of one run sit
+    under ``tables/<application id>/`` so the run's scratch can be removed as a whole."""
     import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{uuid.uuid4().hex}"
     if os.environ.get("RECSMITH_TIMING"):
         import time
         t0 = time.time()

@@ -27,7 +27,8 @@ def materialised(fn):
     def wrapper(self, *args, **kwargs):
         if not self.materialise:
             return fn(self, *args, **kwargs)
-        key = (id(self.spark), self.sf_dir, fn.__name__, args, tuple(sorted(kwargs.items())))
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, fn.__name__, args,
+               tuple(sorted(kwargs.items())))
         df = _MATERIALISED.get(key)
         if df is None:
             df = materialise(fn(self, *args, **kwargs))
@@ -114,6 +115,7 @@ class Tables:
                 .select("user", "item").distinct())
 
     # ---- orders / lineitem derived -------------------------------------
+    @materialised
     def _order_lines(self) -> DataFrame:
         o = self("orders").select("o_orderkey", "o_custkey")
         li = self("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
