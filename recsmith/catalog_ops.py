@@ -238,6 +238,21 @@ def q_conversion_packed(spark, d):
     return R.packed_user_lines(conv.conversion_by_user(Tables(spark, d).clicklog()))
 
 
+def _report_lines_sql():
+    from recsmith.catalog import _p1_sql
+    return ("SELECT alg || '#' || CAST(subs AS VARCHAR) || '#' || CAST(clicks AS VARCHAR) || '#' || "
+            "printf('%.6f', rate) AS value FROM (" + _p1_sql() + ")")
+
+
+@register("conversion_lines", _report_lines_sql())
+def q_conversion_lines(spark, d):
+    """SNK-03: ``alg#subs#clicks#rate`` report lines (rate to 6 places)."""
+    from recsmith.plans import conversion as conv
+    r = conv.conversion_report(Tables(spark, d).clicklog())
+    return r.select(F.concat_ws("#", "alg", F.col("subs").cast("string"), F.col("clicks").cast("string"),
+                                F.format_string("%.6f", F.round("rate", 6))).alias("value"))
+
+
 def _rec_lines_sql():
     from recsmith.catalog import ORACLE
     return ("SELECT CAST(\"user\" AS VARCHAR) || chr(9) || string_agg(CAST(item AS VARCHAR) || ':' || "

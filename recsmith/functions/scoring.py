@@ -132,7 +132,7 @@ def freshness_b(score: Column, new_song_weight: Column, pub: Column) -> Column:
 def midnight_threshold(as_of, days: int) -> Column:
     """FN-15: midnight of ``as_of`` minus ``days`` days; ``days <= 0`` -> epoch 0."""
     if days <= 0:
-        return F.lit(0).cast("timestamp")
+        return F.timestamp_seconds(F.lit(0))
     return F.date_trunc("day", F.lit(as_of).cast("timestamp")) - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
@@ -145,3 +145,9 @@ def max_impress(as_of) -> Column:
     """FN-22: 4 when day-of-month % 3 == 1, else 2."""
     d = F.dayofmonth(F.lit(as_of).cast("timestamp"))
     return F.when(d % 3 == 1, F.lit(4)).otherwise(F.lit(2))
+
+
+def nonfinite_pay(money: Column, click: Column, money_w: float, click_w: float) -> Column:
+    """Q-06 counter input: rows whose raw pay weight is NaN or infinite (scored as 0)."""
+    pay = money * money_w + click * click_w
+    return money.isNotNull() & click.isNotNull() & (F.isnan(pay) | (F.abs(pay) == F.lit(float("inf"))))

@@ -216,3 +216,10 @@ def ranked_lines(ranked: DataFrame) -> DataFrame:
     """SNK-01: (user, rank, item, score, src) -> ``user<TAB>item:score:src,...``."""
     p = pack_list(ranked, "user", "rank", F.col("item"), F.col("score"), F.col("src"))
     return p.select(F.concat_ws("\t", F.col("user").cast("string"), "packed").alias("value"))
+
+
+def split_valid(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
+    """FLT-20: (kept rows, rejected rows) for a validity predicate; callers count or write
+    the rejected side instead of failing the job or dropping rows silently."""
+    ok = F.coalesce(valid, F.lit(False))
+    return df.where(ok), df.where(~ok)

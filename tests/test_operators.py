@@ -154,3 +154,20 @@ def test_renumber_unbounded_equals_window(spark):
     a = C.renumber(lists, "seed", keep=keep, gated=gated).select("seed", "item", "fpos", "gpos", "gated")
     b = C.renumber(lists, "seed", keep=keep, gated=gated, bounded=False).select("seed", "item", "fpos", "gpos", "gated")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_rejected_rows_and_nonfinite_pay(spark):
+    df = spark.createDataFrame([("1", 1.0, 0.0), ("x", float("inf"), 0.0), (None, 0.5, 0.1)],
+                               "id string, money double, click double")
+    good, bad = TX.split_valid(df, F.col("id").try_cast("long").isNotNull())
+    assert (good.count(), bad.count()) == (1, 2)
+    n = df.where(S.nonfinite_pay(F.col("money"), F.col("click"), 80.0, 0.0)).count()
+    assert n == 1
+
+
+def test_active_threshold_zero_days(spark):
+    import datetime as dt
+    act = spark.createDataFrame([(1, dt.datetime(2020, 1, 1)), (2, dt.datetime(2024, 1, 30, 5))],
+                                "user long, last_ts timestamp")
+    assert FL.active_users(act, dt.datetime(2024, 1, 31), 0).count() == 2
+    assert [r.user for r in FL.active_users(act, dt.datetime(2024, 1, 31), 1).collect()] == [2]
