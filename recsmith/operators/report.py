@@ -45,6 +45,25 @@ def subscribes(log: DataFrame, scene: str, os: str = "all", day=None) -> DataFra
     return log_filter(log, SUBSCRIBE, scene, os, day)
 
 
+def click_stats(clicks_df: DataFrame, keys=("user", "item")) -> DataFrame:
+    """One partial + final aggregate over the clicks: per (keys, alg) the click count and
+    the earliest (ts, event_id).  Both the first-touch lookup and the click totals read it,
+    so the click log is scanned once."""
+    return clicks_df.groupBy(*keys, "alg").agg(F.count(F.lit(1)).alias("_n"),
+                                               F.min(F.struct("ts", "event_id")).alias("_first"))
+
+
+def first_touch_from_stats(stats: DataFrame, keys=("user", "item")) -> DataFrame:
+    """JOIN-05 build side from ``click_stats``: alg of the earliest click per key."""
+    return stats.groupBy(*keys).agg(F.min_by("alg", "_first").alias("alg"),
+                                     F.min("_first.ts").alias("first_ts"))
+
+
+def click_counts(stats: DataFrame, keys) -> DataFrame:
+    """AGG-01 from ``click_stats``."""
+    return stats.groupBy(*keys).agg(F.sum("_n").alias("clicks"))
+
+
 def first_touch(clicks_df: DataFrame, keys=("user", "item")) -> DataFrame:
     """JOIN-05 build side: alg of the first click per (user,item) by (ts, event_id)."""
     return clicks_df.groupBy(*keys).agg(
@@ -65,19 +84,19 @@ def attribute(subs_df: DataFrame, first: DataFrame, keys=("user", "item"),
     return j.drop("first_ts")
 
 
-def per_user_counts(clicks_df: DataFrame, credited: DataFrame, extra_keys=()) -> DataFrame:
-    """AGG-01/02: (user, alg, subs, clicks); algs without clicks never appear."""
+def per_user_counts(stats: DataFrame, credited: DataFrame, extra_keys=()) -> DataFrame:
+    """AGG-01/02: (user, alg, subs, clicks) from ``click_stats``; algs without clicks never appear."""
     k = list(extra_keys) + ["user", "alg"]
-    c = clicks_df.groupBy(*k).agg(F.count(F.lit(1)).alias("clicks"))
+    c = click_counts(stats, k)
     s = credited.groupBy(*k).agg(F.count(F.lit(1)).alias("subs"))
     return (c.join(s, k, "left")
             .select(*k, F.coalesce("subs", F.lit(0)).cast("long").alias("subs"), "clicks"))
 
 
-def rate_report(clicks_df: DataFrame, credited: DataFrame, extra_keys=()) -> DataFrame:
-    """AGG-03: per alg totals and rate, aggregated directly (no per-user intermediate)."""
+def rate_report(stats: DataFrame, credited: DataFrame, extra_keys=()) -> DataFrame:
+    """AGG-03: per alg totals and rate from ``click_stats`` (no per-user intermediate)."""
     k = list(extra_keys) + ["alg"]
-    c = clicks_df.groupBy(*k).agg(F.count(F.lit(1)).alias("clicks"))
+    c = click_counts(stats, k)
     s = credited.groupBy(*k).agg(F.count(F.lit(1)).alias("subs"))
     return (c.join(s, k, "left")
             .select(*k, F.coalesce("subs", F.lit(0)).cast("long").alias("subs"), "clicks")

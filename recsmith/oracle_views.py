@@ -79,7 +79,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT a.p_partkey AS item, b.p_partkey AS item2, 1.0 - abs(a.p_size - b.p_size) / 10.0 AS sim
               FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey
                                      AND abs(a.p_size - b.p_size) <= 2
-              WHERE a.p_partkey % 3 <> 0)"""),
+              WHERE a.p_type <> 'STANDARD')"""),
     "v_user_tag": (("v_order_lines",), """
         SELECT "user", tag, pref, row_number() OVER (PARTITION BY "user" ORDER BY pref DESC, tag) - 1 AS pos
         FROM (SELECT o_custkey AS "user", p_brand AS tag,

@@ -17,16 +17,16 @@ def conversion_report(log: DataFrame, scene: str = "user-playlist", os: str = "a
     """
     keys = ("day", "user", "item") if by_day else ("user", "item")
     extra = ("day",) if by_day else ()
-    c = R.clicks(log, scene, os, day, n_buckets)
+    stats = R.click_stats(R.clicks(log, scene, os, day, n_buckets), keys)
     s = R.subscribes(log, scene, os, day)
-    credited = R.attribute(s, R.first_touch(c, keys), keys, require_click_first)
-    return R.rate_report(c, credited, extra)
+    credited = R.attribute(s, R.first_touch_from_stats(stats, keys), keys, require_click_first)
+    return R.rate_report(stats, credited, extra)
 
 
 def conversion_by_user(log: DataFrame, scene: str = "user-playlist", os: str = "all", day=None,
                        n_buckets: int = -1) -> DataFrame:
     """Stage-1 output: (user, alg, subs, clicks)."""
-    c = R.clicks(log, scene, os, day, n_buckets)
+    stats = R.click_stats(R.clicks(log, scene, os, day, n_buckets))
     s = R.subscribes(log, scene, os, day)
-    credited = R.attribute(s, R.first_touch(c))
-    return R.per_user_counts(c, credited)
+    credited = R.attribute(s, R.first_touch_from_stats(stats))
+    return R.per_user_counts(stats, credited)

@@ -171,14 +171,18 @@ class Tables:
 
     @materialised
     def item_sim(self, max_gap: int = 5, alt: bool = False) -> DataFrame:
-        """(item,item2,sim,pos): parts of one brand whose sizes differ by <= max_gap."""
-        a = self._parts("p_partkey", "p_brand", "p_size").alias("a")
+        """(item,item2,sim,pos): parts of one brand whose sizes differ by <= max_gap.
+
+        ``alt=True``: the alternative similarity (sim = 1 - gap/10), without lists for
+        STANDARD seed items, so the drop path of the arm lookup is exercised."""
+        a = self._parts("p_partkey", "p_brand", "p_size", "p_type").alias("a")
         b = self._parts("p_partkey", "p_brand", "p_size").alias("b")
         gap = F.abs(F.col("a.p_size") - F.col("b.p_size"))
         j = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand"))
                    & (F.col("a.p_partkey") != F.col("b.p_partkey")) & (gap <= max_gap))
         if alt:
-            j = j.where(F.col("a.p_partkey") % 3 != 0)
+            # the alternative model has no lists for STANDARD seed items
+            j = j.where(F.col("a.p_type") != "STANDARD")
             sim = 1.0 - gap / 10.0
         else:
             sim = 1.0 / (1.0 + gap)
