@@ -27,9 +27,10 @@ def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
     """JOIN-11: (user,item,lan,style) = sum of user ratio * item ratio per kind, after FLT-16."""
     ua = affinity_threshold(user_aff, ignored=ignored).select("user", "kind", "tag", F.col("ratio").alias("u"))
     pairs = cand.select("user", "item").distinct()
-    ia = item_aff.join(pairs.select("item").distinct(), "item", "left_semi") \
-                 .select("item", "kind", "tag", F.col("ratio").alias("v"))
-    j = pairs.join(ua, "user").join(ia, ["item", "kind", "tag"])
+    ia = item_aff.select("item", "kind", "tag", F.col("ratio").alias("v"))
+    # candidate -> the item's own tags -> the user's ratio for that tag: every step is an
+    # equi-join, rows grow with candidates x tags per item (never candidates x user tags)
+    j = pairs.join(ia, "item").join(ua, ["user", "kind", "tag"])
     return j.groupBy("user", "item").agg(
         F.sum(F.when(F.col("kind") == "lan", F.col("u") * F.col("v")).otherwise(0.0)).alias("lan"),
         F.sum(F.when(F.col("kind") == "style", F.col("u") * F.col("v")).otherwise(0.0)).alias("style"))

@@ -80,30 +80,24 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
     vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
     scored = (kept.join(vis, ["user", "item"], "left")
               .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
-    merged = materialise(scored.groupBy("user", "item").agg(
-        F.max("score").alias("score"), F.min_by("seed", "i").alias("_first_seed"), F.min("i").alias("_first_i")))
-    src = reason_by_rank(merged, us, inp.seed_item)
-    cand = materialise(merged.join(src, ["user", "item"]).drop("_first_seed", "_first_i"))
+    merged = materialise(C.merge_max(scored))
+    src = reason_over_recalled(merged, us, inp.seed_item)
+    cand = materialise(merged.join(src, ["user", "item"]))
     return {"us": us, "excl": excl, "elig": elig, "capped": capped, "kept": kept,
-            "merged": merged.select("user", "item", "score"), "src": src, "cand": cand}
+            "merged": merged, "src": src, "cand": cand}
 
 
-def reason_by_rank(merged: DataFrame, us: DataFrame, seed_item: DataFrame) -> DataFrame:
-    """AGG-07 (P2) over all recalled rows, computed exactly from the candidates.
+def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame) -> DataFrame:
+    """AGG-07 (P2) over all recalled rows: src = the seed with the highest seed score
+    (then lowest id) whose list holds the item, i.e. the lowest seed rank ``i``.
 
-    src = the seed with the highest seed score (then lowest id) whose list holds the
-    item, i.e. the lowest seed rank ``i``.  The seed at the candidate's first kept rank
-    lists it, so only seeds ranked before it need a lookup: candidates x earlier seeds
-    (bounded by the budget walk) semi-joined to the seed lists, instead of the whole
-    user x seed x list expansion.
+    The recalled (user, seed, item) rows are read once, narrowed to three columns and
+    semi-joined to the final candidates before a partial + final ``min_by``; no pairs
+    beyond the recall join itself are formed.
     """
-    earlier = (merged.select("user", "item", "_first_i")
-               .join(us.select("user", "seed", "i"), "user")
-               .where(F.col("i") < F.col("_first_i")))
-    hits = (earlier.join(seed_item.select("seed", "item"), ["seed", "item"], "left_semi")
-            .groupBy("user", "item").agg(F.min_by("seed", "i").alias("_early")))
-    return (merged.join(hits, ["user", "item"], "left")
-            .select("user", "item", F.coalesce("_early", "_first_seed").alias("src")))
+    recalled = us.select("user", "seed", "i").join(seed_item.select("seed", "item"), "seed")
+    return (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
+            .groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
 
 
 def score(cand: DataFrame, inp: SeedInputs, weights, item_width: int, divisor: int, remainder: int | None,

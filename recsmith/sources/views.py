@@ -176,10 +176,13 @@ class Tables:
         ``alt=True``: the alternative similarity (sim = 1 - gap/10), without lists for
         STANDARD seed items, so the drop path of the arm lookup is exercised."""
         a = self._parts("p_partkey", "p_brand", "p_size", "p_type").alias("a")
-        b = self._parts("p_partkey", "p_brand", "p_size").alias("b")
+        # each part is offered at every size within max_gap of its own, so the band join
+        # becomes an equi-join on (brand, size): work grows with parts x (2 gap + 1)
+        b = self._parts("p_partkey", "p_brand", "p_size").withColumn(
+            "near", F.explode(F.sequence(F.col("p_size") - max_gap, F.col("p_size") + max_gap))).alias("b")
         gap = F.abs(F.col("a.p_size") - F.col("b.p_size"))
-        j = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand"))
-                   & (F.col("a.p_partkey") != F.col("b.p_partkey")) & (gap <= max_gap))
+        j = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.near"))
+                   & (F.col("a.p_partkey") != F.col("b.p_partkey")))
         if alt:
             # the alternative model has no lists for STANDARD seed items
             j = j.where(F.col("a.p_type") != "STANDARD")
