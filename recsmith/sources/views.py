@@ -142,8 +142,9 @@ class Tables:
         tot = q.groupBy("seed").agg(F.sum("q").alias("tot"))
         s = q.join(tot, "seed").select("seed", "item", (F.col("q") / F.col("tot")).alias("sim"))
         w = Window.partitionBy("seed").orderBy(F.desc("sim"), "item")
-        return (s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
-                .where(F.col("pos") < P.PACKED_LIST_MAX))
+        # `rn <= k` lets the planner cut each seed's list to k rows before the shuffle
+        return (s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= P.PACKED_LIST_MAX)
+                .withColumn("pos", (F.col("_rn") - 1).cast("long")).drop("_rn"))
 
     @materialised
     def play(self) -> DataFrame:
@@ -217,8 +218,9 @@ class Tables:
         mx = p.groupBy("p_brand").agg(F.max("p_retailprice").alias("mx"))
         s = p.join(mx, "p_brand").select(F.col("p_brand").alias("tag"), F.col("p_partkey").alias("item"),
                                          (F.col("p_retailprice") / F.col("mx")).alias("quality"))
-        w = Window.partitionBy("tag").orderBy(F.desc("quality"), "item")
-        return s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
+        # a tag list has no length cap: rank it without putting a whole tag in one task
+        from recsmith.operators.candidates import distributed_rank
+        return distributed_rank(s, "tag", [F.desc("quality"), F.col("item")], name="pos")
 
     @materialised
     def quality(self) -> DataFrame:
