@@ -39,9 +39,12 @@ def main():
     t = Tables(spark, sf_dir)
     times, rows = {}, {}
     t0 = time.time()
-    for v in INPUT_VIEWS:
-        getattr(t, v)()
-    t.item_sim(max_gap=2, alt=True)
+    # independent input tables are derived as concurrent Spark jobs
+    from concurrent.futures import ThreadPoolExecutor
+    jobs = [lambda v=v: getattr(t, v)() for v in INPUT_VIEWS] + [lambda: t.item_sim(max_gap=2, alt=True)]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
     times["inputs"] = round(time.time() - t0, 3)
     for n in names:
         t0 = time.time()

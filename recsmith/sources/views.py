@@ -10,14 +10,24 @@ Every view reads only the columns it needs so the parquet scan is pruned.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith import params as P
 from recsmith.session import materialise
 
-# derived inputs materialised once per (session, folder, view, args)
+# derived inputs materialised once per (session, folder, view, args); a lock per key lets
+# independent views be derived from several threads while shared ones are built once
 _MATERIALISED: dict = {}
+_LOCKS: dict = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock(key) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(key, threading.Lock())
 
 
 def materialised(fn):
@@ -29,10 +39,11 @@ def materialised(fn):
             return fn(self, *args, **kwargs)
         key = (self.spark.sparkContext.applicationId, self.sf_dir, fn.__name__, args,
                tuple(sorted(kwargs.items())))
-        df = _MATERIALISED.get(key)
-        if df is None:
-            df = materialise(fn(self, *args, **kwargs))
-            _MATERIALISED[key] = df
+        with _lock(key):
+            df = _MATERIALISED.get(key)
+            if df is None:
+                df = materialise(fn(self, *args, **kwargs))
+                _MATERIALISED[key] = df
         return df
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
