@@ -66,7 +66,17 @@ def per_seed_cap(rows: DataFrame, k_few: int, k_many: int | None = None, many_at
     return rows.withColumn("_rn", rn).where(bound & (F.col("_rn") <= k)).drop("_rn")
 
 
-def seed_budget(capped: DataFrame, budget: int) -> DataFrame:
+def budget_cut(capped: DataFrame, budget: int) -> DataFrame:
+    """(user, _cut): the seed rank at which the user's distinct items reach ``budget``
+    (users that never reach it have no row)."""
+    firsts = capped.groupBy("user", "item").agg(F.min("i").alias("_fi"))
+    per_seed = firsts.groupBy("user", "_fi").agg(F.count(F.lit(1)).alias("_f"))
+    upto = Window.partitionBy("user").orderBy("_fi").rowsBetween(Window.unboundedPreceding, 0)
+    return (per_seed.withColumn("_cum", F.sum("_f").over(upto)).where(F.col("_cum") >= budget)
+            .groupBy("user").agg(F.min("_fi").alias("_cut")))
+
+
+def seed_budget(capped: DataFrame, budget: int, cut: DataFrame | None = None) -> DataFrame:
     """WIN-03: walk seeds in rank order and stop after the first seed at which the
     number of distinct items reaches ``budget``; that seed is kept whole.
 
@@ -75,11 +85,7 @@ def seed_budget(capped: DataFrame, budget: int) -> DataFrame:
     seed with fresh items, not over the item rows; the crossing rank is then one value
     per user.
     """
-    firsts = capped.groupBy("user", "item").agg(F.min("i").alias("_fi"))
-    per_seed = firsts.groupBy("user", "_fi").agg(F.count(F.lit(1)).alias("_f"))
-    upto = Window.partitionBy("user").orderBy("_fi").rowsBetween(Window.unboundedPreceding, 0)
-    cut = (per_seed.withColumn("_cum", F.sum("_f").over(upto)).where(F.col("_cum") >= budget)
-           .groupBy("user").agg(F.min("_fi").alias("_cut")))
+    cut = budget_cut(capped, budget) if cut is None else cut
     return (capped.join(cut, "user", "left")
             .where(F.col("_cut").isNull() | (F.col("i") <= F.col("_cut"))).drop("_cut"))
 

@@ -76,18 +76,20 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
     exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
     elig = FL.exclude_pairs(exp, excl)
     capped = materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
-    kept = C.seed_budget(capped, budget)
+    cut = C.budget_cut(capped, budget)
+    kept = C.seed_budget(capped, budget, cut)
     vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
     scored = (kept.join(vis, ["user", "item"], "left")
               .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
     merged = materialise(C.merge_max(scored))
-    src = reason_over_recalled(merged, us, inp.seed_item)
+    src = reason_over_recalled(merged, us, inp.seed_item, cut)
     cand = materialise(merged.join(src, ["user", "item"]))
     return {"us": us, "excl": excl, "elig": elig, "capped": capped, "kept": kept,
             "merged": merged, "src": src, "cand": cand}
 
 
-def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame) -> DataFrame:
+def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
+                         cut: DataFrame | None = None) -> DataFrame:
     """AGG-07 (P2) over all recalled rows: src = the seed with the highest seed score
     (then lowest id) whose list holds the item, i.e. the lowest seed rank ``i``.
 
@@ -95,7 +97,13 @@ def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame)
     semi-joined to the final candidates before a partial + final ``min_by``; no pairs
     beyond the recall join itself are formed.
     """
-    recalled = us.select("user", "seed", "i").join(seed_item.select("seed", "item"), "seed")
+    seeds = us.select("user", "seed", "i")
+    if cut is not None:
+        # every candidate is first kept at a rank <= the user's budget cut, so later seeds
+        # can never hold the lowest rank: drop them before reading their lists
+        seeds = (seeds.join(cut, "user", "left")
+                 .where(F.col("_cut").isNull() | (F.col("i") <= F.col("_cut"))).drop("_cut"))
+    recalled = seeds.join(seed_item.select("seed", "item"), "seed")
     return (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
             .groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
 
