@@ -129,11 +129,22 @@ def freshness_b(score: Column, new_song_weight: Column, pub: Column) -> Column:
                   score * ratio * new_song_weight * P.FRESH_RATIO_MULT).otherwise(score)
 
 
+def as_of_ts(as_of) -> Column:
+    """``as_of`` as a zone-free timestamp literal (the event columns are TIMESTAMP_NTZ),
+    so thresholds do not move with the session time zone."""
+    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
+def as_of_date(as_of) -> Column:
+    return F.lit(as_of.strftime("%Y-%m-%d")).cast("date")
+
+
 def midnight_threshold(as_of, days: int) -> Column:
     """FN-15: midnight of ``as_of`` minus ``days`` days; ``days <= 0`` -> epoch 0."""
     if days <= 0:
-        return F.timestamp_seconds(F.lit(0))
-    return F.date_trunc("day", F.lit(as_of).cast("timestamp")) - F.expr(f"INTERVAL {int(days)} DAYS")
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    midnight = as_of_date(as_of).cast("timestamp_ntz")
+    return midnight - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
 def half_up(x: Column, scale: int = 4) -> Column:
@@ -143,7 +154,7 @@ def half_up(x: Column, scale: int = 4) -> Column:
 
 def max_impress(as_of) -> Column:
     """FN-22: 4 when day-of-month % 3 == 1, else 2."""
-    d = F.dayofmonth(F.lit(as_of).cast("timestamp"))
+    d = F.dayofmonth(as_of_date(as_of))
     return F.when(d % 3 == 1, F.lit(4)).otherwise(F.lit(2))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith import params as P
-from recsmith.functions.scoring import midnight_threshold
+from recsmith.functions.scoring import as_of_date, midnight_threshold
 
 MAX_BROADCAST_ROWS = 2_000_000  # item ids: ~16 MB of keys
 
@@ -40,7 +40,7 @@ def seen_pairs(visited: DataFrame, max_impress: int) -> DataFrame:
 
 def impression_window(impress: DataFrame, as_of, lo: int, hi: int) -> DataFrame:
     """FLT-10 / SRC-03: distinct (user,item) shown between ``hi`` and ``lo`` days before ``as_of``."""
-    d = F.to_date(F.lit(as_of).cast("timestamp"))
+    d = as_of_date(as_of)
     return (impress.where(F.col("dt").between(F.date_sub(d, hi), F.date_sub(d, lo)))
             .select("user", "item").distinct())
 

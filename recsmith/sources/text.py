@@ -131,7 +131,7 @@ def read_days(spark: SparkSession, root: str, schema: str, as_of, lo: int, hi: i
     """SRC-03: date-partitioned folder ``root/dt=YYYY-MM-DD/``; only days ``lo..hi`` before
     ``as_of`` are read (partition pruning)."""
     df = (spark.read.option("sep", "\t").schema(schema + ", dt date").csv(root))
-    d = F.to_date(F.lit(as_of).cast("timestamp"))
+    d = F.lit(as_of.strftime("%Y-%m-%d")).cast("date")
     return df.where(F.col("dt").between(F.date_sub(d, hi), F.date_sub(d, lo)))
 
 

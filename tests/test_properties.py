@@ -54,3 +54,16 @@ def test_same_result_with_other_partitioning(spark, lists):
         assert lists["rec_by_liked"].exceptAll(again).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_time_zone_independent(spark):
+    """as_of thresholds are zone-free: a non-UTC session gives the same rows."""
+    a = sorted(tuple(r) for r in catalog.QUERIES["active_users"](spark, SF).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        b = sorted(tuple(r) for r in catalog.QUERIES["active_users"](spark, SF).collect())
+        c = sorted(tuple(r) for r in catalog.QUERIES["impression_window"](spark, SF).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert a == b
+    assert c == sorted(tuple(r) for r in catalog.QUERIES["impression_window"](spark, SF).collect())
