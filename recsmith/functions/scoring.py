@@ -105,7 +105,7 @@ def in_treatment(user: Column, divisor: int, remainder: int | None) -> Column:
     return (user % divisor) == remainder
 
 
-def age_days(as_of_epoch: int, avg_pub_time: Column, default: int = 100) -> Column:
+def age_days(as_of_epoch: int, avg_pub_time: Column, default: int = P.DEFAULT_AGE_DAYS) -> Column:
     """FN-14 A: whole days since the average publish time (default 100)."""
     return F.coalesce(((F.lit(as_of_epoch) - avg_pub_time) / 86400).cast("long").cast("int"),
                       F.lit(default))
@@ -113,7 +113,7 @@ def age_days(as_of_epoch: int, avg_pub_time: Column, default: int = 100) -> Colu
 
 def pub_index(avg_pub_time: Column, default: int = 0) -> Column:
     """FN-14 B: int(avgPubTime / 1e6) (default 0)."""
-    return F.coalesce((avg_pub_time / 1000000).cast("long").cast("int"), F.lit(default))
+    return F.coalesce((avg_pub_time / P.PUB_INDEX_DIV).cast("long").cast("int"), F.lit(default))
 
 
 def freshness_a(score: Column, new_song_weight: Column, age: Column,

@@ -145,7 +145,7 @@ def affinity_threshold(user_aff: DataFrame, min_ratio: float = P.AFFINITY_MIN,
 
 def valid_play(action: Column, typ: Column, source: Column, user: Column, item: Column) -> Column:
     """FLT-03 predicate: play of a song from a list, user != 0, item all digits."""
-    return ((action == "play") & (typ == "song") & (source == "list") & (user != 0)
+    return ((action == P.PLAY_ACTION) & (typ == P.PLAY_TYPE) & (source == P.PLAY_SOURCE) & (user != 0)
             & item.rlike("^[0-9]+$"))
 
 
@@ -154,7 +154,7 @@ def subscription_filter(subs: DataFrame) -> DataFrame:
     return subs.where((F.col("user") >= 0) & (F.col("type") != 5)).select("item", "user", "time")
 
 
-def impression_log_filter(lines: DataFrame, marker: str = "user-playlist") -> DataFrame:
+def impression_log_filter(lines: DataFrame, marker: str = P.IMPRESSION_MARKER) -> DataFrame:
     """FLT-05: impression rows carry ``marker``; user = abs(column 2), item = column 3."""
     cols = F.split("value", "\t")
     return (lines.where(F.col("value").contains(marker))

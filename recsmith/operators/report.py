@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CLICK = "recommendclick"
-SUBSCRIBE = "subscribe"
+from recsmith import params as P
+
+CLICK = P.CLICK_ACTION
+SUBSCRIBE = P.SUBSCRIBE_ACTION
 
 
 def log_filter(log: DataFrame, action: str, scene: str, os: str = "all", day=None) -> DataFrame:
@@ -31,7 +33,7 @@ def bucket_label(alg: Column, user: Column, n_buckets: int) -> Column:
     if n_buckets == -1:
         return alg
     r = user % n_buckets
-    return F.when((user > 0) & (r >= 0) & (r <= 5),
+    return F.when((user > 0) & r.isin(*P.BUCKET_LABELS),
                   F.concat_ws("_", alg, r.cast("string"))).otherwise(alg)
 
 

@@ -23,7 +23,7 @@ def diversity_harmonic(df: DataFrame, reason: str = "src") -> DataFrame:
     return df.withColumn("score", F.col("score") / n)
 
 
-def diversity_step(df: DataFrame, reason: str = "src", step: float = 1.5) -> DataFrame:
+def diversity_step(df: DataFrame, reason: str = "src", step: float = P.DIVERSITY_STEP) -> DataFrame:
     """WIN-07: c = 0-based rank within (user, reason); c >= 2 -> score / (step * c)."""
     c = F.row_number().over(_by_score("user", reason)) - 1
     return df.withColumn("score", F.when(c >= 2, F.col("score") / (c * step)).otherwise(F.col("score")))
@@ -45,7 +45,8 @@ def quota_interleave(df: DataFrame, max_rec: int, reason: str = "src",
     kept = df.withColumn("_c", c).where(F.col("_c") < quota)
     kept = (kept.withColumn("_k", F.row_number().over(_by_score("user")))
             .where(F.col("_k") <= max_rec))
-    new = F.when(F.col("_c") >= 1, -F.col("_c") + F.col("score") / (F.col("_c") * 10.0)).otherwise(F.col("score"))
+    new = F.when(F.col("_c") >= 1, -F.col("_c") + F.col("score") / (F.col("_c") * P.QUOTA_PENALTY)
+                 ).otherwise(F.col("score"))
     return kept.withColumn("score", new).drop("_c", "_k")
 
 

@@ -67,6 +67,19 @@ TAG_DAMPING = 2000.0
 LOG_PLAY_SCORE = 0.05
 # age limit applied by the per-user limit table
 AGE_LIMIT_DAYS = 360
+# stepped diversity divisor step and quota-interleave penalty divisor
+DIVERSITY_STEP = 1.5
+QUOTA_PENALTY = 10.0
+# item age when the profile is missing (days); publish index divisor
+DEFAULT_AGE_DAYS = 100
+PUB_INDEX_DIV = 1000000
+# log vocabulary: click and subscribe actions, impression marker, play-log filter values
+CLICK_ACTION = "recommendclick"
+SUBSCRIBE_ACTION = "subscribe"
+IMPRESSION_MARKER = "user-playlist"
+PLAY_ACTION, PLAY_TYPE, PLAY_SOURCE = "play", "song", "list"
+# A/B bucket remainders that get a label suffix
+BUCKET_LABELS = (0, 1, 2, 3, 4, 5)
 # end of fixed values
 
 # --- catalogue settings (our choices for the test tables) ---
