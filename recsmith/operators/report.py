@@ -66,13 +66,6 @@ def click_counts(stats: DataFrame, keys) -> DataFrame:
     return stats.groupBy(*keys).agg(F.sum("_n").alias("clicks"))
 
 
-def first_touch(clicks_df: DataFrame, keys=("user", "item")) -> DataFrame:
-    """JOIN-05 build side: alg of the first click per (user,item) by (ts, event_id)."""
-    return clicks_df.groupBy(*keys).agg(
-        F.min_by("alg", F.struct("ts", "event_id")).alias("alg"),
-        F.min("ts").alias("first_ts"))
-
-
 def attribute(subs_df: DataFrame, first: DataFrame, keys=("user", "item"),
               require_click_first: bool = False) -> DataFrame:
     """Credit every subscribe row to the first-touch alg of its (user,item).

@@ -71,16 +71,3 @@ def top_n(df: DataFrame, n: int, rank_col: str | None = None) -> DataFrame:
     elif rank_col != "rank":
         df = df.withColumnRenamed(rank_col, "rank")
     return df.where(F.col("rank") <= n)
-
-
-def packed_list(ranked: DataFrame, score_fmt: Column | None = None) -> DataFrame:
-    """SNK-01: ``user<TAB>item:score:src,...`` in rank order (one row per user).
-
-    The list per user is at most the top-N cut, so the per-user collect is bounded.
-    """
-    sc = score_fmt if score_fmt is not None else F.col("score").cast("float").cast("string")
-    e = F.concat_ws(":", F.col("item").cast("string"), sc, F.col("src").cast("string"))
-    g = ranked.groupBy("user").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", e.alias("e")))),
-                                 lambda x: x["e"]), ",").alias("packed"))
-    return g

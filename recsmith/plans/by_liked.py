@@ -102,8 +102,7 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
     x = x.withColumn("score", S.freshness_b(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)),
                                             F.col("_pub")))
     recalled = sd.join(lists.select("seed", "_odd", "item", "sim"), ["seed", "_odd"])
-    src = (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
-           .groupBy("user", "item").agg(F.max_by("seed", F.struct("sim", -F.col("seed"))).alias("src")))
+    src = RC.reason_argmax_sim(recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi"))
     cand = materialise(x.select("user", "item", "score").join(src, ["user", "item"]))
     return {"seeds": sd, "recalled": recalled, "kept": kept, "rows": rows, "merged": merged, "src": src,
             "cand": cand}

@@ -20,7 +20,6 @@ from recsmith.functions import scoring as S
 from recsmith.operators import candidates as C
 from recsmith.operators import features as X
 from recsmith.operators import filters as FL
-from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
 from recsmith.session import materialise
 
@@ -42,13 +41,6 @@ class SeedInputs:
     pay: DataFrame           # item, money, click
 
 
-def recall_rows(inp: SeedInputs, as_of, active_days: int) -> DataFrame:
-    """Expansion rows of active users with the seed rank: user, seed, seed_score, i, n_seeds, item, sim, pos."""
-    users = FL.active_users(inp.active, as_of, active_days)
-    us = C.seed_rank(FL.only_active(inp.user_seed, users))
-    return RC.seed_expansion(us, inp.seed_item)
-
-
 def candidates(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int], max_impress: int,
                caps=P.SEED_CAP_P2, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
                penalty_mode: str = "constant") -> DataFrame:

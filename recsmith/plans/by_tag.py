@@ -123,6 +123,7 @@ def recommend_by_tag(inp: TagInputs, as_of, weights, weights_ab, item_width: int
                      max_rec: int = P.MAX_REC_P3, penalty_mode: str = "constant") -> DataFrame:
     """Ranked lists (user, rank, item, score, src); score rounded HALF_UP to 4 places."""
     mi = max_impress if max_impress is not None else P.max_impress(as_of)
+    X.item_width_check(inp.item_feat, item_width)  # Q-21: the dense model needs the exact width
     cand = candidates(inp, as_of, active_days, window, mi, penalty_mode=penalty_mode)
     pool = materialise(C.reason_caps(cand, P.REASON_CAP, P.REASON_TOTAL))
     nr = C.distinct_reasons(pool)
