@@ -41,22 +41,40 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a scratch folder is made
-    and registered, so ``DataFrame.checkpoint()`` works the same way.
+    Only when the setting is absent (local tests) a scratch folder is made and
+    registered, so ``DataFrame.checkpoint()`` and ``materialise`` work the same way.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="recsmith-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (stage tables and caches are scoped by it)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def materialise(df):
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder
     (``spark.checkpoint.dir``) and reading it back; never a local checkpoint.
@@ -68,7 +86,7 @@ def materialise(df):
     under ``tables/<application id>/`` so the run's scratch can be removed as a whole."""
     import uuid
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{uuid.uuid4().hex}"
     if os.environ.get("RECSMITH_TIMING"):
         import time

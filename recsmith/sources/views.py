@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith import params as P
-from recsmith.session import materialise
+from recsmith.session import app_id, materialise
 
 # derived inputs materialised once per (session, folder, view, args); a lock per key lets
 # independent views be derived from several threads while shared ones are built once
@@ -37,7 +37,7 @@ def materialised(fn):
     def wrapper(self, *args, **kwargs):
         if not self.materialise:
             return fn(self, *args, **kwargs)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, fn.__name__, args,
+        key = (app_id(self.spark), self.sf_dir, fn.__name__, args,
                tuple(sorted(kwargs.items())))
         with _lock(key):
             df = _MATERIALISED.get(key)
