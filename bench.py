@@ -35,7 +35,7 @@ def main():
     from recsmith import catalog
     from recsmith.sources.views import Tables
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)))
     t = Tables(spark, sf_dir)
     times, rows = {}, {}
     t0 = time.time()

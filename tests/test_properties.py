@@ -67,3 +67,13 @@ def test_time_zone_independent(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert a == b
     assert c == sorted(tuple(r) for r in catalog.QUERIES["impression_window"](spark, SF).collect())
+
+
+def test_seed_route_same_with_one_partition(spark, lists):
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        again = catalog.QUERIES["rec_by_seed"](spark, SF)
+        assert again.exceptAll(lists["rec_by_seed"]).count() == 0
+        assert lists["rec_by_seed"].exceptAll(again).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
