@@ -38,7 +38,8 @@ def r6(c) -> "F.Column":
 # P1 conversion report
 # ---------------------------------------------------------------------------
 
-def _p1_sql(os: str = "all", n_buckets: int = -1, by_day: bool = False, per_user: bool = False) -> str:
+def _p1_sql(os: str = "all", n_buckets: int = -1, by_day: bool = False, per_user: bool = False,
+            click_first: bool = False) -> str:
     os_cond = "" if os == "all" else f" AND lower(os) = '{os.lower()}'"
     alg = "alg"
     if n_buckets != -1:
@@ -50,9 +51,10 @@ def _p1_sql(os: str = "all", n_buckets: int = -1, by_day: bool = False, per_user
               f"WHERE scene = 'user-playlist' AND action = 'recommendclick' AND NOT contains(alg, ':'){os_cond}"),
         ("s", f"SELECT \"user\", item, ts, day FROM v_clicklog "
               f"WHERE scene = 'user-playlist' AND action = 'subscribe'{os_cond}"),
-        ("f", f"SELECT {kd}\"user\", item, alg FROM (SELECT *, row_number() OVER "
+        ("f", f"SELECT {kd}\"user\", item, alg, ts AS first_ts FROM (SELECT *, row_number() OVER "
               f"(PARTITION BY {kd}\"user\", item ORDER BY ts, event_id) AS rn FROM c) WHERE rn = 1"),
-        ("cr", f"SELECT {kd}s.\"user\", f.alg FROM s JOIN f USING ({kd}\"user\", item)"),
+        ("cr", f"SELECT {kd}s.\"user\", f.alg FROM s JOIN f USING ({kd}\"user\", item)"
+               + (" WHERE s.ts >= f.first_ts" if click_first else "")),
     ]
     if per_user:
         return with_views(["v_clicklog"], extra) + """
@@ -86,6 +88,12 @@ def q_conversion_by_user(spark, sf_dir):
     return conv.conversion_by_user(Tables(spark, sf_dir).clicklog())
 
 
+@register("conversion_click_first", _p1_sql(click_first=True))
+def q_conversion_click_first(spark, sf_dir):
+    """Q-17 option: only subscribes at or after the first click are credited."""
+    return _rate6(conv.conversion_report(Tables(spark, sf_dir).clicklog(), require_click_first=True))
+
+
 @register("ab_bucket_report", _p1_sql(os="android", n_buckets=P.AB_BUCKETS))
 def q_ab_bucket_report(spark, sf_dir):
     return _rate6(conv.conversion_report(Tables(spark, sf_dir).clicklog(), os="android",
