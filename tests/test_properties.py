@@ -77,3 +77,13 @@ def test_seed_route_same_with_one_partition(spark, lists):
         assert lists["rec_by_seed"].exceptAll(again).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_tag_route_skips_history_and_recent_impressions(spark, lists):
+    t = Tables(spark, SF)
+    hist = FL.history_first(t.history()).select("user", "item")
+    shown = FL.impression_window(t.impressions(), P.AS_OF, *P.IMPRESS_WINDOW_P3)
+    assert lists["rec_by_tag"].join(hist, ["user", "item"], "left_semi").count() == 0
+    assert lists["rec_by_tag"].join(shown, ["user", "item"], "left_semi").count() == 0
+    assert lists["rec_by_seed"].join(FL.impression_window(t.impressions(), P.AS_OF, *P.IMPRESS_WINDOW_P2),
+                                     ["user", "item"], "left_semi").count() == 0
