@@ -69,17 +69,21 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT o_custkey AS "user", l_partkey AS item FROM v_order_lines WHERE l_returnflag <> 'R'
         UNION
         SELECT "user", item FROM v_events WHERE event_type = 'purchase'"""),
-    "v_item_sim": ((), """
+    "v_item_sim": ((), f"""
+        SELECT * FROM (
         SELECT item, item2, sim, row_number() OVER (PARTITION BY item ORDER BY sim DESC, item2) - 1 AS pos
         FROM (SELECT a.p_partkey AS item, b.p_partkey AS item2, 1.0 / (1.0 + abs(a.p_size - b.p_size)) AS sim
               FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey
-                                     AND abs(a.p_size - b.p_size) <= 5)"""),
-    "v_item_sim_alt": ((), """
+                                     AND abs(a.p_size - b.p_size) <= 5))
+        WHERE pos < {P.PACKED_LIST_MAX}"""),
+    "v_item_sim_alt": ((), f"""
+        SELECT * FROM (
         SELECT item, item2, sim, row_number() OVER (PARTITION BY item ORDER BY sim DESC, item2) - 1 AS pos
         FROM (SELECT a.p_partkey AS item, b.p_partkey AS item2, 1.0 - abs(a.p_size - b.p_size) / 10.0 AS sim
               FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey
                                      AND abs(a.p_size - b.p_size) <= 2
-              WHERE a.p_type <> 'STANDARD')"""),
+              WHERE a.p_type <> 'STANDARD'))
+        WHERE pos < {P.PACKED_LIST_MAX}"""),
     "v_user_tag": (("v_order_lines",), """
         SELECT "user", tag, pref, row_number() OVER (PARTITION BY "user" ORDER BY pref DESC, tag) - 1 AS pos
         FROM (SELECT o_custkey AS "user", p_brand AS tag,

@@ -204,7 +204,9 @@ class Tables:
         s = j.select(F.col("a.p_partkey").alias("item"), F.col("b.p_partkey").alias("item2"),
                      sim.cast("double").alias("sim"))
         w = Window.partitionBy("item").orderBy(F.desc("sim"), "item2")
-        return s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
+        # similarity lists are packed lists: at most PACKED_LIST_MAX entries (group-limited)
+        return (s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= P.PACKED_LIST_MAX)
+                .withColumn("pos", (F.col("_rn") - 1).cast("long")).drop("_rn"))
 
     @materialised
     def user_tag(self) -> DataFrame:
