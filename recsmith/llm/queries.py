@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recsmith.llm import quality_rules
+from recsmith.llm import quality_rules, simhash
 from recsmith.llm.common import read_table
 from recsmith.session import materialise
 
@@ -22,6 +22,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
