@@ -7,15 +7,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recsmith.llm import quality_rules, simhash
+from recsmith.llm import bpe_count, packing, quality_rules, simhash
 from recsmith.llm.common import read_table
 from recsmith.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
@@ -27,6 +30,17 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_count.token_counts(docs, TOKENIZER).drop("text")
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
