@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recsmith.llm import bpe_count, packing, quality_rules, simhash
+from recsmith.llm import bpe_count, packing, pii, quality_rules, simhash
 from recsmith.llm.common import read_table
 from recsmith.session import materialise
 
@@ -41,6 +41,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs).drop("text", "masked")
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
