@@ -10,8 +10,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recsmith.llm import bpe_count, packing, pii, quality_rules, simhash
-from recsmith.llm.common import read_table
+from recsmith.llm import bpe_count, packing, pii, quality_clf, quality_rules, simhash
+from recsmith.llm.common import crc32_mod, read_table
 from recsmith.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(docs, TOKENIZER).drop("text")
 
 
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_clf.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality_clf.score(docs, model).drop("text")
+    return scored.select("doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
