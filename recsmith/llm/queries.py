@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recsmith.llm import bpe_count, packing, pii, quality_clf, quality_rules, simhash
+from recsmith.llm import bpe_count, mixing, packing, pii, quality_clf, quality_rules, simhash
 from recsmith.llm.common import crc32_mod, read_table
 from recsmith.session import materialise
 
@@ -61,3 +62,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialise(quality_rules.measure(docs).drop("text"))
     return quality_rules.judge(measured).select("doc_id", *quality_rules.BASE, "base_failed", "kept",
                                                 "nearest_lang", "char_distance", "word_distance")
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", mixing.label_domain().alias("domain"))
+    mixed = mixing.mix(docs, labels, keep_text=False)
+    posterior = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)]
+    return mixed.select("doc_id", "n_tokens", *posterior, "rate", "copies")
