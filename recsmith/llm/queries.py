@@ -11,13 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import ann, bpe_count, mixing, packing, pii, quality_clf, quality_rules, simhash
+from recsmith.llm import ann, bpe_count, lattice_lm, mixing, packing, pii, quality_clf, quality_rules, simhash
 from recsmith.llm.common import crc32_mod, read_table
 from recsmith.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -42,6 +43,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(docs, TOKENIZER).drop("text")
 
 
+@query
+def op4_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_documents(read_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
