@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import ann, bpe_count, lattice_lm, mixing, packing, pii, quality_clf, quality_rules, simhash
+from recsmith.llm import ann, bpe_count, lattice_lm, mixing, packing, pii, quality_clf, quality_rules, secret_scan, simhash
 from recsmith.llm.common import crc32_mod, read_table
 from recsmith.session import materialise
 
@@ -67,6 +67,11 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(docs).drop("text", "masked")
 
 
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
