@@ -1,0 +1,78 @@
+import hashlib
+import random
+import re
+
+from recsmith.llm import queries, secret_scan
+
+
+def either(word):
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+ASSIGN = re.compile("(" + "|".join(map(either, ("password", "passwd", "secret", "token", "api_?key")))
+                    + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    return sorted([(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+                  + [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+                  + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24])
+
+
+def check(rows, texts):
+    for r in rows:
+        want = brute(texts[r["doc_id"]] or "")
+        named = [f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in want]
+        assert r["base_sha256"] == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[1] == i for s in want) for i in range(3)]
+        every = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in every if not s.startswith("random")] == named
+
+
+def test_query(spark, sf, texts):
+    rows = queries.QUERIES["op8_secret_scan"](spark, sf).collect()
+    assert {r["doc_id"] for r in rows} == set(texts)
+    check(rows, texts)
+
+
+def test_base_spans_of_odd_texts(spark):
+    rng = random.Random(4)
+    parts = ["password", "Token", "API_KEY", "apikey", "secret", "=", ": ", '"', "'", " ", "abc", "AKIA", "0f3a9b8c7d6e5f40",
+             "ABCDEFGH1234", "é", "🙂", "\n", "x", "sECRET"]
+    texts = {i: "".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for i in range(1500)}
+    texts |= {2000: None, 2001: "", 2002: "token=abcdef " * 20_000, 2003: "secret=token: abcdefgh"}
+    check(secret_scan.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect(), texts)
+
+
+def test_random_tokens_are_found_and_writing_is_not(spark):
+    rng = random.Random(6)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secrets = ["".join(rng.choice(alnum) for _ in range(n)) for n in (36, 40, 48, 64, 100)]
+    writing = ["thisisaverylongordinarysentencewithoutspaces", "abcdefghijklmnopqrstuvwxyz", "aaaaaaaaaaaaaaaaaaaaaaaa",
+               "path/to/some/long/directory-name", "Donaudampfschifffahrtsgesellschaft", "0123456789012345678901234",
+               "internationalization_of_user_interfaces", "------------------------------"]
+    rows = [(i, f"é see {t} here") for i, t in enumerate(secrets + writing)]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (_, text) in enumerate(rows):
+        assert got[i] == (f"random:6:{len(text) - 5}" if i < len(secrets) else ""), text
+
+
+def test_normal_tail(spark):
+    import math
+
+    from pyspark.sql import functions as F
+    zs = [-8.0, -3.0, -0.5, 0.0, 0.7, 2.0, 4.9, 5.1, 9.0]
+    rows = spark.createDataFrame([(z,) for z in zs], "z double").select("z", secret_scan.normal_tail(F.col("z")).alias("p"))
+    for r in rows.collect():
+        want = math.erfc(r["z"] / math.sqrt(2)) / 2
+        assert abs(r["p"] - want) <= max(2e-7 if abs(r["z"]) <= 5 else 0, 0.02 * want)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    assert secret_scan.scan(odd_docs).count() == odd_docs.count()
+    assert secret_scan.scan(no_docs).count() == 0
+
+
+def test_no_python_in_the_plan(docs):
+    plan = secret_scan.scan(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
