@@ -41,7 +41,7 @@ def main():
     t0 = time.time()
     # independent input tables are derived as concurrent Spark jobs
     from concurrent.futures import ThreadPoolExecutor
-    jobs = [lambda v=v: getattr(t, v)() for v in INPUT_VIEWS] + [lambda: t.item_sim(max_gap=2, alt=True)]
+    jobs = [lambda v=v: getattr(t, v)() for v in INPUT_VIEWS] + [lambda: t.item_sim(alt=True)]
     with ThreadPoolExecutor(max_workers=4) as pool:
         for f in [pool.submit(j) for j in jobs]:
             f.result()

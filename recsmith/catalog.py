@@ -165,7 +165,7 @@ from recsmith.plans import by_liked  # noqa: E402
 def liked_inputs(t: Tables) -> by_liked.LikedInputs:
     return by_liked.LikedInputs(
         active=t.active(), play=t.play(), subs=t.subscriptions(), pair_block=t.pair_block(), sim=t.item_sim(),
-        sim_alt=t.item_sim(max_gap=2, alt=True), quality=t.quality(), profile=t.profile(),
+        sim_alt=t.item_sim(alt=True), arm_exception=t.arm_exception(), quality=t.quality(), profile=t.profile(),
         blocklist=t.blocklist(), first_block=t.first_block(), gated=t.gated(), segment=t.segment(),
         visited=t.visited(), impressions=t.impressions(), new_song_weight=t.new_song_weight(),
         item_feat=t.item_features(), rate=t.rate_by_liked(), user_aff=t.user_affinity(),

@@ -131,22 +131,20 @@ def q_restricted_lookup(spark, d):
     FROM v_events"""))
 def q_calendar_cap(spark, d):
     e = Tables(spark, d).events()
-    return e.select(F.to_date("ts").alias("day"),
-                    F.when(F.dayofmonth("ts") % 3 == 1, 4).otherwise(2).alias("max_impress")).distinct()
+    return e.select(F.to_date("ts").alias("day")).distinct().select("day", S.calendar_cap(F.col("day")).alias("max_impress"))
 
 
 # ---------------------------------------------------------------- readers / sinks
 
 
-@register("packed_list_explode", sql(["v_seed_item"], f"""
+@register("packed_list_explode", sql(["v_seed_item"], """
     SELECT seed, CAST(split_part(e, ':', 1) AS BIGINT) AS item,
            round(CAST(split_part(e, ':', 2) AS BIGINT) / 1000000.0, 6) AS score, pos
     FROM (SELECT seed, unnest(string_split(packed, ',')) AS e,
                  generate_subscripts(string_split(packed, ','), 1) - 1 AS pos
           FROM (SELECT seed, string_agg(CAST(item AS VARCHAR) || ':' ||
                                         CAST(CAST(round(sim * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY pos) AS packed
-                FROM v_seed_item GROUP BY seed))
-    WHERE pos < {P.PACKED_LIST_MAX}"""))
+                FROM v_seed_item GROUP BY seed))"""))
 def q_packed_list_explode(spark, d):
     si = Tables(spark, d).seed_item()
     val = F.round(F.col("sim") * 1000000).cast("long")
@@ -248,9 +246,8 @@ def _report_lines_sql():
 def q_conversion_lines(spark, d):
     """SNK-03: ``alg#subs#clicks#rate`` report lines (rate to 6 places)."""
     from recsmith.plans import conversion as conv
-    r = conv.conversion_report(Tables(spark, d).clicklog())
-    return r.select(F.concat_ws("#", "alg", F.col("subs").cast("string"), F.col("clicks").cast("string"),
-                                F.format_string("%.6f", F.round("rate", 6))).alias("value"))
+    from recsmith.operators import report as R
+    return R.report_lines(conv.conversion_report(Tables(spark, d).clicklog()))
 
 
 def _rec_lines_sql():
@@ -305,11 +302,11 @@ def q_engaged_seed(spark, d):
 
 @register("arm_lookup", sql(OC.LIKED_VIEWS, """
     SELECT "user", seed, count(*) AS n_items, round(sum(sim), 6) AS sim_sum FROM exp GROUP BY "user", seed""",
-                            OC.liked_chain()[:6]))
+                            OC.liked_chain()[:7]))
 def q_arm_lookup(spark, d):
     t = Tables(spark, d)
     sd = by_liked.seeds(liked_inputs(t), AS_OF, P.ACTIVE_DAYS_P4)
-    exp = RC.arm_lookup(sd, t.item_sim(), t.item_sim(max_gap=2, alt=True))
+    exp = RC.arm_lookup(sd, t.item_sim(), t.item_sim(alt=True))
     return exp.groupBy("user", "seed").agg(F.count(F.lit(1)).alias("n_items"), r6(F.sum("sim")).alias("sim_sum"))
 
 
@@ -386,7 +383,7 @@ def q_treatment_blend(spark, d):
     c = X.with_pay(_p2(t)["cand"], t.pay())
     treated = S.in_treatment(F.col("user"), P.DIVISOR, P.REMAINDER)
     boost = S.pay_boost(F.col("money"), F.col("click"), *P.PAY_P2)
-    s = F.col("score") * P.BLEND_P2P4 + P.MISSING_ITEM_SCORE + F.when(treated, boost).otherwise(0.0)
+    s = S.blended(F.col("score"), F.lit(P.MISSING_ITEM_SCORE), P.BLEND_P2P4, treated, boost)
     return c.select("user", "item", treated.alias("treated"), r6(s).alias("score"))
 
 

@@ -13,6 +13,20 @@ from pyspark.sql import functions as F
 from recsmith import params as P
 
 
+FIXED_SCALE = float(1 << 30)  # sums of scores are taken over whole multiples of 1 / FIXED_SCALE
+
+
+def fixed(x: Column) -> Column:
+    """``x`` in whole units of 1 / FIXED_SCALE."""
+    return F.round(x * FIXED_SCALE).cast("decimal(28,0)")
+
+
+def fixed_sum(x: Column) -> Column:
+    """Sum that does not depend on the order of the rows: equal addends in any order (and in
+    any number of partitions) give the same double, so ties stay ties."""
+    return F.sum(fixed(x)).cast("double") / FIXED_SCALE
+
+
 def sigmoid(x: Column) -> Column:
     """FN-01: 1 / (1 + e^-x)."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
@@ -153,9 +167,18 @@ def half_up(x: Column, scale: int = 4) -> Column:
 
 
 def max_impress(as_of) -> Column:
+    """FN-22 for a fixed run date."""
+    return calendar_cap(as_of_date(as_of))
+
+
+def calendar_cap(day: Column) -> Column:
     """FN-22: 4 when day-of-month % 3 == 1, else 2."""
-    d = F.dayofmonth(as_of_date(as_of))
-    return F.when(d % 3 == 1, F.lit(4)).otherwise(F.lit(2))
+    return F.when(F.dayofmonth(day) % 3 == 1, F.lit(4)).otherwise(F.lit(2))
+
+
+def blended(recall: Column, model: Column, blend: float, treated: Column, boost: Column) -> Column:
+    """FN-09 / FN-11: recall * blend + model score, plus the monetisation boost in the treatment arm."""
+    return recall * blend + model + F.when(treated, boost).otherwise(F.lit(0.0))
 
 
 def nonfinite_pay(money: Column, click: Column, money_w: float, click_w: float) -> Column:

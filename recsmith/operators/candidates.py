@@ -6,8 +6,7 @@ rows only) -> budget (computed on capped eligible rows) -> merge.
 
 Scale notes: ``row_number() <= k`` filters are planned by Spark with a
 ``WindowGroupLimit`` on both sides of the exchange, so a hot (user,seed) or
-user is cut to k rows map-side before the shuffle.  The budget needs the full
-per-user order of capped rows, which is bounded by n_seeds * cap.
+user is cut to k rows map-side before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,6 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recsmith.functions.scoring import fixed_sum
+
+BLOCK = 32  # list positions of one block of the bounded expansion
+
 
 def distributed_rank(df: DataFrame, part, order, name: str = "i", count_col: str | None = None) -> DataFrame:
     """0-based rank within ``part`` by ``order`` without putting a whole group in one task.
@@ -68,11 +71,17 @@ def per_seed_cap(rows: DataFrame, k_few: int, k_many: int | None = None, many_at
 
 def budget_cut(capped: DataFrame, budget: int) -> DataFrame:
     """(user, _cut): the seed rank at which the user's distinct items reach ``budget``
-    (users that never reach it have no row)."""
+    (users that never reach it have no row).
+
+    Every seed with a fresh item adds at least one, so the crossing seed is among the first
+    ``budget`` of them: the rank filter (a group limit before the shuffle) is exact and
+    bounds the running sum to ``budget`` rows per user."""
     firsts = capped.groupBy("user", "item").agg(F.min("i").alias("_fi"))
     per_seed = firsts.groupBy("user", "_fi").agg(F.count(F.lit(1)).alias("_f"))
-    upto = Window.partitionBy("user").orderBy("_fi").rowsBetween(Window.unboundedPreceding, 0)
-    return (per_seed.withColumn("_cum", F.sum("_f").over(upto)).where(F.col("_cum") >= budget)
+    by_rank = Window.partitionBy("user").orderBy("_fi")
+    first = per_seed.withColumn("_rn", F.row_number().over(by_rank)).where(F.col("_rn") <= budget)
+    upto = by_rank.rowsBetween(Window.unboundedPreceding, 0)
+    return (first.withColumn("_cum", F.sum("_f").over(upto)).where(F.col("_cum") >= budget)
             .groupBy("user").agg(F.min("_fi").alias("_cut")))
 
 
@@ -101,8 +110,8 @@ def merge_max(rows: DataFrame, score_col: str = "score") -> DataFrame:
 
 
 def merge_sum(rows: DataFrame, score_col: str = "score") -> DataFrame:
-    """AGG-05: one row per (user,item), summed score over seeds."""
-    return rows.groupBy("user", "item").agg(F.sum(score_col).alias("score"))
+    """AGG-05: one row per (user,item), summed score over seeds (independent of row order)."""
+    return rows.groupBy("user", "item").agg(fixed_sum(F.col(score_col)).alias("score"))
 
 
 def reason_caps(df: DataFrame, per_reason: int, total: int, reason: str = "src") -> DataFrame:
@@ -119,74 +128,69 @@ def distinct_reasons(df: DataFrame, reason: str = "src") -> DataFrame:
 
 
 def renumber(lists: DataFrame, keys, keep=None, gated: DataFrame | None = None,
-             bounded: bool = True) -> DataFrame:
+             limits: DataFrame | None = None) -> DataFrame:
     """Positions of list entries after user-independent drops (``pos`` is unique per list).
 
     ``keep``: optional DataFrame of items that may appear (others are removed, e.g.
-    quality gate, blocklist).  Adds ``fpos`` (0-based position among kept entries) and,
-    with ``gated``, ``gpos`` (position among kept non-gated entries; null for gated
-    entries) plus the ``gated`` flag.  Lists are bounded (packed lists hold at most
-    ``PACKED_LIST_MAX`` entries), so the per-list window stays small even for a hot key;
-    ``bounded=False`` (lists of any length) ranks with ``distributed_rank`` instead.
+    quality gate, blocklist).  A list comes back in variants, each numbered on its own
+    (``fpos``, 0-based) with the distributed rank, so no list is ever in one task:
+
+    * without ``gated`` and ``limits``: variant -1, all kept entries;
+    * ``gated`` (items): variant 1 (segment members) all kept entries, variant 0 the
+      entries that are not gated;
+    * ``limits`` (max_days): variant -1 all kept entries, and one variant per distinct
+      limit holding the entries whose ``create_days`` are within it.
     """
     x = lists
+    keys = [keys] if isinstance(keys, str) else list(keys)
     if keep is not None:
         x = x.join(keep.select("item").distinct(), "item", "left_semi")
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if not bounded:
-        x = distributed_rank(x, keys, [F.col("pos")], name="fpos")
-        if gated is None:
-            return x.withColumn("gated", F.lit(False)).withColumn("gpos", F.col("fpos"))
-        g = gated.select("item").distinct().withColumn("gated", F.lit(True))
-        x = x.join(g, "item", "left").withColumn("gated", F.coalesce("gated", F.lit(False)))
-        open_rows = distributed_rank(x.where(~F.col("gated")).select(*keys, "pos"), keys, [F.col("pos")],
-                                     name="gpos")
-        return x.join(open_rows, keys + ["pos"], "left")
-    w = Window.partitionBy(*keys).orderBy("pos")
-    x = x.withColumn("fpos", (F.row_number().over(w) - 1).cast("long"))
-    if gated is None:
-        return x.withColumn("gated", F.lit(False)).withColumn("gpos", F.col("fpos"))
-    g = gated.select("item").distinct().withColumn("gated", F.lit(True))
-    x = x.join(g, "item", "left").withColumn("gated", F.coalesce("gated", F.lit(False)))
-    ng = F.sum(F.when(F.col("gated"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    return x.withColumn("gpos", F.when(F.col("gated"), F.lit(None)).otherwise(ng).cast("long"))
+    if gated is not None:
+        g = gated.select("item").distinct().withColumn("_gated", F.lit(True))
+        open_to = F.when(F.col("_gated"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(0)))
+        x = x.join(g, "item", "left").withColumn("variant", F.explode(open_to)).drop("_gated")
+    elif limits is not None:
+        # the distinct limits are days: a handful of numbers, brought in as one scalar array
+        days = limits.agg(F.collect_set(F.col("max_days").cast("int")).alias("d")).scalar()
+        x = x.withColumn("variant", F.explode(F.concat(F.array(F.lit(-1)), days)))
+        x = x.where((F.col("variant") == -1) | (F.col("create_days") <= F.col("variant")))
+    else:
+        x = x.withColumn("variant", F.lit(-1))
+    return distributed_rank(x, keys + ["variant"], [F.col("pos")], name="fpos")
 
 
 def bounded_expansion(user_keys: DataFrame, lists: DataFrame, keys, cap: "F.Column",
                       excl_pairs: DataFrame, members: DataFrame | None = None,
-                      unbounded_users: DataFrame | None = None) -> DataFrame:
+                      limits: DataFrame | None = None) -> DataFrame:
     """Exact pruning of the user x list expansion before the per-list cap.
 
     A user with E excluded (user,item) pairs and cap K can only keep entries whose
-    position among the entries open to that user is < K + E: that prefix holds at
-    most E excluded entries, so the first K eligible ones lie inside it.  Entries open
-    to a user are all kept entries for segment members, the non-gated ones otherwise
-    (gated entries are dropped for non-members right here).  ``unbounded_users`` (users
-    with extra per-user rules, e.g. an age limit) get no bound.
-
-    The join is an equi-join on ``key`` whose extra condition is evaluated inside the
-    join, so the unpruned expansion is never materialised.
+    position among the entries open to that user is < K + E: that prefix holds at most E
+    excluded entries, so the first K eligible ones lie inside it.  The entries open to a
+    user are one variant of the list (see ``renumber``): by segment membership
+    (``members``) or by the user's age limit (``limits``: user, max_days).
+
+    Lists are cut into blocks of ``BLOCK`` positions and a user row asks for the blocks
+    below its bound (and within the list), so the join is an equi-join on (key, variant,
+    block): the pairs compared are at most bound + BLOCK per user and key, and a hot list
+    is spread over its blocks.
     """
     ne = excl_pairs.groupBy("user").agg(F.count(F.lit(1)).alias("_ne"))
-    u = user_keys.join(ne, "user", "left").withColumn("_bound", cap + F.coalesce("_ne", F.lit(0)))
+    u = user_keys.join(ne, "user", "left").withColumn("_bound", cap + F.coalesce("_ne", F.lit(0))).drop("_ne")
     if members is not None:
         u = u.join(members.select("user").distinct().withColumn("_member", F.lit(True)), "user", "left")
-        u = u.withColumn("_member", F.coalesce("_member", F.lit(False)))
+        u = u.withColumn("variant", F.coalesce(F.col("_member"), F.lit(False)).cast("int")).drop("_member")
+    elif limits is not None:
+        u = u.join(limits.select("user", F.col("max_days").cast("int").alias("_days")), "user", "left")
+        u = u.withColumn("variant", F.coalesce("_days", F.lit(-1))).drop("_days")
     else:
-        u = u.withColumn("_member", F.lit(True))
-    if unbounded_users is not None:
-        u = (u.join(unbounded_users.select("user").distinct().withColumn("_free", F.lit(True)), "user", "left")
-             .withColumn("_bound", F.when(F.col("_free"), F.lit(None)).otherwise(F.col("_bound")))
-             .drop("_free"))
-    u = u.drop("_ne")
+        u = u.withColumn("variant", F.lit(-1))
     keys = [keys] if isinstance(keys, str) else list(keys)
-    cond = None
-    for k in keys:
-        c = u[k] == lists[k]
-        cond = c if cond is None else cond & c
-    open_pos = F.when(u["_member"], lists["fpos"]).otherwise(lists["gpos"])
-    cond = cond & open_pos.isNotNull() & (u["_bound"].isNull() | (open_pos < u["_bound"]))
-    out = u.join(lists, cond)
-    for k in keys:
-        out = out.drop(lists[k])
-    return out.drop("_member", "_bound", "fpos", "gpos", "gated")
+    on = keys + ["variant"]
+    length = lists.groupBy(*on).agg((F.max("fpos") + 1).alias("_len"))
+    u = u.join(length, on)  # a key without a list (in this variant) ends here
+    last = F.floor((F.least("_bound", "_len") - 1) / BLOCK).cast("long")
+    u = u.where(F.col("_bound") > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    blocks = lists.withColumn("_block", F.floor(F.col("fpos") / BLOCK).cast("long"))
+    return (u.join(blocks, on + ["_block"]).where(F.col("fpos") < F.col("_bound"))
+            .drop("variant", "_block", "_bound", "_len", "fpos"))

@@ -2,8 +2,8 @@
 (JOIN-07, JOIN-10, JOIN-11, FN-07 inputs).
 
 Lookups are plain left joins; the planner (with AQE) broadcasts those that
-are small at runtime and keeps the large ones shuffled.  Item-side lookups
-are first restricted to candidate items (FLT-19) so the join inputs shrink.
+are small at runtime and keeps the large ones shuffled.  Candidates are unique by
+(user, item), so no lookup needs a distinct before it.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith import params as P
+from recsmith.functions.scoring import FIXED_SCALE, fixed
 from recsmith.operators.filters import affinity_threshold
 
 
@@ -22,26 +23,36 @@ def with_rate(cand: DataFrame, rate: DataFrame, default: float, src_col: str = "
     return j.drop(r["item"]).drop("_src").withColumn("rate", F.coalesce("_rate", F.lit(default))).drop("_rate")
 
 
-def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
-                 ignored=P.AFFINITY_IGNORED) -> DataFrame:
-    """JOIN-11: (user,item,lan,style) = sum of user ratio * item ratio per kind, after FLT-16."""
-    ua = affinity_threshold(user_aff, ignored=ignored).select("user", "kind", "tag", F.col("ratio").alias("u"))
-    pairs = cand.select("user", "item").distinct()
-    ia = item_aff.select("item", "kind", "tag", F.col("ratio").alias("v"))
-    # candidate -> the item's own tags -> the user's ratio for that tag: every step is an
-    # equi-join, rows grow with candidates x tags per item (never candidates x user tags)
-    j = pairs.join(ia, "item").join(ua, ["user", "kind", "tag"])
-    return j.groupBy("user", "item").agg(
-        F.sum(F.when(F.col("kind") == "lan", F.col("u") * F.col("v")).otherwise(0.0)).alias("lan"),
-        F.sum(F.when(F.col("kind") == "style", F.col("u") * F.col("v")).otherwise(0.0)).alias("style"))
+def packed_affinity(aff: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per ``key`` with its ratios as a map from (kind, tag), as the input files hold
+    them (one line of a few tags per user or item)."""
+    entry = F.struct(F.struct("kind", "tag"), "ratio")
+    return aff.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
 
 
 def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
                   ignored=P.AFFINITY_IGNORED) -> DataFrame:
-    d = affinity_dot(cand, user_aff, item_aff, ignored)
-    return (cand.join(d, ["user", "item"], "left")
-            .withColumn("lan", F.coalesce("lan", F.lit(0.0)))
-            .withColumn("style", F.coalesce("style", F.lit(0.0))))
+    """JOIN-11: ``lan`` and ``style``: the sum over tags of user ratio x item ratio, after FLT-16.
+
+    Two lookups (the user's map, the item's map) and a sum inside the row; the sum runs
+    over whole units, so it does not depend on the order of the tags."""
+    ua = packed_affinity(affinity_threshold(user_aff, ignored=ignored), "user", "_ua")
+    j = cand.join(ua, "user", "left").join(packed_affinity(item_aff, "item", "_ia"), "item", "left")
+
+    def dot(kind: str) -> F.Column:
+        own = F.filter(F.map_keys("_ia"), lambda k: k["kind"] == kind)
+        units = F.aggregate(own, F.lit(0).cast("decimal(38,0)"), lambda a, k: (a + F.coalesce(
+            fixed(F.element_at("_ua", k) * F.element_at("_ia", k)), F.lit(0))).cast("decimal(38,0)"))
+        return F.coalesce(units.cast("double") / FIXED_SCALE, F.lit(0.0))
+
+    return j.withColumn("lan", dot("lan")).withColumn("style", dot("style")).drop("_ua", "_ia")
+
+
+def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
+                 ignored=P.AFFINITY_IGNORED) -> DataFrame:
+    """(user,item,lan,style) of the candidates that share a tag with their user."""
+    pairs = with_affinity(cand.select("user", "item"), user_aff, item_aff, ignored)
+    return pairs.where((F.col("lan") != 0) | (F.col("style") != 0))
 
 
 def with_features(cand: DataFrame, user_feat: DataFrame | None, item_feat: DataFrame) -> DataFrame:
@@ -51,13 +62,11 @@ def with_features(cand: DataFrame, user_feat: DataFrame | None, item_feat: DataF
         out = out.join(user_feat.select("user", "feats"), "user", "left")
     else:
         out = out.withColumn("feats", F.lit(None).cast("array<int>"))
-    ib = item_feat.select("item", "bits").join(cand.select("item").distinct(), "item", "left_semi")
-    return out.join(ib, "item", "left")
+    return out.join(item_feat.select("item", "bits"), "item", "left")
 
 
 def with_pay(cand: DataFrame, pay: DataFrame) -> DataFrame:
-    p = pay.select("item", "money", "click").join(cand.select("item").distinct(), "item", "left_semi")
-    return cand.join(p, "item", "left")
+    return cand.join(pay.select("item", "money", "click"), "item", "left")
 
 
 def item_width_check(item_feat: DataFrame, expected: int) -> None:

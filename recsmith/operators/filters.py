@@ -1,9 +1,7 @@
 """Row restrictions and exclusions (FLT-*, SET-*), DataFrame in -> DataFrame out.
 
 Exclusions are left-anti joins on (user,item) or item; restrictions are
-left-semi joins.  A user-independent item set is broadcast only after its row
-count has been checked against ``max_broadcast_rows``; beyond it the join
-stays a shuffled one (and AQE may still convert it from runtime sizes).
+left-semi joins.  Join strategies are left to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -14,14 +12,6 @@ from pyspark.sql import functions as F
 from recsmith import params as P
 from recsmith.functions.scoring import as_of_date, midnight_threshold
 
-MAX_BROADCAST_ROWS = 2_000_000  # item ids: ~16 MB of keys
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows (checked, bounded count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def active_users(active: DataFrame, as_of, days: int) -> DataFrame:
     """FLT-08: users whose last activity is at or after midnight(as_of) - days."""
@@ -58,9 +48,9 @@ def exclude_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
     return df.join(pairs.select("user", "item"), ["user", "item"], "left_anti")
 
 
-def exclude_items(df: DataFrame, items: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """FLT-12: left-anti on item; the item set is broadcast after a size check."""
-    return df.join(broadcast_if_small(items.select("item").distinct(), max_broadcast_rows), "item", "left_anti")
+def exclude_items(df: DataFrame, items: DataFrame) -> DataFrame:
+    """FLT-12: left-anti on item."""
+    return df.join(items.select("item"), "item", "left_anti")
 
 
 def first_n(ordered: DataFrame, n: int = P.FIRST_BLOCK_N) -> DataFrame:
@@ -158,22 +148,25 @@ def impression_log_filter(lines: DataFrame, marker: str = P.IMPRESSION_MARKER) -
     """FLT-05: impression rows carry ``marker``; user = abs(column 2), item = column 3."""
     cols = F.split("value", "\t")
     return (lines.where(F.col("value").contains(marker))
-            .select(F.abs(F.element_at(cols, 3).try_cast("long")).alias("user"),
-                    F.element_at(cols, 4).try_cast("long").alias("item"))
+            .select(normal_user(F.get(cols, F.lit(2))).alias("user"),
+                    F.get(cols, F.lit(3)).try_cast("long").alias("item"))
             .where(F.col("user").isNotNull() & F.col("item").isNotNull()))
 
 
-def normalise_user(df: DataFrame, col: str = "user") -> DataFrame:
-    """FLT-06: one sign normaliser for user ids, applied to every input (Q-11)."""
-    return df.withColumn(col, F.abs(F.col(col)))
+def normal_user(user: Column) -> Column:
+    """FLT-06: the one sign rule for user ids of any input (Q-11); unparsable -> null."""
+    return F.abs(user.try_cast("long"))
 
 
 def play_log(lines: DataFrame) -> DataFrame:
-    """FLT-03: ``action,user,id,type,source,...`` play rows -> (user, item, score 0.05, priority 1)."""
+    """FLT-03: ``action, user, song, type, source, list, ...`` play rows (tab-separated) ->
+    (user, item, score 0.05, priority 1); the item is the list that was played from
+    (column 5), the user id loses its sign."""
     c = F.split("value", "\t")
-    action, user, item = F.element_at(c, 1), F.element_at(c, 2).try_cast("long"), F.element_at(c, 3)
-    typ, source = F.element_at(c, 4), F.element_at(c, 5)
-    ok = valid_play(action, typ, source, F.coalesce(user, F.lit(0)), F.coalesce(item, F.lit("")))
+    at = lambda n: F.get(c, F.lit(n))
+    user, item = normal_user(at(1)), at(5)
+    ok = valid_play(at(0), at(3), at(4), F.coalesce(user, F.lit(0)), F.coalesce(item, F.lit("")))
     return (lines.where(ok)
-            .select(F.abs(user).alias("user"), item.cast("long").alias("item"),
-                    F.lit(P.LOG_PLAY_SCORE).alias("score"), F.lit(1).alias("priority")))
+            .select(user.alias("user"), item.try_cast("long").alias("item"),
+                    F.lit(P.LOG_PLAY_SCORE).alias("score"), F.lit(1).alias("priority"))
+            .where(F.col("item").isNotNull()))

@@ -39,20 +39,34 @@ def engaged_seeds(play: DataFrame, subs: DataFrame) -> DataFrame:
             .select("user", F.col("item").alias("seed"), "score"))
 
 
-def arm_lookup(seeds: DataFrame, sim_base: DataFrame, sim_alt: DataFrame) -> DataFrame:
-    """JOIN-03: the seed needs a base list; odd users read the base list, even users the
-    alternative one (dropped when the seed has none).  Output: expansion rows."""
-    base_keys = sim_base.select(F.col("item").alias("seed")).distinct()
-    s = seeds.join(base_keys, "seed", "left_semi")
+def arm_lists(sim_base: DataFrame, sim_alt: DataFrame) -> DataFrame:
+    """The lists of both arms: (seed, _odd, item, sim, pos)."""
+    def one(sim, odd):
+        return sim.select(F.col("item").alias("seed"), F.lit(odd).alias("_odd"), F.col("item2").alias("item"), "sim", "pos")
+    return one(sim_base, True).unionByName(one(sim_alt, False))
+
+
+def arm_seeds(seeds: DataFrame, sim_base: DataFrame, sim_alt: DataFrame,
+              exceptions: DataFrame | None = None) -> DataFrame:
+    """JOIN-03, seed side: odd users (but for the ``exceptions``) belong to the base arm
+    (``_odd``), all others to the alternative one.  A seed without a base list is dropped, and
+    so is one without the list of its user's arm."""
     odd = F.col("user") % 2 == 1
-    base = sim_base.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim", "pos",
-                           F.lit(True).alias("_odd"))
-    alt = sim_alt.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim", "pos",
-                         F.lit(False).alias("_odd"))
-    lists = base.unionByName(alt)
-    extra = [c for c in s.columns if c in ("i", "n_seeds")]
-    sw = s.select("user", "seed", F.col("score").alias("seed_score"), *extra, odd.alias("_odd"))
-    return sw.join(lists, ["seed", "_odd"]).drop("_odd")
+    s = seeds
+    if exceptions is not None:
+        s = s.join(exceptions.select("user").distinct().withColumn("_except", F.lit(True)), "user", "left")
+        odd = odd & F.col("_except").isNull()
+    s = s.withColumn("_odd", odd)
+    s = s.select(*seeds.columns, "_odd")
+    base = sim_base.select(F.col("item").alias("seed")).distinct()
+    lists = base.withColumn("_odd", F.lit(True)).unionByName(
+        sim_alt.select(F.col("item").alias("seed")).distinct().withColumn("_odd", F.lit(False)))
+    return s.join(base, "seed", "left_semi").join(lists, ["seed", "_odd"], "left_semi")
+
+
+def arm_lookup(seeds: DataFrame, sim_base: DataFrame, sim_alt: DataFrame) -> DataFrame:
+    """JOIN-03: seeds of ``arm_seeds`` with the entries of their arm's list."""
+    return seeds.join(arm_lists(sim_base, sim_alt), ["seed", "_odd"]).drop("_odd")
 
 
 def reason_argmax_sim(expansion: DataFrame) -> DataFrame:

@@ -99,10 +99,10 @@ def rate_report(stats: DataFrame, credited: DataFrame, extra_keys=()) -> DataFra
 
 
 def report_lines(report: DataFrame) -> DataFrame:
-    """SNK-03 text layout ``alg#subs#clicks#rate``."""
+    """SNK-03 text layout ``alg#subs#clicks#rate`` (rate to 6 places)."""
     return report.select(F.concat_ws("#", "alg", F.col("subs").cast("string"),
                                      F.col("clicks").cast("string"),
-                                     F.col("rate").cast("float").cast("string")).alias("value"))
+                                     F.format_string("%.6f", F.round("rate", 6))).alias("value"))
 
 
 def packed_user_lines(per_user: DataFrame) -> DataFrame:

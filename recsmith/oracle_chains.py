@@ -7,6 +7,7 @@ a final SELECT, so operator-level queries can stop at any stage of a chain.
 from __future__ import annotations
 
 from recsmith import params as P
+from recsmith.oracle_views import fixed_sum
 
 AS_OF_DATE = "DATE '2024-01-31'"
 
@@ -55,8 +56,8 @@ SEED_VIEWS = ["v_active", "v_user_seed", "v_seed_item", "v_visited", "v_impress"
 def aff_cte(cand: str = "cand") -> str:
     return f"""
         SELECT c."user", c.item,
-               sum(CASE WHEN ua.kind = 'lan' THEN ua.ratio * ia.ratio ELSE 0.0 END) AS lan,
-               sum(CASE WHEN ua.kind = 'style' THEN ua.ratio * ia.ratio ELSE 0.0 END) AS style
+               {fixed_sum("CASE WHEN ua.kind = 'lan' THEN ua.ratio * ia.ratio ELSE 0.0 END")} AS lan,
+               {fixed_sum("CASE WHEN ua.kind = 'style' THEN ua.ratio * ia.ratio ELSE 0.0 END")} AS style
         FROM (SELECT DISTINCT "user", item FROM {cand}) c
         JOIN v_user_aff ua ON ua."user" = c."user" AND ua.ratio > {P.AFFINITY_MIN}
              AND NOT (ua.kind = 'style' AND ua.tag IN ('unknow', 'null'))
@@ -73,7 +74,8 @@ def seed_chain(active_days=P.ACTIVE_DAYS_P2, window=P.IMPRESS_WINDOW_P2, mi=None
         ("us", """SELECT "user", seed, score AS seed_score,
                     row_number() OVER (PARTITION BY "user" ORDER BY score DESC, seed) - 1 AS i,
                     count(*) OVER (PARTITION BY "user") AS n_seeds
-                  FROM v_user_seed WHERE "user" IN (SELECT "user" FROM au)"""),
+                  FROM v_user_seed WHERE "user" IN (SELECT "user" FROM au)
+                    AND seed IN (SELECT seed FROM v_seed_item)"""),
         ("exp", "SELECT us.*, si.item, si.sim, si.pos FROM us JOIN v_seed_item si USING (seed)"),
         ("src", """SELECT "user", item, seed AS src FROM (
                     SELECT "user", item, seed, row_number() OVER (PARTITION BY "user", item
@@ -168,7 +170,7 @@ def tag_chain(active_days=P.ACTIVE_DAYS_P3, window=P.IMPRESS_WINDOW_P3, mi=None,
         ("reason", """SELECT "user", item, tag AS src FROM (SELECT "user", item, tag,
                         row_number() OVER (PARTITION BY "user", item ORDER BY tag_pos) AS rn FROM capped)
                       WHERE rn = 1"""),
-        ("merged", """SELECT "user", item, sum(pref * quality) AS score FROM capped GROUP BY "user", item"""),
+        ("merged", f"""SELECT "user", item, {fixed_sum("pref * quality")} AS score FROM capped GROUP BY "user", item"""),
         ("cand", f"""SELECT m."user", m.item, r.src,
                        (CASE WHEN coalesce(n.new_song_weight, 0.0) > 1
                                   AND coalesce(CAST(trunc(({P.AS_OF_EPOCH} - p.avg_pub_time) / 86400) AS INTEGER), 100)
@@ -211,7 +213,7 @@ def tag_chain(active_days=P.ACTIVE_DAYS_P3, window=P.IMPRESS_WINDOW_P3, mi=None,
     ]
 
 
-LIKED_VIEWS = ["v_active", "v_play", "v_sub", "v_pair_block", "v_item_sim", "v_item_sim_alt", "v_quality",
+LIKED_VIEWS = ["v_active", "v_play", "v_sub", "v_pair_block", "v_arm_except", "v_item_sim", "v_item_sim_alt", "v_quality",
                "v_profile", "v_block", "v_first_block", "v_gated", "v_segment", "v_visited", "v_impress",
                "v_new_song_weight", "v_item_feat", "v_rate_liked", "v_user_aff", "v_item_aff", "v_pay",
                "v_weights"]
@@ -228,14 +230,17 @@ def liked_chain(active_days=P.ACTIVE_DAYS_P4, window=P.IMPRESS_WINDOW_P4, mi=Non
         ("sd", """SELECT p."user", p.item AS seed, p.score FROM pl p
                   WHERE EXISTS (SELECT 1 FROM v_sub s WHERE s."user" = p."user" AND s.item = p.item)
                     AND NOT EXISTS (SELECT 1 FROM v_pair_block b WHERE b."user" = p."user" AND b.item = p.item)"""),
-        ("rs", """SELECT "user", seed, score AS seed_score,
+        ("armed", """SELECT s.*, s."user" % 2 = 1 AND s."user" NOT IN (SELECT "user" FROM v_arm_except) AS odd FROM sd s"""),
+        # a seed without a base list, or without the list of the user's arm, never gets a rank
+        ("rs", """SELECT "user", seed, odd, score AS seed_score,
                     row_number() OVER (PARTITION BY "user" ORDER BY score DESC, seed) - 1 AS i,
-                    count(*) OVER (PARTITION BY "user") AS n_seeds FROM sd"""),
+                    count(*) OVER (PARTITION BY "user") AS n_seeds FROM armed
+                  WHERE seed IN (SELECT item FROM v_item_sim)
+                    AND (odd OR seed IN (SELECT item FROM v_item_sim_alt))"""),
         ("lists", """SELECT item AS seed, item2 AS item, sim, pos, true AS odd FROM v_item_sim
                      UNION ALL SELECT item AS seed, item2 AS item, sim, pos, false AS odd FROM v_item_sim_alt"""),
         ("exp", """SELECT rs.*, l.item, l.sim, l.pos FROM rs
-                   JOIN lists l ON l.seed = rs.seed AND l.odd = (rs."user" % 2 = 1)
-                   WHERE rs.seed IN (SELECT item FROM v_item_sim)"""),
+                   JOIN lists l ON l.seed = rs.seed AND l.odd = rs.odd"""),
         ("src", """SELECT "user", item, seed AS src FROM (SELECT "user", item, seed, row_number() OVER
                      (PARTITION BY "user", item ORDER BY sim DESC, seed) AS rn FROM exp) WHERE rn = 1"""),
         ("ci", "SELECT item FROM v_item_sim UNION SELECT item2 AS item FROM v_item_sim"),
@@ -258,8 +263,7 @@ def liked_chain(active_days=P.ACTIVE_DAYS_P4, window=P.IMPRESS_WINDOW_P4, mi=Non
                       ORDER BY i RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM fr)
                     WHERE before < {budget}"""),
         ("merged", f"""SELECT b."user", b.item,
-                         sum(b.sim / sqrt(b.i + 1) / (CASE WHEN v.score IS NOT NULL THEN {P.IMPRESS_DECAY}
-                                                         ELSE 1.0 END)) AS score
+                         {fixed_sum(f"b.sim / sqrt(b.i + 1) / (CASE WHEN v.score IS NOT NULL THEN {P.IMPRESS_DECAY} ELSE 1.0 END)")} AS score
                        FROM bud b LEFT JOIN v_visited v ON v."user" = b."user" AND v.item = b.item
                        GROUP BY b."user", b.item"""),
         ("cand", f"""SELECT m."user", m.item, s.src,

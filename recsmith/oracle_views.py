@@ -12,6 +12,22 @@ from recsmith import params as P
 AS_OF = P.AS_OF_SQL
 
 
+UNITS = "CAST(1073741824 AS DOUBLE)"
+
+
+def fixed_sum(x: str) -> str:
+    """Order-independent sum in whole units of 2^-30 (see ``functions.scoring.fixed_sum``)."""
+    return f"(CAST(sum(CAST(round(({x}) * {UNITS}) AS HUGEINT)) AS DOUBLE) / {UNITS})"
+
+
+def _share(column: str, name: str, value: str) -> str:
+    """Each user's share of spend per value of a part column."""
+    whole = f'CAST(sum(CAST(round(spend * {UNITS}) AS HUGEINT)) OVER (PARTITION BY "user") AS DOUBLE) / {UNITS}'
+    return (f'SELECT "user", {name}, spend / ({whole}) AS {value} FROM (SELECT o_custkey AS "user", {column} AS {name}, '
+            f'{fixed_sum("l_extendedprice")} AS spend FROM v_order_lines JOIN part ON l_partkey = p_partkey '
+            f'GROUP BY o_custkey, {column})')
+
+
 def _weights_sql(values) -> str:
     return "[" + ", ".join(repr(float(v)) for v in values) + "]::DOUBLE[]"
 
@@ -51,14 +67,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_user_seed": (("v_order_lines",), """
         SELECT o_custkey AS "user", l_suppkey AS seed, sum(l_quantity) AS score
         FROM v_order_lines GROUP BY o_custkey, l_suppkey"""),
-    "v_seed_item": ((), f"""
-        SELECT seed, item, sim, pos FROM (
-          SELECT seed, item, sim,
-                 row_number() OVER (PARTITION BY seed ORDER BY sim DESC, item) - 1 AS pos
-          FROM (SELECT l_suppkey AS seed, l_partkey AS item,
-                       sum(l_quantity) / sum(sum(l_quantity)) OVER (PARTITION BY l_suppkey) AS sim
-                FROM lineitem GROUP BY l_suppkey, l_partkey))
-        WHERE pos < {P.PACKED_LIST_MAX}"""),
+    "v_seed_item": ((), """
+        SELECT seed, item, sim,
+               row_number() OVER (PARTITION BY seed ORDER BY sim DESC, item) - 1 AS pos
+        FROM (SELECT l_suppkey AS seed, l_partkey AS item,
+                     sum(l_quantity) / sum(sum(l_quantity)) OVER (PARTITION BY l_suppkey) AS sim
+              FROM lineitem GROUP BY l_suppkey, l_partkey)"""),
     "v_play": (("v_order_lines", "v_events"), f"""
         SELECT o_custkey AS "user", l_partkey AS item, sum(l_quantity) AS score, 0 AS priority
         FROM v_order_lines GROUP BY o_custkey, l_partkey
@@ -69,26 +83,24 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT o_custkey AS "user", l_partkey AS item FROM v_order_lines WHERE l_returnflag <> 'R'
         UNION
         SELECT "user", item FROM v_events WHERE event_type = 'purchase'"""),
-    "v_item_sim": ((), f"""
-        SELECT * FROM (
+    "v_order_parts": ((), "SELECT DISTINCT l_orderkey, l_partkey AS item FROM lineitem"),
+    "v_together": (("v_order_parts",), """
+        SELECT p.item, p.item2, p.n, a.n AS n1, b.n AS n2
+        FROM (SELECT x.item, y.item AS item2, count(*) AS n FROM v_order_parts x
+              JOIN v_order_parts y ON x.l_orderkey = y.l_orderkey AND x.item <> y.item GROUP BY x.item, y.item) p
+        JOIN (SELECT item, count(*) AS n FROM v_order_parts GROUP BY item) a ON a.item = p.item
+        JOIN (SELECT item, count(*) AS n FROM v_order_parts GROUP BY item) b ON b.item = p.item2"""),
+    "v_item_sim": (("v_together",), """
         SELECT item, item2, sim, row_number() OVER (PARTITION BY item ORDER BY sim DESC, item2) - 1 AS pos
-        FROM (SELECT a.p_partkey AS item, b.p_partkey AS item2, 1.0 / (1.0 + abs(a.p_size - b.p_size)) AS sim
-              FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey
-                                     AND abs(a.p_size - b.p_size) <= 5))
-        WHERE pos < {P.PACKED_LIST_MAX}"""),
-    "v_item_sim_alt": ((), f"""
-        SELECT * FROM (
+        FROM (SELECT item, item2, CAST(n AS DOUBLE) / CAST(n1 AS DOUBLE) AS sim FROM v_together)"""),
+    "v_item_sim_alt": (("v_together",), """
         SELECT item, item2, sim, row_number() OVER (PARTITION BY item ORDER BY sim DESC, item2) - 1 AS pos
-        FROM (SELECT a.p_partkey AS item, b.p_partkey AS item2, 1.0 - abs(a.p_size - b.p_size) / 10.0 AS sim
-              FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey
-                                     AND abs(a.p_size - b.p_size) <= 2
-              WHERE a.p_type <> 'STANDARD'))
-        WHERE pos < {P.PACKED_LIST_MAX}"""),
-    "v_user_tag": (("v_order_lines",), """
+        FROM (SELECT item, item2, CAST(n AS DOUBLE) / CAST(n2 AS DOUBLE) AS sim FROM v_together
+              JOIN part ON p_partkey = item WHERE p_type <> 'STANDARD')"""),
+    "v_arm_except": ((), 'SELECT c_custkey AS "user" FROM customer WHERE c_nationkey = 1'),
+    "v_user_tag": (("v_order_lines",), f"""
         SELECT "user", tag, pref, row_number() OVER (PARTITION BY "user" ORDER BY pref DESC, tag) - 1 AS pos
-        FROM (SELECT o_custkey AS "user", p_brand AS tag,
-                     sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY o_custkey) AS pref
-              FROM v_order_lines JOIN part ON l_partkey = p_partkey GROUP BY o_custkey, p_brand)"""),
+        FROM ({_share("p_brand", "tag", "pref")})"""),
     "v_tag_item": ((), """
         SELECT tag, item, quality, row_number() OVER (PARTITION BY tag ORDER BY quality DESC, item) - 1 AS pos
         FROM (SELECT p_brand AS tag, p_partkey AS item,
@@ -128,14 +140,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                 CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END],
                list_transform(range(0, 25), lambda n: CASE WHEN c_nationkey = n THEN 1 ELSE 0 END)) AS feats
         FROM customer"""),
-    "v_user_aff": (("v_order_lines",), """
-        SELECT o_custkey AS "user", 'lan' AS kind, p_brand AS tag,
-               sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY o_custkey) AS ratio
-        FROM v_order_lines JOIN part ON l_partkey = p_partkey GROUP BY o_custkey, p_brand
+    "v_user_aff": (("v_order_lines",), f"""
+        SELECT "user", 'lan' AS kind, tag, ratio FROM ({_share("p_brand", "tag", "ratio")})
         UNION ALL
-        SELECT o_custkey AS "user", 'style' AS kind, p_type AS tag,
-               sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY o_custkey) AS ratio
-        FROM v_order_lines JOIN part ON l_partkey = p_partkey GROUP BY o_custkey, p_type"""),
+        SELECT "user", 'style' AS kind, tag, ratio FROM ({_share("p_type", "tag", "ratio")})"""),
     "v_item_aff": ((), """
         SELECT p_partkey AS item, 'lan' AS kind, p_brand AS tag, 1.0 AS ratio FROM part
         UNION ALL

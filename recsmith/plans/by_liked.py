@@ -43,16 +43,18 @@ class LikedInputs:
     user_aff: DataFrame         # user, kind, tag, ratio
     item_aff: DataFrame         # item, kind, tag, ratio
     pay: DataFrame              # item, money, click
+    arm_exception: DataFrame | None = None  # user: odd users that read the alternative lists
     user_feat: DataFrame | None = None  # optional (the reference job never reads it)
 
 
 def seeds(inp: LikedInputs, as_of, active_days: int) -> DataFrame:
-    """Active users' engaged seeds ranked by play score: user, seed, score, i, n_seeds."""
+    """Active users' engaged seeds that have the list of their user's arm, ranked by play score:
+    user, seed, score, _odd, i, n_seeds.  Seeds without a list are dropped before they count."""
     users = FL.active_users(inp.active, as_of, active_days)
     plays = FL.only_active(inp.play, users)
     s = RC.engaged_seeds(plays, FL.only_active(inp.subs, users))
     s = s.join(inp.pair_block.select("user", F.col("item").alias("seed")), ["user", "seed"], "left_anti")
-    return C.seed_rank(s)
+    return C.seed_rank(RC.arm_seeds(s, inp.sim, inp.sim_alt, inp.arm_exception))
 
 
 def candidates(inp: LikedInputs, as_of, active_days: int, window, max_impress: int,
@@ -66,17 +68,10 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
                      caps=P.SEED_CAP_P4, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
                      penalty_mode: str = "constant") -> dict:
     """(user, item, score, src) after gates, discount, cap, budget, sum-merge and freshness."""
-    sd = seeds(inp, as_of, active_days)
-    base_keys = inp.sim.select(F.col("item").alias("seed")).distinct()
-    sd = sd.join(base_keys, "seed", "left_semi").select(
-        "user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds",
-        (F.col("user") % 2 == 1).alias("_odd"))
+    sd = seeds(inp, as_of, active_days).select("user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds", "_odd")
     # JOIN-03 lists of both arms; user-independent gates (coverage-conditional quality,
     # blocklist) are applied to the lists before the user expansion
-    lists = (inp.sim.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim", "pos",
-                            F.lit(True).alias("_odd"))
-             .unionByName(inp.sim_alt.select(F.col("item").alias("seed"), F.col("item2").alias("item"), "sim",
-                                             "pos", F.lit(False).alias("_odd"))))
+    lists = RC.arm_lists(inp.sim, inp.sim_alt)
     # only the lists of seeds some active user holds are renumbered (positions are per list)
     lists = lists.join(sd.select("seed", "_odd").distinct(), ["seed", "_odd"], "left_semi")
     cand_items = FL.candidate_items(inp.sim.select("item"), inp.sim.select(F.col("item2").alias("item")))
@@ -118,7 +113,7 @@ def score(cand: DataFrame, inp: LikedInputs, weights, item_width: int, divisor:
                        F.col("style"), item_width)
     boost = S.pay_boost(F.col("money"), F.col("click"), *pay)
     treated = S.in_treatment(F.col("user"), divisor, remainder)
-    return x.withColumn("score", F.col("score") * blend + lr + F.when(treated, boost).otherwise(F.lit(0.0)))
+    return x.withColumn("score", S.blended(F.col("score"), lr, blend, treated, boost))
 
 
 def recommend_by_liked(inp: LikedInputs, as_of, weights, item_width: int, divisor: int, remainder: int,

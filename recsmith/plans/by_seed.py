@@ -58,7 +58,9 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
     to three columns and semi-joined to the final candidates before its aggregation.
     """
     users = FL.active_users(inp.active, as_of, active_days)
-    us = C.seed_rank(FL.only_active(inp.user_seed, users)).select(
+    with_list = inp.seed_item.select("seed").distinct()
+    listed = FL.only_active(inp.user_seed, users).join(with_list, "seed", "left_semi")  # others never count
+    us = C.seed_rank(listed).select(
         "user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds")
     excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                               FL.impression_window(inp.impressions, as_of, window[0], window[1]))
@@ -112,8 +114,7 @@ def score(cand: DataFrame, inp: SeedInputs, weights, item_width: int, divisor: i
                        item_width)
     boost = S.pay_boost(F.col("money"), F.col("click"), *pay)
     treated = S.in_treatment(F.col("user"), divisor, remainder)
-    s = F.col("score") * blend + lr + F.when(treated, boost).otherwise(F.lit(0.0))
-    return x.withColumn("score", s)
+    return x.withColumn("score", S.blended(F.col("score"), lr, blend, treated, boost))
 
 
 def recommend_by_seed(inp: SeedInputs, as_of, weights, item_width: int, divisor: int, remainder: int,

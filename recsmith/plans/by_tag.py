@@ -60,7 +60,7 @@ def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress:
 
     User-independent gates (quality, blocklist) are applied to the tag lists first;
     the user x tag expansion is then pruned exactly to the first cap + E positions
-    (E = the user's excluded pairs); users with an age limit are not pruned.
+    (E = the user's excluded pairs), counted over the entries within the user's age limit.
     """
     users = FL.active_users(inp.active, as_of, active_days)
     ut = damped_tags(inp, users)
@@ -71,12 +71,12 @@ def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress:
     blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
     good = FL.exclude_items(inp.quality.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
     used = inp.tag_item.select("tag", "item", "quality", "pos").join(ut.select("tag").distinct(), "tag", "left_semi")
-    lists = C.renumber(used, "tag", keep=good, bounded=False)  # tag lists have no length cap
+    q = inp.quality.select("item", "create_days")
+    lists = C.renumber(used.join(q, "item"), "tag", keep=good, limits=inp.user_max_age)
     u = ut.select("user", "tag", "pref", F.col("pos").alias("tag_pos"))
     exp = C.bounded_expansion(u, lists, "tag", F.lit(tag_cap), excl,
-                              unbounded_users=inp.user_max_age).withColumnRenamed("pos", "item_pos")
-    q = inp.quality.select("item", "create_days")
-    aged = FL.user_age_limit(exp.join(q, "item"), inp.user_max_age)  # FLT-17
+                              limits=inp.user_max_age).withColumnRenamed("pos", "item_pos")
+    aged = FL.user_age_limit(exp, inp.user_max_age)  # FLT-17
     return FL.exclude_pairs(aged, excl)
 
 

@@ -59,6 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="recsmith-ckpt-", dir="/tmp")
     if sc is not None:
         sc.setCheckpointDir(path)
@@ -67,6 +70,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def remove_stage_tables(spark: SparkSession) -> None:
+    """Delete the stage tables that this application wrote (call it when its results are written)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables/{app_id(spark)}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def app_id(spark: SparkSession) -> str:
     """Identifier of the running application (stage tables and caches are scoped by it)."""
     try:

@@ -21,18 +21,20 @@ def _last_colon_ok(e: Column) -> Column:
 
 
 def explode_weighted_list(df: DataFrame, key: str, col: str, split_at: str = "last",
-                          max_n: int = P.PACKED_LIST_MAX) -> DataFrame:
+                          max_n: int | None = None) -> DataFrame:
     """SRC-05 / SRC-06: ``key, "id:score,id:score,..."`` -> (key, id, score, pos).
 
     ``split_at='last'``: split at the last colon; entries without a colon or with a
-    trailing one are skipped; one unparsable score empties the whole list; at most
-    ``max_n`` kept entries.  ``split_at='first'``: split at the first colon; entries
-    whose colon position is <= 0 are skipped (as are unparsable scores).
-    ``pos`` counts kept entries from 0.
+    trailing one are skipped; one unparsable score empties the whole list.
+    ``split_at='first'``: split at the first colon; entries whose colon position is <= 0
+    are skipped (as are unparsable scores).  ``max_n`` (the candidate-set reader passes
+    ``PACKED_LIST_MAX``): reading stops after so many kept entries, so a bad score
+    behind them is never seen.  ``pos`` counts kept entries from 0.
     """
     arr = F.split(F.coalesce(F.col(col), F.lit("")), ",")
     if split_at == "last":
         kept = F.filter(arr, _last_colon_ok)
+        kept = kept if max_n is None else F.slice(kept, 1, max_n)
         bad = F.exists(kept, lambda e: F.regexp_extract(e, ":([^:]*)$", 1).try_cast("double").isNull())
         kept = F.when(bad, F.array().cast("array<string>")).otherwise(kept)
         ident = lambda e: F.regexp_extract(e, "^(.*):[^:]*$", 1)
@@ -44,7 +46,7 @@ def explode_weighted_list(df: DataFrame, key: str, col: str, split_at: str = "la
         score = lambda e: F.regexp_extract(e, "^[^:]*:(.*)$", 1)
     else:
         raise ValueError(split_at)
-    kept = F.slice(kept, 1, max_n)
+    kept = kept if max_n is None else F.slice(kept, 1, max_n)
     rows = df.select(key, F.posexplode(kept).alias("pos", "entry"))
     return rows.select(key, ident(F.col("entry")).alias("id"),
                        score(F.col("entry")).try_cast("double").alias("score"),
@@ -135,11 +137,12 @@ def read_days(spark: SparkSession, root: str, schema: str, as_of, lo: int, hi: i
     return df.where(F.col("dt").between(F.date_sub(d, hi), F.date_sub(d, lo)))
 
 
-def read_packed(spark: SparkSession, paths, split_at: str = "last", key_type: str = "long") -> DataFrame:
-    """``key<TAB>id:score,...`` files -> (key, id, score, pos)."""
+def read_packed(spark: SparkSession, paths, split_at: str = "last", key_type: str = "long",
+                max_n: int | None = None) -> DataFrame:
+    """``key<TAB>id:score,...`` files -> (key, id, score, pos); whole lists unless ``max_n`` is given."""
     raw = read_tab(spark, paths, "key string, packed string")
     raw = raw.withColumn("key", F.col("key").try_cast(key_type)).where(F.col("key").isNotNull())
-    return explode_weighted_list(raw, "key", "packed", split_at)
+    return explode_weighted_list(raw, "key", "packed", split_at, max_n)
 
 
 def read_promoted_rate(spark: SparkSession, paths, column: int) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith import params as P
+from recsmith.functions.scoring import fixed_sum
+from recsmith.operators.candidates import distributed_rank
 from recsmith.session import app_id, materialise
 
 # derived inputs materialised once per (session, folder, view, args); a lock per key lets
@@ -142,20 +144,13 @@ class Tables:
 
     @materialised
     def seed_item(self) -> DataFrame:
-        """(seed,item,sim,pos): supplier -> part list, share of quantity, 0-based position.
-
-        The list keeps the first ``PACKED_LIST_MAX`` entries, as a packed list read from
-        text would.
-        """
+        """(seed,item,sim,pos): supplier -> part list, share of quantity, 0-based position."""
         li = self("lineitem").select("l_suppkey", "l_partkey", "l_quantity")
         q = li.groupBy(F.col("l_suppkey").alias("seed"), F.col("l_partkey").alias("item")) \
               .agg(F.sum("l_quantity").alias("q"))
         tot = q.groupBy("seed").agg(F.sum("q").alias("tot"))
         s = q.join(tot, "seed").select("seed", "item", (F.col("q") / F.col("tot")).alias("sim"))
-        w = Window.partitionBy("seed").orderBy(F.desc("sim"), "item")
-        # `rn <= k` lets the planner cut each seed's list to k rows before the shuffle
-        return (s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= P.PACKED_LIST_MAX)
-                .withColumn("pos", (F.col("_rn") - 1).cast("long")).drop("_rn"))
+        return distributed_rank(s, "seed", [F.desc("sim"), F.col("item")], name="pos")
 
     @materialised
     def play(self) -> DataFrame:
@@ -182,31 +177,34 @@ class Tables:
         return self("part").select(*cols)
 
     @materialised
-    def item_sim(self, max_gap: int = 5, alt: bool = False) -> DataFrame:
-        """(item,item2,sim,pos): parts of one brand whose sizes differ by <= max_gap.
-
-        ``alt=True``: the alternative similarity (sim = 1 - gap/10), without lists for
-        STANDARD seed items, so the drop path of the arm lookup is exercised."""
-        a = self._parts("p_partkey", "p_brand", "p_size", "p_type").alias("a")
-        # each part is offered at every size within max_gap of its own, so the band join
-        # becomes an equi-join on (brand, size): work grows with parts x (2 gap + 1)
-        b = self._parts("p_partkey", "p_brand", "p_size").withColumn(
-            "near", F.explode(F.sequence(F.col("p_size") - max_gap, F.col("p_size") + max_gap))).alias("b")
-        gap = F.abs(F.col("a.p_size") - F.col("b.p_size"))
-        j = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.near"))
-                   & (F.col("a.p_partkey") != F.col("b.p_partkey")))
-        if alt:
-            # the alternative model has no lists for STANDARD seed items
-            j = j.where(F.col("a.p_type") != "STANDARD")
-            sim = 1.0 - gap / 10.0
-        else:
-            sim = 1.0 / (1.0 + gap)
-        s = j.select(F.col("a.p_partkey").alias("item"), F.col("b.p_partkey").alias("item2"),
-                     sim.cast("double").alias("sim"))
-        w = Window.partitionBy("item").orderBy(F.desc("sim"), "item2")
-        # similarity lists are packed lists: at most PACKED_LIST_MAX entries (group-limited)
-        return (s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= P.PACKED_LIST_MAX)
-                .withColumn("pos", (F.col("_rn") - 1).cast("long")).drop("_rn"))
+    def _bought_together(self) -> DataFrame:
+        """(item,item2,type,n,n1,n2): orders that hold both parts, and each part's orders.  An
+        order holds a handful of parts, so the pairs grow with the order lines."""
+        lines = self("lineitem").select("l_orderkey", F.col("l_partkey").alias("item")).distinct()
+        own = lines.groupBy("item").agg(F.count(F.lit(1)).alias("n1"))
+        other = lines.select("l_orderkey", F.col("item").alias("item2"))
+        pairs = (lines.join(other, "l_orderkey").where(F.col("item") != F.col("item2"))
+                 .groupBy("item", "item2").agg(F.count(F.lit(1)).alias("n")))
+        types = self._parts(F.col("p_partkey").alias("item"), F.col("p_type").alias("type"))
+        return (pairs.join(own, "item").join(types, "item")
+                .join(own.select(F.col("item").alias("item2"), F.col("n1").alias("n2")), "item2"))
+
+    @materialised
+    def item_sim(self, alt: bool = False) -> DataFrame:
+        """(item,item2,sim,pos): parts of one order, by the share of the part's orders.
+
+        ``alt=True``: the alternative similarity (share of the other part's orders), without
+        lists for STANDARD seed items, so the drop path of the arm lookup is exercised."""
+        j = self._bought_together()
+        j = j.where(F.col("type") != "STANDARD") if alt else j
+        s = j.select("item", "item2", (F.col("n") / F.col("n2" if alt else "n1")).alias("sim"))
+        return distributed_rank(s, "item", [F.desc("sim"), F.col("item2")], name="pos")
+
+    @materialised
+    def arm_exception(self) -> DataFrame:
+        """(user): odd users that read the alternative lists all the same."""
+        c = self("customer").select("c_custkey", "c_nationkey")
+        return c.where(F.col("c_nationkey") == 1).select(F.col("c_custkey").alias("user"))
 
     @materialised
     def user_tag(self) -> DataFrame:
@@ -218,8 +216,8 @@ class Tables:
         p = self._parts("p_partkey", part_col)
         j = ol.join(p, ol.l_partkey == p.p_partkey)
         g = j.groupBy(F.col("o_custkey").alias("user"), F.col(part_col).alias(name)) \
-             .agg(F.sum("l_extendedprice").alias("spend"))
-        tot = g.groupBy("user").agg(F.sum("spend").alias("tot"))
+             .agg(fixed_sum(F.col("l_extendedprice")).alias("spend"))
+        tot = g.groupBy("user").agg(fixed_sum(F.col("spend")).alias("tot"))
         s = g.join(tot, "user").select("user", name, (F.col("spend") / F.col("tot")).alias(val))
         w = Window.partitionBy("user").orderBy(F.desc(val), name)
         return s.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
@@ -232,7 +230,6 @@ class Tables:
         s = p.join(mx, "p_brand").select(F.col("p_brand").alias("tag"), F.col("p_partkey").alias("item"),
                                          (F.col("p_retailprice") / F.col("mx")).alias("quality"))
         # a tag list has no length cap: rank it without putting a whole tag in one task
-        from recsmith.operators.candidates import distributed_rank
         return distributed_rank(s, "tag", [F.desc("quality"), F.col("item")], name="pos")
 
     @materialised

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from recsmith.functions import scoring as S
 from recsmith.operators import candidates as C
 from recsmith.operators import filters as FL
+from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
 from recsmith.sources import text as TX
 
@@ -146,14 +147,68 @@ def test_budget_matches_row_walk(spark):
     assert kept == want
 
 
-def test_renumber_unbounded_equals_window(spark):
-    rows = [(k, i, i * 7 % 40) for k in (1, 2) for i in range(40)]  # positions unique per list
-    lists = spark.createDataFrame(rows, "seed long, item long, pos long")
+def test_renumber_numbers_each_variant(spark):
+    rows = [(k, i, i * 7 % 40, i * 10) for k in (1, 2) for i in range(40)]  # positions unique per list
+    lists = spark.createDataFrame(rows, "seed long, item long, pos long, create_days int")
     keep = spark.createDataFrame([(i,) for i in range(40) if i % 5], "item long")
     gated = spark.createDataFrame([(i,) for i in range(0, 40, 3)], "item long")
-    a = C.renumber(lists, "seed", keep=keep, gated=gated).select("seed", "item", "fpos", "gpos", "gated")
-    b = C.renumber(lists, "seed", keep=keep, gated=gated, bounded=False).select("seed", "item", "fpos", "gpos", "gated")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    def want(entries):
+        return {item: n for n, (pos, item) in enumerate(sorted((i * 7 % 40, i) for i in entries))}
+
+    def got(df, variant):
+        return {r.item: r.fpos for r in df.where((F.col("seed") == 1) & (F.col("variant") == variant)).collect()}
+
+    kept = [i for i in range(40) if i % 5]
+    a = C.renumber(lists, "seed", keep=keep, gated=gated)
+    assert got(a, 1) == want(kept) and got(a, 0) == want([i for i in kept if i % 3])
+    limits = spark.createDataFrame([(7, 200), (8, 200), (9, 50)], "user long, max_days int")
+    b = C.renumber(lists, "seed", keep=keep, limits=limits)
+    assert got(b, -1) == want(kept) and got(b, 200) == want([i for i in kept if i <= 20])
+    assert got(b, 50) == want([i for i in kept if i <= 5])
+    assert got(C.renumber(lists, "seed"), -1) == want(range(40))
+
+
+def test_expansion_counts_within_the_age_limit(spark):
+    lists = spark.createDataFrame([(5, i, i, 400 if i < 60 else 10) for i in range(100)],
+                                  "seed long, item long, pos long, create_days int")
+    limits = spark.createDataFrame([(1, 100)], "user long, max_days int")
+    users = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "user long, seed long")
+    excl = spark.createDataFrame([(1, 61), (2, 0)], "user long, item long")
+    exp = C.bounded_expansion(users, C.renumber(lists, "seed", limits=limits), "seed", F.lit(2), excl, limits=limits)
+    capped = C.per_seed_cap(FL.exclude_pairs(FL.user_age_limit(exp, limits), excl), 2)
+    assert sorted((r.user, r.item) for r in capped.collect()) == [(1, 60), (1, 62), (2, 1), (2, 2)]
+
+
+def test_seed_without_a_list_never_counts(spark):
+    """A played and liked item without a list of the user's arm leaves no gap in the ranks."""
+    seeds = spark.createDataFrame([(1, 10, 9.0), (1, 11, 5.0), (2, 11, 4.0), (2, 12, 3.0), (3, 11, 2.0), (3, 12, 1.0)],
+                                  "user long, seed long, score double")
+    base = spark.createDataFrame([(11, 100), (12, 101)], "item long, item2 long")
+    alt = spark.createDataFrame([(12, 102), (10, 103)], "item long, item2 long")
+    other = spark.createDataFrame([(3,)], "user long")
+    r = C.seed_rank(RC.arm_seeds(seeds, base, alt, other))
+    # 10 has no base list; 11 has no alternative list (user 2, and user 3 by exception)
+    assert sorted((x.user, x.seed, x.i, x.n_seeds) for x in r.collect()) == [(1, 11, 0, 1), (2, 12, 0, 1), (3, 12, 0, 1)]
+
+
+def test_long_packed_lists_stay_whole(spark):
+    packed = ",".join(f"{i}:{i}" for i in range(2500))
+    df = spark.createDataFrame([(1, packed)], "key long, packed string")
+    for at in ("first", "last"):
+        assert TX.explode_weighted_list(df, "key", "packed", at).count() == 2500
+        assert TX.explode_weighted_list(df, "key", "packed", at, max_n=2000).count() == 2000
+    # the bounded reader stops before a bad score behind its last entry
+    bad = spark.createDataFrame([(1, packed + ",9:x")], "key long, packed string")
+    assert TX.explode_weighted_list(bad, "key", "packed", "last").count() == 0
+    assert TX.explode_weighted_list(bad, "key", "packed", "last", max_n=2000).count() == 2000
+
+
+def test_sums_do_not_depend_on_row_order(spark):
+    rows = [(1, 1, x) for x in (0.1, 0.2, 0.3, 1e-9, 0.7)]
+    a = C.merge_sum(spark.createDataFrame(rows, "user long, item long, score double")).first().score
+    b = C.merge_sum(spark.createDataFrame(rows[::-1], "user long, item long, score double").repartition(5)).first().score
+    assert a == b and math.isclose(a, 1.300000001, abs_tol=1e-8)
 
 
 def test_rejected_rows_and_nonfinite_pay(spark):

@@ -58,10 +58,14 @@ def test_id_sets_ranked_optional_header(spark, tmp_path):
 
 
 def test_log_filters(spark, tmp_path):
-    plays = _write(tmp_path / "plays.txt", ["play\t7\t123\tsong\tlist", "play\t0\t1\tsong\tlist",
-                                            "play\t8\t12a\tsong\tlist", "play\t9\t5\tvideo\tlist"])
+    # action, user, song, type, source, list, log time, os, time
+    rest = "\t1700000000\tandroid\t30"
+    plays = _write(tmp_path / "plays.txt", [
+        "play\t-7\t555\tsong\tlist\t9001" + rest, "play\t0\t1\tsong\tlist\t9" + rest,
+        "play\t8\t5\tsong\tlist\t12a" + rest, "play\t9\t5\tvideo\tlist\t9" + rest,
+        "play\t9\t5\tsong\tlist\t" + rest, "play\t9\t5\tsong\tlist\t" + "9" * 20 + rest, "play\t9\t5\tsong\tlist"])
     got = [(r.user, r.item, r.score) for r in FL.play_log(spark.read.text(plays)).collect()]
-    assert got == [(7, 123, 0.05)]
+    assert got == [(7, 9001, 0.05)]
     imp = _write(tmp_path / "imp.txt", ["x\tuser-playlist\t-4\t77", "x\tother\t5\t6"])
     assert [(r.user, r.item) for r in FL.impression_log_filter(spark.read.text(imp)).collect()] == [(4, 77)]
     subs = spark.createDataFrame([(1, 2, 3, 1), (-1, 2, 3, 1), (1, 2, 3, 5)], "user long, item long, time long, type int")
