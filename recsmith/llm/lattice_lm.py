@@ -41,6 +41,7 @@ ROUNDS = 2
 FREQUENT = 1_000_000
 HELD_WORDS = 200_000     # distinct words a counting task holds before it hands them on
 CELLS = 1 << 19          # lattice positions of one numpy batch, about
+BATCH_WORDS = 200_000    # distinct words that a lattice task takes at once, about
 MARK = "▁"
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -232,13 +233,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(held)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches of about ``BATCH_WORDS`` rows: words of one length then fill numpy batches."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= BATCH_WORDS:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _expect(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: Pieces = shared.value
         uses = np.zeros(len(pieces.weight))
-        for b in batches:
+        for b in _merged(batches):
             words = [w.decode() for w in b.column(0).to_pylist()]
-            count = b.column(1).to_numpy(zero_copy_only=False).astype(float)
+            count = b.column(1).to_numpy().astype(float)
             for pick, codes in batches_of(words):
                 uses += pieces.expected(codes, count[pick])
         at = np.flatnonzero(uses)
@@ -267,9 +280,9 @@ def fit(counts: DataFrame, ends: int, pieces: Pieces, rounds: int = ROUNDS) -> P
 
 def _score_words(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _merged(batches):
             score = word_scores(shared.value, [w.decode() for w in b.column(0).to_pylist()]) / np.log(10)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score)], names=["word", "c", "score"])
+            yield from pa.table([b.column(0), b.column(1), pa.array(score)], names=["word", "c", "score"]).to_batches()
 
     return run
 
