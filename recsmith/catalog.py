@@ -186,3 +186,4 @@ def q_rec_by_liked(spark, sf_dir):
 
 # operator-level queries register themselves on import
 from recsmith import catalog_ops  # noqa: E402,F401
+from recsmith import catalog_readers  # noqa: E402,F401

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith import params as P
+from recsmith.operators.filters import history_first, normal_user
+from recsmith.sources import lines as L
 
 # ---------------------------------------------------------------- packed lists
 
@@ -53,16 +55,6 @@ def explode_weighted_list(df: DataFrame, key: str, col: str, split_at: str = "la
                        F.col("pos").cast("long").alias("pos"))
 
 
-def explode_triples(df: DataFrame, key: str, col: str) -> DataFrame:
-    """SRC-07 / SNK-01 inverse: ``key, "a:b:c,..."`` -> (key, a, b, c, pos); entries
-    with fewer than 3 parts are dropped."""
-    rows = df.select(key, F.posexplode(F.split(F.col(col), ",")).alias("pos", "entry"))
-    parts = F.split("entry", ":")
-    return (rows.where(F.size(parts) >= 3)
-            .select(key, F.element_at(parts, 1).alias("a"), F.element_at(parts, 2).alias("b"),
-                    F.element_at(parts, 3).alias("c"), F.col("pos").cast("long").alias("pos")))
-
-
 def pack_list(df: DataFrame, key: str, order_col: str, id_col: Column, score_col: Column,
               extra: Column | None = None) -> DataFrame:
     """SNK-01 / SNK-02: (key, ...) rows -> (key, "id:score[:extra],...") in ``order_col`` order.
@@ -90,12 +82,6 @@ def parse_int_vector(line: Column) -> Column:
     return F.transform(F.split(line, ","), lambda x: x.try_cast("int"))
 
 
-def parse_weight_vector(line: Column) -> Column:
-    """SRC-10: ``[w0,w1,...]`` -> array<double>."""
-    body = F.regexp_replace(F.trim(line), r"^\[|\]$", "")
-    return F.transform(F.split(body, ","), lambda x: F.trim(x).try_cast("double"))
-
-
 def parse_json_attributes(df: DataFrame, col: str) -> DataFrame:
     """SRC-13 / FN-20: ``{"avgPubTime": ..., "score": ...}`` -> avg_pub_time, score."""
     j = F.from_json(F.col(col), "avgPubTime long, score double")
@@ -104,29 +90,35 @@ def parse_json_attributes(df: DataFrame, col: str) -> DataFrame:
         F.col("_j.avgPubTime").alias("avg_pub_time"), F.col("_j.score").alias("score"))
 
 
-def parse_paren_csv(line: Column) -> Column:
-    """SRC-09: ``(item,money,click)`` -> struct(item long, money double, click double)."""
-    body = F.regexp_replace(F.trim(line), r"^\(|\)$", "")
-    p = F.split(body, ",")
-    return F.struct(F.element_at(p, 1).try_cast("long").alias("item"),
-                    F.element_at(p, 2).try_cast("double").alias("money"),
-                    F.element_at(p, 3).try_cast("double").alias("click"))
-
-
 # ---------------------------------------------------------------- file readers
 
 
 def read_tab(spark: SparkSession, paths, schema: str) -> DataFrame:
-    """SRC-01: tab-separated text with an explicit schema; malformed fields -> null."""
-    return (spark.read.option("sep", "\t").option("mode", "PERMISSIVE").schema(schema)
+    """SRC-01: tab-separated text with an explicit schema; malformed fields -> null.  Quote
+    characters are ordinary text."""
+    return (spark.read.option("sep", "\t").option("quote", "").option("mode", "PERMISSIVE").schema(schema)
             .csv(paths if isinstance(paths, list) else [paths]))
 
 
+def read_lines(spark: SparkSession, paths, parser, *args, **kwargs) -> DataFrame:
+    """The accepted rows of text files under one of the parsers of ``sources.lines``; to count the
+    others, call the parser itself and ``lines.rejects``."""
+    return L.accepted(parser(spark.read.text(paths), *args, **kwargs))
+
+
+def read_log(spark: SparkSession, paths) -> DataFrame:
+    """Click and subscribe log in its raw layout, ready for the conversion report."""
+    return read_lines(spark, paths, L.log)
+
+
+def read_user_seeds(spark: SparkSession, paths) -> DataFrame:
+    """``user<TAB>seed:score[:time],...`` -> (user, seed, score)."""
+    return read_lines(spark, paths, L.user_seeds)
+
+
 def read_visited(spark: SparkSession, paths) -> DataFrame:
     """SRC-02: ``user,item,score`` (positive = clicks, negative = impressions)."""
-    df = spark.read.option("mode", "PERMISSIVE").schema("user long, item long, score int").csv(paths)
-    return df.where(F.col("user").isNotNull() & F.col("item").isNotNull() & F.col("score").isNotNull()) \
-             .withColumn("user", F.abs("user"))
+    return read_lines(spark, paths, L.visited)
 
 
 def read_days(spark: SparkSession, root: str, schema: str, as_of, lo: int, hi: int) -> DataFrame:
@@ -140,52 +132,44 @@ def read_days(spark: SparkSession, root: str, schema: str, as_of, lo: int, hi: i
 def read_packed(spark: SparkSession, paths, split_at: str = "last", key_type: str = "long",
                 max_n: int | None = None) -> DataFrame:
     """``key<TAB>id:score,...`` files -> (key, id, score, pos); whole lists unless ``max_n`` is given."""
-    raw = read_tab(spark, paths, "key string, packed string")
-    raw = raw.withColumn("key", F.col("key").try_cast(key_type)).where(F.col("key").isNotNull())
+    raw = spark.read.text(paths).select(L.tab(0).try_cast(key_type).alias("key"), L.tab(1).alias("packed"))
+    raw = raw.where(F.col("key").isNotNull())
     return explode_weighted_list(raw, "key", "packed", split_at, max_n)
 
 
 def read_promoted_rate(spark: SparkSession, paths, column: int) -> DataFrame:
     """SRC-07: ``item<TAB>...<TAB>src:x:rate,...`` with the packed column index a parameter."""
-    lines = spark.read.text(paths)
-    cols = F.split("value", "\t")
-    x = lines.select(F.element_at(cols, 1).try_cast("long").alias("item"),
-                     F.element_at(cols, column + 1).alias("packed")).where(F.col("item").isNotNull())
-    t = explode_triples(x, "item", "packed")
-    return t.select("item", F.col("a").alias("src"), F.col("c").try_cast("double").alias("rate")) \
-            .where(F.col("rate").isNotNull())
+    return read_lines(spark, paths, L.promoted_rate, column)
 
 
 def read_quality(spark: SparkSession, paths) -> DataFrame:
     """SRC-14: columns 0, 1, 3 -> (item, score, create_days)."""
-    lines = spark.read.text(paths)
-    c = F.split("value", "\t")
-    return lines.select(F.element_at(c, 1).try_cast("long").alias("item"),
-                        F.element_at(c, 2).try_cast("double").alias("score"),
-                        F.element_at(c, 4).try_cast("int").alias("create_days")).where(F.col("item").isNotNull())
+    return read_lines(spark, paths, L.quality)
 
 
-def read_id_set(spark: SparkSession, paths, trim: bool = True, positive: bool = False) -> DataFrame:
-    """SRC-16 / SRC-18: one id per line -> distinct (id)."""
-    v = F.trim("value") if trim else F.col("value")
-    ids = v.try_cast("long")
-    if positive:
-        ids = F.abs(ids)
-    return spark.read.text(paths).select(ids.alias("id")).where(F.col("id").isNotNull()).distinct()
+def read_id_set(spark: SparkSession, paths, users: bool = False) -> DataFrame:
+    """SRC-16 / SRC-18: one id per line -> distinct (id); user ids lose their sign."""
+    return read_lines(spark, paths, L.ids, users).distinct()
 
 
 def read_ranked_ids(spark: SparkSession, paths, n: int = P.FIRST_BLOCK_N) -> DataFrame:
-    """SRC-17: first ``n`` ids of a ranked list file ``rank<TAB>id...`` (explicit rank column, Q-10)."""
-    df = read_tab(spark, paths, "rank long, id long")
-    return df.where(F.col("rank") < n).select("id")
+    """SRC-17: first ``n`` ids of a ranked list file ``rank<TAB>id`` (explicit rank column, Q-10)."""
+    return read_lines(spark, paths, L.ranked_ids).where(F.col("rank") < n).select("id")
+
+
+def read_weights(spark: SparkSession, paths, width: int | None = None) -> DataFrame:
+    """SRC-10: the one weight vector of a file; fails unless there is exactly one (of ``width``)."""
+    w = L.one_row(read_lines(spark, paths, L.weights))
+    if width is None:
+        return w
+    wrong = F.raise_error(F.lit(f"weight vector is not {width} wide")).cast("boolean")
+    return w.where(F.when(F.size("w") == width, F.lit(True)).otherwise(wrong))
 
 
 def read_history(spark: SparkSession, paths, k: int = P.HISTORY_FIRST) -> DataFrame:
     """SRC-08: ``user<TAB>item:score:tag,...`` -> first ``k`` entries (user, item, tag, pos)."""
-    raw = read_tab(spark, paths, "user long, packed string").where(F.col("user").isNotNull())
-    t = explode_triples(raw, "user", "packed").where(F.col("pos") < k)
-    return t.select(F.abs("user").alias("user"), F.col("a").try_cast("long").alias("item"),
-                    F.col("c").alias("tag"), "pos")
+    raw = spark.read.text(paths).select(normal_user(L.tab(0)).alias("user"), L.tab(1).alias("packed"))
+    return history_first(raw.where(F.col("user").isNotNull()), k)
 
 
 def optional(spark: SparkSession, path: str | None, schema: str, reader) -> DataFrame:
@@ -195,19 +179,12 @@ def optional(spark: SparkSession, path: str | None, schema: str, reader) -> Data
     return reader(spark, path)
 
 
-def header_pick(spark: SparkSession, meta_path: str, data_path: str, column: str,
-                key_column: str = "user") -> DataFrame:
-    """SRC-15: the metadata file's n-th line with >= 4 fields names data column n; returns
-    (key, value) for ``column``.  Only the small metadata file is collected."""
-    meta = [r.value.split("\t") for r in spark.read.text(meta_path).collect()]
-    names = [m[0] for m in meta if len(m) >= 4]
-    idx = names.index(column)
-    kidx = names.index(key_column) if key_column in names else 0
-    lines = spark.read.text(data_path)
-    c = F.split("value", "\t")
-    return (lines.where(F.size(c) > idx)
-            .select(F.element_at(c, kidx + 1).try_cast("long").alias(key_column),
-                    F.element_at(c, idx + 1).try_cast("double").alias(column)))
+def header_pick(spark: SparkSession, meta_path: str, data_path: str, column: str = "newSongWeight",
+                guard: str = "newSongType") -> DataFrame:
+    """SRC-15: (user, ``column``) of a table whose columns a comma-separated metadata file names.
+    Only that small file is collected."""
+    meta = [r.value for r in spark.read.text(meta_path).collect()]
+    return read_lines(spark, data_path, L.header_pick, meta, column, guard)
 
 
 def write_lines(df: DataFrame, path: str) -> None:

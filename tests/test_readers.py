@@ -1,9 +1,12 @@
 """Text layouts of the reference read from small files (SRC-01..19, FLT-03..06, SNK-*)."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from recsmith.operators import filters as FL
+from recsmith.plans.conversion import conversion_report
+from recsmith.sources import lines as L
 from recsmith.sources import text as TX
 
 
@@ -47,16 +50,61 @@ def test_packed_promoted_history_quality(spark, tmp_path):
 
 def test_id_sets_ranked_optional_header(spark, tmp_path):
     ids = _write(tmp_path / "ids.txt", [" 5", "-6", "x", "5"])
-    assert sorted(r.id for r in TX.read_id_set(spark, ids, positive=True).collect()) == [5, 6]
+    assert sorted(r.id for r in TX.read_id_set(spark, ids, users=True).collect()) == [5, 6]
     ranked = _write(tmp_path / "rank.txt", [f"{i}\t{100 + i}" for i in range(60)])
     assert TX.read_ranked_ids(spark, ranked).count() == 50
     assert TX.optional(spark, "null", "user long, item long", TX.read_visited).count() == 0
-    meta = _write(tmp_path / "meta.txt", ["user\ta\tb\tc", "newSongWeight\ta\tb\tc", "x\ty"])
-    data = _write(tmp_path / "portrait.txt", ["7\t1.5", "8"])
-    got = [(r.user, r.newSongWeight) for r in TX.header_pick(spark, meta, data, "newSongWeight").collect()]
+    meta = _write(tmp_path / "meta.txt", ["user,bigint,id,x", "a comment", "newSongType,string,type,x", "newSongWeight,float,w,x"])
+    data = _write(tmp_path / "portrait.txt", ["-7\tpop\t1.5", "8", "9\tpop\tx"])
+    got = [(r.user, r.newSongWeight) for r in TX.header_pick(spark, meta, data).collect()]
     assert got == [(7, 1.5)]
 
 
+def test_log_reader_and_rejects(spark, tmp_path):
+    """Click: alg, day, os behind the item; subscribe: day, os."""
+    p = _write(tmp_path / "log.txt", [
+        "user-playlist\trecommendclick\t7\t1\ta\t2024-01-05\tandroid",
+        "user-playlist\trecommendclick\t7\t1\tb\t2024-01-05\tandroid",
+        "user-playlist\tsubscribe\t7\t1\t2024-01-05\tiPhone", "short\tline",
+        "user-playlist\trecommendclick\t7\t1\ta", "user-playlist\tsubscribe\tx\t1\t2024-01-05\tiPhone"])
+    log = TX.read_log(spark, p)
+    assert sorted((r.action, r.user, r.item, r.alg, str(r.day), r.os) for r in log.collect()) == [
+        ("recommendclick", 7, 1, "a", "2024-01-05", "android"), ("recommendclick", 7, 1, "b", "2024-01-05", "android"),
+        ("subscribe", 7, 1, None, "2024-01-05", "iPhone")]
+    assert tuple(L.rejects(L.log(spark.read.text(p))).first()) == (6, 3)
+    rep = {r.alg: (r.subs, r.clicks) for r in conversion_report(log, day="2024-01-05").collect()}
+    assert rep == {"a": (1, 1), "b": (0, 1)}  # the first line wins the credit
+
+
+def test_seed_profile_affinity_readers(spark, tmp_path):
+    s = _write(tmp_path / "seeds.txt", ["-12\t5:0.5:1500000000,6:2,7,8:x"])
+    assert sorted(tuple(r) for r in TX.read_user_seeds(spark, s).collect()) == [(12, 5, 0.5), (12, 6, 2.0)]
+    p = _write(tmp_path / "profile.txt", ["3\t9:1.5,:2,10:"])
+    assert [tuple(r) for r in TX.read_lines(spark, p, L.play_profile).collect()] == [(3, 9, 1.5, 0)]
+    u = _write(tmp_path / "aff.txt", ["-4\trock:0.5,:1,pop", "4\tlan\ten:0.25", "4\tother\ten:0.25"])
+    got = sorted(tuple(r) for r in TX.read_lines(spark, u, L.user_affinity).collect())
+    assert got == [(4, "lan", "en", 0.25), (4, "style", "rock", 0.5)]
+    i = _write(tmp_path / "item.txt", ["8\ten:1.0\trock:0.5,:3"])
+    assert sorted(tuple(r) for r in TX.read_lines(spark, i, L.item_affinity).collect()) == [
+        (8, "lan", "en", 1.0), (8, "style", "rock", 0.5)]
+    a = _write(tmp_path / "active.txt", ["-5\t1706659200", "6\tnever"])
+    assert [(r.user, r.last_ts) for r in TX.read_lines(spark, a, L.last_active).collect()] == [(5, dt.datetime(2024, 1, 31))]
+
+
+def test_weights_and_attributes(spark, tmp_path):
+    w = _write(tmp_path / "w.txt", ["[0.5, -1,2]"])
+    assert TX.read_weights(spark, w, 3).first().w == [0.5, -1.0, 2.0]
+    two = _write(tmp_path / "w2.txt", ["[1]", "[2]"])
+    for bad in (lambda: TX.read_weights(spark, two).collect(), lambda: TX.read_weights(spark, w, 4).collect()):
+        with pytest.raises(Exception):
+            bad()
+    j = _write(tmp_path / "attr.txt", ['1\t{"avgPubTime": 12, "score": 0.5}', '2\t{"score": 0.5}', "3\t{bad",
+                                       '4\t{"avgPubTime": 1, "score": 1}\tx'])
+    assert [tuple(r) for r in TX.read_lines(spark, j, L.attributes).collect()] == [(1, 12, 0.5)]
+    m = _write(tmp_path / "pay.txt", ["(7,0.1,Infinity)", "(8,x,1)", "(9"])
+    assert [tuple(r) for r in TX.read_lines(spark, m, L.pay).collect()] == [(7, 0.1, float("inf"))]
+
+
 def test_log_filters(spark, tmp_path):
     # action, user, song, type, source, list, log time, os, time
     rest = "\t1700000000\tandroid\t30"
