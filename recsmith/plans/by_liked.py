@@ -18,7 +18,7 @@ from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
-from recsmith.session import materialise
+from recsmith.session import Stages, materialise
 
 
 @dataclass
@@ -66,41 +66,55 @@ def candidates(inp: LikedInputs, as_of, active_days: int, window, max_impress: i
 
 def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impress: int,
                      caps=P.SEED_CAP_P4, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
-                     penalty_mode: str = "constant") -> dict:
+                     penalty_mode: str = "constant") -> Stages:
     """(user, item, score, src) after gates, discount, cap, budget, sum-merge and freshness."""
-    sd = seeds(inp, as_of, active_days).select("user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds", "_odd")
-    # JOIN-03 lists of both arms; user-independent gates (coverage-conditional quality,
-    # blocklist) are applied to the lists before the user expansion
-    lists = RC.arm_lists(inp.sim, inp.sim_alt)
-    # only the lists of seeds some active user holds are renumbered (positions are per list)
-    lists = lists.join(sd.select("seed", "_odd").distinct(), ["seed", "_odd"], "left_semi")
-    cand_items = FL.candidate_items(inp.sim.select("item"), inp.sim.select(F.col("item2").alias("item")))
-    keep = FL.quality_gate_if_covered(lists.select("item").distinct(), inp.quality, cand_items)  # FLT-14
-    blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
-    keep = FL.exclude_items(keep, blocked)                                                       # FLT-12
-    excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
-                              FL.impression_window(inp.impressions, as_of, window[0], window[1]))
-    nlists = C.renumber(lists, ["seed", "_odd"], keep=keep, gated=inp.gated)
-    cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
-    exp = C.bounded_expansion(sd, nlists, ["seed", "_odd"], cap, excl, members=inp.segment)
-    elig = FL.exclude_pairs(exp, excl)                                                           # FLT-09/10, FLT-15
-    capped = materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
-    kept = C.seed_budget(capped, budget)
-    vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
-    rows = (kept.join(vis, ["user", "item"], "left")
-            .withColumn("score", S.impression_penalty(C.rank_discount(F.col("sim"), F.col("i")),
-                                                      F.col("_vis"), penalty_mode)))
-    merged = materialise(C.merge_sum(rows))
-    prof = inp.profile.select("item", S.pub_index(F.col("avg_pub_time")).alias("_pub"))
-    nsw = inp.new_song_weight.select("user", "new_song_weight")
-    x = merged.join(prof, "item", "left").join(nsw, "user", "left")
-    x = x.withColumn("score", S.freshness_b(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)),
-                                            F.col("_pub")))
-    recalled = sd.join(lists.select("seed", "_odd", "item", "sim"), ["seed", "_odd"])
-    src = RC.reason_argmax_sim(recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi"))
-    cand = materialise(x.select("user", "item", "score").join(src, ["user", "item"]))
-    return {"seeds": sd, "recalled": recalled, "kept": kept, "rows": rows, "merged": merged, "src": src,
-            "cand": cand}
+    def ranked_seeds(_):
+        sd = seeds(inp, as_of, active_days)
+        return sd.select("user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds", "_odd")
+
+    def used_lists(st):
+        # JOIN-03 lists of both arms, only of seeds some active user holds (positions are per list)
+        held = st["seeds"].select("seed", "_odd").distinct()
+        return RC.arm_lists(inp.sim, inp.sim_alt).join(held, ["seed", "_odd"], "left_semi")
+
+    def cap_eligible(st):
+        # user-independent gates (coverage-conditional quality, blocklist) go before the expansion
+        sd, lists = st["seeds"], st["lists"]
+        cand_items = FL.candidate_items(inp.sim.select("item"), inp.sim.select(F.col("item2").alias("item")))
+        keep = FL.quality_gate_if_covered(lists.select("item").distinct(), inp.quality, cand_items)  # FLT-14
+        blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
+        keep = FL.exclude_items(keep, blocked)                                                       # FLT-12
+        excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
+                                  FL.impression_window(inp.impressions, as_of, window[0], window[1]))
+        nlists = C.renumber(lists, ["seed", "_odd"], keep=keep, gated=inp.gated)
+        cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
+        exp = C.bounded_expansion(sd, nlists, ["seed", "_odd"], cap, excl, members=inp.segment)
+        elig = FL.exclude_pairs(exp, excl)                                                           # FLT-09/10, FLT-15
+        return materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
+
+    def penalised(st):
+        vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
+        return (st["kept"].join(vis, ["user", "item"], "left")
+                .withColumn("score", S.impression_penalty(C.rank_discount(F.col("sim"), F.col("i")),
+                                                          F.col("_vis"), penalty_mode)))
+
+    def freshened(st):
+        prof = inp.profile.select("item", S.pub_index(F.col("avg_pub_time")).alias("_pub"))
+        nsw = inp.new_song_weight.select("user", "new_song_weight")
+        x = st["merged"].join(prof, "item", "left").join(nsw, "user", "left")
+        x = x.withColumn("score", S.freshness_b(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)),
+                                                F.col("_pub")))
+        return materialise(x.select("user", "item", "score").join(st["src"], ["user", "item"]))
+
+    return Stages(
+        seeds=ranked_seeds, lists=used_lists, capped=cap_eligible,
+        recalled=lambda st: st["seeds"].join(st["lists"].select("seed", "_odd", "item", "sim"), ["seed", "_odd"]),
+        kept=lambda st: C.seed_budget(st["capped"], budget),
+        rows=penalised,
+        merged=lambda st: materialise(C.merge_sum(st["rows"])),
+        src=lambda st: RC.reason_argmax_sim(st["recalled"].join(st["merged"].select("user", "item"), ["user", "item"],
+                                                                "left_semi")),
+        cand=freshened)
 
 
 def score(cand: DataFrame, inp: LikedInputs, weights, item_width: int, divisor: int, remainder: int | None,

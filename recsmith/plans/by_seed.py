@@ -21,7 +21,7 @@ from recsmith.operators import candidates as C
 from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import rerank as RR
-from recsmith.session import materialise
+from recsmith.session import Stages, materialise
 
 
 @dataclass
@@ -50,36 +50,44 @@ def candidates(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int]
 
 def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int, int], max_impress: int,
                      caps=P.SEED_CAP_P2, many_at: int = P.SEED_CAP_MANY, budget: int = P.SEED_BUDGET,
-                     penalty_mode: str = "constant") -> dict:
+                     penalty_mode: str = "constant") -> Stages:
     """(user, item, score, src): merged recall scores after exclusions, caps and budget.
 
     The expansion is pruned exactly (``bounded_expansion``) before the exclusions and
     caps; only the reason lookup reads every recalled (user, seed, item) row, narrowed
     to three columns and semi-joined to the final candidates before its aggregation.
     """
-    users = FL.active_users(inp.active, as_of, active_days)
-    with_list = inp.seed_item.select("seed").distinct()
-    listed = FL.only_active(inp.user_seed, users).join(with_list, "seed", "left_semi")  # others never count
-    us = C.seed_rank(listed).select(
-        "user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds")
-    excl = FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
-                              FL.impression_window(inp.impressions, as_of, window[0], window[1]))
-    used = inp.seed_item.select("seed", "item", "sim", "pos").join(us.select("seed").distinct(), "seed", "left_semi")
-    lists = C.renumber(used, "seed", gated=inp.gated)
-    cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
-    exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
-    elig = FL.exclude_pairs(exp, excl)
-    capped = materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
-    cut = C.budget_cut(capped, budget)
-    kept = C.seed_budget(capped, budget, cut)
-    vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
-    scored = (kept.join(vis, ["user", "item"], "left")
-              .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
-    merged = materialise(C.merge_max(scored))
-    src = reason_over_recalled(merged, us, inp.seed_item, cut)
-    cand = materialise(merged.join(src, ["user", "item"]))
-    return {"us": us, "excl": excl, "elig": elig, "capped": capped, "kept": kept,
-            "merged": merged, "src": src, "cand": cand}
+    def ranked_seeds(_):
+        users = FL.active_users(inp.active, as_of, active_days)
+        with_list = inp.seed_item.select("seed").distinct()
+        listed = FL.only_active(inp.user_seed, users).join(with_list, "seed", "left_semi")  # others never count
+        return C.seed_rank(listed).select("user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds")
+
+    def eligible(st):
+        us, excl = st["us"], st["excl"]
+        used = inp.seed_item.select("seed", "item", "sim", "pos").join(us.select("seed").distinct(), "seed", "left_semi")
+        lists = C.renumber(used, "seed", gated=inp.gated)
+        cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
+        exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
+        return FL.exclude_pairs(exp, excl)
+
+    def merge(st):
+        vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
+        scored = (st["kept"].join(vis, ["user", "item"], "left")
+                  .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
+        return materialise(C.merge_max(scored))
+
+    return Stages(
+        us=ranked_seeds,
+        excl=lambda st: FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
+                                           FL.impression_window(inp.impressions, as_of, window[0], window[1])),
+        elig=eligible,
+        capped=lambda st: materialise(C.per_seed_cap(st["elig"], caps[0], caps[1], many_at)),  # the budget reads it twice
+        cut=lambda st: C.budget_cut(st["capped"], budget),
+        kept=lambda st: C.seed_budget(st["capped"], budget, st["cut"]),
+        merged=merge,
+        src=lambda st: reason_over_recalled(st["merged"], st["us"], inp.seed_item, st["cut"]),
+        cand=lambda st: materialise(st["merged"].join(st["src"], ["user", "item"])))
 
 
 def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,

@@ -21,7 +21,7 @@ from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
-from recsmith.session import materialise
+from recsmith.session import Stages, materialise
 
 
 @dataclass
@@ -88,18 +88,25 @@ def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int
 
 def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                      tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> dict:
-    elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
-    capped = materialise(C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",)))
-    rows = capped.withColumn("score", F.col("pref") * F.col("quality"))
-    merged = C.merge_sum(rows).join(RC.reason_first_tag(capped), ["user", "item"])
-    prof = inp.profile.select("item", "avg_pub_time")
-    nsw = inp.new_song_weight.select("user", "new_song_weight")
-    vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
-    x = merged.join(prof, "item", "left").join(nsw, "user", "left").join(vis, ["user", "item"], "left")
-    age = S.age_days(P.epoch(as_of), F.col("avg_pub_time"))
-    fresh = S.freshness_a(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)), age)
-    x = x.withColumn("score", S.impression_penalty(fresh, F.col("_vis"), penalty_mode))
-    return {"capped": capped, "merged": merged, "cand": materialise(x.select("user", "item", "score", "src"))}
+    def cap(_):
+        elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
+        return materialise(C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",)))
+
+    def merge(st):
+        rows = st["capped"].withColumn("score", F.col("pref") * F.col("quality"))
+        return C.merge_sum(rows).join(RC.reason_first_tag(st["capped"]), ["user", "item"])
+
+    def freshened(st):
+        prof = inp.profile.select("item", "avg_pub_time")
+        nsw = inp.new_song_weight.select("user", "new_song_weight")
+        vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
+        x = st["merged"].join(prof, "item", "left").join(nsw, "user", "left").join(vis, ["user", "item"], "left")
+        age = S.age_days(P.epoch(as_of), F.col("avg_pub_time"))
+        fresh = S.freshness_a(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)), age)
+        x = x.withColumn("score", S.impression_penalty(fresh, F.col("_vis"), penalty_mode))
+        return materialise(x.select("user", "item", "score", "src"))
+
+    return Stages(capped=cap, merged=merge, cand=freshened)
 
 
 def score(pool: DataFrame, inp: TagInputs, weights, weights_ab, item_width: int, divisor: int,

@@ -77,6 +77,19 @@ def remove_stage_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Stages:
+    """The named stages of a job, each made when it is first asked for (so a query that stops at an
+    early stage writes none of the later tables) and made once.  A maker takes the stages."""
+
+    def __init__(self, **makers):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str):
+        if name not in self._made:
+            self._made[name] = self._makers[name](self)
+        return self._made[name]
+
+
 def app_id(spark: SparkSession) -> str:
     """Identifier of the running application (stage tables and caches are scoped by it)."""
     try:

@@ -49,3 +49,31 @@ def test_require_click_first(spark):
     loose = conversion_report(_log(spark, rows), scene="s").collect()[0]
     strict = conversion_report(_log(spark, rows), scene="s", require_click_first=True).collect()[0]
     assert (loose.subs, strict.subs) == (1, 0)
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from recsmith import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session())
+
+
+def test_a_stage_is_made_when_asked_for_and_once():
+    from recsmith.session import Stages
+    made = []
+    st = Stages(a=lambda s: made.append("a") or 1, b=lambda s: made.append("b") or s["a"] + 1, c=lambda s: made.append("c"))
+    assert st["b"] == 2 and st["b"] == 2 and made == ["b", "a"] or made == ["a", "b"]
