@@ -25,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,6 +43,7 @@ FREQUENT = 1_000_000
 HELD_WORDS = 200_000     # distinct words a counting task holds before it hands them on
 CELLS = 1 << 19          # lattice positions of one numpy batch, about
 BATCH_WORDS = 200_000    # distinct words that a lattice task takes at once, about
+LONG_WORD = 512          # characters beyond which a word is not worth a numpy batch
 MARK = "▁"
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -119,9 +121,52 @@ class Pieces:
             out[unknown & (codes == c)] = sum(self.weight[self.byte_ids[b]] for b in chr(c).encode())
         return out
 
+    def _long(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """One long word, edge by edge (only the pieces that are there): start, end, piece (-1: by
+        bytes) and weight of every edge, and the forward and backward log weights of every place."""
+        length = codes.shape[1]
+        found, unknown = self.edges(codes)
+        spelled = self.by_bytes(codes, unknown)[0]
+        starts = [np.flatnonzero(f[0] >= 0) for f in found]
+        pieces = [f[0][at] for f, at in zip(found, starts)]
+        bare = np.flatnonzero(unknown[0])
+        start = np.concatenate([*starts, bare])
+        end = start + np.concatenate([*[np.full(len(at), k + 1) for k, at in enumerate(starts)], np.ones(len(bare), int)])
+        piece = np.concatenate([*pieces, np.full(len(bare), -1)]).astype(np.int64)
+        weight = np.where(piece < 0, spelled[np.minimum(start, length - 1)], self.weight[piece])
+
+        def recursion(source: np.ndarray, target: np.ndarray, first: int) -> np.ndarray:
+            """Log sums over edges, in the order of the places they lead to."""
+            value = [float("-inf")] * (length + 1)
+            value[first] = 0.0
+            order = np.argsort(target if first == 0 else -target, kind="stable")
+            here, terms = -1, []
+            for a, b, w in zip(source[order].tolist(), target[order].tolist(), weight[order].tolist()):
+                if b != here:
+                    if terms:
+                        value[here] = _log_sum(terms)
+                    here, terms = b, []
+                terms.append(value[a] + w)
+            if terms:
+                value[here] = _log_sum(terms)
+            return np.array(value)
+
+        return start, end, piece, weight, recursion(start, end, 0), recursion(end, start, length)
+
+    def _expected_long(self, codes: np.ndarray, count: float) -> np.ndarray:
+        start, end, piece, weight, alpha, beta = self._long(codes)
+        share = np.exp(alpha[start] + weight + beta[end] - alpha[-1]) * count
+        uses = np.bincount(np.where(piece < 0, len(self.weight), piece), share, len(self.weight) + 1)[:-1]
+        for at in np.flatnonzero(piece < 0).tolist():
+            for b in chr(int(codes[0, start[at]])).encode():
+                uses[self.byte_ids[b]] += share[at]
+        return uses
+
     def forward(self, codes: np.ndarray, found=None, spelled=None) -> np.ndarray:
         """Log weight of all segmentations of each prefix (n, length + 1)."""
         n, length = codes.shape
+        if length > LONG_WORD and found is None:
+            return np.stack([self._long(row[None])[4] for row in codes])
         if found is None:
             found, unknown = self.edges(codes)
             spelled = self.by_bytes(codes, unknown) if unknown.any() else None
@@ -139,6 +184,8 @@ class Pieces:
         """Expected number of uses of each piece in words of equal length that occur ``count``
         times, over all their segmentations."""
         n, length = codes.shape
+        if length > LONG_WORD:
+            return sum(self._expected_long(row[None], c) for row, c in zip(codes, count))
         found, unknown = self.edges(codes)
         spelled = self.by_bytes(codes, unknown) if unknown.any() else None
         alpha = self.forward(codes, found, spelled)
@@ -167,6 +214,11 @@ class Pieces:
         return uses[:-1]
 
 
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top + math.log(sum([math.exp(t - top) for t in terms])) if top > float("-inf") else top
+
+
 def read_vocabulary(path: str) -> Pieces:
     """The pieces of a sentencepiece model with their own scores as log weights; one more weight,
     the smallest, for the end."""

@@ -104,3 +104,13 @@ def test_odd_rows_and_joined_words(odd_docs, no_docs):
         assert key(a) == key(b)
         assert a["score"] == pytest.approx(b["score"]) and a["base_score"] == pytest.approx(b["base_score"])
     assert lm.score_documents(no_docs, PATH).count() == 0
+
+
+def test_long_words_take_the_same_sums(vocabulary, monkeypatch):
+    words = ["thndst" * 20, "ab漢🙂x" * 30, "0123456789" * 15]
+    short = lm.word_scores(vocabulary, words)
+    uses = sum(vocabulary.expected(codes, np.full(len(pick), 2.0)) for pick, codes in lm.batches_of(words))
+    monkeypatch.setattr(lm, "LONG_WORD", 10)
+    assert lm.word_scores(vocabulary, words) == pytest.approx(short, rel=1e-12)
+    again = sum(vocabulary.expected(codes, np.full(len(pick), 2.0)) for pick, codes in lm.batches_of(words))
+    assert again == pytest.approx(uses, abs=1e-8)
