@@ -2,7 +2,8 @@
 
 Sequences of one batch are padded to a common length; every token has the same number of
 hashed feature numbers.  Training is full-batch AdaGrad on the penalised log-likelihood with
-forward-backward in log space; decoding is Viterbi over the whole batch at once."""
+forward-backward in log space; decoding is Viterbi over the whole batch at once, long sequences
+in blocks of tokens."""
 
 from __future__ import annotations
 
@@ -61,19 +62,32 @@ class Crf:
 
     def decode(self, feats, forced_out, lengths) -> np.ndarray:
         """The best label numbers (n, t); positions past a sequence's length are 0."""
-        emit, trans, start = self._scores(feats, forced_out)
-        n, t, k = emit.shape
-        best, back = start + emit[:, 0], np.zeros((n, t, k), dtype=np.int64)
-        for i in range(1, t):
-            step = best[:, :, None] + trans
-            back[:, i] = step.argmax(axis=1)
-            new = step.max(axis=1) + emit[:, i]
-            on = (i < lengths)[:, None]
-            back[:, i] = np.where(on, back[:, i], np.arange(k))
-            best = np.where(on, new, best)
-        path = np.zeros((n, t), dtype=np.int64)
-        path[:, -1] = best.argmax(axis=1)
-        for i in range(t - 1, 0, -1):
-            path[:, i - 1] = back[np.arange(n), i, path[:, i]]
-        path[np.arange(t)[None, :] >= lengths[:, None]] = 0
+        return self.decode_blocks([(feats, forced_out)], lengths)
+
+    def decode_blocks(self, blocks, lengths) -> np.ndarray:
+        """``decode`` of sequences given as consecutive blocks (feats, forced_out) of their tokens:
+        scores are carried from block to block, and only back pointers are kept of a block."""
+        best, backs = None, []
+        for feats, forced_out in blocks:
+            emit, trans, start = self._scores(feats, forced_out)
+            n, t, k = emit.shape
+            back = np.zeros((n, t, k), dtype=np.int8)
+            done = sum(b.shape[1] for b in backs)
+            for i in range(t):
+                if best is None:
+                    best = start + emit[:, 0]
+                    continue
+                step = best[:, :, None] + trans
+                on = (done + i < lengths)[:, None]
+                back[:, i] = np.where(on, step.argmax(axis=1), np.arange(k))
+                best = np.where(on, step.max(axis=1) + emit[:, i], best)
+            backs.append(back)
+        path = np.zeros((n, sum(b.shape[1] for b in backs)), dtype=np.int8)
+        at, now = path.shape[1], best.argmax(axis=1)
+        for back in reversed(backs):
+            for i in range(back.shape[1] - 1, -1, -1):
+                at -= 1
+                path[:, at] = now
+                now = back[np.arange(n), i, now]
+        path[np.arange(path.shape[1])[None, :] >= lengths[:, None]] = 0
         return path

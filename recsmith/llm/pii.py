@@ -20,6 +20,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ from recsmith.llm.crf import Crf
 KINDS = ("email", "ip", "card", "phone")
 BUCKETS = 1 << 13
 CONTEXT = 3       # words on either side of a window
-BATCH = 2048      # windows decoded at once
+BATCH = 2048      # windows decoded at once, at most
+BLOCK = 1 << 16   # tokens decoded at once, at most: longer windows go block by block
 
 # Marked lines the CRF learns from, {kind:entity}.
 LABELLED = """\
@@ -201,44 +203,77 @@ def shape(token: str) -> str:
     return "".join(out) + ("~" if len(token) > 64 else "")
 
 
-def features(tokens: list[str]) -> tuple[list[list[int]], list[bool]]:
-    """Hashed feature numbers of each token, and whether it must stay outside."""
-    shapes = ["<", "<", *(shape(t.rstrip(".,;:!?\"'").lstrip("\"'")) for t in tokens), ">", ">"]
-    words = ["<", *(t.strip(_OPEN + _CLOSE).lower() for t in tokens), ">"]
-    signs = [bool(_SIGN.search(t)) for t in tokens]
-    around = [len(_digits(t)) for t in tokens]
+def _runs(tokens: list[str]) -> list[tuple[int, bool]]:
+    """For each token the digits (20 for more) of the unbroken run of number-like tokens that it is
+    in, and whether they are as many as a card's and pass its check; (0, False) outside such runs."""
+    out: list[tuple[int, bool]] = []
+    digits = [_digits(t) for t in tokens]
+    i = 0
+    while i < len(tokens):
+        end = i
+        while end < len(tokens) and digits[end]:
+            end += 1
+        if end > i:
+            run = "".join(digits[i:end])
+            out += [(min(len(run), 20), 12 < len(run) < 20 and luhn(run))] * (end - i)
+        else:
+            out.append((0, False))
+        i = max(end, i + 1)
+    return out
+
+
+def features(tokens: list[str], first: int = 0, last: int | None = None,
+             runs: list[tuple[int, bool]] | None = None) -> tuple[list[list[int]], list[bool]]:
+    """Hashed feature numbers of each token (those from ``first`` to before ``last`` of a long
+    sequence, with ``runs`` of all of it), and whether it must stay outside."""
+    last = len(tokens) if last is None else min(last, len(tokens))
+    runs = _runs(tokens) if runs is None else runs
+    # the tokens with their neighbours: two before, one after
+    lo, hi = max(0, first - 2), min(len(tokens), last + 1)
+    near = tokens[lo:hi]
+    shapes = ["<", "<", *(shape(t.rstrip(".,;:!?\"'").lstrip("\"'")) for t in near), ">", ">"]
+    words = ["<", *(t.strip(_OPEN + _CLOSE).lower() for t in near), ">"]
+    signs = [bool(_SIGN.search(t)) for t in near]
     rows = []
-    for i, t in enumerate(tokens):
-        # digits of the unbroken run of number-like tokens that this one is in
-        a = b = i
-        while a > 0 and signs[a - 1] and around[a - 1]:
-            a -= 1
-        while b + 1 < len(tokens) and signs[b + 1] and around[b + 1]:
-            b += 1
-        run = "".join(_digits(x) for x in tokens[a:b + 1]) if around[i] else ""
-        valid = 12 < len(run) < 20 and luhn(run)
+    for i in range(first - lo, last - lo):
+        t = near[i]
+        run, valid = runs[lo + i]
         own = "w=" + words[i + 1] if not signs[i] else "w"
         rows.append([zlib.crc32(f.encode()) % BUCKETS for f in (
             "bias", "s" + shapes[i + 2], "p" + shapes[i + 1], "n" + shapes[i + 3], "pp" + shapes[i],
-            "pw" + ("#" if i and signs[i - 1] else words[i]), "nw" + ("#" if i + 1 < len(tokens) and signs[i + 1] else words[i + 2]),
+            "pw" + ("#" if i and signs[i - 1] else words[i]), "nw" + ("#" if i + 1 < len(near) and signs[i + 1] else words[i + 2]),
             f"sp{shapes[i + 1]}|{shapes[i + 2]}", f"sn{shapes[i + 2]}|{shapes[i + 3]}", own,
-            f"k{re.sub('[0-9]', '', shapes[i + 2])}", f"r{min(len(run), 20)}", f"v{valid}|{len(run) > 12}",
+            f"k{re.sub('[0-9]', '', shapes[i + 2])}", f"r{run}", f"v{valid}|{run > 12}",
             f"c{'@' in t or 'at]' in t or 'at)' in t}|{t.count(':') > 1}|{t.count('.') > 2}|{t[:1] in '+('}")])
-    return rows, [not s for s in signs]
+    return rows, [not s for s in signs[first - lo:last - lo]]
 
 
-def _batch(seqs: list[list[str]]):
-    rows = [features(s) for s in seqs]
-    t = max(len(s) for s in seqs)
+def _padded(rows: list[tuple[list[list[int]], list[bool]]], t: int):
     width = 14
-    feats = np.zeros((len(seqs), t, width), dtype=np.int64)
-    outside = np.ones((len(seqs), t), dtype=bool)
+    feats = np.zeros((len(rows), t, width), dtype=np.int64)
+    outside = np.ones((len(rows), t), dtype=bool)
     for i, (f, o) in enumerate(rows):
-        feats[i, :len(f)] = f
-        outside[i, :len(o)] = o
+        if f:
+            feats[i, :len(f)] = f
+            outside[i, :len(o)] = o
+    return feats, outside
+
+
+def _batch(seqs: list[list[str]]):
+    feats, outside = _padded([features(s) for s in seqs], max(len(s) for s in seqs))
     return feats, outside, np.array([len(s) for s in seqs])
 
 
+def _blocks(seqs: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_batch`` in consecutive blocks of at most ``BLOCK`` tokens."""
+    t = max(len(s) for s in seqs)
+    step = max(1, BLOCK // len(seqs))
+    runs = [_runs(s) for s in seqs]
+    for at in range(0, t, step):
+        end = min(t, at + step)
+        yield _padded([features(s, at, end, r) if at < len(s) else ([], []) for s, r in zip(seqs, runs)], end - at)
+
+
 def labelled(lines: str = LABELLED) -> tuple[list[list[str]], list[list[int]]]:
     """Tokens and label numbers of marked lines."""
     seqs, gold = [], []
@@ -266,16 +301,12 @@ def trained(lines: str = LABELLED) -> Crf:
 
 # --- decoding -------------------------------------------------------------------------
 
-_WINDOW_TOKENS = 64
-
-
 def windows(text: str) -> list[list[tuple[int, int]]]:
     """Token positions of each window: runs of tokens with a sign, at most ``CONTEXT`` words
-    apart, with as many words of context.  Very long runs are cut at ``_WINDOW_TOKENS``."""
+    apart, with as many words of context.  A run is never cut, however long."""
     if not _SIGN.search(text):
         return []
     out: list[list[tuple[int, int]]] = []
-    before: list[tuple[int, int]] = []  # the last words
     now: list[tuple[int, int]] | None = None
     quiet = 0
     at = 0
@@ -289,7 +320,7 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
                     break  # the beginning of the sign's own token
                 now.append(w.span())
                 quiet += 1
-                if quiet == CONTEXT or len(now) >= _WINDOW_TOKENS:
+                if quiet == CONTEXT:
                     out.append(now)
                     now = None
                     break
@@ -302,14 +333,16 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
             start -= 1
         end = _TOKEN.match(text, start).end()
         if now is None:
-            left = max(at, start - 40 * CONTEXT)
-            before = [w.span() for w in _TOKEN.finditer(text, left, start)][-CONTEXT:]
-            now = list(before)
+            reach = 40 * CONTEXT
+            while True:  # back until one more word is seen than is needed, so that those are whole
+                left = max(at, start - reach)
+                before = [w.span() for w in _TOKEN.finditer(text, left, start)]
+                if left == at or len(before) > CONTEXT:
+                    break
+                reach *= 2
+            now = before[-CONTEXT:]
         now.append((start, end))
         quiet = 0
-        if len(now) >= _WINDOW_TOKENS:
-            out.append(now)
-            now = None
         at = end
 
 
@@ -331,10 +364,16 @@ def added_spans(model: Crf, texts: list[str], base: list[list[tuple[int, int, in
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     found = [(i, w) for i, t in enumerate(texts) for w in windows(t)]
     found.sort(key=lambda x: len(x[1]))
-    for at in range(0, len(found), BATCH):
-        part = found[at:at + BATCH]
-        feats, outside, lengths = _batch([[texts[i][a:b] for a, b in w] for i, w in part])
-        for (i, w), path in zip(part, model.decode(feats, outside, lengths)):
+    at = 0
+    while at < len(found):
+        # as many windows as fit a block (the last of them is the longest), or one longer than that
+        end = at + 1
+        while end < len(found) and end - at < BATCH and (end + 1 - at) * len(found[end][1]) <= BLOCK:
+            end += 1
+        part, at = found[at:end], end
+        seqs = [[texts[i][a:b] for a, b in w] for i, w in part]
+        paths = model.decode_blocks(_blocks(seqs), np.array([len(s) for s in seqs]))
+        for (i, w), path in zip(part, paths.tolist()):
             k = 0
             while k < len(w):
                 if not path[k]:
