@@ -3,7 +3,8 @@
 Words and character n-grams of a text are hashed into one table of vectors; their mean is the
 document's vector, and a softmax over it gives the class probabilities.  Vectors and output
 weights are learned together by stochastic gradient descent in numpy from a bounded sample of
-labelled rows (``MAX_SAMPLE``, the rows of smallest id hash), inside one task.  For two classes
+labelled rows (``MAX_SAMPLE``, one row per id, those of smallest id hash), inside one task; the
+sample itself is found and written by distributed tasks.  For two classes
 the trained model collapses to one number per bucket, so scoring a text is a mean of looked-up
 numbers, over the whole text.
 
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.llm.common import add_columns, crc32_mod, importable, row_udf, structs, utf8
+from recsmith.session import materialise
 
 BUCKET_BITS = 17
 DIM = 8
@@ -124,25 +126,28 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, dim: int
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                     rows: int = MAX_SAMPLE) -> DataFrame:
     """(id, text, label) of at most ``rows`` labelled ids outside the held-out fold: those of the
-    smallest id hash.  Only these ids, a bounded number, are broadcast."""
+    smallest id hash.  Only these ids, a bounded number, are broadcast.  One row per id: of repeated
+    rows the largest text, found where the rows are, so a hot id sends one row per task onward."""
     ids = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (crc32_mod(id_col, 4) != 2))
            .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
            .orderBy(F.xxhash64("id"), "id").limit(rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), "id").select("id", "text", "label")
+    return (texts.join(F.broadcast(ids), "id").groupBy("id")
+            .agg(F.max("text").alias("text"), F.max("label").alias("label")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", rows: int = MAX_SAMPLE) -> Model:
-    """Train in one task on the bounded sample; only the bucket table comes to the driver."""
+    """Train in one task on the bounded sample, which distributed tasks have written before; only
+    the bucket table comes to the driver."""
     importable(docs.sparkSession)
-    sample = labelled_sample(docs, labels, id_col, text_col, label_col, rows)
+    sample = materialise(labelled_sample(docs, labels, id_col, text_col, label_col, rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[object, tuple[bytes, int]] = {}
         for b in batches:
             for i, t, y in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist()):
-                seen[i] = max(seen.get(i, (b"", y)), (t, y))  # of repeated rows one, whatever their order
+                seen[i] = (t, y)
         keys = sorted(seen)
         m = train([seen[k][0] for k in keys], [seen[k][1] for k in keys])
         yield pa.RecordBatch.from_arrays([pa.array([m.table.tobytes()], pa.binary()), pa.array([m.bias], pa.float64())],

@@ -124,3 +124,21 @@ def test_classifier_odd_rows(spark, odd_docs, no_docs):
     empty = quality_clf.fit(no_docs, labels)
     assert quality_clf.score(no_docs, empty).count() == 0
     assert quality_clf.train([], []).score(b"") == pytest.approx(0.5)
+
+
+def test_classifier_sample_is_one_row_per_id(spark, monkeypatch):
+    """The training task sees the written sample alone: one row per id, the largest text, however
+    often a document is repeated."""
+    rows = [(i, f"good words of text {i} " * 3) for i in range(40)] + [(3, f"text {i} again") for i in range(400)] + [(5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    got = quality_clf.labelled_sample(docs, labels, "doc_id", "text", "quality").collect()
+    want = {i: max(t for j, t in rows if j == i and t) for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(got) == len(want) and {r["id"]: r["text"] for r in got} == want
+    assert len(quality_clf.labelled_sample(docs, labels, "doc_id", "text", "quality", 10).collect()) <= 10
+    written, real = [], quality_clf.materialise
+    monkeypatch.setattr(quality_clf, "materialise", lambda df: written.append(real(df)) or written[-1])
+    model = quality_clf.fit(docs, labels)
+    assert [w.count() for w in written] == [len(want)]
+    same = quality_clf.train([want[i].encode() for i in sorted(want)], [i % 2 for i in sorted(want)])
+    assert np.allclose(model.table, same.table, atol=1e-4) and model.bias == pytest.approx(same.bias, abs=1e-4)
