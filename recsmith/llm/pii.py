@@ -6,7 +6,8 @@ words around them and digit counts.  It is trained from ``LABELLED``, a small ta
 lines, and decoded by Viterbi in numpy batches.  A token without a digit, ``@`` or a bracketed
 "at" cannot be part of an entity (in training and decoding alike), so only the windows around
 such tokens are decoded; all of them are, in every whole text.  A decoded span is added if it
-overlaps no base span and passes the plain check of its kind (digit count, Luhn, an "at").
+overlaps no base span and passes the plain check of its kind (digit count, Luhn, an "at", a ``::`` or
+all the colons of an IPv6 address).
 
 Defined results: a null or empty text has no spans; positions are code points, end exclusive;
 repeated rows are treated alike; an empty table gives no rows; an input column named like an
@@ -346,15 +347,21 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
         at = end
 
 
+# two colons: only together, as no clock time has them
+_SHORT_IP = re.compile(r"(?=.*[0-9A-Fa-f])[0-9A-Fa-f]{0,4}::[0-9A-Fa-f]{0,4}")
+
+
 def _checked(kind: int, text: str, start: int, end: int) -> tuple[int, int] | None:
-    while start < end and text[start] in "[\"'<" + _CLOSE:
+    # a "::" at either end belongs to an address
+    while start < end and text[start] in "[\"'<" + _CLOSE and not (kind == 1 and text.startswith("::", start, end)):
         start += 1
-    while end > start and (text[end - 1] in ".,;:!?\"'>(" or (text[end - 1] in ")]" and kind)):
+    while end > start and not (kind == 1 and _SHORT_IP.fullmatch(text, start, end)) and (text[end - 1] in ".,;:!?\"'>(" or (text[end - 1] in ")]" and kind)):
         end -= 1
     s = text[start:end]
     d = _digits(s)
     ok = {0: lambda: re.fullmatch(r"[\w.%+-]+(?:@|\[at\]|\(at\))[\w-]+(?:\.[\w-]+)*", s),
-          1: lambda: s.count(":") >= 3 and re.fullmatch(r"[0-9A-Fa-f:]{6,39}", s) and "::" in s + "::" * (s.count(":") == 7),
+          1: lambda: _SHORT_IP.fullmatch(s) or s.count(":") >= 3 and re.fullmatch(r"[0-9A-Fa-f:]{5,39}", s)
+          and "::" in s + "::" * (s.count(":") == 7),
           2: lambda: 13 <= len(d) <= 19 and luhn(d) and re.fullmatch(r"[0-9 -]+", s),
           3: lambda: 7 <= len(d) <= 15 and re.fullmatch(r"[0-9+(][0-9 ().+-]*", s)}[kind]()
     return (start, end) if ok else None
