@@ -7,8 +7,10 @@ target weights, staying as close to rate 1 as the targets allow.
 
 Only DataFrame functions are used.  The rate of a document depends on its posterior alone, so
 the iterations run over the cells of a posterior grid (``GRID`` steps per domain: a fixed number
-of cells, whatever the number of documents) holding token totals; each iteration is one
-distributed sum, and only one number per domain comes back.  The learned word list is bounded
+of cells, whatever the number of documents).  Posteriors are exact; the grid only says which
+documents share a rate, and a cell holds its tokens and the sums of tokens x exact posterior, so
+the totals are those of the documents.  Each iteration is one distributed sum, and only one number
+per domain comes back.  The learned word list is bounded
 (``VOCABULARY``) and fitted on a bounded sample of labelled rows (``MAX_SAMPLE``).
 
 Defined results: a null or empty text has no tokens, its posterior is that of a text without any
@@ -123,7 +125,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def memberships(df: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
-    """``df`` with ``n_tokens`` (words) and ``posterior`` on the grid, one number per domain."""
+    """``df`` with ``n_tokens`` (words) and the exact ``posterior``, one number per domain."""
     listed = F.array(*[F.lit(w) for w in model.weight]).cast("array<string>")
     taken = {"n_tokens", "posterior", "_words", "_text", "_places", "_scores"}
     rest = [f"`{c}`" for c in df.columns if c.lower() not in taken]
@@ -136,19 +138,27 @@ def memberships(df: DataFrame, model: Classifier, text_col: str = "text") -> Dat
     base = base.select(*rest, "n_tokens", F.array(*model.log_scores(F.col("_places"))).alias("_scores"))
     score = [F.col("_scores")[i] for i in range(len(model.domains))]
     share = [1 / sum((F.exp(F.least(b - a, F.lit(700.0))) for b in score), F.lit(0.0)) for a in score]
-    return base.select(*rest, "n_tokens", F.array(*[F.round(x * GRID) / GRID for x in share]).alias("posterior"))
+    return base.select(*rest, "n_tokens", F.array(*share).alias("posterior"))
+
+
+def cell_of(posterior: Column) -> Column:
+    """The grid cell of a posterior."""
+    return F.transform(posterior, lambda x: F.round(x * GRID) / GRID)
 
 
 def rates(member: DataFrame, domains: list[str], targets: dict[str, float], budget: float | None = None) -> DataFrame:
-    """(posterior, rate) of every grid cell.  ``budget``: wanted tokens in all; by default as many
-    as there are with the first domain kept as it is."""
+    """(posterior, rate) of every grid cell (``cell_of``).  ``budget``: wanted tokens in all; by
+    default as many as there are with the first domain kept as it is."""
     k = len(domains)
-    p = [F.col("posterior")[i] for i in range(k)]
-    cells = materialise(member.groupBy("posterior").agg(F.sum("n_tokens").cast("double").alias("tokens"))
-                        .withColumn("rate", F.lit(1.0)))
+    held = [F.sum(F.col("n_tokens") * F.col("posterior")[i]).alias(f"held{i}") for i in range(k)]
+    cells = materialise(member.groupBy(cell_of(F.col("posterior")).alias("posterior"))
+                        .agg(F.sum("n_tokens").cast("double").alias("tokens"), *held).withColumn("rate", F.lit(1.0)))
+    # mean posterior of a cell's tokens
+    p = [F.when(F.col("tokens") > 0, F.col(f"held{i}") / F.col("tokens")).otherwise(F.col("posterior")[i])
+         for i in range(k)]
 
     def totals(df: DataFrame) -> list[float]:
-        row = df.agg(*[F.coalesce(F.sum(F.col("tokens") * F.col("rate") * x), F.lit(0.0)) for x in p]).first()
+        row = df.agg(*[F.coalesce(F.sum(F.col("rate") * F.col(f"held{i}")), F.lit(0.0)) for i in range(k)]).first()
         return list(row)
 
     mass = totals(cells)
@@ -182,7 +192,7 @@ def mix(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: st
     member = materialise(member if keep_text else member.drop(text_col))
     cell = rates(member, list(domains), targets, budget)
     member = member.select(*[f"`{c}`" for c in member.columns if c.lower() not in ("rate", "copies")])
-    out = member.join(cell, "posterior")
+    out = member.join(cell, cell_of(member["posterior"]) == cell["posterior"]).drop(cell["posterior"])
     draw = F.pmod(F.xxhash64(F.lit("mix"), F.col(id_col)), F.lit(1_000_000)) / 1_000_000
     whole = F.floor("rate")
     return out.withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("long")).cast("long"))

@@ -73,3 +73,30 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.QUERIES["op10_mixing"](spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_small_posteriors_are_held_exactly(spark):
+    """Posteriors far below a grid step sum to 1, count in the totals and keep their domain in the fit."""
+    model = mixing.Classifier(list(mixing.DOMAINS), [0.0, -3.0, float(np.log(4e-4))], {"odd": [0.0, 1.0, 0.6]})
+    df = spark.createDataFrame([(i, "plain text " * 20 + ("odd" if i % 3 else "")) for i in range(60)], "doc_id long, text string")
+    member = materialise(mixing.memberships(df, model))
+    rows = member.collect()
+    score = np.array([[0.0, -3.0, np.log(4e-4)] if r["doc_id"] % 3 == 0 else [0.0, -2.0, np.log(4e-4) + 0.6] for r in rows])
+    # the traits of the text are not listed, so only the word speaks
+    want = np.exp(score) / np.exp(score).sum(axis=1, keepdims=True)
+    p = np.array([r["posterior"] for r in rows])
+    assert p == pytest.approx(want, rel=1e-9) and p.max(axis=0)[2] < 1e-3
+    targets = {"good": 0.9, "poor": 0.099, "toxic": 0.001}
+    cell = {tuple(r["posterior"]): r["rate"] for r in mixing.rates(member, list(mixing.DOMAINS), targets).collect()}
+    rate = np.array([cell[tuple(np.round(x * mixing.GRID) / mixing.GRID)] for x in p])
+    tokens = np.array([float(r["n_tokens"]) for r in rows])
+    assert rate == pytest.approx(brute_rates(p, tokens, list(targets.values()), mixing.ROUNDS), rel=0.02)
+
+
+def test_query_meets_each_target_by_exact_posteriors(spark):
+    got = queries.QUERIES["op10_mixing"](spark, "/root/testdata/sf0.01").collect()
+    p = np.array([[r[f"p_{d}"] for d in mixing.DOMAINS] for r in got])
+    assert p.sum(axis=1) == pytest.approx(np.ones(len(p)), abs=1e-9)
+    total = (p * np.array([r["n_tokens"] * r["rate"] for r in got])[:, None]).sum(axis=0)
+    for share, want in zip(total / total.sum(), mixing.TARGETS.values()):
+        assert share == pytest.approx(want, rel=0.05)
