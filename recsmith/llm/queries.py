@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import ann, bpe_count, lattice_lm, mixing, packing, pii, quality_clf, quality_rules, secret_scan, simhash
+from recsmith.llm import (ann, bpe_count, decontaminate, lattice_lm, mixing, oracles, packing, pii, quality_clf, quality_rules,
+                          secret_scan, simhash)
 from recsmith.llm.common import crc32_mod, read_table
 from recsmith.session import materialise
 
@@ -87,3 +88,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, labels, keep_text=False)
     posterior = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)]
     return mixed.select("doc_id", "n_tokens", *posterior, "rate", "copies")
+
+
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_decontamination"] = oracles.DECONTAMINATION
