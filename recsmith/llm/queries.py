@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm import (ann, bpe_count, decontaminate, lattice_lm, mixing, oracles, packing, pii, quality_clf, quality_rules,
-                          secret_scan, simhash)
+from recsmith.llm import (ann, bpe_count, decontaminate, divergence, lattice_lm, mixing, oracles, packing, pii, prefix_trie,
+                          quality_clf, quality_rules, secret_scan, simhash)
 from recsmith.llm.common import crc32_mod, read_table
 from recsmith.session import materialise
 
@@ -96,3 +96,19 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_decontamination"] = oracles.DECONTAMINATION
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op12_prefix_trie"] = oracles.PREFIX_TRIE
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_source_divergence"] = oracles.DIVERGENCE
