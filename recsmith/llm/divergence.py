@@ -46,6 +46,8 @@ SCALE = 1_000_000_000
 TOP_TERMS = 50
 HELD_TERMS = 300_000   # terms that a task counts before it passes them on
 HELD_CELLS = 4_000_000  # pair sums that a task holds
+TASK_ROWS = 10_000     # term rows of a task that walks its part of the tree
+BORDER_ENTRIES = 4     # entries of a row that decide its task
 SEGMENT = 1 << 20      # bytes of a long text counted at once
 
 # A-Z become a-z; bytes outside terms become spaces.  Bytes from 0x80 on are parts of non-ASCII characters.
@@ -184,14 +186,16 @@ def _tree_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield out()
 
 
-def shared_corrections(entries: DataFrame) -> DataFrame:
-    """(lang, a, b, fix), a < b, from ``entries`` (lang, term, at, p, p0): what the terms that both sources
-    have change in the sum of their pair."""
+def shared_corrections(entries: DataFrame, n_terms: int) -> DataFrame:
+    """(lang, a, b, fix), a < b, from ``entries`` (lang, term, at, p, p0) of ``n_terms`` terms: what the terms
+    that both sources have change in the sum of their pair."""
     importable(entries.sparkSession)
     rows = entries.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("at", "p", "p0"))).alias("row"))
     merged = rows.groupBy("lang", "row").agg(F.count("*").alias("n"))
-    ordered = merged.repartitionByRange("lang", "row").sortWithinPartitions("lang", "row")
-    return ordered.mapInArrow(_tree_partition, "lang string, a long, b long, fix long").groupBy("lang", "a", "b").agg(
+    # the first entries set the borders: the driver samples them, not whole rows
+    first = [c for i in range(BORDER_ENTRIES) for c in (F.get("row", F.lit(i))["at"], F.get("row", F.lit(i))["p"])]
+    ordered = merged.repartitionByRange(1 + n_terms // TASK_ROWS, "lang", *first).sortWithinPartitions("lang", "row")
+    return ordered.select("lang", "row", "n").mapInArrow(_tree_partition, "lang string, a long, b long, fix long").groupBy("lang", "a", "b").agg(
         F.sum("fix").alias("fix"))
 
 
@@ -232,7 +236,7 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     both = lambda x: x.unionByName(x.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "fix"))
     other = groups.select("lang", F.col("source").alias("item"), F.col("at").alias("b"), F.col("p0").alias("none_b"))
     pairs = groups.select("lang", "source", F.col("at").alias("a"), "p0", "v").join(other, "lang").filter("a <> b")
-    fixes = (both(single_corrections(entries, groups)).unionByName(both(shared_corrections(entries)))
+    fixes = (both(single_corrections(entries, groups)).unionByName(both(shared_corrections(entries, terms.count())))
              .groupBy("lang", "a", "b").agg(F.sum("fix").alias("fix")))
     absent = F.coalesce(F.col("v") * F.abs(F.col("p0") - F.col("none_b")), zero)
     pair = (pairs.join(fixes, ["lang", "a", "b"], "left")
