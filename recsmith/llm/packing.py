@@ -6,14 +6,22 @@ tiers are packed from long to short: a piece opens a window of its tier, the gap
 the longest fitting pieces of shorter tiers, and the last bit of it with the head of one more
 piece.  Where the shorter pieces cannot fill the gap, the piece itself is cut to the next
 shorter context size.  So every window is exactly full; only the tail of a task can end in
-padding.  Sequences of equal length are dealt into step groups of ``STEP_TOKENS`` tokens each.
+padding.  Sequences are dealt into step groups of ``STEP_TOKENS`` tokens each: of equal length as
+long as a tier fills a group, and the rest of a task, long ones first, in mixed groups.  So all
+groups are equal, but for one short group that a task may end with.
+
+Token ids come from a byte-level encoder that cuts texts by the file's pattern.  Its matcher has a
+bounded stack, which a run of a million white-space characters exceeds; such a run (all of it
+at the end of a text, all but the last character otherwise) is one pre-token by the pattern, so
+texts are cut around runs of ``LONG_RUN`` characters or more and a run is merged as a whole.
 
 Packing is a map over the input partitions, without a shuffle: a task holds ``HELD_TOKENS``
 tokens at most (and one document), packs them, and carries what is left over to the next ones.
 Sequence ids hold the partition number, so a task that is run again gives the same ids.
 
 Defined results: a null or empty text is its end id alone; repeated rows are packed each on
-their own; a null doc_id stays null; an empty table gives no rows; other columns are ignored.
+their own; a null doc_id stays null; an empty table gives no rows; other columns are ignored.  A
+very long text is encoded in time linear in its length but for its longest pre-token.
 """
 
 from __future__ import annotations
@@ -21,6 +29,7 @@ from __future__ import annotations
 import bisect
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,22 +48,51 @@ END_ID = 1
 STEP_TOKENS = 16 * 2048
 HELD_TOKENS = 1 << 22
 LAST_TIER = 32  # a task's tail is cut to powers of two down to this
+LONG_RUN = 100_000  # white-space characters of a run that is cut out of its text
 
+# Fixed value: the characters with the Unicode property White_Space.
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_RUN = re.compile(f"(?<!{_SPACE}){_SPACE}{{{LONG_RUN},}}")
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str) -> tiktoken.Encoding:
+
+class Encoder:
     """The byte-level BPE of a ``tokenizers`` JSON file: same ids, encoded one text at a time
     (tests compare it with the ``tokenizers`` library, special strings included)."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    bytes_of = byte_alphabet()
-    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-    ranks = {bytes(bytes_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding(f"json:{path}", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        bytes_of = byte_alphabet()
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(bytes_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        make = lambda pattern: tiktoken.Encoding(f"json:{path}", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        self.texts, self.whole = make(PATTERN), make(r"[\s\S]+")  # by pre-tokens; as one pre-token
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+
+    def _parts(self, text: str) -> Iterator[np.ndarray]:
+        for part in self.special.split(text) if self.special else [text]:
+            at = 0
+            for run in _RUN.finditer(part):
+                start, end = run.start(), run.end() - (run.end() < len(part))  # the last character starts the next pre-token
+                yield self.texts.encode_to_numpy(part[at:start], allowed_special="all")
+                yield self.whole.encode_to_numpy(part[start:end], allowed_special="all")
+                at = end
+            yield self.texts.encode_to_numpy(part[at:], allowed_special="all")
+
+    def ids(self, text: str) -> np.ndarray:
+        if len(text) >= LONG_RUN and _RUN.search(text):
+            return np.concatenate(list(self._parts(text)))
+        return self.texts.encode_to_numpy(text, allowed_special="all")
 
-def token_ids(enc: tiktoken.Encoding, text: str, end_id: int = END_ID) -> np.ndarray:
-    return np.append(enc.encode_to_numpy(text, allowed_special="all"), np.uint32(end_id)).astype("<u4")
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per file and Python worker."""
+    return Encoder(path)
+
+
+def token_ids(enc: Encoder, text: str, end_id: int = END_ID) -> np.ndarray:
+    return np.append(enc.ids(text), np.uint32(end_id)).astype("<u4")
 
 
 class Pool:
@@ -157,20 +195,40 @@ def _pack_partition(path: str, tiers: tuple[int, ...], held_tokens: int, step_to
         part = TaskContext.get().partitionId() << 40
         enc = encoder(path)
         rows: list[tuple] = []
-        made = 0
-        of_tier: dict[int, int] = {}
+        made = steps = 0
+        open_groups: dict[int, list] = {}  # by tier: the sequences of a group that is not full yet
+
+        def close(group: list) -> None:
+            nonlocal steps
+            rows.extend((*r[:8], part + steps, *r[8:]) for _, pieces in group for r in pieces)
+            steps += 1
+            group.clear()
 
         def emit(tier: int, window: list) -> None:
             nonlocal made
-            k = of_tier[tier] = of_tier.get(tier, 0) + 1
-            step = part + (tier.bit_length() << 32) + (k - 1) // max(1, step_tokens // tier)
-            at = 0
+            pieces, at = [], 0
             for (doc_id, ids), start, n in window:
                 own = ids[start:start + n]
-                rows.append((doc_id, start, n, zlib.crc32(own.tobytes()), len(ids), part + made, at, tier, step,
-                             *([own.astype(np.int32)] if keep_ids else [])))
+                pieces.append((doc_id, start, n, zlib.crc32(own.tobytes()), len(ids), part + made, at, tier,
+                               *([own.astype(np.int32)] if keep_ids else [])))
                 at += n
             made += 1
+            group = open_groups.setdefault(tier, [])
+            group.append((tier, pieces))
+            if len(group) * tier >= step_tokens:
+                close(group)
+
+        def close_all() -> None:
+            rest, size = [], 0
+            for tier in sorted(open_groups, reverse=True):  # powers of two, long ones first: groups fill up exactly
+                for sequence in open_groups[tier]:
+                    rest.append(sequence)
+                    size += tier
+                    if size >= step_tokens:
+                        close(rest)
+                        size = 0
+            if rest:
+                close(rest)
 
         def out() -> pa.RecordBatch:
             cols = list(zip(*rows)) or [()] * len(schema)
@@ -190,6 +248,7 @@ def _pack_partition(path: str, tiers: tuple[int, ...], held_tokens: int, step_to
                 if len(rows) >= 20_000:
                     yield out()
         packer.finish()
+        close_all()
         yield out()
 
     return run

@@ -51,6 +51,37 @@ def test_encoder_equals_the_library(tokenizer):
         assert packing.token_ids(enc, t).tolist() == e.ids + [1]
 
 
+@pytest.mark.parametrize("run", [" " * 5_000_000, "\n" * 5_000_000, "\t" * 5_000_000, " \n\t\u3000\r" * 1_000_000])
+def test_long_runs_of_white_space(tokenizer, run):
+    """Runs that a backtracking matcher cannot take: at the end, before a word, before a special string."""
+    enc = packing.encoder(PATH)
+    for text in ("word" + run, run[:1_200_000] + "x y", "a " + run[:300_000] + "<|endoftext|>" + run[:1_100_001] + "'s"):
+        want = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        got = packing.token_ids(enc, text)
+        assert len(got) == len(want) and (got == np.array(want)).all()
+
+
+def test_runs_of_any_length_are_cut_alike(tokenizer, monkeypatch):
+    import re
+    monkeypatch.setattr(packing, "LONG_RUN", 1)
+    monkeypatch.setattr(packing, "_RUN", re.compile(f"(?<!{packing._SPACE}){packing._SPACE}{{3,}}"))
+    enc = packing.encoder(PATH)
+    rows = odd_texts() + [" \n" * 7, "a   b", "a \n  ", "\x1c\x1c\x1c \x85\x85\x85x", "   <|endoftext|>   's"]
+    for t, e in zip(rows, tokenizer.encode_batch(rows, add_special_tokens=False)):
+        assert packing.token_ids(enc, t).tolist() == e.ids + [1]
+
+
+def test_step_groups_are_equal(spark, docs):
+    """Every step group holds the same number of tokens, but for one group of each task."""
+    rows = packing.pack(docs.repartition(3), PATH, step_tokens=8192).collect()
+    size, task = {}, {}
+    for r in {(r["sequence_id"], r["step_group"], r["tier"]) for r in rows}:
+        size[r[1]] = size.get(r[1], 0) + r[2]
+    for group, n in size.items():
+        task.setdefault(group >> 40, []).append(n)
+    assert len(task) == 3 and all(sum(n != 8192 for n in sizes) <= 1 and max(sizes) == 8192 for sizes in task.values())
+
+
 def check_pieces(rows, want):
     """``want``: the ids of each document key; rows are its pieces."""
     by_doc, by_sequence = {}, {}
