@@ -2,14 +2,21 @@
 
 Largest inner product becomes Euclidean distance by one more coordinate, sqrt(M^2 - |x|^2) (zero
 for queries).  Gaussian (2-stable) projections to ``PROJECTED`` dimensions are indexed by a
-kd-tree: its splits are fitted on a bounded sample (``SAMPLE`` points), every row is put into one
-of its cells.  A query visits cells by growing distance in the projected space.  Points are
-verified with their original vectors, and the search ends by the chi-square test: the squared
-projected distance of a point at the distance d of the k-th best so far is d^2 times a chi-square
-variable, so once the next projected neighbour is beyond d^2 times its ``STOP`` quantile, a
-better point is left with probability 1 - ``STOP`` at most.  The cells are visited in three steps
-(the query's own, the next few, all others that the test has not ruled out), each one a join of
-(query, cell) rows with the points of the cell, in blocks of queries.
+kd-tree: its splits are fitted on a bounded sample (``SAMPLE`` points, ``MAX_CELLS`` cells at most),
+every row is put into one of its cells, and a cell is held in blocks of about ``CELL_ROWS`` points,
+however many it has.
+
+A query visits cells by growing distance in the projected space, the nearest one first and then
+twice as many in each step (Sun et al., 2014, with the order of the tree's cells).  In a cell its
+points are taken by growing projected distance, in batches: a batch is verified with the original
+vectors, the k-th best so far moves up, and the search ends by the chi-square test.  The squared
+projected distance of a point at the distance d of the k-th best is d^2 times a chi-square variable,
+so once the next projected neighbour is beyond d^2 times its ``STOP`` quantile, a better point is left
+with probability 1 - ``STOP`` at most.  Points beyond are never scored, and cells beyond are never
+visited.  Each step is a join of blocks of the queries that ask for a cell with the cell's blocks
+of points; cells that nobody asks for are not copied.  How much is saved depends on the data:
+vectors without any structure have their k-th neighbour nearly as far as all others, so few
+cells can be ruled out by any method; ``n_verified`` tells how many points each query has scored.
 
 Equal vectors are searched once and share their result.  Scores are double-precision inner
 products of the original vectors; ties go to the smaller id.
@@ -25,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +42,15 @@ from pyspark.sql import functions as F
 from recsmith.llm.common import importable
 from recsmith.session import materialise
 
-PROJECTED = 8        # dimensions of the projected space (even)
-STOP = 0.97          # quantile of the stopping test
+PROJECTED = 24       # dimensions of the projected space (even)
+STOP = 0.94          # quantile of the stopping test
 SAMPLE = 20_000      # points the kd-tree is fitted on, at most
-CELL_ROWS = 2048     # points of a cell, about
+CELL_ROWS = 4096     # points of a cell, and of a block of a larger cell, about
 MAX_CELLS = 4096
-NEXT_CELLS = 4       # cells of the second step
-QUERY_BLOCK = 4096   # queries that meet a cell in one task, about
+QUERY_BLOCK = 8192   # queries that meet a block of points in one task, about
+BATCH = 32           # points of the first batch that a query verifies in a cell
+MOST = 256           # points of any batch
+HELD_QUERIES = 64    # queries worked off together
 SEED = 11
 
 
@@ -139,70 +149,92 @@ def _assign(s: Searcher):
     return run
 
 
-def _visits(s: Searcher, step: int):
-    """(cell, qid, vec, kth) rows of a step for the queries (qid, vec, kth)."""
+def _visits(s: Searcher, first: int, last: int):
+    """(cell, qid, kth): which queries (qid, vec, kth) visit which of their ``first``-th to ``last``-th cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = len(s.cells.low)
+        held = max(1, 1_000_000 // (cells * s.matrix.shape[1]))
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, held):
+                b = whole.slice(at, held)
                 x = _matrix(b.column("vec"), s.width)
                 p = s.project(x, query=True)
                 dist = s.cells.distance(p)
-                home = s.cells.cell(p)
+                order = np.where(np.arange(cells) == s.cells.cell(p)[:, None], -1, dist)
+                rank = np.argsort(np.argsort(order, axis=1, kind="stable"), axis=1, kind="stable")
                 kth = np.where(np.isnan(k := b.column("kth").to_numpy(zero_copy_only=False).astype(float)), -np.inf, k)
-                rank = np.argsort(np.argsort(np.where(np.arange(dist.shape[1]) == home[:, None], -1, dist), axis=1,
-                                             kind="stable"), axis=1, kind="stable")
-                first, last = ((0, 1), (1, 1 + NEXT_CELLS), (1 + NEXT_CELLS, dist.shape[1]))[step]
-                go = (rank >= first) & (rank < last) & (dist <= s.reach(x, kth)[:, None])
-                q, c = np.nonzero(go)
-                took = b.take(pa.array(q))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int32)), took.column("qid"), took.column("vec"), pa.array(kth[q])],
-                    names=["cell", "qid", "vec", "kth"])
+                q, c = np.nonzero((rank >= first) & (rank < last) & (dist <= s.reach(x, kth)[:, None]))
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), b.column("qid").take(pa.array(q)), pa.array(kth[q])],
+                                                 names=["cell", "qid", "kth"])
 
     return run
 
 
-def _verify(s: Searcher):
-    """Verify the points of a cell that pass the test against the queries that visit it."""
-    schema = pa.schema([("qid", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+def _search(s: Searcher, q: np.ndarray, pq: np.ndarray, kth: np.ndarray, x: np.ndarray, px: np.ndarray):
+    """The ``k`` best points for each query (scores and positions, falling; -inf where there are fewer) among
+    those verified, and how many that were.  ``kth``: what a point must reach to be wanted at all."""
+    gap = (pq ** 2).sum(1)[:, None] + (px ** 2).sum(1)[None] - 2 * pq @ px.T
+    order = np.argsort(gap, axis=1, kind="stable")
+    best = np.full((len(q), s.k), -np.inf)
+    place = np.full((len(q), s.k), len(x))
+    verified = np.zeros(len(q), np.int64)
+    live, at, size = np.arange(len(q)), 0, BATCH
+    while len(live) and at < len(x):
+        idx = order[live, at:at + size]
+        reach = s.reach(q[live], np.maximum(kth[live], best[live, -1]))
+        near = np.take_along_axis(gap[live], idx, axis=1) <= reach[:, None] + 1e-9
+        verified[live] += near.sum(axis=1)
+        score = np.where(near, np.einsum("qd,qbd->qb", q[live], x[idx]), -np.inf)
+        score, idx = np.concatenate([best[live], score], axis=1), np.concatenate([place[live], idx], axis=1)
+        by = np.argsort(idx, axis=1, kind="stable")  # points lie by id: ties go to the smaller one
+        score, idx = np.take_along_axis(score, by, axis=1), np.take_along_axis(idx, by, axis=1)
+        by = np.argsort(-score, axis=1, kind="stable")[:, :s.k]
+        best[live], place[live] = np.take_along_axis(score, by, axis=1), np.take_along_axis(idx, by, axis=1)
+        live = live[near[:, -1]]  # the others have met the test
+        at, size = at + size, min(2 * size, MOST)
+    return best, place, verified
+
+
+_FOUND = pa.schema([("qid", pa.int64()), ("id", pa.int64()), ("score", pa.float64()), ("n_verified", pa.int64())])
+
 
+def _verify(s: Searcher):
+    """Candidates of the queries of a block in a block of points, and a row without id for the number verified."""
     def run(queries: pa.Table, points: pa.Table) -> pa.Table:
         if not queries.num_rows or not points.num_rows:
-            return schema.empty_table()
-        out_q, out_i, out_s = [], [], []
+            return _FOUND.empty_table()
+        points = points.sort_by("pid")
         qid = queries.column("qid").to_numpy()
         q = _matrix(queries.column("vec").combine_chunks(), s.width)
         kth = queries.column("kth").to_numpy()
         x = _matrix(points.column("vec").combine_chunks(), s.width)
         ids = points.column("ids").to_pylist()
         px, pq = s.project(x), s.project(q, query=True)
-        for at in range(0, len(q), 512):
-            part = slice(at, at + 512)
-            gap = (pq[part] ** 2).sum(1)[:, None] + (px ** 2).sum(1)[None] - 2 * pq[part] @ px.T
-            score = q[part] @ x.T
-            seen = (gap <= s.reach(q[part], kth[part])[:, None] + 1e-9) & (score >= kth[part][:, None] - 1e-9)
-            for r in np.flatnonzero(seen.any(axis=1)):
-                cand = np.flatnonzero(seen[r])
-                if len(cand) > s.k:
-                    # enough distinct vectors: those below the k-th cannot be wanted
-                    edge = np.partition(score[r, cand], -s.k)[-s.k] - 1e-9
-                    cand = cand[score[r, cand] >= edge]
-                exact = np.einsum("ij,ij->i", x[cand], np.broadcast_to(q[at + r], (len(cand), s.width)))
-                rows = sorted((-v, i) for v, c in zip(exact.tolist(), cand) for i in ids[c])[:s.k]
+        out_q, out_i, out_s, counts = [], [], [], []
+        for at in range(0, len(q), HELD_QUERIES):
+            part = slice(at, at + HELD_QUERIES)
+            best, place, verified = _search(s, q[part], pq[part], kth[part], x, px)
+            counts.append(verified)
+            wanted = (best > -np.inf) & (best >= kth[part][:, None] - 1e-9)
+            for r in np.flatnonzero(wanted.any(axis=1)).tolist():
+                rows = sorted((-v, i) for v, c in zip(best[r, wanted[r]].tolist(), place[r, wanted[r]].tolist())
+                              for i in ids[c])[:s.k]
                 out_q += [qid[at + r]] * len(rows)
                 out_i += [i for _, i in rows]
                 out_s += [-v for v, _ in rows]
-        return pa.table([pa.array(out_q, pa.int64()), pa.array(out_i, pa.int64()), pa.array(out_s, pa.float64())],
-                        schema=schema)
+        none = [None] * len(qid)
+        return pa.table([pa.array([*out_q, *qid.tolist()], pa.int64()), pa.array(out_i + none, pa.int64()),
+                         pa.array(out_s + none, pa.float64()),
+                         pa.array([0] * len(out_q) + np.concatenate(counts).tolist(), pa.int64())], schema=_FOUND)
 
     return run
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, every: int = 20,
-            stop: float = STOP, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """The ``k`` largest inner products (query_id, rank, vec_id, score) of the rows whose id is
-    divisible by ``every``, among all other rows."""
+            stop: float = STOP, cell_rows: int = CELL_ROWS, max_cells: int = MAX_CELLS, query_block: int = QUERY_BLOCK,
+            projected: int = PROJECTED) -> DataFrame:
+    """The ``k`` largest inner products (query_id, rank, vec_id, score, and n_verified, the points that the query
+    has scored) of the rows whose id is divisible by ``every``, among all other rows."""
     spark = df.sparkSession
     importable(spark)
     want = k + 1  # the query's own row is found as well
@@ -218,40 +250,51 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
     points = materialise(points)
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
     n, top = points.agg(F.count("*"), F.max(norm)).first()
-    matrix = np.random.default_rng(SEED).normal(size=(width + 1, PROJECTED))
+    matrix = np.random.default_rng(SEED).normal(size=(width + 1, projected))
     s = Searcher(width, float(top or 0.0), matrix, None, stop, want)
     sample = points.orderBy(F.xxhash64("pid")).limit(SAMPLE).select("vec").toArrow()
     s.cells = KdCells(s.project(_matrix(sample.column("vec").combine_chunks(), width)),
-                      min(MAX_CELLS, max(1, -(-n // cell_rows))))
+                      min(max_cells, max(1, -(-n // cell_rows))))
     fitted = spark.sparkContext.broadcast(s)
-    points = materialise(points.select("ids", "vec").mapInArrow(_late(_assign, fitted), "ids array<long>, vec array<double>, cell int"))
+    points = materialise(points.select("ids", "pid", "vec").mapInArrow(
+        _late(_assign, fitted), "ids array<long>, pid long, vec array<double>, cell int"))
+    sizes = points.groupBy("cell").agg(F.count("*").alias("n"))
+    sizes = materialise(sizes.select("cell", F.expr(f"(n + {cell_rows - 1}) div {cell_rows}").alias("blocks")))  # MAX_CELLS rows at most
+    points = points.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("pid"), F.col("blocks"))).drop("blocks")
     query_rows = rows.filter(F.col("id") % every == 0)
     queries = materialise(query_rows.groupBy("vec").agg(F.min("id").alias("qid")))
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")
-    dealt = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else \
-        points.withColumn("block", F.lit(0))
     by_query = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
-    best = None
-    for step in range(3):
+    best, counts, first = None, [], 0
+    while first < len(s.cells.low):
         if best is None:
             state = queries.withColumn("kth", F.lit(None).cast("double"))
         else:
             kth = best.groupBy("qid").agg(F.count("*").alias("n"), F.min("score").alias("s"))
             state = queries.join(kth.filter(F.col("n") >= want).select("qid", F.col("s").alias("kth")), "qid", "left")
-        visits = state.select("qid", "vec", "kth").mapInArrow(
-            _late(_visits, fitted, step), "cell int, qid long, vec array<double>, kth double").withColumn("block", block)
-        found = visits.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")).applyInArrow(
-            _late(_verify, fitted), "qid long, id long, score double")
+        visits = materialise(state.select("qid", "vec", "kth").mapInArrow(
+            _late(_visits, fitted, first, 2 * first + 1), "cell int, qid long, kth double"))
+        asked = visits.groupBy("cell").agg(F.expr(f"(count(1) + {query_block - 1}) div {query_block}").alias("asked"))
+        some = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        left = (visits.join(asked, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("asked")))
+                .join(sizes, "cell").withColumn("block", some("blocks"))
+                .join(queries, "qid").select("cell", "part", "block", "qid", "vec", "kth"))
+        right = points.join(asked, "cell").withColumn("part", some("asked")).select("cell", "part", "block", "pid", "ids", "vec")
+        at = ["cell", "part", "block"]
+        found = materialise(left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(
+            _late(_verify, fitted), "qid long, id long, score double, n_verified long"))
+        counts.append(found.filter("id is null").select("qid", "n_verified"))
+        found = found.filter("id is not null").select("qid", "id", "score")
         found = found if best is None else found.union(best)
         best = materialise(found.withColumn("n", F.row_number().over(by_query)).filter(F.col("n") <= want)
                            .select("qid", "id", "score"))
+        first = 2 * first + 1
+    verified = reduce(DataFrame.union, counts).groupBy("qid").agg(F.sum("n_verified").alias("n_verified"))
     # every query row takes the result of its vector, without itself
-    named = query_rows.join(queries, "vec").select(F.col("id").alias("query_id"), "qid")
+    named = query_rows.join(queries, "vec").select(F.col("id").alias("query_id"), "qid").join(verified, "qid")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (named.join(best, "qid").filter(F.col("id") != F.col("query_id"))
             .withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
+            .select("query_id", "rank", F.col("id").alias("vec_id"), "score", "n_verified"))
 
 
 def _late(make, shared, *args):

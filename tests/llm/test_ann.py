@@ -53,6 +53,45 @@ def test_many_cells_vectors_of_any_length_and_copies(spark):
     assert [r["vec_id"] for r in sorted(copies, key=lambda r: r["rank"])] == [w[0] for w in want[120]]
 
 
+def test_cells_and_blocks_of_queries_and_points(spark):
+    """64 cells, larger ones in several blocks of points, and several blocks of queries for each."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(900, 8)), rng.normal(size=(300, 8)) * 0.02 + 1])  # one crowded cell
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = ann.nearest(df, every=4, stop=0.9999, cell_rows=9, max_cells=64, query_block=100, projected=8).collect()
+    assert recall(rows, brute(range(1200), x, every=4)) >= 0.99
+    assert len({r["query_id"] for r in rows}) == 300
+
+
+def test_search_stops_by_the_test(spark):
+    """Unit vectors near a plane: most points are never scored, and the nearest ones are found."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3)) @ rng.normal(size=(3, 40)) + 0.01 * rng.normal(size=(3000, 40))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = ann.nearest(df, cell_rows=100).collect()
+    assert recall(rows, brute(range(3000), x)) >= 0.9
+    assert np.mean([r["n_verified"] for r in rows]) < 0.35 * 3000
+
+
+def test_share_of_verified_points(spark):
+    rows = queries.QUERIES["op2_nearest_neighbours"](spark, "/root/testdata/sf0.1").collect()
+    assert np.mean([r["n_verified"] for r in rows]) < 0.7 * 2000
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-1, 2, size=(400, 6)).astype(float)
+    x[(x == 0).all(axis=1)] = 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = brute(range(400), x)
+    rows = ann.nearest(df, stop=0.999999, cell_rows=50).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == want
+
+
 def test_odd_rows(spark):
     data = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]),
             (5, [None, 1.0]), (6, [float("inf"), 1.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0, 3.0]), (8, []), (20, [0.0, 2.0]),
