@@ -134,8 +134,20 @@ def q_calendar_cap(spark, d):
     return e.select(F.to_date("ts").alias("day")).distinct().select("day", S.calendar_cap(F.col("day")).alias("max_impress"))
 
 
+@register("quality_gate_off", sql(["v_item_sim"], "SELECT DISTINCT item2 AS item FROM v_item_sim"))
+def q_quality_gate_off(spark, d):
+    """FLT-14 with a broken quality feed: it covers a third of the candidates, so the gate is off."""
+    t = Tables(spark, d)
+    s = t.item_sim()
+    ci = FL.candidate_items(s.select("item"), s.select(F.col("item2").alias("item")))
+    broken = t.quality().where(F.col("item") % 3 == 0).withColumn("score", F.lit(0.0))
+    return FL.quality_gate_if_covered(s.select(F.col("item2").alias("item")).distinct(), broken, ci)
+
+
 # ---------------------------------------------------------------- readers / sinks
 
+CHUNK = 16  # list positions of a packed line
+
 
 @register("packed_list_explode", sql(["v_seed_item"], """
     SELECT seed, CAST(split_part(e, ':', 1) AS BIGINT) AS item,
@@ -148,8 +160,8 @@ def q_calendar_cap(spark, d):
 def q_packed_list_explode(spark, d):
     si = Tables(spark, d).seed_item()
     val = F.round(F.col("sim") * 1000000).cast("long")
-    packed = TX.pack_list(si, "seed", "pos", F.col("item"), val)
-    ex = TX.explode_weighted_list(packed, "seed", "packed", split_at="last")
+    packed = TX.pack_list(si, "seed", "pos", F.col("item"), val, chunk=CHUNK)
+    ex = TX.explode_weighted_list(packed, "seed", "packed", split_at="last", offset="offset")
     return ex.select("seed", F.col("id").cast("long").alias("item"),
                      r6(F.col("score") / 1000000.0).alias("score"), "pos")
 
@@ -160,8 +172,8 @@ def q_packed_list_explode(spark, d):
     FROM v_user_seed"""))
 def q_packed_list_roundtrip(spark, d):
     us = C.seed_rank(Tables(spark, d).user_seed())
-    packed = TX.pack_list(us, "user", "i", F.col("seed"), F.col("score").cast("long"))
-    ex = TX.explode_weighted_list(packed, "user", "packed", split_at="first")
+    packed = TX.pack_list(us, "user", "i", F.col("seed"), F.col("score").cast("long"), chunk=CHUNK)
+    ex = TX.explode_weighted_list(packed, "user", "packed", split_at="first", offset="offset")
     return ex.select("user", F.col("id").cast("long").alias("seed"), F.col("score").cast("long").alias("score"),
                      "pos")
 
@@ -485,7 +497,19 @@ def _pairs(t, ignored=()):
     pb = t("part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("src"))
     x = X.with_rate(v.join(pb, "item"), t.rate_by_tag(), P.RATE_DEFAULT_P3)
     x = X.with_affinity(x, t.user_affinity(), t.item_affinity(), ignored=ignored)
-    return X.with_features(x, t.user_features(), t.item_features())
+    return _halves(x, t)
+
+
+def _halves(x, t, weights=P.WEIGHTS):
+    """The user's and the item's halves of the dot product (``zu``, ``zi``) and the item's width."""
+    own = X.user_part(t.user_features(), {"zu": weights}, P.USER_WIDTH)
+    x = x.join(own, "user", "left").withColumn("zu", F.coalesce("zu", F.lit(0.0)))
+    return x.join(X.item_part(t.item_features(), {"zi": weights}), "item", "left")
+
+
+def _w(k):
+    """Weight of the ``k``-th pair feature (rate, language, style)."""
+    return F.lit(P.WEIGHTS[P.USER_WIDTH + P.ITEM_WIDTH + k])
 
 
 def _lr_sql(expr):
@@ -502,7 +526,7 @@ _FV = (f"list_concat(list_slice(list_concat(coalesce(CAST(feats AS DOUBLE[]), []
 @register("lr_user_item", _lr_sql(f"CASE WHEN bits IS NULL THEN {P.MISSING_ITEM_SCORE} ELSE {OC.sigmoid(_ZUI)} END"))
 def q_lr_user_item(spark, d):
     x = _pairs(Tables(spark, d))
-    lr = S.lr_user_item(S.weights_lit(P.WEIGHTS), F.col("feats"), F.col("bits"))
+    lr = S.lr_parts(F.col("zu"), F.col("zi"))
     return x.select("user", "item", r6(lr).alias("lr"))
 
 
@@ -510,7 +534,7 @@ def q_lr_user_item(spark, d):
                                  f"ELSE {OC.sigmoid(_ZUI + f' + w[{_B + 1}] * rate')} END"))
 def q_lr_promoted(spark, d):
     x = _pairs(Tables(spark, d))
-    lr = S.lr_promoted(S.weights_lit(P.WEIGHTS), F.col("feats"), F.col("bits"), F.col("rate"), P.ITEM_WIDTH)
+    lr = S.lr_parts(F.col("zu"), F.col("zi"), _w(0) * F.col("rate"))
     return x.select("user", "item", r6(lr).alias("lr"))
 
 
@@ -518,8 +542,7 @@ def q_lr_promoted(spark, d):
                                  f"{OC.sigmoid(_ZUI + f' + w[{_B + 1}] * rate + w[{_B + 2}] * lanx + w[{_B + 3}] * stylex')} END"))
 def q_lr_affinity(spark, d):
     x = _pairs(Tables(spark, d), ignored=P.AFFINITY_IGNORED)
-    lr = S.lr_affinity(S.weights_lit(P.WEIGHTS), F.col("feats"), F.col("bits"), F.col("rate"), F.col("lan"),
-                       F.col("style"), P.ITEM_WIDTH)
+    lr = S.lr_parts(F.col("zu"), F.col("zi"), _w(0) * F.col("rate"), _w(1) * F.col("lan"), _w(2) * F.col("style"))
     return x.select("user", "item", r6(lr).alias("lr"))
 
 
@@ -527,16 +550,18 @@ def q_lr_affinity(spark, d):
                               f"ELSE {OC.sigmoid(f'list_dot_product(w, {_FV})')} END"))
 def q_lr_dense(spark, d):
     x = _pairs(Tables(spark, d))
-    f = S.assemble_features(F.col("feats"), F.col("bits"), F.col("rate"), F.col("lan"), F.col("style"), P.ITEM_WIDTH)
-    return x.select("user", "item", r6(S.dense_lr(S.weights_lit(P.WEIGHTS), f)).alias("lr"))
+    lr = S.dense_parts(S.weights_lit(P.WEIGHTS), F.col("zu"), F.col("zi"), F.col("n_bits"), F.col("rate"), F.col("lan"),
+                       F.col("style"), P.ITEM_WIDTH)
+    return x.select("user", "item", r6(lr).alias("lr"))
 
 
 @register("lr_dense_bias", _lr_sql(f"CASE WHEN len(w) <> len({_FV}) THEN -1.0 "
                                    f"ELSE {OC.sigmoid(f'list_dot_product(w, {_FV}) + 0.1')} END"))
 def q_lr_dense_bias(spark, d):
     x = _pairs(Tables(spark, d))
-    f = S.assemble_features(F.col("feats"), F.col("bits"), F.col("rate"), F.col("lan"), F.col("style"), P.ITEM_WIDTH)
-    return x.select("user", "item", r6(S.dense_lr(S.weights_lit(P.WEIGHTS), f, F.lit(0.1))).alias("lr"))
+    lr = S.dense_parts(S.weights_lit(P.WEIGHTS), F.col("zu"), F.col("zi"), F.col("n_bits"), F.col("rate"), F.col("lan"),
+                       F.col("style"), P.ITEM_WIDTH, bias=0.1)
+    return x.select("user", "item", r6(lr).alias("lr"))
 
 
 @register("affinity_dot", sql(["v_visited", "v_user_aff", "v_item_aff"],

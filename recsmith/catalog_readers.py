@@ -3,13 +3,20 @@ in by rule (keys divisible by 11), parsed back, against an oracle over the same
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
 
 from recsmith import params as P
 from recsmith.catalog import _p1_sql, r6, register
+from recsmith.catalog_ops import CHUNK, _halves, _lr_sql, _pairs
+from recsmith import oracle_chains as OC
+from recsmith.functions import scoring as S
+from recsmith.operators import candidates as C
+from recsmith.operators import features as X
 from recsmith.operators import filters as FL
+from recsmith.operators.keyed import POSITION, keyed_load
 from recsmith.oracle_views import with_views
 from recsmith.plans import conversion as conv
 from recsmith.session import app_id, checkpoint_dir
@@ -77,14 +84,24 @@ def q_read_visited(spark, d):
                                        instead=F.concat_ws(",", _s("user"), _s("item"), F.lit("x")))))
 
 
+def _folder(spark):
+    """A new folder for files that a query writes and reads back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{app_id(spark)}/{uuid.uuid4().hex}"
+
+
 @register("read_days", sql(["v_impress"], f"""SELECT "user", item, dt FROM v_impress
     WHERE dt BETWEEN DATE '2024-01-31' - {P.IMPRESS_WINDOW_P2[1]} AND DATE '2024-01-31' - {P.IMPRESS_WINDOW_P2[0]}"""))
 def q_read_days(spark, d):
-    """SRC-03: a folder with one sub-folder per day, of which only the window is read."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app_id(spark)}/{uuid.uuid4().hex}"
-    Tables(spark, d).impressions().select(F.concat_ws("\t", _s("user"), _s("item")).alias("value"), "dt") \
-        .write.partitionBy("dt").text(root)
-    return TX.read_days(spark, root, "user long, item long", P.AS_OF, *P.IMPRESS_WINDOW_P2)
+    """SRC-03: a folder with one sub-folder per day, of which only the window is read.  The days are written
+    with broken lines at first, and one after the other half of them is run again."""
+    root = _folder(spark)
+    shown = Tables(spark, d).impressions()
+    lines = shown.select(F.concat_ws("\t", _s("user"), _s("item")).alias("value"), "dt")
+    lo, hi = P.IMPRESS_WINDOW_P2
+    days = [(P.AS_OF - dt.timedelta(days=k)).date() for k in range(lo, hi + 2)]
+    TX.write_days(lines.withColumn("value", F.when(F.dayofmonth("dt") % 2 == 0, "1\t1").otherwise(F.col("value"))), root, days)
+    TX.write_days(lines, root, [x for x in days if x.day % 2 == 0])
+    return TX.read_days(spark, root, "user long, item long", P.AS_OF, lo, hi, complete=True)
 
 
 @register("read_promoted_rate", sql(["v_rate_seed"], f"""
@@ -92,9 +109,9 @@ def q_read_days(spark, d):
 def q_read_promoted_rate(spark, d):
     r = Tables(spark, d).rate_by_seed()
     bad = F.col("src").cast("long") % BAD == 0  # two parts only
-    e = F.when(bad, F.concat_ws(":", "src", _s("rate"))).otherwise(F.concat_ws(":", "src", F.lit("x"), _s("rate")))
-    packed = r.select("item", e.alias("e")).groupBy("item").agg(F.array_join(F.collect_list("e"), ",").alias("p"))
-    got = L.accepted(L.promoted_rate(_lines(packed, "\t", "item", F.lit("-"), "p"), 2))
+    packed = TX.pack_list(C.distributed_rank(r, "item", [F.col("src")], "k"), "item", "k", F.col("src"),
+                          F.when(bad, _s("rate")).otherwise("x"), F.when(~bad, _s("rate")), chunk=CHUNK)
+    got = L.accepted(L.promoted_rate(_lines(packed, "\t", "item", F.lit("-"), "packed"), 2))
     return got.select("item", "src", r6(F.col("rate")).alias("rate"))
 
 
@@ -107,12 +124,22 @@ def q_read_pay(spark, d):
     return L.accepted(L.pay(lines)).select("item", r6(F.col("money")).alias("money"), r6(F.col("click")).alias("click"))
 
 
-@register("read_weights", "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, n_nationkey / 100.0 AS w FROM nation")
+_B = P.USER_WIDTH + P.ITEM_WIDTH
+
+
+@register("read_weights", _lr_sql(f"""CASE WHEN bits IS NULL THEN {P.MISSING_ITEM_SCORE} ELSE {OC.sigmoid(
+    f"{OC.dot_user()} + {OC.dot_item()} + w[{_B + 1}] * rate + w[{_B + 2}] * lan + w[{_B + 3}] * style")} END"""))
 def q_read_weights(spark, d):
-    n = Tables(spark, d)("nation").agg(F.sort_array(F.collect_list("n_nationkey")).alias("k"))
-    line = F.concat(F.lit("["), F.array_join(F.transform("k", lambda x: (x / 100.0).cast("string")), ", "), F.lit("]"))
-    w = L.one_row(L.accepted(L.weights(n.select(line.alias("value")))))
-    return w.select(F.posexplode("w").alias("pos", "w")).select(F.col("pos").cast("long").alias("pos"), "w")
+    """SRC-10: the visited pairs scored with the weight vector that the job reads from its file."""
+    path = _folder(spark)
+    line = "[" + ", ".join(map(str, P.WEIGHTS)) + "]"
+    spark.createDataFrame([(line,)], "value string").write.text(path)
+    w = TX.read_weights(spark, path, P.WEIGHTS_LEN)
+    t = Tables(spark, d)
+    x = _halves(_pairs(t).drop("zu", "zi", "n_bits"), t, w)
+    v = S.weights_lit(w)
+    lr = S.lr_parts(F.col("zu"), F.col("zi"), v[_B] * F.col("rate"), v[_B + 1] * F.col("lan"), v[_B + 2] * F.col("style"))
+    return x.select("user", "item", r6(lr).alias("lr"))
 
 
 @register("read_quality", sql(["v_quality"], f"""SELECT item, round(score, 6) AS score, create_days FROM v_quality
@@ -151,10 +178,16 @@ def q_read_segment(spark, d):
                             users=True)).distinct()
 
 
-@register("read_first_ids", sql(["v_first_block"], f"SELECT item AS id FROM v_first_block WHERE rank < {P.FIRST_BLOCK_N}"))
+@register("read_first_ids", f"""SELECT p_partkey AS id FROM (SELECT p_partkey, row_number() OVER (
+    ORDER BY p_retailprice DESC, p_partkey) AS k FROM part) WHERE k <= {P.FIRST_BLOCK_N}""")
 def q_read_first_ids(spark, d):
-    got = L.accepted(L.ranked_ids(_lines(Tables(spark, d).first_block(), "\t", "rank", "item")))
-    return got.where(F.col("rank") < P.FIRST_BLOCK_N).select("id")
+    """SRC-17: the first lines of a folder of several files without a rank column."""
+    path = _folder(spark)
+    p = Tables(spark, d)("part").select("p_partkey", "p_retailprice")
+    order = [F.desc("p_retailprice"), F.col("p_partkey")]
+    p = p.repartitionByRange(8, *order).sortWithinPartitions(*order)
+    p.select(F.concat_ws("\t", _s("p_partkey"), _s("p_retailprice")).alias("value")).write.text(path)
+    return TX.read_first_ids(spark, path)
 
 
 @register("read_last_active", sql(["v_active"], f"""
@@ -206,20 +239,19 @@ def q_read_user_seeds(spark, d):
     """``user<TAB>seed:score[:time],...``: a time behind every other score, a bad score now and then."""
     s = Tables(spark, d).user_seed().withColumn("score", F.col("score").cast("double"))
     value = F.when(F.col("seed") % BAD == 0, "bad").otherwise(_s("score"))
-    e = F.when(F.col("seed") % 2 == 0, F.concat_ws(":", _s("seed"), value, F.lit("1500000000"))).otherwise(
-        F.concat_ws(":", _s("seed"), value))
-    packed = s.select("user", e.alias("e")).groupBy("user").agg(F.array_join(F.collect_list("e"), ",").alias("p"))
-    return L.accepted(L.user_seeds(_lines(packed, "\t", _signed("user"), "p")))
+    time = F.when(F.col("seed") % 2 == 0, "1500000000")
+    packed = TX.pack_list(C.distributed_rank(s, "user", [F.col("seed")], "k"), "user", "k", F.col("seed"), value, time, chunk=CHUNK)
+    return L.accepted(L.user_seeds(_lines(packed, "\t", _signed("user"), "packed")))
 
 
 @register("read_play_profile", sql(["v_play"], f"""
     SELECT "user", item, CAST(score AS DOUBLE) AS score, 0 AS priority FROM v_play WHERE priority = 0 AND item % {BAD} <> 0"""))
 def q_read_play_profile(spark, d):
     p = Tables(spark, d).play().where("priority = 0").withColumn("score", F.col("score").cast("double"))
-    e = F.when(F.col("item") % (2 * BAD) == 0, F.concat(F.lit(":"), _s("score"))) \
-        .when(F.col("item") % BAD == 0, F.concat(_s("item"), F.lit(":"))).otherwise(F.concat_ws(":", _s("item"), _s("score")))
-    packed = p.select("user", e.alias("e")).groupBy("user").agg(F.array_join(F.collect_list("e"), ",").alias("p"))
-    return L.accepted(L.play_profile(_lines(packed, "\t", _signed("user"), "p")))
+    item = F.when(F.col("item") % (2 * BAD) == 0, "").otherwise(_s("item"))
+    score = F.when((F.col("item") % BAD == 0) & (F.col("item") % 2 == 1), "").otherwise(_s("score"))
+    packed = TX.pack_list(C.distributed_rank(p, "user", [F.col("item")], "k"), "user", "k", item, score, chunk=CHUNK)
+    return L.accepted(L.play_profile(_lines(packed, "\t", _signed("user"), "packed")))
 
 
 @register("read_user_affinity", sql(["v_user_aff"], """
@@ -256,3 +288,161 @@ def q_read_attributes(spark, d):
                    instead=F.concat_ws("\t", _s("item"), "j", F.lit("y")))
     got = L.accepted(L.attributes(lines))
     return got.withColumn("score", r6(F.col("score")))
+
+
+@register("optional_input", sql(["v_history"], 'SELECT "user", count(*) AS n FROM v_history GROUP BY "user"'))
+def q_optional_input(spark, d):
+    """SRC-19: a history that is there and one that is not, with the same columns."""
+    path = _folder(spark)
+    _lines(Tables(spark, d).history(), "\t", _signed("user"), "packed").write.text(path)
+    read = lambda s, p: TX.read_history(s, p, 1)
+    schema = "user long, item long, tag string, pos long"
+    both = TX.optional(spark, path, schema, read).unionByName(TX.optional(spark, "null", schema, read))
+    return both.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- lookups with repeated keys
+
+_OLD, _NEW = 0, 1
+
+
+def _overlapping(spark, df, key, line):
+    """Two files that overlap: the first names every key; the second names those not divisible by three, each
+    twice.  ``line(kind)`` writes a key's line: "old", "first" (of the second file) or "last"."""
+    root = _folder(spark)
+    df.select(line("old").alias("value")).write.text(f"{root}/{_OLD}")
+    twice = F.explode(F.array(line("first"), line("last"))).alias("value")
+    df.where(F.col(key) % 3 != 0).select(twice).write.text(f"{root}/{_NEW}")
+    return [f"{root}/{_OLD}", f"{root}/{_NEW}"]
+
+
+def _which(old, first, last):
+    return lambda kind: {"old": old, "first": first, "last": last}[kind]
+
+
+def _cells(*cols):
+    return F.concat_ws("\t", *[_s(c) for c in cols])
+
+
+@register("keyed_pay", sql(["v_pay"], """
+    SELECT item, round(CASE WHEN item % 3 = 0 THEN money + 1 ELSE money END, 6) AS money, round(click, 6) AS click FROM v_pay"""))
+def q_keyed_pay(spark, d):
+    line = lambda m: F.concat(F.lit("("), F.concat_ws(",", _s("item"), _s(m), _s("click")), F.lit(")"))
+    m = F.col("money")
+    paths = _overlapping(spark, Tables(spark, d).pay(), "item", _which(line(m + 1), line(m + 2), line(m)))
+    got = keyed_load(TX.read_lookup(spark, paths, L.pay), "item")
+    return got.select("item", r6(F.col("money")).alias("money"), r6(F.col("click")).alias("click"))
+
+
+@register("keyed_rate", sql(["v_rate_seed"], """
+    SELECT item, src, round(rate, 6) AS rate FROM (
+      SELECT item, CASE WHEN item % 3 = 0 THEN lo ELSE hi END AS src, CASE WHEN item % 3 = 0 THEN 2.0 ELSE 0.25 END AS rate
+      FROM (SELECT item, min(src) AS lo, max(src) AS hi FROM v_rate_seed GROUP BY item))"""))
+def q_keyed_rate(spark, d):
+    """A later line replaces all that an earlier one said of its item; in a line the last of a src counts."""
+    r = Tables(spark, d).rate_by_seed().groupBy("item").agg(F.min("src").alias("lo"), F.max("src").alias("hi"))
+    line = lambda src, *rates: _cells("item", F.concat_ws(",", *[F.concat_ws(":", src, F.lit(f"x:{x}")) for x in rates]))
+    paths = _overlapping(spark, r, "item", _which(line("lo", 1.0, 2.0), line("lo", 3.0), line("hi", 0.5, 0.25)))
+    got = keyed_load(TX.read_lookup(spark, paths, L.promoted_rate, 1), "item", "src")
+    return got.select("item", "src", r6(F.col("rate")).alias("rate"))
+
+
+@register("keyed_quality", sql(["v_quality"], """
+    SELECT item, round(score, 6) AS score, CASE WHEN item % 3 = 0 THEN 1 ELSE create_days END AS create_days FROM v_quality"""))
+def q_keyed_quality(spark, d):
+    line = lambda days: _cells("item", "score", F.lit("-"), days)
+    paths = _overlapping(spark, Tables(spark, d).quality(), "item", _which(line(F.lit(1)), line(F.lit(2)), line("create_days")))
+    got = keyed_load(TX.read_lookup(spark, paths, L.quality), "item")
+    return got.select("item", r6(F.col("score")).alias("score"), "create_days")
+
+
+@register("keyed_profile", sql(["v_profile"], """
+    SELECT item, CASE WHEN item % 3 = 0 THEN 7 ELSE avg_pub_time END AS avg_pub_time FROM v_profile"""))
+def q_keyed_profile(spark, d):
+    line = lambda v: _cells("item", F.to_json(F.struct(v.cast("long").alias("avgPubTime"), F.lit(0.5).alias("score"))))
+    paths = _overlapping(spark, Tables(spark, d).profile(), "item",
+                         _which(line(F.lit(7)), line(F.lit(8)), line(F.col("avg_pub_time"))))
+    return keyed_load(TX.read_lookup(spark, paths, L.attributes), "item").select("item", "avg_pub_time")
+
+
+@register("keyed_new_song_weight", sql(["v_new_song_weight"], """
+    SELECT "user", CASE WHEN "user" % 3 = 0 THEN 9.0 ELSE new_song_weight END AS "newSongWeight" FROM v_new_song_weight"""))
+def q_keyed_new_song_weight(spark, d):
+    line = lambda w: _cells(_signed("user"), F.lit("pop"), w)
+    paths = _overlapping(spark, Tables(spark, d).new_song_weight(), "user",
+                         _which(line(F.lit(9.0)), line(F.lit(8.0)), line("new_song_weight")))
+    return keyed_load(TX.read_lookup(spark, paths, L.header_pick, META), "user")
+
+
+@register("keyed_visited", sql(["v_visited"], """
+    SELECT "user", item, CASE WHEN item % 3 = 0 THEN 100 ELSE score END AS score FROM v_visited"""))
+def q_keyed_visited(spark, d):
+    line = lambda v: F.concat_ws(",", _s(_signed("user")), _s("item"), _s(v))
+    paths = _overlapping(spark, Tables(spark, d).visited(), "item", _which(line(F.lit(100)), line(F.lit(-100)), line("score")))
+    return keyed_load(TX.read_lookup(spark, paths, L.visited), "user", "item").withColumn("score", F.col("score").cast("long"))
+
+
+def _vector_line(key, col):
+    text = F.array_join(F.col(col).cast("array<string>"), ",")
+    return lambda off: _cells(key, F.concat(F.lit(f"{off},"), text))
+
+
+@register("keyed_item_features", sql(["v_item_feat"], """
+    SELECT item, len(bits) + 1 AS width, list_sum(bits) + CASE WHEN item % 3 = 0 THEN 0 ELSE 1 END AS ones FROM v_item_feat"""))
+def q_keyed_item_features(spark, d):
+    line = _vector_line("item", "bits")
+    paths = _overlapping(spark, Tables(spark, d).item_features(), "item", _which(line(0), line(0), line(1)))
+    got = keyed_load(TX.read_lookup(spark, paths, L.bits), "item")
+    return got.select("item", F.size("bits").cast("long").alias("width"),
+                      F.aggregate("bits", F.lit(0).cast("long"), lambda a, v: a + v).alias("ones"))
+
+
+@register("keyed_user_features", sql(["v_user_feat"], """
+    SELECT "user", list_sum(feats) + CASE WHEN "user" % 3 = 0 THEN 5 ELSE 7 END AS total FROM v_user_feat"""))
+def q_keyed_user_features(spark, d):
+    line = _vector_line("user", "feats")
+    paths = _overlapping(spark, Tables(spark, d).user_features(), "user", _which(line(5), line(6), line(7)))
+    got = keyed_load(TX.read_lookup(spark, paths, L.user_features), "user")
+    return got.select("user", F.aggregate("feats", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+
+
+@register("keyed_item_affinity", sql(["v_item_aff"], """
+    SELECT item, kind, CASE WHEN item % 3 = 0 THEN 'old' ELSE tag END AS tag,
+           CASE WHEN item % 3 = 0 THEN 0.75 ELSE ratio END AS ratio FROM v_item_aff"""))
+def q_keyed_item_affinity(spark, d):
+    """A later line replaces an item's tags; in a line the last ratio of a tag counts."""
+    a = Tables(spark, d).item_affinity()
+    tag = lambda k: F.max(F.when(F.col("kind") == k, F.col("tag"))).alias(k)
+    one = a.groupBy("item").agg(tag("lan"), tag("style"))
+    line = lambda x, y, *r: _cells("item", *[F.concat_ws(",", *[F.concat_ws(":", t, F.lit(str(v))) for v in r]) for t in (x, y)])
+    old = line(F.lit("old"), F.lit("old"), 0.5, 0.75)
+    paths = _overlapping(spark, one, "item", _which(old, line(F.lit("x"), F.lit("y"), 1.0), line("lan", "style", 0.1, 1.0)))
+    return keyed_load(TX.read_lookup(spark, paths, L.item_affinity), "item", "kind", "tag")
+
+
+_REPEATED = [
+    ("pairs", 'SELECT "user", item FROM v_visited'),
+    ("ua", """SELECT "user", kind, tag, ratio FROM v_user_aff
+              UNION ALL SELECT "user", kind, tag, ratio / 2 FROM v_user_aff WHERE "user" % 2 = 0"""),
+    ("aff", f"""SELECT c."user", c.item, sum(CASE WHEN ua.kind = 'lan' THEN ua.ratio * ia.ratio ELSE 0 END) AS lan,
+                       sum(CASE WHEN ua.kind = 'style' THEN ua.ratio * ia.ratio ELSE 0 END) AS style
+                FROM pairs c JOIN ua ON ua."user" = c."user" AND ua.ratio > {P.AFFINITY_MIN}
+                JOIN v_item_aff ia ON ia.item = c.item AND ia.kind = ua.kind AND ia.tag = ua.tag GROUP BY ALL""")]
+
+
+@register("affinity_repeated_tags", sql(["v_visited", "v_user_aff", "v_item_aff"], """
+    SELECT "user", item, round(lan, 6) AS lan, round(style, 6) AS style FROM aff""", _REPEATED))
+def q_affinity_repeated_tags(spark, d):
+    """JOIN-11, FLT-16: a user's repeated tag counts twice, of an item's repeated tag the last ratio counts, and
+    the two ignored style tags of both sides never do."""
+    t = Tables(spark, d)
+    ua, ia = t.user_affinity(), t.item_affinity()
+    half = ua.where(F.col("user") % 2 == 0).withColumn("ratio", F.col("ratio") / 2)
+    none = lambda df, key: df.select(key).distinct().select(
+        key, F.lit("style").alias("kind"), F.explode(F.array(F.lit("unknow"), F.lit("null"))).alias("tag"), F.lit(0.5).alias("ratio"))
+    ua = ua.unionByName(half).unionByName(none(ua, "user"))
+    ia = ia.unionByName(none(ia, "item")).withColumn("_both", F.explode(F.array(F.lit(0), F.lit(1))))
+    ia = ia.select("item", "kind", "tag", F.when(F.col("_both") == 0, 9.0).otherwise(F.col("ratio")).alias("ratio"),
+                   F.col("_both").alias(POSITION))
+    a = X.affinity_dot(t.visited().select("user", "item"), ua, ia)
+    return a.select("user", "item", r6(F.col("lan")).alias("lan"), r6(F.col("style")).alias("style"))

@@ -7,7 +7,7 @@ feature vectors are ``array<int>`` columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith import params as P
@@ -33,6 +33,12 @@ def sigmoid(x: Column) -> Column:
 
 
 def weights_lit(values) -> Column:
+    """A weight vector as a column: from numbers, or from a one-row table with the vector ``w`` (read
+    inside the plan, as a scalar subquery)."""
+    if isinstance(values, Column):
+        return values
+    if isinstance(values, DataFrame):
+        return values.select("w").scalar()
     return F.array(*[F.lit(float(v)) for v in values])
 
 
@@ -48,18 +54,39 @@ def dot(w: Column, f: Column, offset: int = 0) -> Column:
     return F.when(f.isNull() | (n <= 0), F.lit(0.0)).otherwise(s)
 
 
+def lr_parts(user_part: Column, item_part: Column, *more: Column,
+             missing_item: float = P.MISSING_ITEM_SCORE) -> Column:
+    """FN-02..04 from the two halves of the dot product, each computed once per user and once per item:
+    sigmoid(user part + item part + more); a null item part (no features) -> ``missing_item``."""
+    z = user_part + item_part
+    for x in more:
+        z = z + x
+    return F.when(item_part.isNull(), F.lit(missing_item)).otherwise(sigmoid(z))
+
+
+def dense_parts(w: Column, user_part: Column, item_part: Column, item_width: Column, rate: Column, lan: Column,
+                style: Column, default_width: int, user_width: int = P.USER_WIDTH, bias: float = 0.0) -> Column:
+    """FN-05 / FN-06 over the FN-07 layout from the two halves: null parts count as zeros (of ``default_width``
+    for the item); -1.0 where the layout's length differs from the weights'."""
+    width = F.coalesce(item_width, F.lit(default_width))
+    rest = [F.get(w, F.size(w) - k) for k in (3, 2, 1)]
+    z = (F.coalesce(user_part, F.lit(0.0)) + F.coalesce(item_part, F.lit(0.0)) + rest[0] * rate + rest[1] * lan
+         + rest[2] * style + F.lit(bias))
+    return F.when(F.size(w) == user_width + width + 3, sigmoid(z)).otherwise(F.lit(-1.0))
+
+
 def lr_user_item(w: Column, user_f: Column, item_f: Column, user_width: int = P.USER_WIDTH,
                  missing_item: float = P.MISSING_ITEM_SCORE) -> Column:
     """FN-02: sigmoid(user part + item part); no item features -> ``missing_item``."""
-    z = dot(w, user_f, 0) + dot(w, item_f, user_width)
-    return F.when(item_f.isNull(), F.lit(missing_item)).otherwise(sigmoid(z))
+    item = F.when(item_f.isNotNull(), dot(w, item_f, user_width))
+    return lr_parts(dot(w, user_f, 0), item, missing_item=missing_item)
 
 
 def lr_promoted(w: Column, user_f: Column, item_f: Column, rate: Column, item_width: int,
                 user_width: int = P.USER_WIDTH, missing_item: float = P.MISSING_ITEM_SCORE) -> Column:
     """FN-03: LR v1 + w[user_width + item_width] * promoted rate."""
-    z = dot(w, user_f, 0) + dot(w, item_f, user_width) + w[user_width + item_width] * rate
-    return F.when(item_f.isNull(), F.lit(missing_item)).otherwise(sigmoid(z))
+    item = F.when(item_f.isNotNull(), dot(w, item_f, user_width))
+    return lr_parts(dot(w, user_f, 0), item, w[user_width + item_width] * rate, missing_item=missing_item)
 
 
 def lr_affinity(w: Column, user_f: Column, item_f: Column, rate: Column, lan: Column, style: Column,
@@ -67,9 +94,8 @@ def lr_affinity(w: Column, user_f: Column, item_f: Column, rate: Column, lan: Co
                 missing_item: float = P.MISSING_ITEM_SCORE) -> Column:
     """FN-04: LR v2 + w[.. + 1] * language dot + w[.. + 2] * style dot."""
     b = user_width + item_width
-    z = (dot(w, user_f, 0) + dot(w, item_f, user_width) + w[b] * rate
-         + w[b + 1] * lan + w[b + 2] * style)
-    return F.when(item_f.isNull(), F.lit(missing_item)).otherwise(sigmoid(z))
+    item = F.when(item_f.isNotNull(), dot(w, item_f, user_width))
+    return lr_parts(dot(w, user_f, 0), item, w[b] * rate, w[b + 1] * lan, w[b + 2] * style, missing_item=missing_item)
 
 
 def dense_lr(w: Column, f: Column, bias: Column | None = None) -> Column:

@@ -15,20 +15,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.scoring import fixed_sum
+from recsmith.operators.filters import position
+from recsmith.operators.keyed import keyed_load
 
 BLOCK = 32  # list positions of one block of the bounded expansion
+HEAVY_ROWS = 100_000  # rows of a key that a plain window takes at any rate
+SKETCH_ITEMS = 16  # items that the frequency sketch tracks for each key it may name
+
+
+def heavy_keys(df: DataFrame, part: list[str], floor: int | None = None) -> list[int]:
+    """Hashes of the keys that hold more rows than a partition holds on average (and than ``floor``):
+    at most as many as there are shuffle partitions, found by a frequency sketch in one pass."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.xxhash64(*part)
+    sketch = F.call_function("approx_top_k", key, F.lit(n), F.lit(SKETCH_ITEMS * n))
+    top, rows = df.agg(sketch, F.count(F.lit(1))).first()
+    least = max(HEAVY_ROWS if floor is None else floor, (rows or 0) // n)
+    return [x["item"] for x in top or [] if x["count"] > least]
 
 
 def distributed_rank(df: DataFrame, part, order, name: str = "i", count_col: str | None = None) -> DataFrame:
-    """0-based rank within ``part`` by ``order`` without putting a whole group in one task.
+    """0-based rank within ``part`` by ``order`` without putting a heavy group in one task.
+
+    A frequency sketch names the heavy keys.  The rows of all others are ranked by one plain
+    window; those of heavy keys by a range partitioning (``_sliced_rank``).  Where no key is heavy the
+    second part is not planned.  Rows of a null key are ranked like those of any other.
+    """
+    part = [part] if isinstance(part, str) else list(part)
+    heavy = heavy_keys(df, part)
+    is_heavy = F.xxhash64(*part).isin(heavy)
+    whole = Window.partitionBy(*part)
+    light = (df.where(~is_heavy) if heavy else df).withColumn(name, (F.row_number().over(whole.orderBy(*order)) - 1).cast("long"))
+    if count_col:
+        light = light.withColumn(count_col, F.count(F.lit(1)).over(whole))
+    if not heavy:
+        return light
+    return light.unionByName(_sliced_rank(df.where(is_heavy), part, order, name, count_col).select(light.columns))
+
 
-    Rows are range-partitioned on (part, order), so a hot group spans many partitions;
+def _sliced_rank(df: DataFrame, part: list[str], order, name: str, count_col: str | None) -> DataFrame:
+    """Rows are range-partitioned on (part, order), so a hot group spans many partitions;
     each (group, partition) slice is ranked locally and shifted by the row count of the
     group's earlier partitions (a prefix sum over a table of one row per slice).  The
-    range-partitioned rows are written once, so both uses see the same partition ids.
-    """
+    range-partitioned rows are written once, so both uses see the same partition ids."""
     from recsmith.session import materialise
-    part = [part] if isinstance(part, str) else list(part)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = materialise(df.repartitionByRange(n, *[F.col(c) for c in part], *order)
                         .withColumn("_p", F.spark_partition_id()))
@@ -39,7 +69,13 @@ def distributed_rank(df: DataFrame, part, order, name: str = "i", count_col: str
     if count_col:
         offsets = offsets.withColumn(count_col, F.sum("_c").over(Window.partitionBy(*part)))
     offsets = offsets.drop("_c")
-    return (local.join(offsets, part + ["_p"])
+    # null-safe, as a null key has a rank like any other
+    slices = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)], F.col("_p").alias("_kp"),
+                            *[c for c in offsets.columns if c not in (*part, "_p")])
+    same = F.col("_p") == F.col("_kp")
+    for i, c in enumerate(part):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return (local.join(slices, same).drop("_kp", *[f"_k{i}" for i in range(len(part))])
             .withColumn(name, (F.col("_off") + F.col("_lr") - 1).cast("long"))
             .drop("_p", "_lr", "_off"))
 
@@ -47,8 +83,7 @@ def distributed_rank(df: DataFrame, part, order, name: str = "i", count_col: str
 def seed_rank(user_seed: DataFrame, score_col: str = "score", seed_col: str = "seed") -> DataFrame:
     """WIN-01: 0-based rank ``i`` of each seed per user (score desc, seed asc) and ``n_seeds``.
 
-    The rank is a distributed rank (a user with a third of all seeds is split over many
-    tasks); ``n_seeds`` is a partial + final count joined back on user.
+    The rank is a distributed rank (a user with a third of all seeds is split over many tasks).
     """
     return distributed_rank(user_seed, "user", [F.desc(score_col), F.col(seed_col)], count_col="n_seeds")
 
@@ -181,7 +216,8 @@ def bounded_expansion(user_keys: DataFrame, lists: DataFrame, keys, cap: "F.Colu
         u = u.join(members.select("user").distinct().withColumn("_member", F.lit(True)), "user", "left")
         u = u.withColumn("variant", F.coalesce(F.col("_member"), F.lit(False)).cast("int")).drop("_member")
     elif limits is not None:
-        u = u.join(limits.select("user", F.col("max_days").cast("int").alias("_days")), "user", "left")
+        held = keyed_load(limits.select("user", F.col("max_days").cast("int").alias("_days"), *position(limits)), "user")
+        u = u.join(held, "user", "left")
         u = u.withColumn("variant", F.coalesce("_days", F.lit(-1))).drop("_days")
     else:
         u = u.withColumn("variant", F.lit(-1))

@@ -1,51 +1,69 @@
 """Feature enrichment joins around a (user,item[,src]) candidate table
-(JOIN-07, JOIN-10, JOIN-11, FN-07 inputs).
+(JOIN-07, JOIN-10, JOIN-11, FN-02..07 inputs).
 
-Lookups are plain left joins; the planner (with AQE) broadcasts those that
-are small at runtime and keeps the large ones shuffled.  Candidates are unique by
-(user, item), so no lookup needs a distinct before it.
+Every lookup is keyed first (``keyed_load``): a repeated key never multiplies candidates, and the
+last row is in force.  Lookups are plain left joins; the planner (with AQE) broadcasts those that
+are small at runtime and keeps the large ones shuffled.
+
+A model score is a sum over the user's vector, the item's vector and a few pair features.  The first
+two sums are made once per user and once per item (``user_part``, ``item_part``) and joined as one
+number each, so no vector travels with the candidates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith import params as P
-from recsmith.functions.scoring import FIXED_SCALE, fixed
+from recsmith.functions.scoring import FIXED_SCALE, dot, fixed, weights_lit
 from recsmith.operators.filters import affinity_threshold
+from recsmith.operators.filters import position as _position
+from recsmith.operators.keyed import keyed_load
 
 
 def with_rate(cand: DataFrame, rate: DataFrame, default: float, src_col: str = "src") -> DataFrame:
     """JOIN-10: promoted rate of (item, src) with a default."""
-    r = rate.select("item", F.col("src").alias("_src"), F.col("rate").alias("_rate"))
-    j = cand.join(r, (cand["item"] == r["item"]) & (cand[src_col].cast("string") == r["_src"]), "left")
-    return j.drop(r["item"]).drop("_src").withColumn("rate", F.coalesce("_rate", F.lit(default))).drop("_rate")
-
-
-def packed_affinity(aff: DataFrame, key: str, name: str) -> DataFrame:
-    """One row per ``key`` with its ratios as a map from (kind, tag), as the input files hold
-    them (one line of a few tags per user or item)."""
-    entry = F.struct(F.struct("kind", "tag"), "ratio")
-    return aff.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
-
-
-def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
-                  ignored=P.AFFINITY_IGNORED) -> DataFrame:
-    """JOIN-11: ``lan`` and ``style``: the sum over tags of user ratio x item ratio, after FLT-16.
-
-    Two lookups (the user's map, the item's map) and a sum inside the row; the sum runs
-    over whole units, so it does not depend on the order of the tags."""
-    ua = packed_affinity(affinity_threshold(user_aff, ignored=ignored), "user", "_ua")
-    j = cand.join(ua, "user", "left").join(packed_affinity(item_aff, "item", "_ia"), "item", "left")
-
-    def dot(kind: str) -> F.Column:
-        own = F.filter(F.map_keys("_ia"), lambda k: k["kind"] == kind)
-        units = F.aggregate(own, F.lit(0).cast("decimal(38,0)"), lambda a, k: (a + F.coalesce(
-            fixed(F.element_at("_ua", k) * F.element_at("_ia", k)), F.lit(0))).cast("decimal(38,0)"))
+    held = keyed_load(rate.select("item", "src", "rate", *_position(rate)), "item", "src")
+    r = held.select(F.col("item").alias("_item"), F.col("src").alias("_src"), F.col("rate").alias("_rate"))
+    j = cand.join(r, (cand["item"] == r["_item"]) & (cand[src_col].cast("string") == r["_src"]), "left")
+    return j.withColumn("rate", F.coalesce("_rate", F.lit(default))).drop("_item", "_src", "_rate")
+
+
+def pair_list(aff: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per ``key`` with its (kind, tag, ratio) pairs in order, repeated ones included: a line of a
+    few tags, as the input files hold them."""
+    pairs = F.array_sort(F.collect_list(F.struct("kind", "tag", "ratio")))
+    return aff.groupBy(key).agg(pairs.alias(name))
+
+
+def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame, ignored=P.AFFINITY_IGNORED,
+                  repeats: str = "add") -> DataFrame:
+    """JOIN-11: ``lan`` and ``style``: the sum over the user's pairs of user ratio x the item's ratio of the
+    same tag, after FLT-16.
+
+    A tag that the user's lines hold twice counts twice (``repeats="last"``: its last ratio only, as
+    the tag route reads it); of an item's repeated tag the last ratio is in force.  Two lookups
+    (the user's list, the item's list) and a merge of the two inside the row; the sum runs over whole
+    units, so it does not depend on the order of the pairs."""
+    if repeats == "last":
+        user_aff = keyed_load(user_aff.select("user", "kind", "tag", "ratio", *_position(user_aff)), "user", "kind", "tag")
+    own = pair_list(affinity_threshold(user_aff, ignored=ignored), "user", "_ua")
+    held = keyed_load(item_aff.select("item", "kind", "tag", "ratio", *_position(item_aff)), "item", "kind", "tag")
+    lists = pair_list(held, "item", "_l").select(
+        "item", F.transform("_l", lambda x: F.struct(x["kind"].alias("kind"), x["tag"].alias("tag"))).alias("_tags"),
+        F.transform("_l", lambda x: x["ratio"]).alias("_ratios"))
+    j = cand.join(own, "user", "left").join(lists, "item", "left")
+
+    def total(kind: str) -> Column:
+        def add(units: Column, pair: Column) -> Column:
+            at = F.array_position("_tags", F.struct(pair["kind"].alias("kind"), pair["tag"].alias("tag"))).cast("int")
+            ratio = F.get(F.col("_ratios"), at - 1)  # null where the item lacks the tag
+            return (units + F.coalesce(fixed(pair["ratio"] * ratio), F.lit(0))).cast("decimal(38,0)")
+        units = F.aggregate(F.filter("_ua", lambda x: x["kind"] == kind), F.lit(0).cast("decimal(38,0)"), add)
         return F.coalesce(units.cast("double") / FIXED_SCALE, F.lit(0.0))
 
-    return j.withColumn("lan", dot("lan")).withColumn("style", dot("style")).drop("_ua", "_ia")
+    return j.withColumn("lan", total("lan")).withColumn("style", total("style")).drop("_ua", "_tags", "_ratios")
 
 
 def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
@@ -55,25 +73,50 @@ def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
     return pairs.where((F.col("lan") != 0) | (F.col("style") != 0))
 
 
-def with_features(cand: DataFrame, user_feat: DataFrame | None, item_feat: DataFrame) -> DataFrame:
-    """JOIN-07: attach ``feats`` (user) and ``bits`` (item); missing -> null."""
+def user_part(user_feat: DataFrame, name_weights: dict[str, object], width: int | None = None) -> DataFrame:
+    """(user, <name> per weight vector): the user's half of the dot product, over the first ``width`` features
+    where it is given."""
+    f = F.col("feats") if width is None else F.slice("feats", 1, width)
+    rows = user_feat.select("user", f.alias("_f"), *_position(user_feat))
+    return keyed_load(_dots(rows, name_weights, 0), "user")
+
+
+def _dots(rows: DataFrame, name_weights: dict[str, object], offset: int) -> DataFrame:
+    """``_f`` replaced by its dot product with each weight vector from ``offset`` on."""
+    # the vectors come in as columns first: one that a job reads is a subquery, which no lambda may hold
+    held = rows.select("*", *[weights_lit(w).alias(f"_w_{n}") for n, w in name_weights.items()])
+    rest = [c for c in rows.columns if c != "_f"]
+    return held.select(*rest, *[dot(F.col(f"_w_{n}"), F.col("_f"), offset).alias(n) for n in name_weights])
+
+
+def item_part(item_feat: DataFrame, name_weights: dict[str, object], user_width: int = P.USER_WIDTH,
+              expected: int | None = None) -> DataFrame:
+    """(item, <name> per weight vector, n_bits): the item's half of the dot product, its weights behind the
+    user's.  With ``expected`` an item vector of another width ends the job (Q-21)."""
+    bits = F.col("bits")
+    if expected is not None:
+        wrong = F.raise_error(F.lit(f"item feature width differs from {expected}")).cast("array<int>")
+        bits = F.when(F.size("bits") == expected, F.col("bits").cast("array<int>")).otherwise(wrong)
+    held = item_feat.select("item", bits.alias("_f"), *_position(item_feat))
+    held = held.withColumn("n_bits", F.size("_f"))
+    return keyed_load(_dots(held, name_weights, user_width), "item")
+
+
+def with_parts(cand: DataFrame, user_feat: DataFrame | None, item_feat: DataFrame, weights,
+               user_width: int = P.USER_WIDTH) -> DataFrame:
+    """JOIN-07 for FN-02..04: ``zu`` (0 without user features) and ``zi`` (null without item features)."""
     out = cand
     if user_feat is not None:
-        out = out.join(user_feat.select("user", "feats"), "user", "left")
+        out = out.join(user_part(user_feat, {"zu": weights}), "user", "left")
     else:
-        out = out.withColumn("feats", F.lit(None).cast("array<int>"))
-    return out.join(item_feat.select("item", "bits"), "item", "left")
+        out = out.withColumn("zu", F.lit(0.0))
+    out = out.withColumn("zu", F.coalesce("zu", F.lit(0.0)))
+    return out.join(item_part(item_feat, {"zi": weights}, user_width).drop("n_bits"), "item", "left")
 
 
 def with_pay(cand: DataFrame, pay: DataFrame) -> DataFrame:
-    return cand.join(pay.select("item", "money", "click"), "item", "left")
-
-
-def item_width_check(item_feat: DataFrame, expected: int) -> None:
-    """Q-21: all item vectors must have the expected width (fails early otherwise)."""
-    bad = item_feat.where(F.size("bits") != expected).limit(1).count()
-    if bad:
-        raise ValueError(f"item feature width differs from {expected}")
+    """JOIN-07: ``money`` and ``click`` of the item."""
+    return cand.join(keyed_load(pay.select("item", "money", "click", *_position(pay)), "item"), "item", "left")
 
 
 USER_WIDTH = P.USER_WIDTH

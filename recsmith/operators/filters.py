@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recsmith import params as P
 from recsmith.functions.scoring import as_of_date, midnight_threshold
+from recsmith.operators.keyed import POSITION, keyed_load
 
 
 def active_users(active: DataFrame, as_of, days: int) -> DataFrame:
@@ -79,14 +80,14 @@ def segment_gate(df: DataFrame, gated: DataFrame, segment: DataFrame) -> DataFra
 
 def quality_gate(df: DataFrame, quality: DataFrame) -> DataFrame:
     """FLT-13: the item needs a quality row with score != 0 (adds score, create_days)."""
-    q = quality.select("item", F.col("score").alias("q_score"), "create_days")
+    q = keyed_load(quality.select("item", F.col("score").alias("q_score"), "create_days", *position(quality)), "item")
     return df.join(q, "item").where(F.col("q_score") != 0)
 
 
 def coverage(candidate_items: DataFrame, quality: DataFrame) -> DataFrame:
     """AGG-09: one row (n_quality, n_candidates, gate_on)."""
     cand = candidate_items.select("item").distinct()
-    nq = quality.join(cand, "item", "left_semi").agg(F.count(F.lit(1)).alias("n_quality"))
+    nq = quality.select("item").distinct().join(cand, "item", "left_semi").agg(F.count(F.lit(1)).alias("n_quality"))
     nc = cand.agg(F.count(F.lit(1)).alias("n_candidates"))
     # the candidate count enters as a scalar subquery (one value)
     out = nq.select("n_quality", nc.select("n_candidates").scalar().alias("n_candidates"))
@@ -99,7 +100,7 @@ def quality_gate_if_covered(df: DataFrame, quality: DataFrame, candidate_items:
     The coverage flag is a scalar subquery (one value), not a join.
     """
     gate_on = coverage(candidate_items, quality).select("gate_on").scalar()
-    q = quality.select("item", F.col("score").alias("q_score"))
+    q = keyed_load(quality.select("item", F.col("score").alias("q_score"), *position(quality)), "item")
     j = df.join(q, "item", "left")
     ok = F.col("q_score").isNotNull() & (F.col("q_score") != 0)
     return j.where(~gate_on | ok).drop("q_score")
@@ -107,7 +108,7 @@ def quality_gate_if_covered(df: DataFrame, quality: DataFrame, candidate_items:
 
 def user_age_limit(df: DataFrame, limits: DataFrame, age_col: str = "create_days") -> DataFrame:
     """FLT-17: users with a limit lose items older than their ``max_days``."""
-    j = df.join(limits.select("user", "max_days"), "user", "left")
+    j = df.join(keyed_load(limits.select("user", "max_days", *position(limits)), "user"), "user", "left")
     return j.where(F.col("max_days").isNull() | (F.col(age_col) <= F.col("max_days"))).drop("max_days")
 
 
@@ -153,6 +154,11 @@ def impression_log_filter(lines: DataFrame, marker: str = P.IMPRESSION_MARKER) -
             .where(F.col("user").isNotNull() & F.col("item").isNotNull()))
 
 
+def position(df: DataFrame) -> list[str]:
+    """The column with the order of a lookup's rows, where it has one (see ``operators.keyed``)."""
+    return [POSITION] if POSITION in df.columns else []
+
+
 def normal_user(user: Column) -> Column:
     """FLT-06: the one sign rule for user ids of any input (Q-11); unparsable -> null."""
     return F.abs(user.try_cast("long"))

@@ -8,9 +8,13 @@ split by AQE's skew-join handling on the ``seed`` key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recsmith.operators.keyed import POSITION, keyed_load
+
+BITMAP_WORDS = 128  # longs of a user's bitmap of candidates: 8,192 bits for some 700 items
+
 
 def seed_expansion(user_seed: DataFrame, seed_item: DataFrame) -> DataFrame:
     """JOIN-01: user->seed(score) x seed->item list on seed."""
@@ -82,6 +86,35 @@ def reason_first_tag(rows: DataFrame) -> DataFrame:
 
 def last_wins(df: DataFrame, key: str, order_col: str) -> DataFrame:
     """AGG-11: keyed load where a later row (by ``order_col``) overwrites an earlier one."""
-    others = [c for c in df.columns if c not in (key, order_col)]
-    agg = [F.max_by(c, F.col(order_col)).alias(c) for c in others]
-    return df.groupBy(key).agg(*agg)
+    return keyed_load(df.withColumnRenamed(order_col, POSITION), key)
+
+
+def _bit(item: Column) -> Column:
+    """Bit number of an item in a user's bitmap."""
+    return F.pmod(F.xxhash64(item), F.lit(64 * BITMAP_WORDS)).cast("int")
+
+
+def candidate_bitmaps(candidates: DataFrame) -> DataFrame:
+    """(user, _bits): a bitmap of each user's candidate items, as an array of ``BITMAP_WORDS`` longs.  A
+    budget bounds the items of a user, so the bitmap's size is fixed."""
+    bit = candidates.select("user", _bit(F.col("item")).alias("b")).select(
+        "user", F.shiftright("b", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").bitwiseAND(63)).alias("v"))
+    words = bit.groupBy("user", "word").agg(F.bit_or("v").alias("v"))
+    held = words.groupBy("user").agg(F.map_from_entries(F.collect_list(F.struct("word", "v"))).alias("m"))
+    every = F.sequence(F.lit(0), F.lit(BITMAP_WORDS - 1))
+    return held.select("user", F.transform(every, lambda k: F.coalesce(F.element_at("m", k), F.lit(0).cast("long"))).alias("_bits"))
+
+
+def recalled_rows(seeds: DataFrame, lists: DataFrame, on, candidates: DataFrame) -> DataFrame:
+    """The recalled rows (seeds x lists) of the users' candidates (user, item), for the reasons.
+
+    Each seed row brings its user's bitmap of candidates to the list join, which drops nearly all
+    entries that are no candidate of that user in the task that reads them; those left are
+    compared with the candidates themselves.  So the shuffle holds about as many rows as there
+    are candidates and seeds that recall them, not users x seeds x list lengths."""
+    own = seeds.join(candidate_bitmaps(candidates), "user")
+    rows = own.join(lists, on)
+    word = F.get("_bits", F.shiftright("_b", 6))
+    wanted = F.call_function("shiftright", word, F.col("_b").bitwiseAND(63)).bitwiseAND(F.lit(1)) == 1
+    kept = rows.withColumn("_b", _bit(F.col("item"))).where(wanted).drop("_b", "_bits")
+    return kept.join(candidates.select("user", "item"), ["user", "item"], "left_semi")

@@ -18,6 +18,7 @@ from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
+from recsmith.operators.keyed import keyed_load
 from recsmith.session import Stages, materialise
 
 
@@ -90,41 +91,41 @@ def candidate_stages(inp: LikedInputs, as_of, active_days: int, window, max_impr
         cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
         exp = C.bounded_expansion(sd, nlists, ["seed", "_odd"], cap, excl, members=inp.segment)
         elig = FL.exclude_pairs(exp, excl)                                                           # FLT-09/10, FLT-15
-        return materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at))  # read twice by the budget
+        return materialise(C.per_seed_cap(elig, caps[0], caps[1], many_at), by="user")  # read twice by the budget
 
     def penalised(st):
-        vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
+        vis = keyed_load(inp.visited.select("user", "item", F.col("score").alias("_vis"), *FL.position(inp.visited)), "user", "item")
         return (st["kept"].join(vis, ["user", "item"], "left")
                 .withColumn("score", S.impression_penalty(C.rank_discount(F.col("sim"), F.col("i")),
                                                           F.col("_vis"), penalty_mode)))
 
     def freshened(st):
-        prof = inp.profile.select("item", S.pub_index(F.col("avg_pub_time")).alias("_pub"))
-        nsw = inp.new_song_weight.select("user", "new_song_weight")
-        x = st["merged"].join(prof, "item", "left").join(nsw, "user", "left")
+        prof = keyed_load(inp.profile.select("item", "avg_pub_time", *FL.position(inp.profile)), "item")
+        prof = prof.select("item", S.pub_index(F.col("avg_pub_time")).alias("_pub"))
+        nsw = keyed_load(inp.new_song_weight.select("user", "new_song_weight", *FL.position(inp.new_song_weight)), "user")
+        x = st["merged"].join(st["src"], ["user", "item"]).join(nsw, "user", "left").join(prof, "item", "left")
         x = x.withColumn("score", S.freshness_b(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)),
                                                 F.col("_pub")))
-        return materialise(x.select("user", "item", "score").join(st["src"], ["user", "item"]))
+        return materialise(x.select("user", "item", "score", "src"), by="user")
 
     return Stages(
         seeds=ranked_seeds, lists=used_lists, capped=cap_eligible,
-        recalled=lambda st: st["seeds"].join(st["lists"].select("seed", "_odd", "item", "sim"), ["seed", "_odd"]),
         kept=lambda st: C.seed_budget(st["capped"], budget),
         rows=penalised,
-        merged=lambda st: materialise(C.merge_sum(st["rows"])),
-        src=lambda st: RC.reason_argmax_sim(st["recalled"].join(st["merged"].select("user", "item"), ["user", "item"],
-                                                                "left_semi")),
+        merged=lambda st: materialise(C.merge_sum(st["rows"]), by="user"),
+        src=lambda st: RC.reason_argmax_sim(RC.recalled_rows(
+            st["seeds"].select("user", "seed", "_odd"), st["lists"].select("seed", "_odd", "item", "sim"), ["seed", "_odd"], st["merged"])),
         cand=freshened)
 
 
 def score(cand: DataFrame, inp: LikedInputs, weights, item_width: int, divisor: int, remainder: int | None,
           rate_default: float = P.RATE_DEFAULT_P4, pay=P.PAY_P4, blend: float = P.BLEND_P2P4) -> DataFrame:
-    x = X.with_rate(cand, inp.rate, rate_default)
-    x = X.with_affinity(x, inp.user_aff, inp.item_aff)
-    x = X.with_features(x, inp.user_feat, inp.item_feat)
+    x = X.with_affinity(cand, inp.user_aff, inp.item_aff)
+    x = X.with_parts(x, inp.user_feat, inp.item_feat, weights)
     x = X.with_pay(x, inp.pay)
-    lr = S.lr_affinity(S.weights_lit(weights), F.col("feats"), F.col("bits"), F.col("rate"), F.col("lan"),
-                       F.col("style"), item_width)
+    x = X.with_rate(x, inp.rate, rate_default)
+    w, b = S.weights_lit(weights), P.USER_WIDTH + item_width
+    lr = S.lr_parts(F.col("zu"), F.col("zi"), w[b] * F.col("rate"), w[b + 1] * F.col("lan"), w[b + 2] * F.col("style"))
     boost = S.pay_boost(F.col("money"), F.col("click"), *pay)
     treated = S.in_treatment(F.col("user"), divisor, remainder)
     return x.withColumn("score", S.blended(F.col("score"), lr, blend, treated, boost))

@@ -20,7 +20,9 @@ from recsmith.functions import scoring as S
 from recsmith.operators import candidates as C
 from recsmith.operators import features as X
 from recsmith.operators import filters as FL
+from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
+from recsmith.operators.keyed import keyed_load
 from recsmith.session import Stages, materialise
 
 
@@ -54,8 +56,9 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
     """(user, item, score, src): merged recall scores after exclusions, caps and budget.
 
     The expansion is pruned exactly (``bounded_expansion``) before the exclusions and
-    caps; only the reason lookup reads every recalled (user, seed, item) row, narrowed
-    to three columns and semi-joined to the final candidates before its aggregation.
+    caps; the reason lookup reads whole lists, cut to the candidates where they are read.
+    From the caps on a user has a bounded number of rows, and the stage tables are bucketed by
+    user: budget, merge and reasons plan no further exchange of them.
     """
     def ranked_seeds(_):
         users = FL.active_users(inp.active, as_of, active_days)
@@ -72,22 +75,23 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         return FL.exclude_pairs(exp, excl)
 
     def merge(st):
-        vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
+        vis = st["visited"].withColumnRenamed("score", "_vis")
         scored = (st["kept"].join(vis, ["user", "item"], "left")
                   .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
-        return materialise(C.merge_max(scored))
+        return materialise(C.merge_max(scored), by="user")
 
     return Stages(
         us=ranked_seeds,
+        visited=lambda st: keyed_load(inp.visited.select("user", "item", "score", *FL.position(inp.visited)), "user", "item"),
         excl=lambda st: FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                                            FL.impression_window(inp.impressions, as_of, window[0], window[1])),
         elig=eligible,
-        capped=lambda st: materialise(C.per_seed_cap(st["elig"], caps[0], caps[1], many_at)),  # the budget reads it twice
+        capped=lambda st: materialise(C.per_seed_cap(st["elig"], caps[0], caps[1], many_at), by="user"),  # the budget reads it twice
         cut=lambda st: C.budget_cut(st["capped"], budget),
         kept=lambda st: C.seed_budget(st["capped"], budget, st["cut"]),
         merged=merge,
         src=lambda st: reason_over_recalled(st["merged"], st["us"], inp.seed_item, st["cut"]),
-        cand=lambda st: materialise(st["merged"].join(st["src"], ["user", "item"])))
+        cand=lambda st: materialise(st["merged"].join(st["src"], ["user", "item"]), by="user"))
 
 
 def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
@@ -95,9 +99,8 @@ def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
     """AGG-07 (P2) over all recalled rows: src = the seed with the highest seed score
     (then lowest id) whose list holds the item, i.e. the lowest seed rank ``i``.
 
-    The recalled (user, seed, item) rows are read once, narrowed to three columns and
-    semi-joined to the final candidates before a partial + final ``min_by``; no pairs
-    beyond the recall join itself are formed.
+    The lists are read once and cut to the users' candidates in the tasks that read them
+    (``recall.recalled_rows``) before a partial + final ``min_by``.
     """
     seeds = us.select("user", "seed", "i")
     if cut is not None:
@@ -105,21 +108,19 @@ def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
         # can never hold the lowest rank: drop them before reading their lists
         seeds = (seeds.join(cut, "user", "left")
                  .where(F.col("_cut").isNull() | (F.col("i") <= F.col("_cut"))).drop("_cut"))
-    recalled = seeds.join(seed_item.select("seed", "item"), "seed")
-    return (recalled.join(merged.select("user", "item"), ["user", "item"], "left_semi")
-            .groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
+    recalled = RC.recalled_rows(seeds, seed_item.select("seed", "item"), "seed", merged)
+    return (recalled.groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
 
 
 def score(cand: DataFrame, inp: SeedInputs, weights, item_width: int, divisor: int, remainder: int | None,
           rate_default: float = P.RATE_DEFAULT_P2, pay=P.PAY_P2, blend: float = P.BLEND_P2P4) -> DataFrame:
     """FN-04 + FN-09 + FN-10 + FN-11: score = recall * blend + LR3 (+ boost in the treatment arm)."""
-    x = X.with_rate(cand, inp.rate, rate_default)
-    x = X.with_affinity(x, inp.user_aff, inp.item_aff)
-    x = X.with_features(x, inp.user_feat, inp.item_feat)
+    x = X.with_affinity(cand, inp.user_aff, inp.item_aff)
+    x = X.with_parts(x, inp.user_feat, inp.item_feat, weights)
     x = X.with_pay(x, inp.pay)
-    w = S.weights_lit(weights)
-    lr = S.lr_affinity(w, F.col("feats"), F.col("bits"), F.col("rate"), F.col("lan"), F.col("style"),
-                       item_width)
+    x = X.with_rate(x, inp.rate, rate_default)
+    w, b = S.weights_lit(weights), P.USER_WIDTH + item_width
+    lr = S.lr_parts(F.col("zu"), F.col("zi"), w[b] * F.col("rate"), w[b + 1] * F.col("lan"), w[b + 2] * F.col("style"))
     boost = S.pay_boost(F.col("money"), F.col("click"), *pay)
     treated = S.in_treatment(F.col("user"), divisor, remainder)
     return x.withColumn("score", S.blended(F.col("score"), lr, blend, treated, boost))

@@ -21,6 +21,7 @@ from recsmith.operators import features as X
 from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
+from recsmith.operators.keyed import keyed_load
 from recsmith.session import Stages, materialise
 
 
@@ -69,9 +70,10 @@ def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress:
                               FL.impression_window(inp.impressions, as_of, window[0], window[1]),
                               hist_items)                          # FLT-09/10/11
     blocked = FL.candidate_items(inp.blocklist.select("item"), FL.first_n(inp.first_block))
-    good = FL.exclude_items(inp.quality.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
+    q = keyed_load(inp.quality.select("item", "score", "create_days", *FL.position(inp.quality)), "item")
+    good = FL.exclude_items(q.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
+    q = q.select("item", "create_days")
     used = inp.tag_item.select("tag", "item", "quality", "pos").join(ut.select("tag").distinct(), "tag", "left_semi")
-    q = inp.quality.select("item", "create_days")
     lists = C.renumber(used.join(q, "item"), "tag", keep=good, limits=inp.user_max_age)
     u = ut.select("user", "tag", "pref", F.col("pos").alias("tag_pos"))
     exp = C.bounded_expansion(u, lists, "tag", F.lit(tag_cap), excl,
@@ -90,16 +92,16 @@ def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impres
                      tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> dict:
     def cap(_):
         elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
-        return materialise(C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",)))
+        return materialise(C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",)))  # tags of a user have no bound
 
     def merge(st):
         rows = st["capped"].withColumn("score", F.col("pref") * F.col("quality"))
         return C.merge_sum(rows).join(RC.reason_first_tag(st["capped"]), ["user", "item"])
 
     def freshened(st):
-        prof = inp.profile.select("item", "avg_pub_time")
-        nsw = inp.new_song_weight.select("user", "new_song_weight")
-        vis = inp.visited.select("user", "item", F.col("score").alias("_vis"))
+        prof = keyed_load(inp.profile.select("item", "avg_pub_time", *FL.position(inp.profile)), "item")
+        nsw = keyed_load(inp.new_song_weight.select("user", "new_song_weight", *FL.position(inp.new_song_weight)), "user")
+        vis = keyed_load(inp.visited.select("user", "item", F.col("score").alias("_vis"), *FL.position(inp.visited)), "user", "item")
         x = st["merged"].join(prof, "item", "left").join(nsw, "user", "left").join(vis, ["user", "item"], "left")
         age = S.age_days(P.epoch(as_of), F.col("avg_pub_time"))
         fresh = S.freshness_a(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)), age)
@@ -113,14 +115,15 @@ def score(pool: DataFrame, inp: TagInputs, weights, weights_ab, item_width: int,
           remainder: int | None, rate_default: float = P.RATE_DEFAULT_P3, blend: float = P.BLEND_P3) -> DataFrame:
     """Treatment arm: recall * blend + dense LR over the assembled features (FN-05, FN-07);
     control arm: recall * blend + LR v2 with the second weight vector (FN-03)."""
-    x = X.with_rate(pool, inp.rate, rate_default)
-    x = X.with_affinity(x, inp.user_aff, inp.item_aff, ignored=())
-    x = X.with_features(x, inp.user_feat, inp.item_feat)
-    f = S.assemble_features(F.col("feats"), F.col("bits"), F.col("rate"), F.col("lan"), F.col("style"),
-                            item_width)
-    dense = S.dense_lr(S.weights_lit(weights), f)
-    control = S.lr_promoted(S.weights_lit(weights_ab), F.col("feats"), F.col("bits"), F.col("rate"),
-                            item_width)
+    x = X.with_affinity(pool, inp.user_aff, inp.item_aff, ignored=(), repeats="last")
+    own = X.user_part(inp.user_feat, {"zu_ab": weights_ab}).join(
+        X.user_part(inp.user_feat, {"zu": weights}, P.USER_WIDTH), "user")
+    x = x.join(own, "user", "left")
+    x = x.join(X.item_part(inp.item_feat, {"zi": weights, "zi_ab": weights_ab}, expected=item_width), "item", "left")  # Q-21
+    x = X.with_rate(x, inp.rate, rate_default)
+    w, w_ab = S.weights_lit(weights), S.weights_lit(weights_ab)
+    dense = S.dense_parts(w, F.col("zu"), F.col("zi"), F.col("n_bits"), F.col("rate"), F.col("lan"), F.col("style"), item_width)
+    control = S.lr_parts(F.coalesce("zu_ab", F.lit(0.0)), F.col("zi_ab"), w_ab[P.USER_WIDTH + item_width] * F.col("rate"))
     treated = S.in_treatment(F.col("user"), divisor, remainder)
     return x.withColumn("score", F.col("score") * blend + F.when(treated, dense).otherwise(control))
 
@@ -130,9 +133,8 @@ def recommend_by_tag(inp: TagInputs, as_of, weights, weights_ab, item_width: int
                      max_rec: int = P.MAX_REC_P3, penalty_mode: str = "constant") -> DataFrame:
     """Ranked lists (user, rank, item, score, src); score rounded HALF_UP to 4 places."""
     mi = max_impress if max_impress is not None else P.max_impress(as_of)
-    X.item_width_check(inp.item_feat, item_width)  # Q-21: the dense model needs the exact width
     cand = candidates(inp, as_of, active_days, window, mi, penalty_mode=penalty_mode)
-    pool = materialise(C.reason_caps(cand, P.REASON_CAP, P.REASON_TOTAL))
+    pool = materialise(C.reason_caps(cand, P.REASON_CAP, P.REASON_TOTAL), by="user")
     nr = C.distinct_reasons(pool)
     scored = score(pool, inp, weights, weights_ab, item_width, divisor, remainder)
     scored = scored.select("user", "item", "score", "src").join(nr, "user")

@@ -7,8 +7,10 @@ session and only invents a local folder when nothing is configured (tests).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,10 @@ DEFAULT_CONF = {
 }
 
 
+STAGE_TABLE = "recsmith_stage_"
+_SCOPES: list[str] = []  # names of the open scopes of stage tables, outermost first
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "recsmith", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -70,11 +76,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop API for ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _table_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{app_id(spark)}"
+
+
 def remove_stage_tables(spark: SparkSession) -> None:
     """Delete the stage tables that this application wrote (call it when its results are written)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables/{app_id(spark)}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith(STAGE_TABLE)]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fs, path = file_system(spark, _table_root(spark))
+    fs.delete(path, True)
+
+
+@contextlib.contextmanager
+def stage_scope(spark: SparkSession):
+    """Stage tables written inside are deleted at the end: for a step whose result has been written
+    (outside the scope) by then."""
+    name = uuid.uuid4().hex
+    _SCOPES.append(name)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(name)
+        fs, path = file_system(spark, f"{_table_root(spark)}/{name}")
+        fs.delete(path, True)
 
 
 class Stages:
@@ -98,7 +129,7 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def materialise(df):
+def materialise(df, by: str | None = None):
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder
     (``spark.checkpoint.dir``) and reading it back; never a local checkpoint.
 
@@ -106,11 +137,19 @@ def materialise(df):
     downstream is computed once and a lost executor re-reads files instead of
     recomputing.  Parquet keeps scans columnar and pruned and gives the planner real
     sizes (small tables are then broadcast by the size threshold).  Tables of one run sit
-    under ``tables/<application id>/`` so the run's scratch can be removed as a whole."""
-    import uuid
+    under ``tables/<application id>/`` so the run's scratch can be removed as a whole.
+
+    ``by`` names a column that the table is bucketed by (one file per bucket, as many buckets as
+    shuffle partitions): later joins, aggregates and windows on it plan no exchange.  Only for
+    tables whose rows per value are bounded."""
     spark = df.sparkSession
-    app = app_id(spark)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{uuid.uuid4().hex}"
+    name = uuid.uuid4().hex
+    path = "/".join([_table_root(spark), *_SCOPES, name])
+    if by is not None:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = STAGE_TABLE + name
+        (df.repartition(n, by).write.bucketBy(n, by).format("parquet").option("path", path).saveAsTable(table))
+        return spark.table(table)
     if os.environ.get("RECSMITH_TIMING"):
         import time
         t0 = time.time()

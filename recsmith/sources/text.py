@@ -8,13 +8,19 @@ functions, so no per-row Python runs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith import params as P
 from recsmith.operators.filters import history_first, normal_user
+from recsmith.operators.keyed import POSITION
+from recsmith.session import file_system
 from recsmith.sources import lines as L
 
+DONE = "_SUCCESS"  # completion marker of a day's folder
+
 # ---------------------------------------------------------------- packed lists
 
 
@@ -23,7 +29,7 @@ def _last_colon_ok(e: Column) -> Column:
 
 
 def explode_weighted_list(df: DataFrame, key: str, col: str, split_at: str = "last",
-                          max_n: int | None = None) -> DataFrame:
+                          max_n: int | None = None, offset: str | None = None) -> DataFrame:
     """SRC-05 / SRC-06: ``key, "id:score,id:score,..."`` -> (key, id, score, pos).
 
     ``split_at='last'``: split at the last colon; entries without a colon or with a
@@ -32,13 +38,14 @@ def explode_weighted_list(df: DataFrame, key: str, col: str, split_at: str = "la
     are skipped (as are unparsable scores).  ``max_n`` (the candidate-set reader passes
     ``PACKED_LIST_MAX``): reading stops after so many kept entries, so a bad score
     behind them is never seen.  ``pos`` counts kept entries from 0.
+
+    ``offset`` names a column by which the lines of a key that is cut into several lines are ordered
+    (see ``pack_list``): they are read as one list.  What a line must know of the key's other lines
+    (kept entries before it, a bad score anywhere) are two numbers per line.
     """
     arr = F.split(F.coalesce(F.col(col), F.lit("")), ",")
     if split_at == "last":
         kept = F.filter(arr, _last_colon_ok)
-        kept = kept if max_n is None else F.slice(kept, 1, max_n)
-        bad = F.exists(kept, lambda e: F.regexp_extract(e, ":([^:]*)$", 1).try_cast("double").isNull())
-        kept = F.when(bad, F.array().cast("array<string>")).otherwise(kept)
         ident = lambda e: F.regexp_extract(e, "^(.*):[^:]*$", 1)
         score = lambda e: F.regexp_extract(e, ":([^:]*)$", 1)
     elif split_at == "first":
@@ -48,44 +55,57 @@ def explode_weighted_list(df: DataFrame, key: str, col: str, split_at: str = "la
         score = lambda e: F.regexp_extract(e, "^[^:]*:(.*)$", 1)
     else:
         raise ValueError(split_at)
-    kept = kept if max_n is None else F.slice(kept, 1, max_n)
-    rows = df.select(key, F.posexplode(kept).alias("pos", "entry"))
+    lines = df.select(key, *([offset] if offset else []), kept.alias("_kept"))
+    start = F.lit(0).cast("long")
+    if offset:
+        sizes = lines.select(key, offset, F.size("_kept").cast("long").alias("_n"))
+        before = Window.partitionBy(key).orderBy(offset).rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+        lines, start = lines.join(starts, [key, offset]), F.col("_start")
+    if max_n is not None:  # the reader stops here
+        lines = lines.withColumn("_kept", F.slice("_kept", F.lit(1), F.greatest(F.lit(max_n) - start, F.lit(0)).cast("int")))
+    if split_at == "last":
+        bad = F.exists("_kept", lambda e: F.regexp_extract(e, ":([^:]*)$", 1).try_cast("double").isNull())
+        if offset:
+            lines = lines.join(lines.where(bad).select(key).distinct(), key, "left_anti")
+        else:
+            lines = lines.where(~bad)
+    rows = lines.select(key, start.alias("_start"), F.posexplode("_kept").alias("pos", "entry"))
     return rows.select(key, ident(F.col("entry")).alias("id"),
                        score(F.col("entry")).try_cast("double").alias("score"),
-                       F.col("pos").cast("long").alias("pos"))
+                       (F.col("_start") + F.col("pos")).cast("long").alias("pos"))
 
 
 def pack_list(df: DataFrame, key: str, order_col: str, id_col: Column, score_col: Column,
-              extra: Column | None = None) -> DataFrame:
+              extra: Column | None = None, chunk: int | None = None) -> DataFrame:
     """SNK-01 / SNK-02: (key, ...) rows -> (key, "id:score[:extra],...") in ``order_col`` order.
 
-    A packed line holds one key's list, which the callers bound (top-N, caps)."""
+    Without ``chunk`` a packed line holds one key's whole list, which the caller has bounded (top-N, caps).
+    With ``chunk`` a key's list is cut into lines of at most so many positions (``order_col`` counts
+    from 0), each with its ``offset``: (key, offset, packed).  So a key with very many entries is many
+    rows, in as many tasks as they need."""
     parts = [id_col.cast("string"), score_col.cast("string")]
     if extra is not None:
         parts.append(extra.cast("string"))
     e = F.concat_ws(":", *parts)
-    g = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"),
+    by = [F.col(key)]
+    if chunk is not None:
+        by.append((F.floor(F.col(order_col) / chunk) * chunk).cast("long").alias("offset"))
+    g = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"),
                                                                  e.alias("e")))).alias("_l"))
-    return g.select(key, F.array_join(F.transform("_l", lambda x: x["e"]), ",").alias("packed"))
+    return g.select(key, *(["offset"] if chunk is not None else []),
+                    F.array_join(F.transform("_l", lambda x: x["e"]), ",").alias("packed"))
 
 
 # ---------------------------------------------------------------- vectors / json
 
 
-def parse_bit_vector(line: Column) -> Column:
-    """SRC-11: "1" -> 1, anything else -> 0."""
-    return F.transform(F.split(line, ","), lambda x: F.when(x == "1", 1).otherwise(0))
-
-
-def parse_int_vector(line: Column) -> Column:
-    """SRC-12: comma-separated ints (unparsable -> null)."""
-    return F.transform(F.split(line, ","), lambda x: x.try_cast("int"))
+parse_bit_vector, parse_int_vector = L.bit_vector, L.int_vector
 
 
 def parse_json_attributes(df: DataFrame, col: str) -> DataFrame:
     """SRC-13 / FN-20: ``{"avgPubTime": ..., "score": ...}`` -> avg_pub_time, score."""
-    j = F.from_json(F.col(col), "avgPubTime long, score double")
-    return df.withColumn("_j", j).select(
+    return df.withColumn("_j", L.json_attributes(F.col(col))).select(
         *[c for c in df.columns if c != col],
         F.col("_j.avgPubTime").alias("avg_pub_time"), F.col("_j.score").alias("score"))
 
@@ -100,10 +120,47 @@ def read_tab(spark: SparkSession, paths, schema: str) -> DataFrame:
             .csv(paths if isinstance(paths, list) else [paths]))
 
 
-def read_lines(spark: SparkSession, paths, parser, *args, **kwargs) -> DataFrame:
-    """The accepted rows of text files under one of the parsers of ``sources.lines``; to count the
-    others, call the parser itself and ``lines.rejects``."""
-    return L.accepted(parser(spark.read.text(paths), *args, **kwargs))
+def positioned_lines(spark: SparkSession, paths) -> DataFrame:
+    """Text lines with their place in the input: file (by name), block of the file, line within it."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(paths).select("value", place.alias(POSITION))
+
+
+def read_lines(spark: SparkSession, paths, parser, *args, positions: bool = False, counts: Observation | None = None,
+               **kwargs) -> DataFrame:
+    """The accepted rows of text files under one of the parsers of ``sources.lines``.  ``counts`` observes
+    lines and rejects in the same job; ``positions``: rows keep their place, so that lookups with
+    repeated keys know the last one."""
+    lines = positioned_lines(spark, paths) if positions else spark.read.text(paths)
+    return L.accepted(parser(lines, *args, **kwargs), counts)
+
+
+def read_lookup(spark: SparkSession, paths, parser, *args, **kwargs) -> DataFrame:
+    """``read_lines`` with positions, for the lookups of the jobs (JOIN-07, JOIN-10, JOIN-11)."""
+    return read_lines(spark, paths, parser, *args, positions=True, **kwargs)
+
+
+def first_lines(spark: SparkSession, paths, n: int) -> DataFrame:
+    """SRC-17: the first ``n`` lines over all files, in the order of file names and lines.
+
+    Lines are counted per block of a file; a running total over the blocks (a few numbers per block)
+    gives the number of each block's first line, and only blocks that begin before line ``n`` are
+    read again."""
+    lines = positioned_lines(spark, paths).select("value", F.col(f"{POSITION}.file").alias("file"),
+                                                  F.col(f"{POSITION}.block").alias("block"), F.col(f"{POSITION}.line").alias("line"))
+    sizes = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")).where(F.col("start") < n)
+    head = lines.join(starts, ["file", "block"])
+    rank = F.row_number().over(Window.partitionBy("file", "block").orderBy("line"))
+    return (head.withColumn("rank", rank).where(F.col("rank") <= n).where(F.col("start") + F.col("rank") <= n)
+            .select("value"))
+
+
+def read_first_ids(spark: SparkSession, paths, n: int = P.FIRST_BLOCK_N) -> DataFrame:
+    """SRC-17: the ids in the first column of the first ``n`` lines over all files."""
+    return L.accepted(L.first_column(first_lines(spark, paths, n)))
 
 
 def read_log(spark: SparkSession, paths) -> DataFrame:
@@ -121,20 +178,59 @@ def read_visited(spark: SparkSession, paths) -> DataFrame:
     return read_lines(spark, paths, L.visited)
 
 
-def read_days(spark: SparkSession, root: str, schema: str, as_of, lo: int, hi: int) -> DataFrame:
+def day_folder(root: str, day) -> str:
+    return f"{root.rstrip('/')}/dt={day.strftime('%Y-%m-%d')}"
+
+
+def write_days(lines: DataFrame, root: str, days) -> None:
+    """SNK-*, by day: the ``value`` lines of ``days`` (a column ``dt`` tells the day) replace those days
+    under ``root`` and leave all other days as they are, so a day can be run again.  Each day's
+    completion marker goes before the day is touched and comes back when its lines are written."""
+    spark = lines.sparkSession
+    markers = [f"{day_folder(root, d)}/{DONE}" for d in days]
+    for m in markers:
+        fs, path = file_system(spark, m)
+        fs.delete(path, False)
+    wanted = [F.lit(d.strftime("%Y-%m-%d")).cast("date") for d in days]
+    (lines.where(F.col("dt").isin(*wanted)).select("value", "dt").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dt").text(root))
+    for m in markers:
+        fs, path = file_system(spark, m)
+        fs.create(path, True).close()  # a day without lines is complete too
+
+
+def complete_days(spark: SparkSession, root: str, days) -> list:
+    """Those of ``days`` whose completion marker is there."""
+    out = []
+    for d in days:
+        fs, path = file_system(spark, f"{day_folder(root, d)}/{DONE}")
+        if fs.exists(path):
+            out.append(d)
+    return out
+
+
+def read_days(spark: SparkSession, root: str, schema: str, as_of, lo: int, hi: int, complete: bool = False) -> DataFrame:
     """SRC-03: date-partitioned folder ``root/dt=YYYY-MM-DD/``; only days ``lo..hi`` before
-    ``as_of`` are read (partition pruning)."""
+    ``as_of`` are read (partition pruning).  ``complete``: every one of these days must carry its completion
+    marker, else the read is refused."""
+    if complete:
+        days = [(as_of - dt.timedelta(days=k)).date() for k in range(lo, hi + 1)]
+        missing = sorted({str(d) for d in days} - {str(d) for d in complete_days(spark, root, days)})
+        if missing:
+            raise ValueError(f"days without completion marker under {root}: {', '.join(missing)}")
     df = (spark.read.option("sep", "\t").schema(schema + ", dt date").csv(root))
     d = F.lit(as_of.strftime("%Y-%m-%d")).cast("date")
     return df.where(F.col("dt").between(F.date_sub(d, hi), F.date_sub(d, lo)))
 
 
 def read_packed(spark: SparkSession, paths, split_at: str = "last", key_type: str = "long",
-                max_n: int | None = None) -> DataFrame:
-    """``key<TAB>id:score,...`` files -> (key, id, score, pos); whole lists unless ``max_n`` is given."""
-    raw = spark.read.text(paths).select(L.tab(0).try_cast(key_type).alias("key"), L.tab(1).alias("packed"))
-    raw = raw.where(F.col("key").isNotNull())
-    return explode_weighted_list(raw, "key", "packed", split_at, max_n)
+                max_n: int | None = None, chunked: bool = False) -> DataFrame:
+    """``key<TAB>id:score,...`` files -> (key, id, score, pos); whole lists unless ``max_n`` is given.
+    ``chunked``: a key's list may be cut into several lines ``key<TAB>list<TAB>offset``."""
+    c = L.cells(spark.read.text(paths)).select(L.cell(0).try_cast(key_type).alias("key"), L.cell(1).alias("packed"),
+                                               F.coalesce(L.cell(2).try_cast("long"), F.lit(0).cast("long")).alias("offset"))
+    raw = c.where(F.col("key").isNotNull())
+    return explode_weighted_list(raw, "key", "packed", split_at, max_n, offset="offset" if chunked else None)
 
 
 def read_promoted_rate(spark: SparkSession, paths, column: int) -> DataFrame:
@@ -198,6 +294,11 @@ def ranked_lines(ranked: DataFrame) -> DataFrame:
     return p.select(F.concat_ws("\t", F.col("user").cast("string"), "packed").alias("value"))
 
 
+def chunked_lines(packed: DataFrame, key: str) -> DataFrame:
+    """The lines ``key<TAB>list<TAB>offset`` of ``pack_list`` with a chunk size."""
+    return packed.select(F.concat_ws("\t", F.col(key).cast("string"), "packed", F.col("offset").cast("string")).alias("value"))
+
+
 def split_valid(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
     """FLT-20: (kept rows, rejected rows) for a validity predicate; callers count or write
     the rejected side instead of failing the job or dropping rows silently."""
