@@ -4,14 +4,15 @@ The base patterns (email, ip, card, phone) are found leftmost and without overla
 time linear in the text.  The CRF labels white-space tokens by their word shapes, the shapes and
 words around them and digit counts.  It is trained from ``LABELLED``, a small table of marked
 lines, and decoded by Viterbi in numpy batches.  A token without a digit, ``@`` or a bracketed
-"at" cannot be part of an entity (in training and decoding alike), so only the windows around
-such tokens are decoded; all of them are, in every whole text.  A decoded span is added if it
-overlaps no base span and passes the plain check of its kind (digit count, Luhn, an "at", a ``::`` or
-all the colons of an IPv6 address).
+"at" or "dot" cannot be part of an entity, unless such a bracketed word stands next to it by itself (in
+training and decoding alike), so only the windows around such tokens are decoded; all of them
+are, in every whole text.  A decoded span is added if it overlaps no base span and passes the plain
+check of its kind (digit count, Luhn, an "at", four parts of an IPv4 address, a ``::`` or all the
+colons of an IPv6 address).
 
 Defined results: a null or empty text has no spans; positions are code points, end exclusive;
 repeated rows are treated alike; an empty table gives no rows; an input column named like an
-output column is replaced.
+output column is replaced.  Very long texts and tokens take time linear in their length.
 """
 
 from __future__ import annotations
@@ -59,6 +60,13 @@ tél {phone:01 42 68 53 00} le matin
 teléfono {phone:91 123 45 67} por la tarde
 und {phone:+49 30 901820} war besetzt
 phone {phone:(303) 555-0123}
+ring {phone:555 0177} after work
+tel {phone:555.0182} in the evening
+call {phone:555 0164} or write
+tel. {phone:030/901820-14} im amt
+fon {phone:0711/2345678} ab acht uhr
+rufen sie {phone:089/123456-0} an
+numéro {phone:01.42.68.53.11} du bureau
 {phone:(702) 555-0114} was on the card
 write to {email:jane.doe@example.org} please
 mail {email:bob_smith@mail.example.com} about it
@@ -68,6 +76,13 @@ send it to {email:root@localhost} for now
 my address is {email:max.muster[at]example.de} danke
 écrire à {email:marie(at)exemple.fr} pour cela
 and {email:bomip.63@mail3.example.com} at once
+write {email:peter (at) example (dot) net} instead
+mail {email:lena [at] firma [dot] de} bitte
+contact {email:kim (at) mail (dot) example (dot) com} today
+{email:jo [at] example.org} is the one
+reach {email:sam.lee (at) example.com} there
+ask {email:info[at]example[dot]org} for it
+to {email:a.roe(at)example(dot)net} please
 from {email:team@server} we heard
 the host {ip:192.168.10.24} is down
 server {ip:10.0.0.7} answered
@@ -77,6 +92,11 @@ ip {ip:2001:db8::370:7334} is new
 the address {ip:2001:db8:0:1::57ab} fails
 login from {ip:52.230.99.248} at night
 ping {ip:2001:db8::1} failed
+host {ip:192[.]0[.]2[.]17} was blocked
+block {ip:198[.]51[.]100[.]4} now
+traffic to {ip:203[.]0[.]113[.]9} stopped
+from {ip:10[.]1[.]2[.]3} again
+see {ip:172[.]16[.]31[.]254} in the list
 card {card:4111 1111 1111 1111} was charged
 paid with {card:4222222222222} last week
 visa {card:5500-0000-0000-0004} expires soon
@@ -180,7 +200,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # --- features -------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"\S+")
-_SIGN = re.compile(r"[0-9@]|[\[(]at[\])]", re.ASCII)
+_SIGN = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]", re.ASCII)
+_ALONE = re.compile(r"[\[(](?:at|dot)[\])]", re.ASCII)
 _OPEN = "([\"'<"
 _CLOSE = ".,;:!?\"')]>"
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
@@ -190,7 +211,7 @@ def shape(token: str) -> str:
     """Runs of letters as x, X or a, digits as d with their number; other signs as they are."""
     out: list[str] = []
     run = 0
-    for c in token[:64]:
+    for c in token:
         k = "d" if "0" <= c <= "9" else "X" if c.isupper() else "x" if c.islower() else "a" if c.isalpha() else c
         if out and out[-1] == k and k in "dXxa":
             run += 1
@@ -201,7 +222,7 @@ def shape(token: str) -> str:
             run = 1
     if out and out[-1] == "d":
         out.append(str(min(run, 9)))
-    return "".join(out) + ("~" if len(token) > 64 else "")
+    return "".join(out)
 
 
 def _runs(tokens: list[str]) -> list[tuple[int, bool]]:
@@ -235,6 +256,9 @@ def features(tokens: list[str], first: int = 0, last: int | None = None,
     shapes = ["<", "<", *(shape(t.rstrip(".,;:!?\"'").lstrip("\"'")) for t in near), ">", ">"]
     words = ["<", *(t.strip(_OPEN + _CLOSE).lower() for t in near), ">"]
     signs = [bool(_SIGN.search(t)) for t in near]
+    # a word beside an "(at)" or "(dot)" that stands by itself is part of the address too
+    alone = [bool(_ALONE.fullmatch(t)) for t in near]
+    open_ = [s or (i > 0 and alone[i - 1]) or (i + 1 < len(near) and alone[i + 1]) for i, s in enumerate(signs)]
     rows = []
     for i in range(first - lo, last - lo):
         t = near[i]
@@ -246,7 +270,7 @@ def features(tokens: list[str], first: int = 0, last: int | None = None,
             f"sp{shapes[i + 1]}|{shapes[i + 2]}", f"sn{shapes[i + 2]}|{shapes[i + 3]}", own,
             f"k{re.sub('[0-9]', '', shapes[i + 2])}", f"r{run}", f"v{valid}|{run > 12}",
             f"c{'@' in t or 'at]' in t or 'at)' in t}|{t.count(':') > 1}|{t.count('.') > 2}|{t[:1] in '+('}")])
-    return rows, [not s for s in signs[first - lo:last - lo]]
+    return rows, [not o for o in open_[first - lo:last - lo]]
 
 
 def _padded(rows: list[tuple[list[list[int]], list[bool]]], t: int):
@@ -351,6 +375,16 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
 _SHORT_IP = re.compile(r"(?=.*[0-9A-Fa-f])[0-9A-Fa-f]{0,4}::[0-9A-Fa-f]{0,4}")
 
 
+# an address with "@" or a bracketed "at", dots plain or bracketed, with or without blanks around the bracketed ones
+_EMAIL = re.compile(r"[\w.%+-]+(?:@|\s*[\[(]at[\])]\s*)[\w-]+(?:(?:\.|\s*[\[(]dot[\])]\s*)[\w-]+)*")
+
+
+def _four_parts(s: str) -> bool:
+    """Whether ``s`` is an IPv4 address, its dots plain or bracketed."""
+    parts = re.split(r"\.|\[\.\]", s)
+    return len(parts) == 4 and all(re.fullmatch("[0-9]{1,3}", p) and int(p) <= 255 for p in parts)
+
+
 def _checked(kind: int, text: str, start: int, end: int) -> tuple[int, int] | None:
     # a "::" at either end belongs to an address
     while start < end and text[start] in "[\"'<" + _CLOSE and not (kind == 1 and text.startswith("::", start, end)):
@@ -359,11 +393,11 @@ def _checked(kind: int, text: str, start: int, end: int) -> tuple[int, int] | No
         end -= 1
     s = text[start:end]
     d = _digits(s)
-    ok = {0: lambda: re.fullmatch(r"[\w.%+-]+(?:@|\[at\]|\(at\))[\w-]+(?:\.[\w-]+)*", s),
-          1: lambda: _SHORT_IP.fullmatch(s) or s.count(":") >= 3 and re.fullmatch(r"[0-9A-Fa-f:]{5,39}", s)
+    ok = {0: lambda: _EMAIL.fullmatch(s),
+          1: lambda: _four_parts(s) or _SHORT_IP.fullmatch(s) or s.count(":") >= 3 and re.fullmatch(r"[0-9A-Fa-f:]{5,39}", s)
           and "::" in s + "::" * (s.count(":") == 7),
           2: lambda: 13 <= len(d) <= 19 and luhn(d) and re.fullmatch(r"[0-9 -]+", s),
-          3: lambda: 7 <= len(d) <= 15 and re.fullmatch(r"[0-9+(][0-9 ().+-]*", s)}[kind]()
+          3: lambda: 7 <= len(d) <= 15 and re.fullmatch(r"[0-9+(][0-9 ().+/-]*", s)}[kind]()
     return (start, end) if ok else None
 
 

@@ -6,11 +6,15 @@ rules into one reference per language and rejects a document whose Jensen-Shanno
 to its nearest language reference is too large.  The allowed divergence grows for short texts
 by the sampling noise to be expected there (the length guard).
 
+A document whose language has no reference words (any value of the language column outside the
+reference languages) is not measured against other languages: it is judged by its character
+classes alone, against the sum of all documents of its own language that pass the base rules.
+
 Defined results: a null text counts as empty (no words, base rules fail, not kept); a
-document whose language is unknown is compared with every reference, like all others; in a
-table without any document that passes the base rules there is no reference, and the base
-rules decide alone.  Repeated rows are judged alike, each on its own.  An input column named
-like an output column is replaced.
+document without a language is compared with every reference; where there is no reference (no
+document of the language passes the base rules) the base rules decide alone.  Repeated rows are
+judged alike, each on its own.  An input column named like an output column is replaced.  A very
+long text is measured whole, in time linear in its length.
 """
 
 from __future__ import annotations
@@ -170,8 +174,16 @@ def js_divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.clip((kl(p, m) + kl(np.broadcast_to(q, p.shape), m)) / 2, 0, 1)
 
 
+def own_references(measured: DataFrame, lang_col: str, languages: list[str]) -> DataFrame:
+    """(lang, own_chars): character classes of each language without reference words, summed over its documents
+    that pass the base rules."""
+    ok = measured.filter(~F.col("base_failed") & F.col(lang_col).isNotNull() & ~F.col(lang_col).isin(languages))
+    sums = [F.sum(F.get("char_hist", F.lit(i))) for i in range(len(CLASSES))]
+    return ok.groupBy(F.col(lang_col).alias("_own_lang")).agg(F.array(*sums).alias("_own_chars"))
+
+
 def _distances(refs: dict, max_char: float, max_word: float):
-    def fn(_, chars: pa.Array, words: pa.Array) -> pa.Array:
+    def fn(_, chars: pa.Array, words: pa.Array, foreign: pa.Array, own: pa.Array) -> pa.Array:
         n = len(chars)
         c = np.asarray(chars.flatten(), dtype=float).reshape(n, len(CLASSES))
         w = np.asarray(words.flatten(), dtype=float).reshape(n, N_WORD_BINS)
@@ -189,24 +201,39 @@ def _distances(refs: dict, max_char: float, max_word: float):
         noise_c = (len(CLASSES) - 1) / (8 * math.log(2) * nc)
         noise_w = NOISE_BINS / (8 * math.log(2) * nw)
         far = (dc > max_char ** 2 + noise_c) | (dw > max_word ** 2 + noise_w)
-        return structs({"nearest_lang": (lang.tolist(), pa.string()), "char_distance": (np.sqrt(dc), pa.float64()),
-                        "word_distance": (np.sqrt(dw), pa.float64()), "diverges": (far, pa.bool_())})
+        for i in np.flatnonzero(np.array(foreign.to_pylist(), dtype=bool)).tolist():
+            sums = own[i].as_py()
+            lang[i], dw[i], far[i] = None, np.nan, False
+            dc[i] = np.nan
+            if sums and sum(sums):  # no reference otherwise: the base rules alone
+                ref = np.array(sums, dtype=float) / sum(sums)
+                dc[i] = js_divergence(c[i:i + 1] / nc[i], ref)[0]
+                far[i] = dc[i] > max_char ** 2 + noise_c[i]
+        if not refs:
+            known = ~np.array(foreign.to_pylist(), dtype=bool)
+            lang[known], dc[known], dw[known], far[known] = None, np.nan, np.nan, False
+        return structs({"nearest_lang": (lang.tolist(), pa.string()), "char_distance": (_or_null(dc), pa.float64()),
+                        "word_distance": (_or_null(dw), pa.float64()), "diverges": (far, pa.bool_())})
 
     return fn
 
 
+def _or_null(squared: np.ndarray) -> list:
+    return [None if np.isnan(x) else math.sqrt(x) for x in squared.tolist()]
+
+
 def judge(measured: DataFrame, lang_col: str = "lang", languages: list[str] | None = None,
           max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
     """``measured`` (a written table: it is read twice) with ``base_failed``, the distances to
     the nearest language reference and ``kept``."""
     df = measured.withColumn("base_failed", base_failed())
-    refs = references(df, lang_col, languages or list(COMMON_WORDS))
-    if not refs:
-        return df.select("*", F.lit(None).cast("string").alias("nearest_lang"),
-                         F.lit(None).cast("double").alias("char_distance"),
-                         F.lit(None).cast("double").alias("word_distance"), (~F.col("base_failed")).alias("kept"))
+    languages = languages or list(COMMON_WORDS)
+    refs = references(df, lang_col, languages)
+    own = own_references(df, lang_col, languages)
+    df = df.join(own, df[lang_col] == own["_own_lang"], "left").drop("_own_lang")
+    foreign = F.col(lang_col).isNotNull() & ~F.col(lang_col).isin(languages)
     fn = row_udf(_distances(refs, max_char_distance, max_word_distance),
                  "nearest_lang string, char_distance double, word_distance double, diverges boolean")
-    out = add_columns(df, fn(F.col("char_hist"), F.col("word_hist")),
+    out = add_columns(df, fn(F.col("char_hist"), F.col("word_hist"), foreign, F.col("_own_chars")),
                       ["nearest_lang", "char_distance", "word_distance", "diverges"])
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.col("diverges")).drop("diverges")
+    return out.withColumn("kept", ~F.col("base_failed") & ~F.col("diverges")).drop("diverges", "_own_chars")

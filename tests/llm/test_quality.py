@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recsmith.llm import quality_clf, quality_rules, queries
 
@@ -142,3 +143,29 @@ def test_classifier_sample_is_one_row_per_id(spark, monkeypatch):
     assert [w.count() for w in written] == [len(want)]
     same = quality_clf.train([want[i].encode() for i in sorted(want)], [i % 2 for i in sorted(want)])
     assert np.allclose(model.table, same.table, atol=1e-4) and model.bias == pytest.approx(same.bias, abs=1e-4)
+
+
+def test_language_without_reference_words(spark):
+    """Documents of a fifth language: judged by their own language's characters; without any reference the base
+    rules decide."""
+    import random
+    rng = random.Random(1)
+    words = ["che", "non", "della", "gatto", "sulla", "strada", "vento", "casa", "una", "bella", "luna", "nel", "mare"]
+    prose = lambda: " ".join(rng.choice(words) + str(rng.randrange(9)) * (rng.random() < 0.02) for _ in range(120)) + "."
+    junk = lambda: " ".join(rng.choice("#$%&*|<>") * 3 + str(rng.randrange(10 ** 6)) for _ in range(120))
+    rows = [(i, prose(), "it") for i in range(90)] + [(100 + i, junk(), "it") for i in range(2)] + \
+        [(200, prose(), "xx"), (201, "too short", "xx"), (300, junk(), None), (400, "troppo corto", "qq"), (401, None, "it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    from recsmith.llm import quality_rules
+    got = {r["doc_id"]: r for r in quality_rules.judge(quality_rules.measure(df)).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["kept"] for i in range(90)) and not any(got[100 + i]["kept"] for i in range(2))
+    assert got[0]["nearest_lang"] is None and got[0]["char_distance"] < 0.1 and got[0]["word_distance"] is None
+    assert got[200]["kept"] and not got[201]["kept"] and not got[400]["kept"] and not got[401]["kept"]
+    # beside reference languages the verdict of the others stays
+    some = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    alone = {r["doc_id"]: r["kept"] for r in quality_rules.judge(quality_rules.measure(some)).collect()}
+    both = some.unionByName(df.withColumn("doc_id", F.col("doc_id") + 10 ** 6))
+    with_others = {r["doc_id"]: r["kept"] for r in quality_rules.judge(quality_rules.measure(both)).collect()}
+    assert all(with_others[i] == kept for i, kept in alone.items())
+    assert all(with_others[10 ** 6 + i] for i in range(90))
