@@ -11,7 +11,8 @@ cuts the text.  Counts of short pre-tokens are kept in a bounded table per Pytho
 
 Defined results: a null or empty text has no bytes and no tokens; repeated rows are counted
 each on their own; an empty table gives no rows; an input column named like an output column is
-replaced.
+replaced.  A very long text takes time linear in its length, times the logarithm of its longest
+pre-token.
 """
 
 from __future__ import annotations

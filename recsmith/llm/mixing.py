@@ -18,7 +18,9 @@ word, and its copies follow its rate; without labelled rows the posterior is uni
 domain without any expected tokens cannot be matched and is left out of the fit (so is one whose
 target is missing); repeated rows are mixed each on their own (their copies differ only if their
 columns do); an empty table gives no rows; repeated labels of one id count once; input columns
-named like an output column are replaced.
+named like an output column are replaced.  A very long text is read whole, in time linear in its length.
+Copies are drawn per document, so their totals scatter around the expected ones, the more the fewer
+documents carry a domain.
 """
 
 from __future__ import annotations

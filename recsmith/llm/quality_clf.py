@@ -12,7 +12,8 @@ Defined results: a null or empty text has no features, its score is the model's
 without a usable label (0 or 1) or id are not learned from; without rows of both classes every
 score is the share of label 1 (0.5 if there are no labels).  Repeated rows are scored alike;
 repeated labels of one id count once (the largest); an empty table gives no rows; an input
-column named like an output column is replaced.
+column named like an output column is replaced.  A very long text is scored whole, in time
+linear in its length.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Defined results: a null or empty text (and one of white space only) has fingerpr
 links like any other; fewer than three words: the whole word sequence is the only shingle.
 Rows with equal texts share a fingerprint and so a component.  A null doc_id takes part; the
 component id is the smallest doc_id that is not null (null if there is none).  An empty table
-gives no rows.  Input columns named like an output column are replaced.
+gives no rows.  Input columns named like an output column are replaced.  A very long text is
+hashed whole, in time linear in its length.
 """
 
 from __future__ import annotations
@@ -150,14 +151,14 @@ def walk(value: np.ndarray, alo, ahi, blo, bhi, err, same, depth, max_bits: int)
 
     ``depth``: the level at which each pair enters; at a level, each node splits where its
     leaves' bit turns from 0 to 1.  A pair whose bits differ costs one error, and pairs over the
-    budget are dropped.  Pairs of few leaves are compared directly.  Returns linked positions."""
+    budget are dropped.  Two single leaves are compared at once.  Returns linked positions."""
     found_i, found_j = [], []
     cur = [np.empty(0, np.int64)] * 5 + [np.empty(0, bool)]
     for level in range(int(depth.min()) if len(depth) else 64, 65):
         enter = depth == level
         cur = [np.concatenate([c, x[enter]]) for c, x in zip(cur, (alo, ahi, blo, bhi, err, same))]
         a0, a1, b0, b1, e, s = cur
-        small = (a1 - a0) * (b1 - b0) <= 64
+        small = (a1 - a0) * (b1 - b0) == 1
         if level == 64:
             small[:] = True
         if small.any():
