@@ -32,7 +32,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    from recsmith.session import build_session
+    from recsmith.session import build_session, remove_stage_tables
     from recsmith import catalog
     from recsmith.sources.views import Tables
 
@@ -55,6 +55,7 @@ def main():
     out = {"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": sf, "cpus": int(cpus)}
     print(json.dumps(out))
+    remove_stage_tables(spark)
     spark.stop()
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from recsmith.llm import mixing, packing, pii, quality_rules, simhash
 from recsmith.llm.common import read_table
-from recsmith.session import materialise
+from recsmith.session import materialise, stage_scope
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -75,8 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialise(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        with stage_scope(spark):  # a stage's own tables go once its result is written
+            docs = materialise(stage(spark, docs, sf_dir), outer=True)
+    return STAGES[-1][1](spark, docs, sf_dir)

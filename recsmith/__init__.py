@@ -6,7 +6,6 @@ sources/    readers for the text layouts, sinks, and the test-table views
 functions/  column expressions: packed-list parsing, scoring, boosts
 operators/  DataFrame -> DataFrame building blocks (filters, recall, caps, re-rank)
 plans/      the four end-to-end jobs (conversion report, three recall routes)
-streaming/  incremental variant of the conversion report
 """
 
 from recsmith.session import build_session, checkpoint_dir  # noqa: F401

@@ -169,12 +169,6 @@ def freshness_b(score: Column, new_song_weight: Column, pub: Column) -> Column:
                   score * ratio * new_song_weight * P.FRESH_RATIO_MULT).otherwise(score)
 
 
-def as_of_ts(as_of) -> Column:
-    """``as_of`` as a zone-free timestamp literal (the event columns are TIMESTAMP_NTZ),
-    so thresholds do not move with the session time zone."""
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-
-
 def as_of_date(as_of) -> Column:
     return F.lit(as_of.strftime("%Y-%m-%d")).cast("date")
 

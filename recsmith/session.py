@@ -100,11 +100,12 @@ def stage_scope(spark: SparkSession):
     (outside the scope) by then."""
     name = uuid.uuid4().hex
     _SCOPES.append(name)
+    root = "/".join([_table_root(spark), *_SCOPES])
     try:
         yield
     finally:
         _SCOPES.remove(name)
-        fs, path = file_system(spark, f"{_table_root(spark)}/{name}")
+        fs, path = file_system(spark, root)
         fs.delete(path, True)
 
 
@@ -129,7 +130,7 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def materialise(df, by: str | None = None):
+def materialise(df, by: str | None = None, outer: bool = False):
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder
     (``spark.checkpoint.dir``) and reading it back; never a local checkpoint.
 
@@ -141,10 +142,11 @@ def materialise(df, by: str | None = None):
 
     ``by`` names a column that the table is bucketed by (one file per bucket, as many buckets as
     shuffle partitions): later joins, aggregates and windows on it plan no exchange.  Only for
-    tables whose rows per value are bounded."""
+    tables whose rows per value are bounded.  ``outer``: the table belongs to the scope around
+    the innermost one (see ``stage_scope``)."""
     spark = df.sparkSession
     name = uuid.uuid4().hex
-    path = "/".join([_table_root(spark), *_SCOPES, name])
+    path = "/".join([_table_root(spark), *(_SCOPES[:-1] if outer else _SCOPES), name])
     if by is not None:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         table = STAGE_TABLE + name

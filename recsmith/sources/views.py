@@ -363,8 +363,3 @@ class Tables:
         return self._parts(F.col("p_partkey").alias("item"),
                            (F.col("p_retailprice") / 100000.0).alias("money"),
                            (F.col("p_size") / 10000.0).alias("click"))
-
-
-def weights_col(values) -> "F.Column":
-    """Weight vector as a literal array column (a few hundred doubles)."""
-    return F.array(*[F.lit(float(v)) for v in values])
