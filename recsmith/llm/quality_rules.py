@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.llm.common import add_columns, row_udf, strings, structs
+from recsmith.session import materialise
 
 # Function words of the reference languages.
 COMMON_WORDS = {
@@ -39,6 +40,8 @@ MIN_WORDS = 50            # base rule
 REPEAT_PERCENT = 50       # base rule
 MAX_CHAR_DISTANCE = 0.25  # Jensen-Shannon distance of character classes
 MAX_WORD_DISTANCE = 0.32  # Jensen-Shannon distance of common words
+BROADCAST_LANGUAGES = 10_000  # references that are broadcast (a megabyte), at most
+SALTS = 64
 NOISE_BINS = 10           # bins that a short text spreads over: sets the length guard
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "letter", "other")
@@ -182,6 +185,21 @@ def own_references(measured: DataFrame, lang_col: str, languages: list[str]) ->
     return ok.groupBy(F.col(lang_col).alias("_own_lang")).agg(F.array(*sums).alias("_own_chars"))
 
 
+def _with_own(df: DataFrame, own: DataFrame, lang_col: str) -> DataFrame:
+    """``df`` with ``_own_chars`` of its language.  The references (eight numbers a language) are broadcast up to
+    ``BROADCAST_LANGUAGES`` of them; a table with more is joined with its rows salted, as a language may
+    hold most rows."""
+    n = own.count()
+    if n == 0:
+        return df.withColumn("_own_chars", F.lit(None).cast("array<long>"))
+    if n <= BROADCAST_LANGUAGES:
+        return df.join(F.broadcast(own), df[lang_col] == own["_own_lang"], "left").drop("_own_lang")
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    each = own.withColumn("_own_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    on = (salted[lang_col] == each["_own_lang"]) & (salted["_salt"] == each["_own_salt"])
+    return salted.join(each, on, "left").drop("_own_lang", "_own_salt", "_salt")
+
+
 def _distances(refs: dict, max_char: float, max_word: float):
     def fn(_, chars: pa.Array, words: pa.Array, foreign: pa.Array, own: pa.Array) -> pa.Array:
         n = len(chars)
@@ -229,8 +247,7 @@ def judge(measured: DataFrame, lang_col: str = "lang", languages: list[str] | No
     df = measured.withColumn("base_failed", base_failed())
     languages = languages or list(COMMON_WORDS)
     refs = references(df, lang_col, languages)
-    own = own_references(df, lang_col, languages)
-    df = df.join(own, df[lang_col] == own["_own_lang"], "left").drop("_own_lang")
+    df = _with_own(df, materialise(own_references(df, lang_col, languages)), lang_col)
     foreign = F.col(lang_col).isNotNull() & ~F.col(lang_col).isin(languages)
     fn = row_udf(_distances(refs, max_char_distance, max_word_distance),
                  "nearest_lang string, char_distance double, word_distance double, diverges boolean")

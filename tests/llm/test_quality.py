@@ -169,3 +169,12 @@ def test_language_without_reference_words(spark):
     with_others = {r["doc_id"]: r["kept"] for r in quality_rules.judge(quality_rules.measure(both)).collect()}
     assert all(with_others[i] == kept for i, kept in alone.items())
     assert all(with_others[10 ** 6 + i] for i in range(90))
+
+
+def test_many_languages_are_joined_salted(spark, monkeypatch):
+    rows = [(i, " ".join(["uno", "due", "tre", "sole", "mare"][(i + k) % 5] + str(k) for k in range(60)), f"l{i % 7}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = lambda: sorted((r["doc_id"], r["kept"], r["char_distance"]) for r in quality_rules.judge(quality_rules.measure(df)).collect())
+    want = judged()
+    monkeypatch.setattr(quality_rules, "BROADCAST_LANGUAGES", 1)
+    assert judged() == want and all(kept for _, kept, _ in want)
