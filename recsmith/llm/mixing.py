@@ -19,15 +19,22 @@ domain without any expected tokens cannot be matched and is left out of the fit
 target is missing); repeated rows are mixed each on their own (their copies differ only if their
 columns do); an empty table gives no rows; repeated labels of one id count once; input columns
 named like an output column are replaced.  A very long text is read whole, in time linear in its length.
-Copies are drawn per document, so their totals scatter around the expected ones, the more the fewer
-documents carry a domain.
+
+Copies are the whole part of the rate and one more for some documents.  Who gets one more is drawn
+in strata (leading domain, length, fraction of the rate): the strata of a domain, ordered by length,
+share out the expected number of further copies by running sums, and in a stratum the documents of
+smallest hash get them.  So the totals of a domain miss the expected ones by a few documents at most,
+however few carry it.  A stratum is counted in ``BINS`` slices of the hash, so counting needs no order of
+the rows and the strata are a small table of fixed size, whatever the number of documents.  Rows
+of one id share one hash and get the same number of copies if their columns are equal.  The fit
+ends when its misses stand still, or after ``ROUNDS``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.session import materialise
@@ -40,6 +47,9 @@ GRID = 500            # posterior steps of a cell
 ANCHOR = 1e-3         # weight of staying near rate 1
 ROUNDS = 60
 CUT_EVERY = 10        # rounds between two written cell tables
+BINS = 1024           # slices of a document's hash in which a stratum is counted
+LENGTHS = 60          # length levels of strata (half powers of two), at most
+FRACTIONS = 10        # levels of a rate's fraction
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
@@ -181,20 +191,58 @@ def rates(member: DataFrame, domains: list[str], targets: dict[str, float], budg
         if (i + 1) % CUT_EVERY == 0:
             cells = materialise(cells)
         now = totals(cells)
-    return cells.select("posterior", "rate")
+    return materialise(cells.select("posterior", "rate"))
+
+
+def strata(rated: DataFrame, id_col: str) -> DataFrame:
+    """``rated`` with ``_part`` (fraction of the rate), ``_draw`` (hash of the id, 0 to 1) and its stratum."""
+    lead = F.array_position("posterior", F.array_max("posterior")).cast("int")
+    level = F.least(F.floor(2 * F.log2(F.col("n_tokens") + 1.0)), F.lit(LENGTHS)).cast("int")
+    draw = F.pmod(F.xxhash64(F.lit("mix"), F.col(id_col)), F.lit(1 << 40)) / float(1 << 40)
+    out = rated.select("*", (F.col("rate") - F.floor("rate")).alias("_part"), draw.alias("_draw"), lead.alias("_lead"),
+                       level.alias("_level"))
+    return out.withColumn("_tenth", F.floor(F.col("_part") * FRACTIONS).cast("int"))
+
+
+STRATUM = ("_lead", "_level", "_tenth")
+
+
+def draw_limits(rows: DataFrame) -> DataFrame:
+    """``STRATUM`` and ``_limit``: documents of a stratum whose draw is below it get one copy more.
+
+    ``rows`` as ``strata`` gives them.  At most domains x (``LENGTHS`` + 1) x ``FRACTIONS`` rows come out."""
+    bins = (rows.filter("_part > 0").groupBy(*STRATUM, F.floor(F.col("_draw") * BINS).alias("_bin"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("_part").alias("_want")))
+    # the strata of a domain share out the expected copies by running sums, longest documents first
+    order = Window.partitionBy("_lead").orderBy(F.desc("_level"), "_tenth")
+    upto = F.sum("_want").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    wanted = bins.groupBy(*STRATUM).agg(F.sum("_want").alias("_want")).select(*STRATUM, "_want", upto.alias("_upto"))
+    share = wanted.select(*STRATUM, F.greatest(F.floor(F.col("_upto") + 0.5) - F.floor(F.col("_upto") - F.col("_want") + 0.5),
+                                               F.lit(0)).alias("_copies"))
+    held = F.sum("_n").over(Window.partitionBy(*STRATUM).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    ends = bins.select(*STRATUM, ((F.col("_bin") + 1) / float(BINS)).alias("_end"), held.alias("_held")).join(share, list(STRATUM))
+    best = ends.groupBy(*STRATUM).agg(F.max("_copies").alias("_copies"), F.min(
+        F.struct(F.abs(F.col("_held") - F.col("_copies")).alias("miss"), F.col("_end").alias("end"))).alias("_best"))
+    limit = F.when(F.col("_copies") <= F.col("_best.miss"), F.lit(0.0)).otherwise(F.col("_best.end"))
+    return best.select(*STRATUM, limit.alias("_limit"))
 
 
 def mix(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         domains: tuple[str, ...] = DOMAINS, targets: dict[str, float] = TARGETS,
         budget: float | None = None, keep_text: bool = True) -> DataFrame:
     """``df`` with n_tokens, posterior, rate and copies.  Copies: the whole part of the rate, and
-    one more where a hash of the id lies below the rest, so the expected copies are the rate."""
+    one more where a hash of the id lies below the limit of the document's stratum."""
     model = fit(df, labelled, id_col, text_col, domains)
     member = memberships(df, model, text_col)
     member = materialise(member if keep_text else member.drop(text_col))
     cell = rates(member, list(domains), targets, budget)
-    member = member.select(*[f"`{c}`" for c in member.columns if c.lower() not in ("rate", "copies")])
-    out = member.join(cell, cell_of(member["posterior"]) == cell["posterior"]).drop(cell["posterior"])
-    draw = F.pmod(F.xxhash64(F.lit("mix"), F.col(id_col)), F.lit(1_000_000)) / 1_000_000
-    whole = F.floor("rate")
-    return out.withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("long")).cast("long"))
+    taken = {"rate", "copies", "_part", "_draw", "_limit", *STRATUM}
+    member = member.select(*[f"`{c}`" for c in member.columns if c.lower() not in taken])
+    rated = member.join(cell, cell_of(member["posterior"]) == cell["posterior"]).drop(cell["posterior"])
+    drawn = strata(rated, id_col)
+    # a fixed number of strata bounds the broadcast
+    limits = F.broadcast(materialise(draw_limits(drawn.select("_part", "_draw", *STRATUM))))
+    out = drawn.join(limits, list(STRATUM), "left")
+    more = (F.col("_part") > 0) & (F.col("_draw") < F.coalesce("_limit", F.lit(0.0)))
+    kept = [f"`{c}`" for c in rated.columns]
+    return out.select(*kept, (F.floor("rate") + more.cast("long")).cast("long").alias("copies"))

@@ -100,3 +100,50 @@ def test_query_meets_each_target_by_exact_posteriors(spark):
     total = (p * np.array([r["n_tokens"] * r["rate"] for r in got])[:, None]).sum(axis=0)
     for share, want in zip(total / total.sum(), mixing.TARGETS.values()):
         assert share == pytest.approx(want, rel=0.05)
+
+
+def test_copies_equal_brute_force(spark):
+    """Limits of the strata against a plain loop over their documents in the order of their draws."""
+    rng = np.random.default_rng(11)
+    rows = [(i, int(t), rng.dirichlet([1.0, 0.5, 0.3]).tolist(), float(r))
+            for i, (t, r) in enumerate(zip(rng.integers(0, 4000, 700), rng.choice([0.0, 0.13, 0.5, 0.55, 0.997, 1.0, 2.31], 700)))]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, posterior array<double>, rate double")
+    drawn = materialise(mixing.strata(df, "doc_id"))
+    limit = {tuple(r[c] for c in mixing.STRATUM): r["_limit"] for r in mixing.draw_limits(drawn).collect()}
+    groups = {}
+    for r in drawn.collect():
+        assert r["_lead"] == int(np.argmax(r["posterior"])) + 1
+        if r["_part"] > 0:
+            groups.setdefault(tuple(r[c] for c in mixing.STRATUM), []).append((int(r["_draw"] * mixing.BINS), r["_part"], r["_draw"]))
+    assert set(limit) == set(groups)
+    for lead in (1, 2, 3):
+        run, total = 0.0, 0
+        for key in sorted((k for k in groups if k[0] == lead), key=lambda k: (-k[1], k[2])):
+            want = sum(x[1] for x in groups[key])
+            copies = int(np.floor(run + want + 0.5)) - int(np.floor(run + 0.5))
+            run, total = run + want, total + copies
+            bins = sorted(x[0] for x in groups[key])
+            ends = [(abs(copies), 0.0)] + [(abs(sum(b <= e for b in bins) - copies), (e + 1) / mixing.BINS) for e in bins]
+            assert limit[key] == pytest.approx(min(ends)[1], abs=1e-12)
+            # nobody is drawn beyond the shared slice of a limit
+            assert abs(sum(x[2] < limit[key] for x in groups[key]) - copies) <= max(bins.count(b) for b in bins)
+        assert abs(total - run) <= 0.5 + 1e-6
+
+
+def test_copies_meet_the_targets(spark):
+    """Tokens as copied, not as expected, within a tenth of each target on a table of 10,000 documents."""
+    got = queries.QUERIES["op10_mixing"](spark, "/root/testdata/sf0.1").collect()
+    p = np.array([[r[f"p_{d}"] for d in mixing.DOMAINS] for r in got])
+    total = (p * np.array([r["n_tokens"] * r["copies"] for r in got], float)[:, None]).sum(axis=0)
+    for share, want in zip(total / total.sum(), mixing.TARGETS.values()):
+        assert share == pytest.approx(want, rel=0.1)
+
+
+def test_one_hot_id(spark):
+    """A third of all rows of one id: equal rows, equal copies; the other documents keep their rates."""
+    rows = [(7 if i % 3 == 0 else 1000 + i, "ordinary words of some text " * 8 + (f"word{i}" if i % 3 else "")) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1001, "good"), (1004, "poor"), (1007, "toxic")], "doc_id long, domain string")
+    out = mixing.mix(df, labels).collect()
+    assert len(out) == 300 and len({r["copies"] for r in out if r["doc_id"] == 7}) == 1
+    assert all(abs(r["copies"] - r["rate"]) < 1 for r in out)
