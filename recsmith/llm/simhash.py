@@ -39,8 +39,8 @@ from recsmith.session import materialise
 SHINGLE = 3       # words
 MAX_BITS = 2      # differing bits of a link
 SEED = 42
-NODE_LIMIT = 1024  # leaves that one task walks as one node
-STRIDE = 6        # bits of one DataFrame step below a hot node
+NODE_LIMIT = 8192  # leaves that one task walks as one node: some 380,000 node pairs at a level, 62 MB
+STRIDE = 4        # bits of one DataFrame step below a hot node: a leaf goes to 11 node pairs at most
 WALK_LIMIT = 1 << 22  # node pairs held at once in a task
 
 
@@ -277,13 +277,16 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, node_limit: int = NODE_LIMIT
     rows, small = _roots(fps, max_bits), []
     while True:
         rows = materialise(rows)
-        hot = (rows.groupBy(*NODE).agg(F.count("*").alias("n")).filter(F.col("n") > node_limit)
-               .filter(F.col("depth") <= 64 - STRIDE).select(*NODE))
-        hot = materialise(hot)
-        if hot.isEmpty():
+        sides = [F.count_if(F.col("side") != 2).alias("na"), F.count_if(F.col("side") != 1).alias("nb")]
+        large = (rows.groupBy(*NODE).agg(F.count("*").alias("n"), *sides).filter(F.col("n") > node_limit)
+                 .filter(F.col("depth") <= 64 - STRIDE))
+        large = materialise(large)
+        if large.isEmpty():
             small.append(rows)
             break
-        small.append(rows.join(hot, NODE, "left_anti"))
+        small.append(rows.join(large, NODE, "left_anti"))
+        # a pair with leaves on one side only has no links
+        hot = large.filter("na > 0 AND nb > 0").select(*NODE)
         rows = _descend(rows.join(hot, NODE, "left_semi"), max_bits)
     pairs = small[0]
     for more in small[1:]:

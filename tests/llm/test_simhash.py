@@ -75,6 +75,15 @@ def test_hot_nodes_are_walked_further(spark):
     check_components(spark, sorted(near) + clustered(50, rng), 8)
 
 
+def test_large_pairs_with_one_empty_side(spark):
+    """Leaves crowded below one node: most of its neighbour nodes are empty, and links across a
+    step's border are found all the same."""
+    rng = np.random.default_rng(4)
+    crowd = {0xABCDE << 44 | int(x) for x in rng.integers(0, 1 << 12, 250)}
+    across = {v ^ 1 << 42 for v in list(crowd)[:5]} | {v ^ 3 << 30 for v in list(crowd)[5:9]} | {v ^ 7 << 30 for v in list(crowd)[9:12]}
+    check_components(spark, sorted(crowd | across), 16)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = simhash.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
