@@ -3,8 +3,8 @@ age / seen / history / blocklist gates -> 30 per tag -> sum-merge -> freshness
 and impression penalty -> per-reason and total caps -> arm-specific LR ->
 adaptive quota interleave).
 
-The user-independent blocklist (size-checked) is broadcast; every other step
-is keyed by user (tag expansion is joined on tag, AQE splits hot tags).
+Items that no user may get leave the lists first; the tag expansion is joined on (tag, variant, block),
+and the steps after the caps are keyed by user.  Join strategies are left to the planner and AQE.
 """
 
 from __future__ import annotations
