@@ -15,7 +15,11 @@ has fewer words.  A document word inside any occurrence of a window is hit.
   only means that more of them reach the join.
 * Extension: a hit is widened to all windows of the document that kept this fingerprint, and
   these are joined, as words, with the benchmark's distinct windows.  Pairs exist only for equal
-  windows, so a phrase that many items and many documents hold never multiplies.
+  windows.
+* Items: windows that the same items have are one kind, and the documents that hold the same kinds
+  are one class.  Items are looked up once per class, so a phrase of many items that many documents
+  repeat makes one list of them, not one for each document.  Kinds and classes are known by exclusive
+  ors of 128-bit hashes.
 
 Words are cut and hashed by numpy over whole chunks of texts; a long text is worked off in
 segments of ``CHUNK`` bytes that overlap by one window less a word, so memory depends on the
@@ -48,6 +52,7 @@ LONG_WORD = 64       # bytes; longer words are hashed one by one
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 27  # of the bitmap of fingerprints
 BITS_EACH = 64       # bits per benchmark fingerprint, within these bounds
 BUCKET = 32768       # bits of one row of bitmap_construct_agg
+_SALT = "items"      # of the second half of a hash
 
 # A-Z become a-z; bytes outside words become zero.  Bytes from 0x80 on are parts of non-ASCII characters.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 0 for b in range(256))
@@ -277,6 +282,24 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     return train.filter("fp is null").select("row", "id", "n_words"), places.select("row", "start", "length", "span"), spans
 
 
+def _set_hash(*members: str) -> list[Column]:
+    """Aggregates ``a`` and ``b``: the 128-bit hash of a group's distinct rows of ``members``."""
+    return [F.bit_xor(F.xxhash64(*members)).alias("a"), F.bit_xor(F.xxhash64(F.lit(_SALT), *members)).alias("b")]
+
+
+def items_by_class(places: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents: row, a, b; classes: a, b, n_items, items): the class of each document row that has
+    occurrences, and the items of a class, sorted as strings, comma-joined."""
+    kind_of = materialise(spans.groupBy("span").agg(*_set_hash("item")).select("span", F.struct("a", "b").alias("kind")))
+    one = kind_of.groupBy("kind").agg(F.min("span").alias("span"))  # any window of a kind has its items
+    held = materialise(places.select("row", "span").distinct().join(kind_of, "span").select("row", "kind").distinct())
+    of = materialise(held.groupBy("row").agg(*_set_hash("kind")))
+    kinds = of.groupBy("a", "b").agg(F.min("row").alias("row")).join(held, "row").select("a", "b", "kind")
+    items = kinds.join(one, "kind").join(spans, "span").select("a", "b", "item").distinct()
+    lists = items.groupBy("a", "b").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
+    return of, lists.select("a", "b", "n_items", F.array_join("items", ",").alias("items"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   gram: int = GRAM) -> DataFrame:
@@ -290,11 +313,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     covered = (places.select("row", "start", end.alias("end")).distinct()
                .withColumn("n", F.greatest(F.col("end") - F.greatest("start", before), F.lit(0)))
                .groupBy("row").agg(F.sum("n").alias("n_hit")))
-    held = places.select("row", "span").distinct().join(spans, "span").select("row", "item").distinct()
-    named = held.groupBy("row").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
+    of, lists = items_by_class(places, spans)
+    hashed = lists.select("a", "b", "n_items", F.sha2(F.col("items").cast("binary"), 256).alias("items_sha256"))
+    named = of.join(hashed, ["a", "b"]).select("row", "n_items", "items_sha256")
     out = rows.join(covered, "row", "left").join(named, "row", "left")
-    joined = F.coalesce(F.array_join("items", ","), F.lit(""))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"),
                       F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
-                      F.sha2(joined.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+                      F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
+                      (n_hit > 0).alias("contaminated"))

@@ -109,3 +109,16 @@ def test_sparse_and_full_bitmaps_agree(spark, monkeypatch):
     monkeypatch.setattr(D, "MAX_BITS", D.BUCKET)
     monkeypatch.setattr(D, "MIN_BITS", D.BUCKET)
     assert run(spark, docs, items) == want
+
+
+def test_common_phrase_is_resolved_once(spark):
+    """One phrase of all items in all documents: one class and one list of items, and one more for the
+    documents that hold another window as well."""
+    phrase = " ".join(f"p{i}" for i in range(12))
+    items = [(i, f"own{i} {phrase}" if i else f"{phrase} then " + " ".join(f"w{j}" for j in range(10))) for i in range(40)]
+    docs = [(i, f"x{i} {phrase} y{i}" + (" " + items[0][1] if i % 3 == 0 else "")) for i in range(300)]
+    assert run(spark, docs, items) == brute(docs, items)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    _, places, spans = D.occurrences(d, b)
+    of, lists = D.items_by_class(places, spans)
+    assert of.count() == 300 and sorted(r.n_items for r in lists.collect()) == [40, 40]
