@@ -21,14 +21,19 @@ from recsmith.operators.keyed import keyed_load
 BLOCK = 32  # list positions of one block of the bounded expansion
 HEAVY_ROWS = 100_000  # rows of a key that a plain window takes at any rate
 SKETCH_ITEMS = 16  # items that the frequency sketch tracks for each key it may name
+MOST_TRACKED = 1_000_000  # items that Spark's sketch tracks at most (fixed value of approx_top_k)
 
 
 def heavy_keys(df: DataFrame, part: list[str], floor: int | None = None) -> list[int]:
     """Hashes of the keys that hold more rows than a partition holds on average (and than ``floor``):
-    at most as many as there are shuffle partitions, found by a frequency sketch in one pass."""
+    at most as many as there are shuffle partitions, found by a frequency sketch in one pass.
+
+    With over ``MOST_TRACKED`` / ``SKETCH_ITEMS`` shuffle partitions the sketch names that many keys;
+    one that it leaves out is then lighter than all of them."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64(*part)
-    sketch = F.call_function("approx_top_k", key, F.lit(n), F.lit(SKETCH_ITEMS * n))
+    named = min(n, MOST_TRACKED // SKETCH_ITEMS)
+    sketch = F.call_function("approx_top_k", key, F.lit(named), F.lit(SKETCH_ITEMS * named))
     top, rows = df.agg(sketch, F.count(F.lit(1))).first()
     least = max(HEAVY_ROWS if floor is None else floor, (rows or 0) // n)
     return [x["item"] for x in top or [] if x["count"] > least]

@@ -141,14 +141,14 @@ def materialise(df, by: str | None = None, outer: bool = False):
     under ``tables/<application id>/`` so the run's scratch can be removed as a whole.
 
     ``by`` names a column that the table is bucketed by (one file per bucket, as many buckets as
-    shuffle partitions): later joins, aggregates and windows on it plan no exchange.  Only for
+    shuffle partitions, within ``spark.sql.sources.bucketing.maxBuckets``): later joins, aggregates and windows on it plan no exchange.  Only for
     tables whose rows per value are bounded.  ``outer``: the table belongs to the scope around
     the innermost one (see ``stage_scope``)."""
     spark = df.sparkSession
     name = uuid.uuid4().hex
     path = "/".join([_table_root(spark), *(_SCOPES[:-1] if outer else _SCOPES), name])
     if by is not None:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = min(int(spark.conf.get(f"spark.sql.{c}")) for c in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
         table = STAGE_TABLE + name
         (df.repartition(n, by).write.bucketBy(n, by).format("parquet").option("path", path).saveAsTable(table))
         return spark.table(table)

@@ -199,6 +199,23 @@ def test_heavy_keys_and_their_rank(spark, monkeypatch):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_heavy_keys_at_many_partitions(spark, monkeypatch):
+    """More shuffle partitions than the sketch can name keys, or than a table may have buckets."""
+    df = spark.range(6000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("user"))
+    monkeypatch.setattr(C, "HEAVY_ROWS", 100)
+    changed = {"spark.sql.shuffle.partitions": "200000", "spark.sql.sources.bucketing.maxBuckets": "4"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        assert len(C.heavy_keys(df, ["user"])) == 1
+        table = session.materialise(df, by="user")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert table.count() == 6000 and len(table.inputFiles()) == 4
+
+
 # ---------------------------------------------------------------- plans of the routes
 
 
