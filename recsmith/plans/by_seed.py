@@ -23,11 +23,11 @@ from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
 from recsmith.operators.keyed import keyed_load
-from recsmith.session import Stages, materialise
+from recsmith.session import LazyInputs, Stages, materialise
 
 
 @dataclass
-class SeedInputs:
+class SeedInputs(LazyInputs):
     active: DataFrame        # user, last_ts
     user_seed: DataFrame     # user, seed, score
     seed_item: DataFrame     # seed, item, sim, pos
@@ -66,13 +66,12 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         listed = FL.only_active(inp.user_seed, users).join(with_list, "seed", "left_semi")  # others never count
         return C.seed_rank(listed).select("user", "seed", F.col("score").alias("seed_score"), "i", "n_seeds")
 
-    def eligible(st):
-        us, excl = st["us"], st["excl"]
-        used = inp.seed_item.select("seed", "item", "sim", "pos").join(us.select("seed").distinct(), "seed", "left_semi")
-        lists = C.renumber(used, "seed", gated=inp.gated)
-        cap = F.when(F.col("n_seeds") >= many_at, F.lit(caps[1])).otherwise(F.lit(caps[0]))
-        exp = C.bounded_expansion(us, lists, "seed", cap, excl, members=inp.segment)
-        return FL.exclude_pairs(exp, excl)
+    def cap_eligible(st):
+        us, lists = st["us"], inp.seed_item.select("seed", "item", "sim", "pos")
+        used = lists.join(us.select("seed").distinct(), "seed", "left_semi")
+        numbered = C.renumber(used, "seed", gated=inp.gated, sized=lists)
+        capped = C.capped_expansion(us, numbered, "seed", caps, st["excl"], many_at, members=inp.segment)
+        return materialise(capped, by="user")  # the budget reads it twice
 
     def merge(st):
         vis = st["visited"].withColumnRenamed("score", "_vis")
@@ -85,8 +84,7 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         visited=lambda st: keyed_load(inp.visited.select("user", "item", "score", *FL.position(inp.visited)), "user", "item"),
         excl=lambda st: FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                                            FL.impression_window(inp.impressions, as_of, window[0], window[1])),
-        elig=eligible,
-        capped=lambda st: materialise(C.per_seed_cap(st["elig"], caps[0], caps[1], many_at), by="user"),  # the budget reads it twice
+        capped=cap_eligible,
         cut=lambda st: C.budget_cut(st["capped"], budget),
         kept=lambda st: C.seed_budget(st["capped"], budget, st["cut"]),
         merged=merge,

@@ -22,11 +22,11 @@ from recsmith.operators import filters as FL
 from recsmith.operators import recall as RC
 from recsmith.operators import rerank as RR
 from recsmith.operators.keyed import keyed_load
-from recsmith.session import Stages, materialise
+from recsmith.session import LazyInputs, Stages, materialise
 
 
 @dataclass
-class TagInputs:
+class TagInputs(LazyInputs):
     active: DataFrame           # user, last_ts
     user_tag: DataFrame         # user, tag, pref, pos
     tag_item: DataFrame         # tag, item, quality, pos
@@ -55,9 +55,9 @@ def damped_tags(inp: TagInputs, users: DataFrame) -> DataFrame:
     return j.withColumn("pref", pref).drop("_h")
 
 
-def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
+def capped_rows(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                   tag_cap: int = P.TAG_CAP_P3) -> DataFrame:
-    """Eligible (user, tag, pref, tag_pos, item, quality, item_pos) rows.
+    """Eligible (user, tag, pref, tag_pos, item, quality, item_pos) rows within the cap per tag.
 
     User-independent gates (quality, blocklist) are applied to the tag lists first;
     the user x tag expansion is then pruned exactly to the first cap + E positions
@@ -74,12 +74,10 @@ def eligible_rows(inp: TagInputs, as_of, active_days: int, window, max_impress:
     good = FL.exclude_items(q.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
     q = q.select("item", "create_days")
     used = inp.tag_item.select("tag", "item", "quality", "pos").join(ut.select("tag").distinct(), "tag", "left_semi")
-    lists = C.renumber(used.join(q, "item"), "tag", keep=good, limits=inp.user_max_age)
+    lists = C.renumber(used.join(q, "item"), "tag", keep=good, limits=inp.user_max_age, sized=inp.tag_item.select("tag"))
     u = ut.select("user", "tag", "pref", F.col("pos").alias("tag_pos"))
-    exp = C.bounded_expansion(u, lists, "tag", F.lit(tag_cap), excl,
-                              limits=inp.user_max_age).withColumnRenamed("pos", "item_pos")
-    aged = FL.user_age_limit(exp, inp.user_max_age)  # FLT-17
-    return FL.exclude_pairs(aged, excl)
+    capped = C.capped_expansion(u, lists, "tag", (tag_cap,), excl, group="tag", limits=inp.user_max_age)  # FLT-17
+    return capped.withColumnRenamed("pos", "item_pos")
 
 
 def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
@@ -91,12 +89,12 @@ def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int
 def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                      tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> dict:
     def cap(_):
-        elig = eligible_rows(inp, as_of, active_days, window, max_impress, tag_cap)
-        return materialise(C.per_seed_cap(elig, tag_cap, group=("user", "tag"), order=("item_pos",)))  # tags of a user have no bound
+        return materialise(capped_rows(inp, as_of, active_days, window, max_impress, tag_cap))  # tags of a user have no bound
 
     def merge(st):
-        rows = st["capped"].withColumn("score", F.col("pref") * F.col("quality"))
-        return C.merge_sum(rows).join(RC.reason_first_tag(st["capped"]), ["user", "item"])
+        # AGG-05 and AGG-07 in one pass over the rows
+        return (st["capped"].groupBy("user", "item")
+                .agg(S.fixed_sum(F.col("pref") * F.col("quality")).alias("score"), F.min_by("tag", "tag_pos").alias("src")))
 
     def freshened(st):
         prof = keyed_load(inp.profile.select("item", "avg_pub_time", *FL.position(inp.profile)), "item")
