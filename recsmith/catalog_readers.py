@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recsmith import params as P
 from recsmith.catalog import _p1_sql, r6, register
-from recsmith.catalog_ops import CHUNK, _halves, _lr_sql, _pairs
+from recsmith.catalog_ops import CHUNK, _halves, _lr_sql, _pair_features
 from recsmith import oracle_chains as OC
 from recsmith.functions import scoring as S
 from recsmith.operators import candidates as C
@@ -136,7 +136,7 @@ def q_read_weights(spark, d):
     spark.createDataFrame([(line,)], "value string").write.text(path)
     w = TX.read_weights(spark, path, P.WEIGHTS_LEN)
     t = Tables(spark, d)
-    x = _halves(_pairs(t).drop("zu", "zi", "n_bits"), t, w)
+    x = _halves(_pair_features(t), t, w)
     v = S.weights_lit(w)
     lr = S.lr_parts(F.col("zu"), F.col("zi"), v[_B] * F.col("rate"), v[_B + 1] * F.col("lan"), v[_B + 2] * F.col("style"))
     return x.select("user", "item", r6(lr).alias("lr"))
