@@ -30,6 +30,12 @@ def with_rate(cand: DataFrame, rate: DataFrame, default: float, src_col: str = "
     return j.withColumn("rate", F.coalesce("_rate", F.lit(default))).drop("_item", "_src", "_rate")
 
 
+def with_src_rate(cand: DataFrame, rate: DataFrame, default: float) -> DataFrame:
+    """JOIN-10 where the rate of a (item, src) is the same for every item that ``src`` recalls: (src, rate)."""
+    held = keyed_load(rate.select("src", "rate", *_position(rate)), "src")
+    return cand.join(held, "src", "left").withColumn("rate", F.coalesce("rate", F.lit(default)))
+
+
 def pair_list(aff: DataFrame, key: str, name: str) -> DataFrame:
     """One row per ``key`` with its (kind, tag, ratio) pairs in order, repeated ones included: a line of a
     few tags, as the input files hold them."""
