@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith import params as P
+from recsmith import session
 from recsmith.functions import scoring as S
 from recsmith.operators import candidates as C
 from recsmith.operators import features as X
@@ -55,7 +56,7 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
                      penalty_mode: str = "constant") -> Stages:
     """(user, item, score, src): merged recall scores after exclusions, caps and budget.
 
-    The expansion is pruned exactly (``bounded_expansion``) before the exclusions and
+    The expansion is pruned exactly (``headed_expansion``) before the exclusions and
     caps; the reason lookup reads whole lists, cut to the candidates where they are read.
     From the caps on a user has a bounded number of rows, and the stage tables are bucketed by
     user: budget, merge and reasons plan no further exchange of them.
@@ -69,8 +70,10 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
     def cap_eligible(st):
         us, lists = st["us"], inp.seed_item.select("seed", "item", "sim", "pos")
         used = lists.join(us.select("seed").distinct(), "seed", "left_semi")
-        numbered = C.renumber(used, "seed", gated=inp.gated, sized=lists)
-        capped = C.capped_expansion(us, numbered, "seed", caps, st["excl"], many_at, members=inp.segment)
+        gated = inp.gated.select("item").distinct().withColumn("_gated", F.lit(True))
+        used = used.join(gated, "item", "left").withColumn("_gated", F.coalesce("_gated", F.lit(False)))
+        placed = session.materialise(used, by=None if C.heavy_keys(lists, ["seed"]) else "seed")  # the steps on a list move none
+        capped = C.headed_expansion(us, [(F.lit(True), placed)], "seed", caps, st["excl"], inp.gated, inp.segment, many_at)
         return materialise(capped, by="user")  # the budget reads it twice
 
     def merge(st):
