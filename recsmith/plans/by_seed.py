@@ -74,7 +74,7 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         used = used.join(gated, "item", "left").withColumn("_gated", F.coalesce("_gated", F.lit(False)))
         placed = session.materialise(used, by=None if C.heavy_keys(lists, ["seed"]) else "seed")  # the steps on a list move none
         capped = C.headed_expansion(us, [(F.lit(True), placed)], "seed", caps, st["excl"], inp.gated, inp.segment, many_at)
-        return materialise(capped, by="user")  # the budget reads it twice
+        return materialise(capped.drop("seed_score", "n_seeds"), by="user")  # the budget reads it twice
 
     def merge(st):
         vis = st["visited"].withColumnRenamed("score", "_vis")
@@ -92,12 +92,12 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         kept=lambda st: C.seed_budget(st["capped"], budget, st["cut"]),
         merged=merge,
         src=lambda st: reason_over_recalled(st["merged"], st["us"], inp.seed_item, st["cut"]),
-        cand=lambda st: materialise(st["merged"].join(st["src"], ["user", "item"]), by="user"))
+        cand=lambda st: materialise(st["src"], by="user"))
 
 
 def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
                          cut: DataFrame | None = None) -> DataFrame:
-    """AGG-07 (P2) over all recalled rows: src = the seed with the highest seed score
+    """AGG-07 (P2) over all recalled rows: the candidates (user, item, score) with src = the seed with the highest seed score
     (then lowest id) whose list holds the item, i.e. the lowest seed rank ``i``.
 
     The lists are read once and cut to the users' candidates in the tasks that read them
@@ -109,8 +109,8 @@ def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
         # can never hold the lowest rank: drop them before reading their lists
         seeds = (seeds.join(cut, "user", "left")
                  .where(F.col("_cut").isNull() | (F.col("i") <= F.col("_cut"))).drop("_cut"))
-    recalled = RC.recalled_rows(seeds, seed_item.select("seed", "item"), "seed", merged)
-    return (recalled.groupBy("user", "item").agg(F.min_by("seed", "i").alias("src")))
+    recalled = RC.recalled_rows(seeds, seed_item.select("seed", "item"), "seed", merged, ["score"])
+    return recalled.groupBy("user", "item").agg(F.max("score").alias("score"), F.min_by("seed", "i").alias("src"))
 
 
 def score(cand: DataFrame, inp: SeedInputs, weights, item_width: int, divisor: int, remainder: int | None,
