@@ -3,8 +3,9 @@ age / seen / history / blocklist gates -> 30 per tag -> sum-merge -> freshness
 and impression penalty -> per-reason and total caps -> arm-specific LR ->
 adaptive quota interleave).
 
-Items that no user may get leave the lists first; the tag expansion is joined on (tag, variant, block),
-and the steps after the caps are keyed by user.  Join strategies are left to the planner and AQE.
+Items that no user may get leave the lists first, and the publishing time of an item comes to its list entries;
+the rows of users and tags are written by user, so that expansion, merge, freshness, caps and quota run where they
+lie if the heads of the lists can be broadcast.  Join strategies are left to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def damped_tags(inp: TagInputs, users: DataFrame) -> DataFrame:
 
 def capped_rows(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                   tag_cap: int = P.TAG_CAP_P3) -> DataFrame:
-    """Eligible (user, tag, pref, tag_pos, item, quality, item_pos) rows within the cap per tag.
+    """Eligible (user, tag, pref, tag_pos, item, quality, item_pos, avg_pub_time) rows within the cap per tag.
 
     User-independent gates (quality, blocklist) are applied to the tag lists first;
     the user x tag expansion is then pruned exactly to the first cap + E positions
@@ -74,9 +75,11 @@ def capped_rows(inp: TagInputs, as_of, active_days: int, window, max_impress: in
     good = FL.exclude_items(q.where(F.col("score") != 0).select("item"), blocked)  # FLT-13, FLT-12
     q = q.select("item", "create_days")
     used = inp.tag_item.select("tag", "item", "quality", "pos").join(ut.select("tag").distinct(), "tag", "left_semi")
-    lists = C.renumber(used.join(q, "item"), "tag", keep=good, limits=inp.user_max_age, sized=inp.tag_item.select("tag"))
+    prof = keyed_load(inp.profile.select("item", "avg_pub_time", *FL.position(inp.profile)), "item")
+    lists = C.renumber(used.join(q, "item").join(prof, "item", "left"), "tag", keep=good, limits=inp.user_max_age, sized=inp.tag_item.select("tag"))
     u = ut.select("user", "tag", "pref", F.col("pos").alias("tag_pos"))
-    capped = C.capped_expansion(u, lists, "tag", (tag_cap,), excl, group="tag", limits=inp.user_max_age)  # FLT-17
+    by = None if C.heavy_keys(inp.user_tag, ["user"]) else "user"  # tags of a user have no bound
+    capped = C.capped_expansion(u, lists, "tag", (tag_cap,), excl, group="tag", limits=inp.user_max_age, by=by)  # FLT-17
     return capped.withColumnRenamed("pos", "item_pos")
 
 
@@ -89,22 +92,24 @@ def candidates(inp: TagInputs, as_of, active_days: int, window, max_impress: int
 def candidate_stages(inp: TagInputs, as_of, active_days: int, window, max_impress: int,
                      tag_cap: int = P.TAG_CAP_P3, penalty_mode: str = "constant") -> dict:
     def cap(_):
-        return materialise(capped_rows(inp, as_of, active_days, window, max_impress, tag_cap))  # tags of a user have no bound
+        return capped_rows(inp, as_of, active_days, window, max_impress, tag_cap)
 
     def merge(st):
         # AGG-05 and AGG-07 in one pass over the rows
         return (st["capped"].groupBy("user", "item")
-                .agg(S.fixed_sum(F.col("pref") * F.col("quality")).alias("score"), F.min_by("tag", "tag_pos").alias("src")))
+                .agg(S.fixed_sum(F.col("pref") * F.col("quality")).alias("score"), F.min_by("tag", "tag_pos").alias("src"),
+                     F.max("avg_pub_time").alias("avg_pub_time")))  # the item's
 
     def freshened(st):
-        prof = keyed_load(inp.profile.select("item", "avg_pub_time", *FL.position(inp.profile)), "item")
         nsw = keyed_load(inp.new_song_weight.select("user", "new_song_weight", *FL.position(inp.new_song_weight)), "user")
-        vis = keyed_load(inp.visited.select("user", "item", F.col("score").alias("_vis"), *FL.position(inp.visited)), "user", "item")
-        x = st["merged"].join(prof, "item", "left").join(nsw, "user", "left").join(vis, ["user", "item"], "left")
+        seen = FL.only_active(inp.visited, FL.active_users(inp.active, as_of, active_days))
+        vis = keyed_load(seen.select("user", "item", F.col("score").alias("_vis"), *FL.position(seen)), "user", "item")
+        vis = vis.where((F.col("_vis") < 1) & (F.col("_vis") > -max_impress))  # others were excluded
+        x = C.with_marks(st["merged"].join(nsw, "user", "left"), vis, "_vis")
         age = S.age_days(P.epoch(as_of), F.col("avg_pub_time"))
         fresh = S.freshness_a(F.col("score"), F.coalesce("new_song_weight", F.lit(0.0)), age)
         x = x.withColumn("score", S.impression_penalty(fresh, F.col("_vis"), penalty_mode))
-        return materialise(x.select("user", "item", "score", "src"))
+        return x.select("user", "item", "score", "src")
 
     return Stages(capped=cap, merged=merge, cand=freshened)
 
