@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from recsmith import params as P
 from recsmith.functions.scoring import FIXED_SCALE, dot, fixed, weights_lit
+from recsmith.operators.candidates import with_marks
 from recsmith.operators.filters import affinity_threshold
 from recsmith.operators.filters import position as _position
 from recsmith.operators.keyed import keyed_load
@@ -30,10 +31,13 @@ def with_rate(cand: DataFrame, rate: DataFrame, default: float, src_col: str = "
     return j.withColumn("rate", F.coalesce("_rate", F.lit(default))).drop("_item", "_src", "_rate")
 
 
-def with_src_rate(cand: DataFrame, rate: DataFrame, default: float) -> DataFrame:
-    """JOIN-10 where the rate of a (item, src) is the same for every item that ``src`` recalls: (src, rate)."""
+def with_src_rate(cand: DataFrame, rate: DataFrame, default: float, users: DataFrame | None = None) -> DataFrame:
+    """JOIN-10 where the rate of a (item, src) is the same for every item that ``src`` recalls: (src, rate).
+
+    The rates come to each user's few reasons (those of ``users``, a table of the same users and reasons), not to the candidates."""
     held = keyed_load(rate.select("src", "rate", *_position(rate)), "src")
-    return cand.join(held, "src", "left").withColumn("rate", F.coalesce("rate", F.lit(default)))
+    own = (cand if users is None else users).select("user", "src").distinct().join(held, "src")
+    return with_marks(cand, own, "rate", "src").withColumn("rate", F.coalesce("rate", F.lit(default)))
 
 
 def pair_list(aff: DataFrame, key: str, name: str) -> DataFrame:
@@ -59,7 +63,7 @@ def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame, ign
     lists = pair_list(held, "item", "_l").select(
         "item", F.transform("_l", lambda x: F.struct(x["kind"].alias("kind"), x["tag"].alias("tag"))).alias("_tags"),
         F.transform("_l", lambda x: x["ratio"]).alias("_ratios"))
-    j = cand.join(own, "user", "left").join(lists, "item", "left")
+    j = cand.join(lists, "item", "left").join(own, "user", "left")  # the longer lists of the users are not moved by item
 
     def total(kind: str) -> Column:
         def add(units: Column, pair: Column) -> Column:
