@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith import params as P
-from recsmith.functions.scoring import FIXED_SCALE, dot, fixed, weights_lit
+from recsmith.functions.scoring import FIXED_SCALE, WHOLE_BELOW, dot, fixed, weights_lit, whole_units
 from recsmith.operators.candidates import with_marks
 from recsmith.operators.filters import affinity_threshold
 from recsmith.operators.filters import position as _position
 from recsmith.operators.keyed import keyed_load
 
+AFFINITY_KINDS = ("lan", "style")
+
 
 def with_rate(cand: DataFrame, rate: DataFrame, default: float, src_col: str = "src") -> DataFrame:
     """JOIN-10: promoted rate of (item, src) with a default."""
@@ -47,6 +49,21 @@ def pair_list(aff: DataFrame, key: str, name: str) -> DataFrame:
     return aff.groupBy(key).agg(pairs.alias(name))
 
 
+def _tag_key(tag: Column) -> Column:
+    """A tag as a map key: the null tag is a tag of its own."""
+    return F.coalesce(F.concat(F.lit("="), tag), F.lit(""))
+
+
+def tag_maps(aff: DataFrame, key: str, name: str, kinds=AFFINITY_KINDS) -> DataFrame:
+    """One row per ``key``: for each kind a map from the tag (``_tag_key``) to its ratios, repeated ones included
+    (``<name>_<kind>``), and of these kinds the pairs (``<name>_n``), the largest size of a ratio (``<name>_top``) and whether no
+    tag is repeated (``<name>_once``)."""
+    pairs = aff.where(F.col("kind").isin(*kinds)).groupBy(key, "kind", "tag").agg(F.collect_list("ratio").alias("_r"))
+    pairs = pairs.withColumns({"_k": _tag_key(F.col("tag")), "_s": F.size("_r"), "_t": F.array_max(F.transform("_r", lambda r: F.abs(r.cast("double"))))})
+    held = [F.map_from_entries(F.collect_list(F.when(F.col("kind") == k, F.struct("_k", "_r")))).alias(f"{name}_{k}") for k in kinds]
+    return pairs.groupBy(key).agg(*held, F.sum("_s").alias(f"{name}_n"), F.max("_t").alias(f"{name}_top"), (F.max("_s") <= 1).alias(f"{name}_once"))
+
+
 def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame, ignored=P.AFFINITY_IGNORED,
                   repeats: str = "add") -> DataFrame:
     """JOIN-11: ``lan`` and ``style``: the sum over the user's pairs of user ratio x the item's ratio of the
@@ -54,26 +71,50 @@ def with_affinity(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame, ign
 
     A tag that the user's lines hold twice counts twice (``repeats="last"``: its last ratio only, as
     the tag route reads it); of an item's repeated tag the last ratio is in force.  Two lookups
-    (the user's list, the item's list) and a merge of the two inside the row; the sum runs over whole
-    units, so it does not depend on the order of the pairs."""
+    (the user's map, the item's list) and, inside the row, a look into the map for each of the item's few tags; the sum runs over
+    whole units, so it does not depend on the order of the pairs."""
+    return with_user_affinity(with_item_tags(cand, item_aff), user_aff, ignored, repeats)
+
+
+def item_tags(item_aff: DataFrame) -> DataFrame:
+    """(item, _i_<kind> for each kind, _i_top): an item's tags of a kind, as map keys with the ratio in force, and the largest size of its ratios."""
+    held = keyed_load(item_aff.select("item", "kind", "tag", "ratio", *_position(item_aff)), "item", "kind", "tag")
+    pair = F.struct(_tag_key(F.col("tag")).alias("k"), F.col("ratio").alias("r"))
+    return held.groupBy("item").agg(*[F.collect_list(F.when(F.col("kind") == k, pair)).alias(f"_i_{k}") for k in AFFINITY_KINDS],
+                                    F.max(F.abs(F.col("ratio").cast("double"))).alias("_i_top"))
+
+
+def with_item_tags(cand: DataFrame, item_aff: DataFrame) -> DataFrame:
+    """JOIN-11, item side (``item_tags``): where the candidates go by item."""
+    return cand.join(item_tags(item_aff), "item", "left")
+
+
+def with_user_affinity(cand: DataFrame, user_aff: DataFrame, ignored=P.AFFINITY_IGNORED, repeats: str = "add") -> DataFrame:
+    """JOIN-11, user side, on candidates with the tags of their items: where they lie by user."""
     if repeats == "last":
         user_aff = keyed_load(user_aff.select("user", "kind", "tag", "ratio", *_position(user_aff)), "user", "kind", "tag")
-    own = pair_list(affinity_threshold(user_aff, ignored=ignored), "user", "_ua")
-    held = keyed_load(item_aff.select("item", "kind", "tag", "ratio", *_position(item_aff)), "item", "kind", "tag")
-    lists = pair_list(held, "item", "_l").select(
-        "item", F.transform("_l", lambda x: F.struct(x["kind"].alias("kind"), x["tag"].alias("tag"))).alias("_tags"),
-        F.transform("_l", lambda x: x["ratio"]).alias("_ratios"))
-    j = cand.join(lists, "item", "left").join(own, "user", "left")  # the longer lists of the users are not moved by item
+    own = tag_maps(affinity_threshold(user_aff, ignored=ignored), "user", "_u")
+    j = cand.join(own, "user", "left")
 
     def total(kind: str) -> Column:
-        def add(units: Column, pair: Column) -> Column:
-            at = F.array_position("_tags", F.struct(pair["kind"].alias("kind"), pair["tag"].alias("tag"))).cast("int")
-            ratio = F.get(F.col("_ratios"), at - 1)  # null where the item lacks the tag
-            return (units + F.coalesce(fixed(pair["ratio"] * ratio), F.lit(0))).cast("decimal(38,0)")
-        units = F.aggregate(F.filter("_ua", lambda x: x["kind"] == kind), F.lit(0).cast("decimal(38,0)"), add)
-        return F.coalesce(units.cast("double") / FIXED_SCALE, F.lit(0.0))
+        tags, mine, no_ratios = F.col(f"_i_{kind}"), F.col(f"_u_{kind}"), F.array().cast(own.schema[f"_u_{kind}"].dataType.valueType)
+
+        def added(start: Column, units, plus) -> Column:
+            # each ratio of the user for each tag of the item
+            return F.aggregate(tags, start, lambda s, t: F.aggregate(F.coalesce(F.element_at(mine, t["k"]), no_ratios), s,
+                                                                     lambda u, r: plus(u, F.coalesce(units(r * t["r"]), F.lit(0)))))
+
+        exact = added(F.lit(0).cast("decimal(38,0)"), fixed, lambda u, v: (u + v).cast("decimal(38,0)")).cast("double")
+        # sums of whole doubles this small are exact too
+        small = added(F.lit(0.0), lambda x: whole_units(x * FIXED_SCALE), lambda u, v: u + v)
+        first = F.get(tags, F.lit(0))
+        one = F.coalesce(whole_units(F.get(F.element_at(mine, first["k"]), F.lit(0)) * first["r"] * FIXED_SCALE), F.lit(0.0))
+        bound = F.col("_u_n") * F.col("_u_top") * F.col("_i_top") * FIXED_SCALE
+        units = F.when(bound < WHOLE_BELOW, F.when(F.col("_u_once") & (F.size(tags) == 1), one).otherwise(small)).otherwise(exact)
+        return F.coalesce(units / FIXED_SCALE, F.lit(0.0))
 
-    return j.withColumn("lan", total("lan")).withColumn("style", total("style")).drop("_ua", "_tags", "_ratios")
+    gone = [c for c in (*own.columns, *[f"_i_{k}" for k in AFFINITY_KINDS], "_i_top") if c != "user"]
+    return j.withColumns({k: total(k) for k in AFFINITY_KINDS}).drop(*gone)
 
 
 def affinity_dot(cand: DataFrame, user_aff: DataFrame, item_aff: DataFrame,
@@ -115,13 +156,19 @@ def item_part(item_feat: DataFrame, name_weights: dict[str, object], user_width:
 def with_parts(cand: DataFrame, user_feat: DataFrame | None, item_feat: DataFrame, weights,
                user_width: int = P.USER_WIDTH) -> DataFrame:
     """JOIN-07 for FN-02..04: ``zu`` (0 without user features) and ``zi`` (null without item features)."""
-    out = cand
-    if user_feat is not None:
-        out = out.join(user_part(user_feat, {"zu": weights}), "user", "left")
-    else:
-        out = out.withColumn("zu", F.lit(0.0))
-    out = out.withColumn("zu", F.coalesce("zu", F.lit(0.0)))
-    return out.join(item_part(item_feat, {"zi": weights}, user_width).drop("n_bits"), "item", "left")
+    return with_item_part(with_user_part(cand, user_feat, weights), item_feat, weights, user_width)
+
+
+def with_user_part(cand: DataFrame, user_feat: DataFrame | None, weights) -> DataFrame:
+    """JOIN-07, user side: ``zu``."""
+    if user_feat is None:
+        return cand.withColumn("zu", F.lit(0.0))
+    return cand.join(user_part(user_feat, {"zu": weights}), "user", "left").withColumn("zu", F.coalesce("zu", F.lit(0.0)))
+
+
+def with_item_part(cand: DataFrame, item_feat: DataFrame, weights, user_width: int = P.USER_WIDTH) -> DataFrame:
+    """JOIN-07, item side: ``zi``."""
+    return cand.join(item_part(item_feat, {"zi": weights}, user_width).drop("n_bits"), "item", "left")
 
 
 def with_pay(cand: DataFrame, pay: DataFrame) -> DataFrame:

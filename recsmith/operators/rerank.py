@@ -51,11 +51,15 @@ def quota_interleave(df: DataFrame, max_rec: int, reason: str = "src",
 
 
 def head_rerank(df: DataFrame, boost: Column, treated: Column, head_n: int = P.HEAD_N,
-                factor: float = P.PAY_P2_HEAD[2]) -> DataFrame:
+                factor: float = P.PAY_P2_HEAD[2], upto: int | None = None) -> DataFrame:
     """WIN-10: for treated users, the first ``head_n`` get (boost + score) / (1 + factor) and
-    are re-sorted among themselves; the tail keeps its place.  Adds ``rank`` (1-based)."""
+    are re-sorted among themselves; the tail keeps its place.  Adds ``rank`` (1-based).
+
+    ``upto``: only the rows of the first ``upto`` ranks are wanted; as only the head changes places, those behind both
+    are dropped before the second sort."""
     r = F.row_number().over(_by_score("user"))
     x = df.withColumn("_r", r)
+    x = x if upto is None else x.where(F.col("_r") <= max(upto, head_n))
     head = F.col("_r") <= head_n
     new = F.when(treated & head, (boost + F.col("score")) / (1.0 + factor)).otherwise(F.col("score"))
     x = x.withColumn("score", new).withColumn("_head", head.cast("int"))

@@ -78,7 +78,8 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
 
     def merge(st):
         vis = st["visited"].withColumnRenamed("score", "_vis")
-        scored = (st["kept"].join(vis, ["user", "item"], "left")
+        # the rows lie by user and stay there
+        scored = (C.with_marks(st["kept"], vis, "_vis", written=True)
                   .withColumn("score", S.impression_penalty(F.col("sim"), F.col("_vis"), penalty_mode)))
         return materialise(C.merge_max(scored), by="user")
 
@@ -88,7 +89,7 @@ def candidate_stages(inp: SeedInputs, as_of, active_days: int, window: tuple[int
         excl=lambda st: FL.exclusion_pairs(FL.seen_pairs(inp.visited, max_impress),
                                            FL.impression_window(inp.impressions, as_of, window[0], window[1])),
         capped=cap_eligible,
-        cut=lambda st: C.budget_cut(st["capped"], budget),
+        cut=lambda st: session.materialise(C.budget_cut(st["capped"], budget), by="user"),  # read by budget and reasons
         kept=lambda st: C.seed_budget(st["capped"], budget, st["cut"]),
         merged=merge,
         src=lambda st: reason_over_recalled(st["merged"], st["us"], inp.seed_item, st["cut"]),
@@ -101,7 +102,7 @@ def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
     (then lowest id) whose list holds the item, i.e. the lowest seed rank ``i``.
 
     The lists are read once and cut to the users' candidates in the tasks that read them
-    (``recall.recalled_rows``) before a partial + final ``min_by``.
+    (``recall.likely_rows``); the rows left meet the candidates by user, in one ``min_by`` that drops what is none.
     """
     seeds = us.select("user", "seed", "i")
     if cut is not None:
@@ -109,17 +110,24 @@ def reason_over_recalled(merged: DataFrame, us: DataFrame, seed_item: DataFrame,
         # can never hold the lowest rank: drop them before reading their lists
         seeds = (seeds.join(cut, "user", "left")
                  .where(F.col("_cut").isNull() | (F.col("i") <= F.col("_cut"))).drop("_cut"))
-    recalled = RC.recalled_rows(seeds, seed_item.select("seed", "item"), "seed", merged, ["score"])
-    return recalled.groupBy("user", "item").agg(F.max("score").alias("score"), F.min_by("seed", "i").alias("src"))
+    recalled = RC.likely_rows(seeds, seed_item.select("seed", "item"), "seed", merged)
+    own = merged.select("user", "item", "score", F.lit(True).alias("_c"))
+    rows = own.unionByName(recalled.select("user", "item", "seed", "i"), allowMissingColumns=True).where(F.col("item").isNotNull())
+    rows = rows.repartition(session.bucket_count(rows.sparkSession), "user")
+    x = rows.groupBy("user", "item").agg(F.max("score").alias("score"), F.min_by("seed", "i").alias("src"), F.bool_or("_c").alias("_c"))
+    return x.where(F.col("_c") & F.col("src").isNotNull()).drop("_c")
 
 
 def score(cand: DataFrame, inp: SeedInputs, weights, item_width: int, divisor: int, remainder: int | None,
           rate_default: float = P.RATE_DEFAULT_P2, pay=P.PAY_P2, blend: float = P.BLEND_P2P4) -> DataFrame:
     """FN-04 + FN-09 + FN-10 + FN-11: score = recall * blend + LR3 (+ boost in the treatment arm)."""
-    x = X.with_affinity(cand, inp.user_aff, inp.item_aff)
-    x = X.with_parts(x, inp.user_feat, inp.item_feat, weights)
-    x = X.with_pay(x, inp.pay)
+    # what is known of an item first, then the rate of item and seed, so that the candidates go by item once and come back by user once
+    x = X.with_pay(cand, inp.pay)
+    x = X.with_item_part(x, inp.item_feat, weights)
+    x = X.with_item_tags(x, inp.item_aff)
     x = X.with_rate(x, inp.rate, rate_default)
+    x = X.with_user_part(x, inp.user_feat, weights)
+    x = X.with_user_affinity(x, inp.user_aff)
     w, b = S.weights_lit(weights), P.USER_WIDTH + item_width
     lr = S.lr_parts(F.col("zu"), F.col("zi"), w[b] * F.col("rate"), w[b + 1] * F.col("lan"), w[b + 2] * F.col("style"))
     boost = S.pay_boost(F.col("money"), F.col("click"), *pay)
@@ -138,5 +146,5 @@ def recommend_by_seed(inp: SeedInputs, as_of, weights, item_width: int, divisor:
     div = RR.diversity_harmonic(scored.select("user", "item", "score", "src", "money", "click"))
     head_boost = S.pay_boost(F.col("money"), F.col("click"), *P.PAY_P2_HEAD)
     treated2 = S.in_treatment(F.col("user"), divisor, remainder_2)
-    ranked = RR.head_rerank(div, head_boost, treated2, P.HEAD_N, P.PAY_P2_HEAD[2])
+    ranked = RR.head_rerank(div, head_boost, treated2, P.HEAD_N, P.PAY_P2_HEAD[2], upto=top)
     return RR.top_n(ranked, top, "rank").select("user", "rank", "item", "score", "src")
